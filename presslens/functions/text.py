@@ -35,9 +35,15 @@ def keep_before(c: ColumnOrName, marker: str) -> Column:
     return F.substring_index(_c(c), marker, 1)
 
 
+def _literal(s: str) -> str:
+    """Java regex matching ``s`` literally."""
+    return "\\Q" + s.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+
+
 def keep_after_last(c: ColumnOrName, marker: str) -> Column:
-    """Text after the last occurrence of ``marker`` (whole text when absent)."""
-    return F.substring_index(_c(c), marker, -1)
+    """Python ``text.split(marker)[-1]``: the part after the last of the
+    non-overlapping, left-to-right occurrences (whole text when absent)."""
+    return F.element_at(F.split(_c(c), _literal(marker), -1), -1)
 
 
 def apply_marker_rules(text: ColumnOrName, source: ColumnOrName,
