@@ -131,3 +131,28 @@ def cap_per_group(df: DataFrame, by: str, order: str, k: int) -> DataFrame:
     partially before the shuffle, so at most k rows per task and group move)."""
     w = Window.partitionBy(by).orderBy(order)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) <= k).drop(_RN)
+
+
+def with_position(df: DataFrame, order: str, name: str = "pos") -> DataFrame:
+    """0-based global position in ``order`` (must be unique), without a
+    single-partition window: range-sort, count rows per sorted partition (a
+    table with one row per partition), prefix-sum those counts, and add each
+    row's offset inside its partition. The sorted, tagged rows are checkpointed
+    to the shared folder so both passes see the same layout."""
+    from presslens.session import cut_lineage
+    tagged = (df.orderBy(order)
+              .withColumn("__pid", F.spark_partition_id())
+              .withColumn("__mid", F.monotonically_increasing_id()))
+    tagged = cut_lineage(tagged)
+    local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
+    per = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    offs = per.withColumn("__off", F.coalesce(F.sum("__n").over(
+        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return (tagged.join(F.broadcast(offs.select("__pid", "__off")), "__pid")
+            .withColumn(name, F.col("__off") + local)
+            .drop("__pid", "__mid", "__off"))
+
+
+def align_by_position(a: DataFrame, b: DataFrame, order_a: str, order_b: str) -> DataFrame:
+    """JOIN-02: pair the i-th row of ``a`` with the i-th row of ``b``."""
+    return with_position(a, order_a).join(with_position(b, order_b), "pos")
