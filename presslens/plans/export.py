@@ -1 +1,107 @@
-"""(filled in below)."""
+"""JOB-06 instruction-tuning export (FLT-05, PRJ-03, JSN-04/06/07, STR-14,
+WIN-05) and chat rendering of conversations."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from presslens import specs
+from presslens.catalog import register
+from presslens.functions.jsonparse import chat_messages, label_to_json
+from presslens.functions.text import prompt_text
+from presslens.operators.filters import labelled_only
+from presslens.operators.windows import train_val_split
+from presslens.plans import sql as S
+from presslens.sources.tables import articles, table
+
+SYSTEM_PROMPT = "Assess the political bias of the article and answer with a JSON object."
+
+
+def render_chat(messages: Column, add_generation_prompt: bool = True) -> Column:
+    """STR-14: ChatML rendering of a messages array, optionally with an open
+    assistant turn."""
+    body = F.array_join(F.transform(messages, lambda m: F.concat(
+        F.lit(specs.CHAT_START), m["role"], F.lit("\n"), m["content"], F.lit(specs.CHAT_END + "\n"))), "")
+    return F.concat(body, F.lit(f"{specs.CHAT_START}assistant\n")) if add_generation_prompt else body
+
+
+def to_chat_examples(df: DataFrame, system_prompt: str = SYSTEM_PROMPT, label: str = "ai_labels",
+                     missing: str = "N/A") -> DataFrame:
+    """JSN-06: labelled articles -> messages (system, user prompt, assistant =
+    the label as compact JSON)."""
+    lab = labelled_only(df, label)
+    return lab.select("*", chat_messages(F.lit(system_prompt), prompt_text("title", "text", missing),
+                                         label_to_json(label)).alias("messages"))
+
+
+def to_sft_pairs(chats: DataFrame) -> DataFrame:
+    """JSN-07: input = rendered system + user turns with the open assistant turn,
+    output = the assistant content."""
+    m = F.col("messages")
+    return chats.select("*", render_chat(F.slice(m, 1, 2)).alias("input"), m[2]["content"].alias("output"))
+
+
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = articles(spark, sf_dir).join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+    return a.withColumn("ai_labels", F.struct(
+        F.col("title").alias("reasoning"),
+        F.array(F.col("source"), F.col("lang")).alias("primary_entities"),
+        F.col("score").alias("bias")))
+
+
+def chat_messages_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = to_chat_examples(_labelled(spark, sf_dir))
+    return c.select("doc_id", F.size("messages").alias("n_messages"),
+                    F.col("messages")[0]["content"].alias("system"),
+                    F.col("messages")[1]["content"].alias("user"),
+                    F.col("messages")[2]["content"].alias("assistant"))
+
+
+def sft_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SFT pairs with the 90/10 seeded split."""
+    p = to_sft_pairs(to_chat_examples(_labelled(spark, sf_dir)))
+    s = train_val_split(p.select("doc_id", "input", "output"), 0.9, "doc_id", specs.SEED)
+    return s
+
+
+def chatml_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations (turns ordered by ``turn``) rendered as one ChatML prompt.
+    One row per conversation is the result itself, so the whole conversation
+    is assembled in one task (partial lists are merged map-side first)."""
+    c = table(spark, sf_dir, "conversations")
+    g = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct(
+        "turn", F.col("role"), F.col("text").alias("content")))).alias("m"))
+    msgs = F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content")))
+    return g.select("conv_id", F.size("m").alias("n_turns"), render_chat(msgs).alias("prompt"))
+
+
+_LAB = f"""
+WITH a AS ({S.ARTICLES}),
+l AS (SELECT a.* FROM a WHERE doc_id IN (SELECT doc_id FROM labels)),
+c AS (SELECT doc_id, {S.q(SYSTEM_PROMPT)} AS system,
+             {S.q(specs.TITLE_LABEL)} || coalesce(title, 'N/A') || chr(10) || {S.q(specs.BODY_LABEL)} || coalesce(text, 'N/A') AS "user",
+             to_json(struct_pack(reasoning := title, primary_entities := [source, lang], bias := score)) AS assistant
+      FROM l)
+"""
+
+register("chat_messages", _LAB + 'SELECT doc_id, CAST(3 AS INTEGER) AS n_messages, system, "user", assistant FROM c')(
+    chat_messages_q)
+
+register("sft_pairs", _LAB + f"""
+SELECT doc_id,
+       '{specs.CHAT_START}system' || chr(10) || system || '{specs.CHAT_END}' || chr(10) ||
+       '{specs.CHAT_START}user' || chr(10) || "user" || '{specs.CHAT_END}' || chr(10) ||
+       '{specs.CHAT_START}assistant' || chr(10) AS input,
+       assistant AS output,
+       CASE WHEN row_number() OVER (ORDER BY md5(CAST(doc_id AS VARCHAR) || ':{specs.SEED}'), doc_id)
+                 <= floor(0.9 * count(*) OVER ()) THEN 'train' ELSE 'val' END AS split
+FROM c
+""")(sft_pairs)
+
+register("chatml_render", f"""
+SELECT conv_id, CAST(count(*) AS INTEGER) AS n_turns,
+       string_agg('{specs.CHAT_START}' || role || chr(10) || text || '{specs.CHAT_END}' || chr(10), '' ORDER BY turn)
+         || '{specs.CHAT_START}assistant' || chr(10) AS prompt
+FROM conversations GROUP BY conv_id
+""")(chatml_render)
