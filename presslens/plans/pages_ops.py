@@ -1 +1,77 @@
-"""(filled in below)."""
+"""Raw page bindings: h1 titles (regex), article extraction (rules + parser,
+rows-only), link harvest (SRC-10..12, JOIN-09, FLT-17)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from presslens import specs
+from presslens.catalog import register
+from presslens.functions.text import url_host
+from presslens.operators.filters import min_length, quality_flags
+from presslens.plans import sql as S
+from presslens.sources.pages import ENTITIES, extract_articles, h1_title, harvest_links
+from presslens.sources.tables import table
+
+
+def page_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", url_host("url").alias("host"), h1_title(F.col("html")).alias("title"))
+
+
+def page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extraction with the per-host rules (+ the generic article rule), then
+    the quality gate (FLT-16) and the length filter (FLT-02)."""
+    pages = table(spark, sf_dir, "pages")
+    arts = extract_articles(pages)
+    q = quality_flags(arts.filter(F.col("rule").isNotNull()))
+    return min_length(q, "text", specs.MIN_TEXT_CHARS).select(
+        "page_id", "source", "rule", "title", "date", F.length("text").alias("n_chars"),
+        F.md5("text").alias("text_md5"), "title_check", "text_check")
+
+
+def quality_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-19: per source, how many extracted pages pass each check."""
+    arts = quality_flags(extract_articles(table(spark, sf_dir, "pages")).filter(F.col("rule").isNotNull()))
+    return arts.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_pages"),
+        F.count_if(F.col("title_check") == "OK").alias("title_ok"),
+        F.count_if(F.col("date_check") == "OK").alias("date_ok"),
+        F.count_if(F.col("text_check") == "OK").alias("text_ok"),
+        F.count_if(F.col("text_check") == "TOO SHORT").alias("text_short"))
+
+
+def link_harvest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return harvest_links(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
+        "page_id", "href", "link")
+
+
+def _unescape_sql(e: str) -> str:
+    for k, v in ENTITIES:
+        e = f"replace({e}, {S.q(k)}, {S.q(v)})"
+    return e
+
+
+_TITLE_SQL = (f"nullif({S.strip(f'''regexp_replace({_unescape_sql("regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')")}, {S.q(specs.WS)} || '+', ' ', 'g')''')}, '')")
+_HOST = "replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), 'www.', '')"
+
+register("page_title", f"SELECT page_id, {_HOST} AS host, {_TITLE_SQL} AS title FROM pages")(page_title)
+
+register("page_articles")(page_articles)
+register("quality_rollup")(quality_rollup)
+
+register("link_harvest", """
+WITH l AS (SELECT page_id, url,
+                  unnest(list_distinct(regexp_extract_all(regexp_extract(html, '(?is)<nav[^>]*>(.*?)</nav>', 1),
+                                                          '(?i)href="([^"]*)"', 1))) AS href FROM pages)
+SELECT page_id, href,
+  CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href
+       WHEN starts_with(href, '//') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1) || ':' || href
+       WHEN starts_with(href, '/') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || href
+       WHEN starts_with(href, '?') THEN regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', '') || href
+       WHEN starts_with(href, '#') THEN regexp_replace(url, '#.*$', '') || href
+       WHEN href = '' THEN regexp_replace(url, '#.*$', '')
+       ELSE regexp_replace(regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', ''), '[^/]*$', '') || href END AS link
+FROM l
+""")(link_harvest)
