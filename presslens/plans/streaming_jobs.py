@@ -1 +1,109 @@
-"""(filled in below)."""
+"""Streaming bindings: events published as raw-article JSON lines, consumed
+with the file stream source (Kafka stand-in), ``availableNow`` trigger."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from presslens.catalog import register
+from presslens.operators.score import LexiconScorer
+from presslens.operators.store import KeyedStore
+from presslens.plans import sql as S
+from presslens.session import shared_dir
+from presslens.sources.tables import table
+from presslens.streaming.jobs import run_cutoff_stream, run_scored_stream
+from presslens.streaming.source import decode, encode, file_stream
+
+LEFT_S = ["click", "view"]
+RIGHT_S = ["purchase", "signup"]
+STREAM_FILES = 4
+CUTOFF_NOW = dt.datetime(2024, 1, 1, 0, 0, 0)
+
+
+def _raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return e.select(
+        F.col("event_id"),
+        F.col("event_type").alias("source"),
+        F.concat(F.lit("event/"), F.col("event_id").cast("string")).alias("url"),
+        F.concat_ws(" ", "event_type", F.col("user_id").cast("string")).alias("title"),
+        F.col("ts").cast("timestamp").alias("date"),
+        F.concat_ws(" ", "event_type", "props").alias("text"))
+
+
+def publish(df: DataFrame, path: str, files: int = 1, order_col: str | None = None) -> None:
+    """SNK-01 (file form): JSON-lines payloads; with ``files`` > 1, rows are
+    dealt into that many files by ``order_col`` modulo, written in sequence with
+    increasing modification times so a file stream reads them in order."""
+    spark = df.sparkSession
+    if files == 1:
+        encode(df.drop(order_col) if order_col else df).write.text(path)
+        return
+    jvm = spark.sparkContext._jvm
+    base = 1_700_000_000_000
+    for k in range(files):
+        part = df.filter(F.col(order_col) % files == k).drop(order_col)
+        sub = f"{path}/_tmp{k}"
+        encode(part).coalesce(1).write.text(sub)
+        src = jvm.org.apache.hadoop.fs.Path(sub)
+        fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for st in fs.listStatus(src):
+            name = st.getPath().getName()
+            if name.startswith("part-"):
+                dst = jvm.org.apache.hadoop.fs.Path(f"{path}/batch{k:04d}-{name}")
+                fs.rename(st.getPath(), dst)
+                fs.setTimes(dst, base + k * 60_000, -1)
+
+
+def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_dir(spark, "stream-scored")
+    publish(_raw_articles(spark, sf_dir).drop("event_id"), f"{root}/in")
+    store = KeyedStore(spark, f"{root}/store")
+    q = run_scored_stream(decode(file_stream(spark, f"{root}/in")), LexiconScorer(LEFT_S, RIGHT_S), store,
+                          f"{root}/checkpoint", trigger={"availableNow": True}, backoff=0)
+    q.awaitTermination()
+    return store.read().select("_id", "source", F.round("ai_labels.bias", 6).alias("bias"),
+                               F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("date"))
+
+
+def stream_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_dir(spark, "stream-cutoffs")
+    publish(_raw_articles(spark, sf_dir), f"{root}/in", STREAM_FILES, "event_id")
+    state, sink = KeyedStore(spark, f"{root}/state", "source"), KeyedStore(spark, f"{root}/sink")
+    q = run_cutoff_stream(decode(file_stream(spark, f"{root}/in", 1)), state, sink, f"{root}/checkpoint",
+                          CUTOFF_NOW, trigger={"availableNow": True})
+    q.awaitTermination()
+    out = sink.read()
+    return out.select(F.regexp_extract("url", r"([0-9]+)$", 1).cast("bigint").alias("event_id"), "source")
+
+
+_IN_L = ", ".join(S.q(x) for x in LEFT_S)
+_IN_R = ", ".join(S.q(x) for x in RIGHT_S)
+
+register("stream_scored", f"""
+WITH a AS (SELECT md5('event/' || CAST(event_id AS VARCHAR)) AS _id, event_type AS source,
+                  'ΤΙΤΛΟΣ: ' || event_type || ' ' || CAST(user_id AS VARCHAR) || chr(10) || 'ΚΕΙΜΕΝΟ: ' || event_type || ' ' || props AS prompt,
+                  ts FROM events),
+t AS (SELECT *, regexp_extract_all(lower(prompt), '[a-z]+') AS toks FROM a),
+c AS (SELECT *, len(list_filter(toks, lambda x: x IN ({_IN_L}))) AS nl, len(list_filter(toks, lambda x: x IN ({_IN_R}))) AS nr FROM t)
+SELECT _id, source, round((1.0 + nr) / (2.0 + nl + nr), 6) AS bias, strftime(ts, '%Y-%m-%d %H:%M:%S') AS date FROM c
+""")(stream_scored)
+
+_FLOOR = f"(TIMESTAMP '{CUTOFF_NOW:%Y-%m-%d %H:%M:%S}' - INTERVAL 2 HOURS)"
+_steps = [f"""f AS (SELECT event_id, event_type AS source, date_trunc('millisecond', CAST(ts AS TIMESTAMP)) AS d,
+                 event_id % {STREAM_FILES} AS k FROM events)""",
+          "a0 AS (SELECT event_id, source, d FROM f WHERE k = 0 AND d > " + _FLOOR + ")",
+          "s0 AS (SELECT source, max(d) AS c FROM a0 GROUP BY source)"]
+for _k in range(1, STREAM_FILES):
+    _steps.append(f"""a{_k} AS (SELECT f.event_id, f.source, f.d FROM f LEFT JOIN s{_k - 1} s ON f.source = s.source
+                 WHERE f.k = {_k} AND f.d > coalesce(greatest(s.c, {_FLOOR}), {_FLOOR}))""")
+    _steps.append(f"""s{_k} AS (SELECT coalesce(s.source, n.source) AS source,
+                 CASE WHEN s.c IS NULL THEN n.c WHEN n.c IS NULL THEN s.c ELSE greatest(s.c, n.c) END AS c
+                 FROM s{_k - 1} s FULL OUTER JOIN (SELECT source, max(d) AS c FROM a{_k} GROUP BY source) n
+                 ON s.source = n.source)""")
+
+register("stream_cutoffs", "WITH " + ",\n".join(_steps) + "\n" +
+         " UNION ALL ".join(f"SELECT event_id, source FROM a{k}" for k in range(STREAM_FILES)))(stream_cutoffs)
