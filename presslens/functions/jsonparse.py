@@ -119,3 +119,54 @@ def chat_messages(system: ColumnOrName, user: ColumnOrName, assistant: ColumnOrN
     def m(role, content):
         return F.struct(F.lit(role).alias("role"), _c(content).alias("content"))
     return F.array(m("system", system), m("user", user), m("assistant", assistant))
+
+
+# ---------------------------------------------------------------------------
+# Staged (DataFrame-level) forms. Each heavy step (regex over the whole output,
+# JSON parse) becomes its own column, so it is evaluated once per row; Catalyst
+# does not inline a non-trivial projection that is referenced more than once.
+# ---------------------------------------------------------------------------
+
+def _staged_object(df, txt_col: str, out_col: str):
+    d = df.withColumn(out_col + "_txt", F.col(txt_col))
+    d = d.withColumn(out_col + "_j", F.from_json(F.col(out_col + "_txt"), LABEL_WIDE, _OPTS))
+    t, j = F.col(out_col + "_txt"), F.col(out_col + "_j")
+    ok = t.isNotNull() & (t != "") & j.isNotNull() & j["_corrupt_record"].isNull()
+    return d.withColumn(out_col, F.when(ok, j)).drop(out_col + "_txt", out_col + "_j")
+
+
+def with_parsed_output(df, raw: str, out: str, compat: bool = False, thoughts: bool = False):
+    """DataFrame form of ``safe_parse`` (``thoughts=False``) and
+    ``safe_parse_v2`` (``thoughts=True``): adds struct column ``out``."""
+    p = f"__{out}"
+    d = df
+    src = raw
+    if thoughts:
+        d = d.withColumn(p + "_body", strip_thoughts(raw)).withColumn(p + "_th", first_thought(raw))
+        src = p + "_body"
+    d = d.withColumn(p + "_r", py_strip(F.col(src)))
+    r = F.col(p + "_r")
+    d = d.withColumn(p + "_pref", F.when(r.startswith("{"), r).otherwise(F.concat(F.lit("{"), r)))
+    pref = F.col(p + "_pref")
+    d = d.withColumn(p + "_clean", py_strip(F.when(pref.endswith("```"), pref.substr(F.lit(1), F.length(pref) - 3))
+                                            .otherwise(pref)))
+    d = d.withColumn(p + "_g1", _greedy_object(F.col(p + "_clean")))
+    d = _staged_object(d, p + "_g1", p + "_j1")
+    j = F.col(p + "_j1")
+    if not compat:
+        d = d.withColumn(p + "_g2", F.when(j.isNull(), _greedy_object(r)))
+        d = _staged_object(d, p + "_g2", p + "_j2")
+        j = F.coalesce(j, F.col(p + "_j2"))
+    d = d.withColumn(p + "_j", j)
+    jj = F.col(p + "_j")
+    out_struct = _narrow(jj, F.when(jj.isNull(), F.lit("parse_failed")))
+    if compat:
+        out_struct = out_struct.withField("bias", F.coalesce(out_struct["bias"], F.when(jj.isNull(), F.lit(-1.0))))
+    d = d.withColumn(out, out_struct)
+    if thoughts:
+        o, th, rc = F.col(out), F.col(p + "_th"), F.col(raw)
+        filled = o.withField("reasoning", F.when((py_strip(o["reasoning"]) == "") & (th != ""), th)
+                             .otherwise(o["reasoning"]))
+        d = d.withColumn(out, F.when(rc.isNull() | (rc == "") | o["error"].isNotNull(), F.lit(None))
+                         .otherwise(filled))
+    return d.drop(*[c for c in d.columns if c.startswith(p + "_")])

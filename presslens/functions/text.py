@@ -16,7 +16,7 @@ def _c(c: ColumnOrName) -> Column:
 
 def py_strip(c: ColumnOrName) -> Column:
     """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_c(c), f"^{specs.WS}+|{specs.WS}+$", "")
+    return F.btrim(_c(c), F.lit(specs.WS_CHARS))
 
 
 def collapse_ws(c: ColumnOrName) -> Column:
@@ -81,9 +81,12 @@ def purify_markdown(c: ColumnOrName, stop_phrases=specs.STOP_PHRASES,
                     min_words: int = specs.MIN_WORDS_PER_LINE) -> Column:
     """STR-05: markdown page text -> article paragraphs.
 
-    Cut before the first '# ', drop images, unwrap links, drop URLs, then keep
-    lines of at least ``min_words`` words up to the first line holding a stop
-    phrase, joined by a blank line. ``(?d)`` gives '.' Python's meaning.
+    Cut before the first '# ', drop images, unwrap links, drop URLs; drop the
+    first line holding a stop phrase (case-insensitive) and everything after
+    it; keep the remaining lines with at least ``min_words`` words, stripped,
+    joined by a blank line. Whole-text regexes only (no per-line lambdas), so
+    each step is one native pass; ``(?d)`` makes '\\n' the only line break,
+    as in ``str.split('\\n')``.
     """
     t = F.coalesce(_c(c), F.lit(""))
     pos = F.instr(t, "# ")
@@ -91,15 +94,15 @@ def purify_markdown(c: ColumnOrName, stop_phrases=specs.STOP_PHRASES,
     t = F.regexp_replace(t, r"(?d)!\[.*?\]\(.*?\)", "")
     t = F.regexp_replace(t, r"(?d)\[(.*?)\]\(.*?\)", "$1")
     t = F.regexp_replace(t, f"https?://{specs.NON_WS}+", "")
-    lines = F.transform(F.split(t, "\n"), lambda x: py_strip(x))
-    # 1-based index of the first stop line, else size + 1
-    stop_at = F.aggregate(
-        F.transform(lines, lambda x, i: F.when(_contains_any(x, stop_phrases), i + 1)),
-        F.size(lines) + 1,
-        lambda acc, v: F.when(v.isNotNull() & (v < acc), v).otherwise(acc),
-    )
-    kept = F.filter(_head(lines, stop_at - 1), lambda x: word_count(x) >= min_words)
-    return F.array_join(kept, "\n\n")
+    phrases = "|".join(_literal(p) for p in stop_phrases)
+    t = F.regexp_replace(t, f"(?s)(?:^|\n)[^\n]*(?iu:{phrases}).*\\z", "")
+    h, n = f"[{specs.WS_CLASS_NO_NL}]", specs.NON_WS
+    k = max(min_words - 1, 0)
+    # a bounded look-ahead checks the word count; the captured span runs from
+    # the first to the last non-blank character (no unbounded group
+    # repetition, which the JVM's regex engine would recurse on)
+    line = f"(?md)^{h}*+(?={n}++(?:{h}++{n}++){{{k}}})({n}[^\\n]*{n}|{n}){h}*$"
+    return F.array_join(F.regexp_extract_all(t, F.lit(line), 1), "\n\n")
 
 
 def _head(arr: Column, n: Column) -> Column:

@@ -21,7 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presslens.functions.jsonparse import safe_parse, safe_parse_v2
+from presslens.functions.jsonparse import with_parsed_output
+
+
+_TOKEN = re.compile(r"[a-z]+")
 
 
 class Scorer:
@@ -40,15 +43,16 @@ class LexiconScorer(Scorer):
         self.left, self.right = set(left), set(right)
 
     def raw(self, texts: pd.Series) -> pd.Series:
-        toks = texts.fillna("").str.lower().str.findall(r"[a-z]+")
+        left, right = self.left, self.right
 
-        def one(ts):
-            nl = sum(t in self.left for t in ts)
-            nr = sum(t in self.right for t in ts)
-            ents = sorted({t for t in ts if t in self.left or t in self.right})
+        def one(text: str) -> str:
+            toks = _TOKEN.findall(text.lower())
+            nl = sum(t in left for t in toks)
+            nr = sum(t in right for t in toks)
+            ents = sorted({t for t in toks if t in left or t in right})
             return json.dumps({"reasoning": f"left={nl} right={nr}", "primary_entities": ents,
                                "bias": (1 + nr) / (2 + nl + nr)}, ensure_ascii=False)
-        return toks.map(one)
+        return texts.fillna("").map(one)
 
 
 class WrappingScorer(Scorer):
@@ -109,8 +113,8 @@ def score_articles(df: DataFrame, scorer: Scorer, text_col: str = "prompt", out:
     """UDF-02/03: label every row; ``out`` = {reasoning, primary_entities, bias,
     error}; failures give error records (bias null, or -1 with ``compat``)."""
     r = raw_scores(df, {"m": scorer}, text_col, **kw)
-    return (r.withColumn(out, safe_parse(F.col("m_raw"), compat=compat))
-             .withColumnRenamed("m_latency", "latency").drop("m_raw"))
+    return (with_parsed_output(r, "m_raw", out, compat=compat)
+            .withColumnRenamed("m_latency", "latency").drop("m_raw"))
 
 
 def score_models(df: DataFrame, scorers: dict[str, Scorer], text_col: str = "prompt", **kw) -> DataFrame:
@@ -118,7 +122,7 @@ def score_models(df: DataFrame, scorers: dict[str, Scorer], text_col: str = "pro
     ``<m>_latency`` per model."""
     r = raw_scores(df, scorers, text_col, **kw)
     for m in scorers:
-        r = r.withColumn(f"{m}_prediction", safe_parse_v2(F.col(f"{m}_raw"))).drop(f"{m}_raw")
+        r = with_parsed_output(r, f"{m}_raw", f"{m}_prediction", thoughts=True).drop(f"{m}_raw")
     return r
 
 
@@ -135,5 +139,3 @@ def label_text(spark: SparkSession, text: str, scorer: Scorer) -> dict:
     one = spark.createDataFrame([(text,)], "prompt string")
     return score_articles(one, scorer, max_retries=1, backoff=0).select("ai_labels").first()[0].asDict()
 
-
-_TOKEN = re.compile(r"[a-z]+")

@@ -20,13 +20,17 @@ FEED_COLUMNS = ["source", "url", "title", "date", "text"]
 def clean_feed(raw: DataFrame, dedup_key: str = "url", order: str = "ord",
                require=("title", "date", "url"), min_chars: int = specs.MIN_TEXT_CHARS) -> DataFrame:
     """JOB-01: source cleaners -> general cleaner -> null/length/date filters ->
-    keep-first dedup. Narrow stages fuse into one codegen stage; the dedup is
-    the only shuffle (a partial aggregate, so duplicated keys shrink map-side)."""
-    df = raw.withColumn("text", general_clean(apply_marker_rules("text", "source")))
+    keep-first dedup. Each cleaning step is its own projection (computed once
+    per row); the dedup is the only shuffle, a partial aggregate, so repeated
+    keys shrink map-side. ``dedup_key="text_md5"`` dedups on the cleaned text."""
+    df = raw.withColumn("text", apply_marker_rules("text", "source"))
+    df = df.withColumn("text", general_clean("text"))
     df = drop_missing(df, [c for c in require if c in df.columns])
     df = min_length(df, "text", min_chars)
     if "date" in df.columns:
         df = drop_bad_dates(df, "date")
+    if dedup_key == "text_md5":
+        df = df.withColumn("text_md5", F.md5("text"))
     if dedup_key not in df.columns:
         raise ValueError(f"no dedup key {dedup_key}")
     return dedup_keep_first(df, dedup_key, order)
@@ -48,9 +52,8 @@ def feed_summary(feed: DataFrame) -> DataFrame:
 
 
 def clean_feed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = articles(spark, sf_dir).withColumn("dkey", F.md5(general_clean(apply_marker_rules("text", "source"))))
-    feed = clean_feed(a.select("ord", "source", "url", "title", "text", "score", "dkey"),
-                      dedup_key="dkey", require=("title", "url"))
+    a = articles(spark, sf_dir).select("ord", "source", "url", "title", "text", "score")
+    feed = clean_feed(a, dedup_key="text_md5", require=("title", "url"))
     return feed_summary(feed)
 
 

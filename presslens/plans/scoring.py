@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from presslens import specs
 from presslens.catalog import register
-from presslens.functions.jsonparse import safe_parse, safe_parse_v2
+from presslens.functions.jsonparse import with_parsed_output
 from presslens.functions.text import prompt_text
 from presslens.operators.score import LexiconScorer, WrappingScorer, label_incremental, score_articles, score_models
 from presslens.plans import sql as S
@@ -74,7 +74,10 @@ def _wrap_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def safe_parse_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = _wrap_variants(spark, sf_dir)
-    p1, pc, p2 = safe_parse("raw"), safe_parse("raw", compat=True), safe_parse_v2("raw")
+    r = with_parsed_output(r, "raw", "p1")
+    r = with_parsed_output(r, "raw", "pc", compat=True)
+    r = with_parsed_output(r, "raw", "p2", thoughts=True)
+    p1, pc, p2 = F.col("p1"), F.col("pc"), F.col("p2")
     return r.select("doc_id", F.round(p1["bias"], 6).alias("v1_bias"), p1["error"].alias("v1_error"),
                     p1["reasoning"].alias("v1_reasoning"),
                     F.round(pc["bias"], 6).alias("compat_bias"),

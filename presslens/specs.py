@@ -12,7 +12,13 @@ from __future__ import annotations
 # ---------------------------------------------------------------------------
 WS_CLASS = (r"\t\n\x{0b}\x{0c}\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}"
             r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
+# the same set without the line feed (whitespace inside one line)
+WS_CLASS_NO_NL = (r"\t\x{0b}\x{0c}\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}"
+                  r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 WS = f"[{WS_CLASS}]"
+# the same set as literal characters (for trim functions)
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+            + "\u2028\u2029\u202f\u205f\u3000")
 NON_WS = f"[^{WS_CLASS}]"
 
 # ---------------------------------------------------------------------------
