@@ -82,8 +82,9 @@ def pct(c: ColumnOrName) -> Column:
 
 
 def pct_int(c: ColumnOrName) -> Column:
-    """MTH-06: int(score * 100), truncating (0.29 -> 28 in IEEE doubles)."""
-    return (_c(c) * F.lit(100.0)).cast("int")
+    """MTH-06: int(score * 100), truncating (0.29 -> 28 in IEEE doubles);
+    NaN / out of range -> null instead of failing the task."""
+    return (_c(c) * F.lit(100.0)).try_cast("int")
 
 
 def default_score_feed(c: ColumnOrName, default: float = specs.FEED_DEFAULT_SCORE) -> Column:

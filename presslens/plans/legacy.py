@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from presslens import specs
 from presslens.catalog import register
-from presslens.functions.jsonparse import unwrap_label
 from presslens.operators.aggregates import verdict
 from presslens.plans import sql as S
 from presslens.sources.tables import table
@@ -33,8 +32,11 @@ def legacy_errors(df: DataFrame, truth: str, pred: str, scores=specs.LEGACY_SCOR
                   unknown: int = specs.LEGACY_UNKNOWN_PREDICTION, penalty: int = specs.LEGACY_ERROR_PENALTY,
                   fallacy_weight: int = specs.LEGACY_FALLACY_WEIGHT) -> DataFrame:
     """Adds ``error`` (int), ``valid`` and ``fallacy_match`` (booleans)."""
-    t = F.from_json(unwrap_label(truth), "map<string,string>")
-    p = F.from_json(unwrap_label(pred), "map<string,string>")
+    # the columns hold what a JSON reader gives for the field: an object's JSON
+    # text, or a string's content; a doubly encoded object is therefore a
+    # string, not an object, and counts as a failure
+    t = F.from_json(F.col(truth), "map<string,string>")
+    p = F.from_json(F.col(pred), "map<string,string>")
     sm = _score_map(scores)
     known = F.array(*[F.lit(k) for k in list(scores) + [FALLACY_KEY]])
     d = df.withColumn("__t", t).withColumn("__p", p).withColumn("__k", F.map_keys("__t"))
