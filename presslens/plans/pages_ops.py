@@ -71,7 +71,7 @@ SELECT page_id, href,
        WHEN starts_with(href, '/') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || href
        WHEN starts_with(href, '?') THEN regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', '') || href
        WHEN starts_with(href, '#') THEN regexp_replace(url, '#.*$', '') || href
-       WHEN href = '' THEN regexp_replace(url, '#.*$', '')
+       WHEN href = '' THEN url
        ELSE regexp_replace(regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', ''), '[^/]*$', '') || href END AS link
 FROM l
 """)(link_harvest)

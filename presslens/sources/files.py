@@ -21,14 +21,20 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_jsonl_tolerant(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """SRC-03: JSON lines; blank and malformed lines are skipped, type mismatches
-    inside a well-formed line become nulls (not dropped)."""
-    sch = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
+    """SRC-03: JSON lines; blank and malformed lines are skipped, while a
+    well-formed line whose values do not fit the schema is kept with nulls
+    there. Top-level primitives are read as strings (never a mismatch) and
+    cast with try_cast afterwards."""
+    prim = (T.StringType, T.NumericType, T.BooleanType, T.TimestampType, T.DateType)
+    wide = [T.StructField(f.name, T.StringType()) if isinstance(f.dataType, prim) else f for f in schema.fields]
+    sch = T.StructType(wide + [T.StructField(CORRUPT, T.StringType())])
     df = (spark.read.schema(sch).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", CORRUPT).json(path))
     # Spark forbids queries that only reference the corrupt column of a raw
     # JSON scan; caching is the documented way around it.
-    return df.cache().filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    ok = df.cache().filter(F.col(CORRUPT).isNull())
+    return ok.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) if isinstance(f.dataType, prim)
+                       else F.col(f.name) for f in schema.fields])
 
 
 def read_json_auto(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -260,7 +260,7 @@ def resolve_url(base: Column, href: Column) -> Column:
             .when(href.startswith("/"), F.concat(origin(base), href))
             .when(href.startswith("?"), F.concat(base_noquery, href))
             .when(href.startswith("#"), F.concat(base_nofrag, href))
-            .when(href == "", base_nofrag)
+            .when(href == "", base)
             .otherwise(F.concat(base_dir, href)))
 
 
