@@ -111,3 +111,19 @@ def quality_flags(df: DataFrame, min_len: int = specs.MIN_TEXT_CHARS) -> DataFra
 def extracted_only(df: DataFrame, rule: str = "rule", date: str = "date") -> DataFrame:
     """FLT-17: an extractor matched and the date is non-empty."""
     return df.filter(F.col(rule).isNotNull() & F.col(date).isNotNull() & (F.col(date).cast("string") != ""))
+
+
+def url_host_matches(df: DataFrame, col: str, patterns) -> DataFrame:
+    """FLT-08 alias kept for rule tables keyed by host."""
+    return url_matches(df, col, patterns)
+
+
+def pending_predictions(df: DataFrame, models) -> DataFrame:
+    """FLT-15: rows still missing a prediction from any of ``models``. Done-ness
+    is an explicit ``<model>_done`` flag: a prediction that came back null is
+    done (the key exists), which a null column alone could not express."""
+    cond = None
+    for m in models:
+        c = ~F.coalesce(F.col(f"{m}_done"), F.lit(False))
+        cond = c if cond is None else cond | c
+    return df.filter(cond)

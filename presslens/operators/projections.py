@@ -46,22 +46,31 @@ def feed_card(df: DataFrame, d=specs.FEED_DEFAULTS) -> DataFrame:
         lean_feed(score).alias("pol_lean"), pct(score).alias("pol_score"))
 
 
-def analysis_card(df: DataFrame, url: str = "url", text: str = "text", label: str = "label") -> DataFrame:
-    """PRJ-05: on-demand card: title, lean (analyzer cut-offs), integer score,
-    reasoning, tags, source = url[:25]; rows without text get the failure card."""
+def analysis_card(df: DataFrame, url: str = "url", text: str = "text", label: str = "label",
+                  page_title: str = "page_title", error: str | None = None, keep=()) -> DataFrame:
+    """PRJ-05 / STR-07: on-demand result card. Without text: the failure card
+    (title 'Scrape Failed', Center, 50, the error as reasoning, no tags).
+    Otherwise title = page title, else the label's title, else
+    'Analysis of ' + url[:25] + '...'; lean on the analyzer cut-offs and an
+    integer score from the bias (missing or -1 -> 0.5); source = url[:25]."""
     from presslens.functions.bands import lean_analyzer, pct_int
     lab = F.col(label)
     s = default_score_analyzer(lab["bias"])
     no_text = F.col(text).isNull() | (F.col(text) == "")
+    lab_title = lab["title"] if "title" in df.schema[label].dataType.fieldNames() else F.lit(None).cast("string")
+    title = F.coalesce(F.nullif(F.col(page_title), F.lit("")), F.nullif(lab_title, F.lit("")),
+                       F.concat(F.lit("Analysis of "), F.substring(url, 1, 25), F.lit("...")))
+    err = F.col(error) if error else F.lit(None).cast("string")
     return df.select(
-        F.col(url).alias("url"),
-        F.when(no_text, F.lit("Scrape failed")).otherwise(F.coalesce(F.col("title"), F.concat(
-            F.lit("Analysis of "), F.substring(url, 1, 25)))).alias("title"),
-        F.when(no_text, F.lit(None)).otherwise(lean_analyzer(s)).alias("lean"),
-        F.when(no_text, F.lit(None)).otherwise(pct_int(s)).alias("score"),
-        F.when(no_text, F.lit("")).otherwise(F.coalesce(lab["reasoning"], F.lit(""))).alias("reasoning"),
-        F.coalesce(lab["primary_entities"], F.array().cast("array<string>")).alias("tags"),
-        F.substring(url, 1, 25).alias("source"))
+        *keep, F.col(url).alias("url"),
+        F.when(no_text, F.lit("Scrape Failed")).otherwise(title).alias("title"),
+        F.when(no_text, F.lit("Center")).otherwise(lean_analyzer(s)).alias("lean"),
+        F.when(no_text, F.lit(50)).otherwise(pct_int(s)).alias("score"),
+        F.when(no_text, err).otherwise(F.coalesce(lab["reasoning"], F.lit("Error generating reasoning.")))
+         .alias("reasoning"),
+        F.when(no_text, F.array().cast("array<string>"))
+         .otherwise(F.coalesce(lab["primary_entities"], F.array().cast("array<string>"))).alias("tags"),
+        F.when(no_text, F.lit(None).cast("string")).otherwise(F.substring(url, 1, 25)).alias("source"))
 
 
 def localized_text(c: ColumnOrName, lang: ColumnOrName) -> Column:

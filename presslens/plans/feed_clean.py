@@ -73,3 +73,45 @@ SELECT source, count(*) AS n_articles,
        CAST(floor(avg(coalesce(nullif(fs * 100.0, 0.0), 50.0)) + 0.5) AS BIGINT) AS mean_score
 FROM s GROUP BY source
 """)(clean_feed_query)
+
+
+# --- JOB-02 historical dataset build ----------------------------------------
+PER_SOURCE = 30
+
+
+def dataset_build(raw: DataFrame, per_source: int = PER_SOURCE, seed: int = specs.SEED,
+                  years=None, require=("title", "date", "url")) -> DataFrame:
+    """JOB-02: cleaned union of article files -> null / length (/ year) filters
+    -> exact seeded sample per source -> seeded shuffle."""
+    from presslens.operators.filters import year_in
+    from presslens.operators.windows import sample_exact, shuffle
+    df = raw.withColumn("text", apply_marker_rules("text", "source"))
+    df = df.withColumn("text", general_clean("text"))
+    df = drop_missing(df, [c for c in require if c in df.columns])
+    df = min_length(df, "text")
+    if years is not None and "date" in df.columns:
+        df = year_in(drop_bad_dates(df, "date"), "date", years)
+    return shuffle(sample_exact(df, per_source, "source", "url", seed), "url", seed)
+
+
+def dataset_build_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from presslens.operators.setops import union_all
+    from presslens.sources.tables import table
+    from presslens.functions.text import first_line
+    d = articles(spark, sf_dir).select("source", "url", "title", "text")
+    b = table(spark, sf_dir, "benchmark").select(
+        F.lit("benchmark").alias("source"), F.concat(F.lit("bench/"), F.col("item_id").cast("string")).alias("url"),
+        first_line("text").alias("title"), "text")
+    out = dataset_build(union_all(d, b), require=("title", "url"))
+    return out.select("source", "url", F.length("text").alias("n_chars"))
+
+
+register("dataset_build", f"""
+WITH u AS (SELECT source, 'doc/' || CAST(doc_id AS VARCHAR) AS url, {S.first_line('text')} AS title, text FROM documents
+           UNION ALL
+           SELECT 'benchmark', 'bench/' || CAST(item_id AS VARCHAR), {S.first_line('text')}, text FROM benchmark),
+c AS (SELECT source, url, title, {_CLEANED} AS text FROM u),
+f AS (SELECT * FROM c WHERE title IS NOT NULL AND url IS NOT NULL AND length(text) > 150),
+s AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5(url || ':{specs.SEED}'), url) AS rn FROM f)
+SELECT source, url, length(text) AS n_chars FROM s WHERE rn <= {PER_SOURCE}
+""")(dataset_build_q)

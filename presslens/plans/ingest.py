@@ -192,3 +192,27 @@ SELECT coalesce(prev.source, nw.source) AS source,
                      ELSE greatest(prev.cutoff, nw.newest) END, '%Y-%m-%d %H:%M:%S') AS cutoff
 FROM prev FULL OUTER JOIN nw ON prev.source = nw.source
 """)(state_merge)
+
+
+def sitemap_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-13 over the page-derived sitemap entries, per domain."""
+    from presslens.sources.sitemap import probe_sitemap
+    e = _sitemap_entries(spark, sf_dir)
+    e = e.withColumn("source", F.replace(url_host("loc"), F.lit("www."), F.lit("")))
+    return probe_sitemap(e)
+
+
+register("sitemap_probe", f"""
+WITH p AS (SELECT p.page_id, p.url FROM pages p),
+en AS (SELECT page_id AS ord,
+         CASE WHEN page_id % 4 = 0 THEN {_ORIGIN} || '/sitemap-' || CAST(page_id AS VARCHAR) || '.xml'
+              WHEN page_id % 6 = 1 THEN {_ORIGIN} || '/2023/' || CAST(page_id AS VARCHAR) ELSE url END AS loc FROM p),
+e AS (SELECT *, replace(regexp_extract(loc, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), 'www.', '') AS source,
+             ends_with(lower(loc), '.xml') AS sub FROM en),
+a AS (SELECT source, min_by(loc, ord) AS loc FROM e WHERE NOT sub AND starts_with(loc, 'http') GROUP BY source),
+s AS (SELECT source, min_by(loc, ord) AS loc FROM e WHERE sub GROUP BY source),
+k AS (SELECT DISTINCT source FROM e)
+SELECT k.source, coalesce(a.loc, s.loc) AS probe,
+       CASE WHEN a.loc IS NOT NULL THEN 'article' WHEN s.loc IS NOT NULL THEN 'sitemap' END AS kind
+FROM k LEFT JOIN a ON k.source = a.source LEFT JOIN s ON k.source = s.source
+""")(sitemap_probe)

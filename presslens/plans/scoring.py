@@ -182,3 +182,67 @@ SELECT event_type, count(*) AS n, sum(TRY_CAST(json_extract_string(props, '$.k')
        count(*) FILTER (WHERE TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) IS NULL) AS bad_k
 FROM events GROUP BY event_type
 """)(json_props)
+
+
+# --- JOB-12 page analysis ----------------------------------------------------
+def page_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Markdown text -> purified (first 4000 chars) -> scored -> result card.
+    Page title: first line with '#' removed (no page metadata here)."""
+    from presslens.functions.text import purify_markdown, py_strip, truncate
+    from presslens.operators.projections import analysis_card
+    a = articles(spark, sf_dir)
+    pages = a.select("doc_id", "url",
+                     py_strip(F.replace(F.substring_index(py_strip("text"), "\n", 1), F.lit("#"), F.lit("")))
+                     .alias("page_title"),
+                     truncate(purify_markdown("text"), 4000).alias("text"))
+    scored = score_articles(pages, LexiconScorer(LEFT, RIGHT), text_col="text", out="label", backoff=0)
+    card = analysis_card(scored, keep=("doc_id",))
+    return card.select(
+        "doc_id", "title", "lean", "score", "reasoning", F.array_join("tags", ",").alias("tags"), "source")
+
+
+def parse_success(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-18: outputs recovered without error, and all outputs."""
+    from presslens.operators.aggregates import success_counts
+    r = with_parsed_output(_wrap_variants(spark, sf_dir), "raw", "p")
+    return success_counts(r.select(F.col("p.error").alias("error")))
+
+
+register("parse_success", f"""
+WITH a AS ({S.ARTICLES}),
+r AS (SELECT doc_id, {_RAW} AS raw FROM a),
+p AS (SELECT doc_id, {_v1_sql('raw', 'p1')} FROM r)
+SELECT count(*) FILTER (WHERE p1_j IS NOT NULL) AS ok, count(*) AS total FROM p
+""")(parse_success)
+
+def _page_analysis_sql() -> str:
+    from presslens.plans.text_ops import _STOP, _WC, _purify_sql
+    purified = f"""
+WITH a AS ({S.ARTICLES}),
+l AS (SELECT doc_id, url, text, list_transform(string_split({_purify_sql('text')}, chr(10)), lambda x: {S.strip('x')}) AS lines FROM a),
+b AS (SELECT *, coalesce(list_min(list_filter(list_transform(lines, lambda x, i: CASE WHEN {_STOP} THEN i END),
+                                              lambda y: y IS NOT NULL)), len(lines) + 1) AS stop_at FROM l),
+p AS (SELECT doc_id, url, {S.strip(f"replace(split_part({S.strip('text')}, chr(10), 1), '#', '')")} AS page_title,
+             substring(coalesce(array_to_string(list_filter(list_slice(lines, 1, stop_at - 1),
+                                 lambda x: {_WC} >= {specs.MIN_WORDS_PER_LINE}), chr(10) || chr(10)), ''), 1, 4000) AS body
+      FROM b),
+t AS (SELECT *, regexp_extract_all(lower(body), '[a-z]+') AS toks FROM p),
+c AS (SELECT *, len(list_filter(toks, lambda x: x IN ({_IN_L}))) AS nl, len(list_filter(toks, lambda x: x IN ({_IN_R}))) AS nr,
+             (1.0 + len(list_filter(toks, lambda x: x IN ({_IN_R})))) /
+             (2.0 + len(list_filter(toks, lambda x: x IN ({_IN_L}))) + len(list_filter(toks, lambda x: x IN ({_IN_R})))) AS bias
+      FROM t)"""
+    lo, hi = specs.LEAN_ANALYZER
+    return purified + f"""
+SELECT doc_id,
+  CASE WHEN body = '' THEN 'Scrape Failed'
+       ELSE coalesce(nullif(page_title, ''), 'Analysis of ' || substring(url, 1, 25) || '...') END AS title,
+  CASE WHEN body = '' THEN 'Center' WHEN bias <= {lo} THEN 'Left' WHEN bias >= {hi} THEN 'Right' ELSE 'Center' END AS lean,
+  CASE WHEN body = '' THEN 50 ELSE CAST(trunc(bias * 100.0) AS INTEGER) END AS score,
+  CASE WHEN body = '' THEN NULL ELSE 'left=' || CAST(nl AS VARCHAR) || ' right=' || CAST(nr AS VARCHAR) END AS reasoning,
+  CASE WHEN body = '' THEN '' ELSE coalesce(array_to_string(list_sort(list_distinct(
+       list_filter(toks, lambda x: x IN ({_IN_L}, {_IN_R})))), ','), '') END AS tags,
+  CASE WHEN body = '' THEN NULL ELSE substring(url, 1, 25) END AS source
+FROM c"""
+
+
+register("page_analysis", _page_analysis_sql())(page_analysis)

@@ -107,3 +107,36 @@ for _k in range(1, STREAM_FILES):
 
 register("stream_cutoffs", "WITH " + ",\n".join(_steps) + "\n" +
          " UNION ALL ".join(f"SELECT event_id, source FROM a{k}" for k in range(STREAM_FILES)))(stream_cutoffs)
+
+
+# --- STM-07 clean stream ------------------------------------------------------
+CLEAN_BASE = dt.datetime(2026, 4, 30, 0, 0, 0)
+CLEAN_BASE_MS = 1777507200000  # CLEAN_BASE as epoch milliseconds (UTC)
+
+
+def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from presslens.functions.text import first_line
+    from presslens.schemas import SCRAPED_ARTICLE
+    from presslens.streaming.jobs import run_clean_stream
+    root = shared_dir(spark, "stream-clean")
+    d = table(spark, sf_dir, "documents")
+    scraped = d.select("source", F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("url"),
+                       first_line("text").alias("title"),
+                       F.date_format(F.lit(CLEAN_BASE) + F.make_dt_interval(mins=F.col("doc_id").cast("int")),
+                                     "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"),
+                       "text")
+    encode(scraped).write.text(f"{root}/in")
+    store = KeyedStore(spark, f"{root}/store")
+    q = run_clean_stream(decode(file_stream(spark, f"{root}/in"), SCRAPED_ARTICLE), store, f"{root}/ckpt",
+                         f"{root}/feed", trigger={"availableNow": True})
+    q.awaitTermination()
+    feed = spark.read.schema("url string, date bigint, text string").json(f"{root}/feed")
+    return feed.select("url", F.col("date").alias("date_ms"), F.md5("text").alias("text_md5"))
+
+
+_CLEAN_SQL = S.general_clean(S.marker_rules("text", "source"))
+register("stream_clean", f"""
+WITH c AS (SELECT 'doc/' || CAST(doc_id AS VARCHAR) AS url, doc_id, {_CLEAN_SQL} AS ctext FROM documents)
+SELECT url, CAST({CLEAN_BASE_MS} + doc_id * 60000 AS BIGINT) AS date_ms, md5(ctext) AS text_md5
+FROM c WHERE length(ctext) > 150
+""")(stream_clean)

@@ -76,3 +76,22 @@ def cutoff_batch(batch: DataFrame, batch_id: int, state: KeyedStore, sink: Keyed
 def run_cutoff_stream(stream: DataFrame, state: KeyedStore, sink: KeyedStore, checkpoint: str,
                       now: dt.datetime, trigger: dict | None = None):
     return _start(stream, lambda b, i: cutoff_batch(b, i, state, sink, now), checkpoint, trigger)
+
+
+def clean_batch(batch: DataFrame, store: KeyedStore, jsonl_path: str | None = None) -> None:
+    """STM-07: one micro-batch of scraped rows -> JOB-01 clean feed -> keyed
+    store (and, optionally, an appended JSON-lines feed with epoch-ms dates)."""
+    from presslens.operators.sinks import write_jsonl
+    from presslens.plans.feed_clean import FEED_COLUMNS, clean_feed
+    if batch.isEmpty():
+        return
+    feed = clean_feed(batch.withColumn("ord", F.monotonically_increasing_id())).select(*FEED_COLUMNS)
+    feed = feed.withColumn("_id", doc_key("url"))
+    store.upsert(feed)
+    if jsonl_path:
+        write_jsonl(feed.drop("_id"), jsonl_path, mode="append")
+
+
+def run_clean_stream(stream: DataFrame, store: KeyedStore, checkpoint: str, jsonl_path: str | None = None,
+                     trigger: dict | None = None):
+    return _start(stream, lambda b, i: clean_batch(b, store, jsonl_path), checkpoint, trigger)
