@@ -24,9 +24,11 @@ def min_length(df: DataFrame, col: str = "text", n: int = specs.MIN_TEXT_CHARS)
 
 def drop_bad_dates(df: DataFrame, col: str = "date") -> DataFrame:
     """FLT-03 + DT-03: parse to a UTC timestamp, drop what does not parse."""
+    from presslens.operators.projections import materialize
     t = dict(df.dtypes)[col]
-    parsed = F.col(col).cast("timestamp") if t.startswith("timestamp") else parse_iso(F.col(col).cast("string"))
-    return df.withColumn(col, parsed).filter(F.col(col).isNotNull())
+    if t.startswith("timestamp"):
+        return df.withColumn(col, F.col(col).cast("timestamp")).filter(F.col(col).isNotNull())
+    return materialize(df, col, parse_iso(F.col(col).cast("string"))).filter(F.col(col).isNotNull())
 
 
 def year_in(df: DataFrame, col: str, years) -> DataFrame:

@@ -92,3 +92,18 @@ def localized_array(c: ColumnOrName, lang: ColumnOrName) -> Column:
     chosen = F.when(_c(lang) == "en", x["en"]).when(_c(lang) == "el", x["el"]) \
         if not isinstance(lang, str) else x[lang]
     return F.coalesce(chosen, x["el"], x["en"], F.array().cast("array<string>"))
+
+
+def materialize(df: DataFrame, name: str, expr: Column) -> DataFrame:
+    """Set column ``name`` to ``expr`` so that it is computed once per row even
+    when a later filter tests it.
+
+    Catalyst pushes a filter on a projected alias below the projection by
+    inlining the alias, so an expensive expression (text cleaning, date
+    parsing) would run in the filter and again in the projection. A filter on
+    a generator's output cannot move below the generator, so the value is
+    emitted through a one-element ``explode`` instead (same rows, one pass).
+    """
+    cols = [F.col(c) for c in df.columns if c != name]
+    return df.select(*cols, F.explode(F.array(expr)).alias(name)).select(*df.columns, *(
+        [] if name in df.columns else [name]))

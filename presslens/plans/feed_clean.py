@@ -10,6 +10,8 @@ from presslens.catalog import register
 from presslens.functions.bands import default_score_feed, lean_feed, pct
 from presslens.functions.text import apply_marker_rules, general_clean
 from presslens.operators.filters import drop_bad_dates, drop_missing, min_length
+from presslens.operators.projections import materialize
+from presslens.session import cut_lineage
 from presslens.operators.windows import dedup_keep_first
 from presslens.plans import sql as S
 from presslens.sources.tables import articles
@@ -23,8 +25,7 @@ def clean_feed(raw: DataFrame, dedup_key: str = "url", order: str = "ord",
     keep-first dedup. Each cleaning step is its own projection (computed once
     per row); the dedup is the only shuffle, a partial aggregate, so repeated
     keys shrink map-side. ``dedup_key="text_md5"`` dedups on the cleaned text."""
-    df = raw.withColumn("text", apply_marker_rules("text", "source"))
-    df = df.withColumn("text", general_clean("text"))
+    df = materialize(raw, "text", general_clean(apply_marker_rules("text", "source")))
     df = drop_missing(df, [c for c in require if c in df.columns])
     df = min_length(df, "text", min_chars)
     if "date" in df.columns:
@@ -85,12 +86,14 @@ def dataset_build(raw: DataFrame, per_source: int = PER_SOURCE, seed: int = spec
     -> exact seeded sample per source -> seeded shuffle."""
     from presslens.operators.filters import year_in
     from presslens.operators.windows import sample_exact, shuffle
-    df = raw.withColumn("text", apply_marker_rules("text", "source"))
-    df = df.withColumn("text", general_clean("text"))
+    df = materialize(raw, "text", general_clean(apply_marker_rules("text", "source")))
     df = drop_missing(df, [c for c in require if c in df.columns])
     df = min_length(df, "text")
     if years is not None and "date" in df.columns:
         df = year_in(drop_bad_dates(df, "date"), "date", years)
+    # the sampler reads its input in several branches; the cleaned set is
+    # written once to the shared checkpoint folder instead of recomputed
+    df = cut_lineage(df)
     return shuffle(sample_exact(df, per_source, "source", "url", seed), "url", seed)
 
 

@@ -14,6 +14,7 @@ from presslens.functions.dates import clamp_cutoff, parse_iso_or_date
 from presslens.functions.text import url_host, url_year
 from presslens.operators.aggregates import newest_per_source
 from presslens.operators.filters import url_excludes
+from presslens.operators.projections import materialize
 from presslens.operators.joins import lookup_contains, lookup_equal, merge_state
 from presslens.operators.windows import cap_per_group
 from presslens.plans import sql as S
@@ -58,7 +59,7 @@ def accept_articles(articles: DataFrame, state: DataFrame, now: Column,
     """FLT-12 + JOIN-05: parse the date (ISO, else first 20YY-MM-DD), drop what
     does not parse, keep dates strictly after the source's clamped cutoff."""
     default = now - F.expr(f"INTERVAL {int(hours)} HOURS")
-    a = articles.withColumn("ts", parse_iso_or_date("date")).filter(F.col("ts").isNotNull())
+    a = materialize(articles, "ts", parse_iso_or_date("date")).filter(F.col("ts").isNotNull())
     a = lookup_equal(a, clamp_state(state, now, hours), "source", "cutoff", default)
     return a.filter(F.col("ts") > F.col("cutoff")).drop("cutoff")
 
