@@ -81,7 +81,7 @@ WITH a AS ({S.ARTICLES}),
 l AS (SELECT a.* FROM a WHERE doc_id IN (SELECT doc_id FROM labels)),
 c AS (SELECT doc_id, {S.q(SYSTEM_PROMPT)} AS system,
              {S.q(specs.TITLE_LABEL)} || coalesce(title, 'N/A') || chr(10) || {S.q(specs.BODY_LABEL)} || coalesce(text, 'N/A') AS "user",
-             to_json(struct_pack(reasoning := title, primary_entities := [source, lang], bias := score)) AS assistant
+             CAST(to_json(struct_pack(reasoning := title, primary_entities := [source, lang], bias := score)) AS VARCHAR) AS assistant
       FROM l)
 """
 

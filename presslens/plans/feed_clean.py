@@ -116,5 +116,5 @@ WITH u AS (SELECT source, 'doc/' || CAST(doc_id AS VARCHAR) AS url, {S.first_lin
 c AS (SELECT source, url, title, {_CLEANED} AS text FROM u),
 f AS (SELECT * FROM c WHERE title IS NOT NULL AND url IS NOT NULL AND length(text) > 150),
 s AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5(url || ':{specs.SEED}'), url) AS rn FROM f)
-SELECT source, url, length(text) AS n_chars FROM s WHERE rn <= {PER_SOURCE}
+SELECT source, url, CAST(length(text) AS INTEGER) AS n_chars FROM s WHERE rn <= {PER_SOURCE}
 """)(dataset_build_q)

@@ -177,7 +177,7 @@ FROM p
 """)(safe_parse_q)
 
 register("json_props", """
-SELECT event_type, count(*) AS n, sum(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS sum_k,
+SELECT event_type, count(*) AS n, CAST(sum(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS sum_k,
        max(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS max_k,
        count(*) FILTER (WHERE TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) IS NULL) AS bad_k
 FROM events GROUP BY event_type

@@ -112,9 +112,9 @@ SELECT page_id, host FROM (
 """)(cap_per_domain)
 
 register("union_sources", """
-SELECT 'documents' AS origin, doc_id AS id, source, length(text) AS n_chars FROM documents
+SELECT 'documents' AS origin, doc_id AS id, source, CAST(length(text) AS INTEGER) AS n_chars FROM documents
 UNION ALL
-SELECT 'benchmark' AS origin, item_id AS id, NULL AS source, length(text) AS n_chars FROM benchmark
+SELECT 'benchmark' AS origin, item_id AS id, NULL AS source, CAST(length(text) AS INTEGER) AS n_chars FROM benchmark
 """)(union_sources)
 
 register("anti_join_resume", f"""
