@@ -59,7 +59,7 @@ def _rater_inputs(spark: SparkSession, sf_dir: str):
 def rater_mae(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = _rater_inputs(spark, sf_dir)
     m = mae(align_raters(a, b), "bias_a", "bias_b")
-    return m.select(F.round("mae", 6).alias("mae"), "n_matched", verdict("mae").alias("verdict"))
+    return m.select(F.round("mae", 9).alias("mae"), "n_matched", verdict("mae").alias("verdict"))
 
 
 def mae_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +69,7 @@ def mae_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = align_raters(a, b).join(src, "key")
     g = j.groupBy("source").agg(F.avg(F.abs(F.col("bias_a") - F.col("bias_b"))).alias("mae"),
                                 F.count(F.lit(1)).alias("n_matched"))
-    return g.select("source", F.round("mae", 6).alias("mae"), "n_matched", verdict("mae").alias("verdict"))
+    return g.select("source", F.round("mae", 9).alias("mae"), "n_matched", verdict("mae").alias("verdict"))
 
 
 def positional_mae(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +78,7 @@ def positional_mae(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = art.select(F.col("doc_id").alias("ord_a"), F.col("score").alias("bias_a"))
     b = art.select((-F.col("doc_id")).alias("ord_b"), F.col("score_b").alias("bias_b"))
     m = mae(align_by_position(a, b, "ord_a", "ord_b"), "bias_a", "bias_b")
-    return m.select(F.round("mae", 6).alias("mae"), "n_matched")
+    return m.select(F.round("mae", 9).alias("mae"), "n_matched")
 
 
 def _verdict_sql(e: str) -> str:
@@ -100,12 +100,12 @@ p AS (SELECT ra.key, bias_a, bias_b FROM ra JOIN rb ON ra.key = rb.key)
 """
 
 register("rater_mae", _PAIRS + f"""
-SELECT round(avg(abs(bias_a - bias_b)), 6) AS mae, count(*) AS n_matched,
+SELECT round(avg(abs(bias_a - bias_b)), 9) AS mae, count(*) AS n_matched,
        {_verdict_sql('avg(abs(bias_a - bias_b))')} AS verdict FROM p
 """)(rater_mae)
 
 register("mae_verdict", _PAIRS + f"""
-SELECT art.source, round(avg(abs(bias_a - bias_b)), 6) AS mae, count(*) AS n_matched,
+SELECT art.source, round(avg(abs(bias_a - bias_b)), 9) AS mae, count(*) AS n_matched,
        {_verdict_sql('avg(abs(bias_a - bias_b))')} AS verdict
 FROM p JOIN art ON p.key = art.url GROUP BY art.source
 """)(mae_verdict)
@@ -114,5 +114,5 @@ register("positional_mae", f"""
 WITH art AS ({S.ARTICLES}),
 a AS (SELECT score AS bias_a, row_number() OVER (ORDER BY doc_id) AS pos FROM art),
 b AS (SELECT score_b AS bias_b, row_number() OVER (ORDER BY -doc_id) AS pos FROM art)
-SELECT round(avg(abs(bias_a - bias_b)), 6) AS mae, count(*) AS n_matched FROM a JOIN b ON a.pos = b.pos
+SELECT round(avg(abs(bias_a - bias_b)), 9) AS mae, count(*) AS n_matched FROM a JOIN b ON a.pos = b.pos
 """)(positional_mae)

@@ -54,7 +54,7 @@ def profile_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
     for m in ["char_count", "bias"]:
         d = describe(a, m).select(F.lit(m).alias("metric"), "*")
         out = d if out is None else out.unionByName(d)
-    return out.select("metric", "count", *[F.round(c, 6).alias(c) for c in
+    return out.select("metric", "count", *[F.round(c, 9).alias(c) for c in
                                            ["mean", "std", "min", "p25", "p50", "p75", "max"]])
 
 
@@ -168,7 +168,7 @@ _H01 = f"(CAST(('0x' || substr({_H}, 1, 8)) AS BIGINT) / 4294967296.0)"
 
 
 def _describe_sql(metric: str, expr: str) -> str:
-    r = lambda e: f"round(CAST({e} AS DOUBLE), 6)"
+    r = lambda e: f"round(CAST({e} AS DOUBLE), 9)"
     return f"""SELECT '{metric}' AS metric, count({expr}) AS count, {r(f'avg({expr})')} AS mean,
   {r(f'stddev_samp({expr})')} AS std, {r(f'min({expr})')} AS min,
   {r(f'quantile_cont({expr}, 0.25)')} AS p25, {r(f'quantile_cont({expr}, 0.5)')} AS p50,

@@ -88,7 +88,7 @@ def eval_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = evaluate_models(eval_records(spark, sf_dir))
-    return r.select("model", "n_scored", "failed", *[F.round(c, 6).alias(c) for c in
+    return r.select("model", "n_scored", "failed", *[F.round(c, 9).alias(c) for c in
                                                      ["mae", "accuracy", "jaccard", "macro_f1"]])
 
 
@@ -178,8 +178,8 @@ ag AS (SELECT model, count(*) FILTER (WHERE NOT failed) AS n_scored, count(*) FI
               avg(CASE WHEN NOT failed THEN abs(true_bias - pred_bias) END) AS mae,
               avg(CASE WHEN NOT failed THEN CAST(y_true = y_pred AS DOUBLE) END) AS accuracy,
               avg(jaccard) AS jaccard FROM ll GROUP BY model),
-w AS (SELECT ag.model, n_scored, failed, round(mae, 6) AS mae, round(accuracy, 6) AS accuracy,
-             round(jaccard, 6) AS jaccard, round(f1.macro_f1, 6) AS macro_f1
+w AS (SELECT ag.model, n_scored, failed, round(mae, 9) AS mae, round(accuracy, 9) AS accuracy,
+             round(jaccard, 9) AS jaccard, round(f1.macro_f1, 9) AS macro_f1
       FROM ag LEFT JOIN f1 ON ag.model = f1.model)
 """
 

@@ -71,8 +71,8 @@ def legacy_summary(errors: DataFrame) -> DataFrame:
     agg = errors.agg(F.count(F.lit(1)).alias("n_articles"), F.count_if("valid").alias("n_valid"),
                      F.avg("error").alias("mean_error"), F.count_if("fallacy_match").alias("__m"))
     acc = F.coalesce(F.lit(100.0) * F.col("__m") / F.nullif(F.col("n_valid"), F.lit(0)), F.lit(0.0))
-    return agg.select("n_articles", "n_valid", F.round("mean_error", 6).alias("mean_error"),
-                      F.round(acc, 6).alias("fallacy_accuracy"),
+    return agg.select("n_articles", "n_valid", F.round("mean_error", 9).alias("mean_error"),
+                      F.round(acc, 9).alias("fallacy_accuracy"),
                       verdict("mean_error", specs.LEGACY_VERDICTS, specs.LEGACY_VERDICT_ELSE).alias("verdict"))
 
 
@@ -156,8 +156,8 @@ register("legacy_errors", _LEG + "SELECT doc_id, CAST(error AS INTEGER) AS error
     legacy_errors_q)
 
 register("legacy_eval", _LEG + f"""
-SELECT count(*) AS n_articles, count(*) FILTER (WHERE valid) AS n_valid, round(avg(error), 6) AS mean_error,
-       round(coalesce(100.0 * count(*) FILTER (WHERE fallacy_match) / nullif(count(*) FILTER (WHERE valid), 0), 0.0), 6)
+SELECT count(*) AS n_articles, count(*) FILTER (WHERE valid) AS n_valid, round(avg(error), 9) AS mean_error,
+       round(coalesce(100.0 * count(*) FILTER (WHERE fallacy_match) / nullif(count(*) FILTER (WHERE valid), 0), 0.0), 9)
          AS fallacy_accuracy,
        CASE {' '.join(f"WHEN avg(error) < {hi} THEN {S.q(n)}" for hi, n in specs.LEGACY_VERDICTS)}
             ELSE {S.q(specs.LEGACY_VERDICT_ELSE)} END AS verdict
