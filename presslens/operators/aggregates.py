@@ -64,17 +64,18 @@ def _grid(df: DataFrame, by: list[str], classes: DataFrame) -> DataFrame:
     return df.select(*by).distinct().select(*by, F.explode(F.array(*[F.lit(x) for x in labels])).alias("cls"))
 
 
-def confusion(df: DataFrame, y_true: str, y_pred: str, labels: list[str]) -> DataFrame:
-    """AGG-03: confusion matrix in long form (y_true, y_pred, n) over the fixed
-    label order, zero cells included."""
-    cells = F.explode(F.array(*[F.struct(F.lit(t).alias("y_true"), F.lit(p).alias("y_pred"))
-                                for t in labels for p in labels]))
-    counts = df.groupBy(F.col(y_true).alias("y_true"), F.col(y_pred).alias("y_pred")).agg(
+def confusion(df: DataFrame, y_true: str, y_pred: str, labels: list[str], by: list[str] | None = None) -> DataFrame:
+    """AGG-03: confusion matrix in long form (by..., y_true, y_pred, n) over the
+    fixed label order, zero cells included; one grouped pass for all groups."""
+    by = by or []
+    counts = df.groupBy(*by, F.col(y_true).alias("y_true"), F.col(y_pred).alias("y_pred")).agg(
         F.count(F.lit(1)).alias("n"))
-    spark = df.sparkSession
-    grid = spark.range(1).select(cells.alias("c")).select("c.*")
-    return grid.join(counts, ["y_true", "y_pred"], "left").select(
-        "y_true", "y_pred", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    cells = F.explode(F.array(*[F.struct(F.lit(t).alias("y_true"), F.lit(p).alias("y_pred"))
+                                for t in labels for p in labels])).alias("c")
+    base = df.select(*by).distinct() if by else df.sparkSession.range(1).select()
+    grid = base.select(*by, cells).select(*by, "c.*")
+    return grid.join(counts, [*by, "y_true", "y_pred"], "left").select(
+        *by, "y_true", "y_pred", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
 def accuracy(y_true: ColumnOrName, y_pred: ColumnOrName) -> Column:

@@ -54,25 +54,32 @@ def last_write_wins(df: DataFrame, key: str | list[str], order: str,
             .select(*df.columns))
 
 
-def sample_exact(df: DataFrame, n: int, by: str | None, key: str, seed: int) -> DataFrame:
+def sample_exact(df: DataFrame, n: int, by: str | None, key: str, seed: int,
+                 margin: float | None = None) -> DataFrame:
     """WIN-03: exactly min(n, group size) rows per group, chosen by the seeded
-    hash order (ties broken by ``key``); reproducible across partitionings."""
+    hash order (ties broken by ``key``); reproducible across partitionings.
+
+    Plan: group counts (hash aggregate) -> each row kept when its hash is below
+    the group's threshold (n plus a 6-sigma margin over the count) -> one window
+    over the survivors, which also counts them. A group left short of
+    min(n, size) (probability ~e^-18) is redone from all its rows; that branch
+    joins against the short groups, which AQE turns into an empty relation when
+    there are none.
+    """
     h = df.withColumn(_H, hash_key(key, seed))
     if by is None:
         return h.orderBy(_H, key).limit(n).drop(_H)
     hex8 = F.conv(F.substring(F.col(_H), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
     counts = h.groupBy(by).agg(F.count(F.lit(1)).alias("__c"))
-    margin = n + 6.0 * n ** 0.5 + 64.0
-    thin = counts.withColumn("__p", F.least(F.lit(1.0), F.lit(margin) / F.col("__c")))
+    margin = n + 6.0 * n ** 0.5 + 64.0 if margin is None else margin
+    thin = counts.select(by, "__c", F.least(F.lit(1.0), F.lit(margin) / F.col("__c")).alias("__p"))
     cand = h.join(thin, by).filter(hex8 < F.col("__p"))
     w = Window.partitionBy(by).orderBy(_H, key)
-    picked = cand.withColumn(_RN, F.row_number().over(w))
-    # exactness guard: a group whose survivors fall short of min(n, size) is redone in full
-    short = (cand.groupBy(by).agg(F.count(F.lit(1)).alias("__s"))
-             .join(counts, by, "right")
-             .filter(F.coalesce(F.col("__s"), F.lit(0)) < F.least(F.col("__c"), F.lit(n)))
-             .select(by))
-    ok = picked.join(short, by, "left_anti").filter(F.col(_RN) <= n)
+    picked = (cand.withColumn(_RN, F.row_number().over(w))
+              .withColumn("__s", F.count(F.lit(1)).over(Window.partitionBy(by))))
+    need = F.least(F.col("__c"), F.lit(n))
+    ok = picked.filter((F.col("__s") >= need) & (F.col(_RN) <= n))
+    short = picked.filter(F.col("__s") < need).select(by).distinct()
     redo = (h.join(short, by, "left_semi")
             .withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) <= n))
     return ok.select(*df.columns).unionByName(redo.select(*df.columns))

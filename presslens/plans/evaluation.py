@@ -100,12 +100,7 @@ def metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def confusion_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     longf = evaluation_long(eval_records(spark, sf_dir)).filter(~F.col("failed"))
-    out = None
-    for m in MODELS:
-        c = confusion(longf.filter(F.col("model") == m), "y_true", "y_pred", specs.IDEOLOGY_CLASSES)
-        c = c.select(F.lit(m).alias("model"), "*")
-        out = c if out is None else out.unionByName(c)
-    return out
+    return confusion(longf, "y_true", "y_pred", specs.IDEOLOGY_CLASSES, by=["model"])
 
 
 def failed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

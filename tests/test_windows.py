@@ -32,6 +32,14 @@ def test_sample_exact_sizes_and_brute_force(spark):
     assert got == exp
 
 
+def test_sample_exact_redo_path_is_exact(spark):
+    # a zero margin thins every group to nothing, so every group is redone
+    df = _skewed(spark)
+    a = {r.id for r in sample_exact(df, 25, "grp", "id", 42, margin=0.0).collect()}
+    b = {r.id for r in sample_exact(df, 25, "grp", "id", 42).collect()}
+    assert a == b and len(a) == 25 * 18
+
+
 def test_sample_exact_partition_invariant(spark):
     a = {r.id for r in sample_exact(_skewed(spark, parts=1), 40, "grp", "id", 7).collect()}
     b = {r.id for r in sample_exact(_skewed(spark, parts=13), 40, "grp", "id", 7).collect()}
