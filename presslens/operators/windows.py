@@ -79,7 +79,9 @@ def sample_exact(df: DataFrame, n: int, by: str | None, key: str, seed: int,
               .withColumn("__s", F.count(F.lit(1)).over(Window.partitionBy(by))))
     need = F.least(F.col("__c"), F.lit(n))
     ok = picked.filter((F.col("__s") >= need) & (F.col(_RN) <= n))
-    short = picked.filter(F.col("__s") < need).select(by).distinct()
+    # groups with too few survivors, including groups thinned to none
+    full = picked.filter(F.col("__s") >= need).select(by).distinct()
+    short = counts.select(by).join(full, by, "left_anti")
     redo = (h.join(short, by, "left_semi")
             .withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) <= n))
     return ok.select(*df.columns).unionByName(redo.select(*df.columns))
