@@ -1,17 +1,27 @@
 """Keyed, idempotent document store on parquet (SNK-08, SRC-14, STM-04).
 
-No table format is assumed: each write goes to a new version directory
-``v<NNNNNNNN>`` under the store root, and readers take the highest version
-that has Spark's ``_SUCCESS`` marker. A version is never rewritten, so a job
-that dies mid-write leaves the previous version readable, and a retried batch
-writes a fresh version with the same content (keys are deterministic).
+No table format is assumed. Every write goes to a new version directory
+``v<NNNNNNNN>`` and readers take the highest version that has Spark's
+``_SUCCESS`` marker, so a version is never rewritten in place: a job that dies
+mid-write leaves the previous version readable, and a retried batch writes a
+fresh version with the same content (keys are deterministic).
+
+With ``partition_by`` the store keeps one version chain per partition value
+(``<root>/__part=<value>/v<N>``) and an upsert reads and rewrites only the
+partitions present in the batch - for a stream of recent articles partitioned
+by day, a micro-batch touches a day or two, not the whole store. The partition
+value must be stable per key (e.g. the publication day of a URL).
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_PART = "__part"
+MAX_TOUCHED_PARTITIONS = 100_000
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -26,45 +36,109 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name.startswith("v") and name[1:].isdigit():
-            ok = st.getPath().suffix("/_SUCCESS")
-            if fs.exists(ok):
-                out.append(int(name[1:]))
+        if name.startswith("v") and name[1:].isdigit() and fs.exists(st.getPath().suffix("/_SUCCESS")):
+            out.append(int(name[1:]))
     return sorted(out)
 
 
 class KeyedStore:
-    def __init__(self, spark: SparkSession, root: str, key: str = "_id", partitions: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, key: str = "_id", partitions: int | None = None,
+                 partition_by: str | None = None):
         self.spark, self.root, self.key = spark, root.rstrip("/"), key
         self.partitions = partitions
+        self.partition_by = partition_by
 
-    def version(self) -> int:
-        v = _versions(self.spark, self.root)
-        return v[-1] if v else 0
+    # -- layout ----------------------------------------------------------------
+    def _part_dirs(self) -> list[str]:
+        p, fs = _fs(self.spark, self.root)
+        if not fs.exists(p):
+            return []
+        return [st.getPath().getName() for st in fs.listStatus(p)
+                if st.isDirectory() and st.getPath().getName().startswith(_PART + "=")]
 
-    def _path(self, v: int) -> str:
-        return f"{self.root}/v{v:08d}"
+    def _current_paths(self, parts: list[str] | None = None) -> list[str]:
+        if not self.partition_by:
+            v = self.version()
+            return [f"{self.root}/v{v:08d}"] if v else []
+        names = self._part_dirs() if parts is None else parts
+        out = []
+        for name in names:
+            vs = _versions(self.spark, f"{self.root}/{name}")
+            if vs:
+                out.append(f"{self.root}/{name}/v{vs[-1]:08d}")
+        return out
+
+    def version(self) -> int:
+        if not self.partition_by:
+            v = _versions(self.spark, self.root)
+            return v[-1] if v else 0
+        return max([_versions(self.spark, f"{self.root}/{n}")[-1:] or [0] for n in self._part_dirs()] or [[0]])[0]
 
     def read(self) -> DataFrame | None:
-        """SRC-14: the current version (None when the store is empty)."""
-        v = self.version()
-        return self.spark.read.parquet(self._path(v)) if v else None
+        """SRC-14: the current content (None when the store is empty)."""
+        paths = self._current_paths()
+        return self.spark.read.parquet(*paths) if paths else None
 
+    # -- writes ------------------------------------------------------------------
     def _write(self, df: DataFrame) -> int:
         v = self.version() + 1
-        out = df.repartition(self.partitions, self.key) if self.partitions else df
-        out.write.mode("errorifexists").parquet(self._path(v))
+        if not self.partition_by:
+            out = df.repartition(self.partitions, self.key) if self.partitions else df
+            out.write.mode("errorifexists").parquet(f"{self.root}/v{v:08d}")
+            return v
+        staging = f"{self.root}/_staging/v{v:08d}"
+        (df.withColumn(_PART, F.col(self.partition_by).cast("string"))
+           .write.mode("errorifexists").partitionBy(_PART).parquet(staging))
+        # commit: move each staged partition into its own version chain, then
+        # mark it; a crash part-way leaves some partitions at the old version,
+        # which a retry of the same (deterministic) batch brings forward
+        sp, fs = _fs(self.spark, staging)
+        jvm = self.spark.sparkContext._jvm
+        for st in fs.listStatus(sp):
+            name = st.getPath().getName()
+            if not name.startswith(_PART + "="):
+                continue
+            dst = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}/v{v:08d}")
+            fs.mkdirs(dst.getParent())
+            fs.rename(st.getPath(), dst)
+            fs.create(dst.suffix("/_SUCCESS")).close()
         return v
 
+    def _touched(self, updates: DataFrame) -> list[str] | None:
+        """Partition directory names present in ``updates`` (size-checked)."""
+        if not self.partition_by:
+            return None
+        vals = (updates.select(F.col(self.partition_by).cast("string").alias("p")).distinct()
+                .limit(MAX_TOUCHED_PARTITIONS + 1).collect())
+        if len(vals) > MAX_TOUCHED_PARTITIONS:
+            raise ValueError("batch touches too many partitions; choose a coarser partition_by")
+        existing = set(self._part_dirs())
+        # the writer escapes partition values in directory names; escape the
+        # same way to find the current directories (new partitions have none)
+        esc = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        want = {f"{_PART}={esc.escapePathName(r['p'])}" if r["p"] is not None
+                else f"{_PART}=__HIVE_DEFAULT_PARTITION__" for r in vals}
+        return sorted(existing & want)
+
     def upsert(self, updates: DataFrame) -> int:
         """Create-or-replace by key: current rows whose key is not in ``updates``,
-        plus ``updates`` (one row per key: the caller dedups, e.g. WIN-02)."""
-        cur = self.read()
-        if cur is None:
-            return self._write(updates)
-        keys = updates.select(self.key).distinct()
-        kept = cur.join(keys, self.key, "left_anti")
-        return self._write(kept.unionByName(updates, allowMissingColumns=True))
+        plus ``updates`` (one row per key: the caller dedups, e.g. WIN-02).
+        Only the partitions touched by ``updates`` are read and rewritten.
+
+        ``updates`` is read more than once (partition values, keys, rows), so it
+        is persisted for the duration of the call: an expensive upstream (the
+        scorer) runs once; lost blocks are recomputed from lineage."""
+        updates = updates.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            paths = self._current_paths(self._touched(updates))
+            if not paths:
+                return self._write(updates)
+            cur = self.spark.read.parquet(*paths)
+            keys = updates.select(self.key).distinct()
+            kept = cur.join(keys, self.key, "left_anti")
+            return self._write(kept.unionByName(updates, allowMissingColumns=True))
+        finally:
+            updates.unpersist()
 
     def patch(self, changes: DataFrame) -> tuple[int, DataFrame]:
         """Partial update by key: a non-null column in ``changes`` replaces the
@@ -81,3 +155,14 @@ class KeyedStore:
         v = self._write(j.select(*cols))
         missing = changes.select(k).join(cur.select(k), k, "left_anti")
         return v, missing
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Delete all but the newest ``keep`` committed versions (per partition)."""
+        roots = [self.root] if not self.partition_by else [f"{self.root}/{n}" for n in self._part_dirs()]
+        removed = 0
+        for r in roots:
+            for v in _versions(self.spark, r)[:-keep]:
+                p, fs = _fs(self.spark, f"{r}/v{v:08d}")
+                fs.delete(p, True)
+                removed += 1
+        return removed

@@ -61,7 +61,7 @@ def publish(df: DataFrame, path: str, files: int = 1, order_col: str | None = No
 def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "stream-scored")
     publish(_raw_articles(spark, sf_dir).drop("event_id"), f"{root}/in")
-    store = KeyedStore(spark, f"{root}/store")
+    store = KeyedStore(spark, f"{root}/store", partition_by="day")
     q = run_scored_stream(decode(file_stream(spark, f"{root}/in")), LexiconScorer(LEFT_S, RIGHT_S), store,
                           f"{root}/checkpoint", trigger={"availableNow": True}, backoff=0)
     q.awaitTermination()
@@ -72,7 +72,8 @@ def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "stream-cutoffs")
     publish(_raw_articles(spark, sf_dir), f"{root}/in", STREAM_FILES, "event_id")
-    state, sink = KeyedStore(spark, f"{root}/state", "source"), KeyedStore(spark, f"{root}/sink")
+    state = KeyedStore(spark, f"{root}/state", "source")
+    sink = KeyedStore(spark, f"{root}/sink", partition_by="day")
     q = run_cutoff_stream(decode(file_stream(spark, f"{root}/in", 1)), state, sink, f"{root}/checkpoint",
                           CUTOFF_NOW, trigger={"availableNow": True})
     q.awaitTermination()

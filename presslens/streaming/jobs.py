@@ -35,7 +35,8 @@ def score_batch(batch: DataFrame, scorer: Scorer, store: KeyedStore, **score_kw)
     keyed = batch.withColumn("_id", doc_key("url")).withColumn("__ord", F.unix_micros(F.col("date")))
     keyed = last_write_wins(keyed, "_id", "__ord").drop("__ord")
     scored = score_articles(keyed.withColumn("prompt", prompt_text("title", "text")), scorer, **score_kw)
-    doc = scored.select("_id", "source", "url", "title", "date", F.col("text").alias("content"), "ai_labels")
+    doc = scored.select("_id", "source", "url", "title", "date", F.col("text").alias("content"), "ai_labels",
+                        F.date_format("date", "yyyy-MM-dd").alias("day"))
     store.upsert(doc)
 
 
@@ -66,7 +67,8 @@ def cutoff_batch(batch: DataFrame, batch_id: int, state: KeyedStore, sink: Keyed
     acc = j.filter(F.col("date") > F.coalesce(F.col("cutoff"), floor)).drop("cutoff")
     acc = acc.withColumn("_id", doc_key("url"))
     if not acc.isEmpty():
-        sink.upsert(acc.select("_id", "source", "url", "title", "date"))
+        sink.upsert(acc.select("_id", "source", "url", "title", "date",
+                               F.date_format("date", "yyyy-MM-dd").alias("day")))
     newest = acc.groupBy("source").agg(F.max("date").alias("newest"))
     merged = st.join(newest, "source", "full_outer").select(
         "source", F.greatest("cutoff", "newest").alias("cutoff"), F.lit(batch_id).cast("bigint").alias("batch_id"))

@@ -80,3 +80,19 @@ def test_store_upsert_and_patch(spark, scratch):
                                                "_id string, title string, score double"))
     assert sorted(map(tuple, s.read().collect()))[0] == ("a", "x", 9.0)
     assert [r._id for r in missing.collect()] == ["q"]
+
+
+def test_partitioned_store_rewrites_touched_partitions_only(spark, scratch):
+    s = KeyedStore(spark, f"{scratch}/pkv", partition_by="day")
+    sch = "_id string, day string, v long"
+    s.upsert(spark.createDataFrame([("a", "2024-01-01", 1), ("b", "2024-01-02", 2), ("c", "a/b:c", 3)], sch))
+    v1 = {n: s._current_paths([n])[0] for n in s._part_dirs()}
+    s.upsert(spark.createDataFrame([("b", "2024-01-02", 20), ("d", "2024-01-02", 4), ("e", "a/b:c", 5)], sch))
+    v2 = {n: s._current_paths([n])[0] for n in s._part_dirs()}
+    assert v1["__part=2024-01-01"] == v2["__part=2024-01-01"]          # untouched
+    assert v1["__part=2024-01-02"] != v2["__part=2024-01-02"]
+    got = sorted((r._id, r.day, r.v) for r in s.read().collect())
+    assert got == [("a", "2024-01-01", 1), ("b", "2024-01-02", 20), ("c", "a/b:c", 3), ("d", "2024-01-02", 4),
+                   ("e", "a/b:c", 5)]
+    assert s.vacuum(keep=1) == 2
+    assert sorted((r._id, r.v) for r in s.read().collect())[1] == ("b", 20)
