@@ -136,11 +136,10 @@ def kde(df: DataFrame, col: str, points: int = 200) -> DataFrame:
     """AGG-13: Gaussian kernel density on ``points`` grid values over [min, max],
     Scott bandwidth h = std * n^(-1/5).
 
-    Each Arrow batch adds its kernel sums on the grid with NumPy (a points x
-    batch matrix), emitting ``points`` partial rows; a groupBy on the grid index
+    Each task adds its kernel sums on the grid with NumPy (points x 4096
+    blocks) and emits ``points`` partial rows; a groupBy on the grid index
     merges them. Work is n * points spread over the tasks; the shuffle carries
-    points rows per batch, independent of the data size; no (data x grid)
-    pairs are ever materialised as rows.
+    ``points`` rows per task; no (data x grid) pairs are materialised as rows.
     """
     import numpy as np
     import pandas as pd
@@ -156,14 +155,16 @@ def kde(df: DataFrame, col: str, points: int = 200) -> DataFrame:
     norm = 1.0 / (n * h * math.sqrt(2 * math.pi))
 
     def partial(batches):
+        # one accumulator per task: ``points`` rows leave each partition
+        acc = np.zeros(points)
+        seen = False
         for pdf in batches:
             x = pdf["x"].dropna().to_numpy(dtype=float)
-            if len(x) == 0:
-                continue
-            acc = np.zeros(points)
             for k in range(0, len(x), 4096):
                 z = (grid[:, None] - x[None, k:k + 4096]) / h
                 acc += np.exp(-0.5 * z * z).sum(axis=1)
+                seen = True
+        if seen:
             yield pd.DataFrame({"g": np.arange(points, dtype=np.int32), "s": acc})
 
     parts = df.select(F.col(col).cast("double").alias("x")).mapInPandas(partial, "g int, s double")
