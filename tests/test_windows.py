@@ -97,3 +97,9 @@ def test_with_position(spark):
     df = spark.createDataFrame([(i * 7 % 1000,) for i in range(1000)], "o long").repartition(5)
     got = {r.o: r.pos for r in with_position(df, "o").collect()}
     assert got == {o: o for o in range(1000)}
+
+
+def test_split_partition_invariant(spark):
+    a = {r.id: r.split for r in train_val_split(_skewed(spark, n=1500, parts=1), 0.9, "id", 5).collect()}
+    b = {r.id: r.split for r in train_val_split(_skewed(spark, n=1500, parts=11), 0.9, "id", 5).collect()}
+    assert a == b and sum(v == "train" for v in a.values()) == int(0.9 * 1500)
