@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -24,9 +23,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    scratch = tempfile.mkdtemp(prefix="presslens-bench-")
+    # spark.checkpoint.dir is taken from the session's configuration; only a
+    # local session without one gets a fresh folder (presslens.session)
     spark = get_spark(f"local[{cpus}]", app="presslens-bench", shuffle_partitions=cpus,
-                      extra={"spark.driver.memory": "16g", "spark.checkpoint.dir": scratch,
+                      extra={"spark.driver.memory": "16g",
                              "spark.sql.files.maxPartitionBytes": str(32 * 1024 * 1024)})
     qs = catalog.queries()
     names = only or sorted(qs)

@@ -12,8 +12,9 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 @pytest.fixture(scope="session")
 def spark():
     from presslens.session import get_spark
-    s = get_spark("local[4]", app="presslens-tests", shuffle_partitions=8,
-                  extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="presslens-test-")})
+    # spark.checkpoint.dir comes from the session configuration when set;
+    # otherwise presslens.session creates a local folder (local mode only)
+    s = get_spark("local[4]", app="presslens-tests", shuffle_partitions=8)
     yield s
     s.stop()
 
