@@ -65,15 +65,24 @@ def sft_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s
 
 
+def chat_exchanges(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn",
+                   role: str = "role", text: str = "text") -> DataFrame:
+    """STR-14 / JSN-07 over conversation turns: every user turn answered by the
+    next turn from the assistant becomes one example - input = the user turn
+    rendered as ChatML with the open assistant turn, output = the reply.
+
+    An equi-join on (conversation, turn + 1): rows stay bounded (two turns)
+    and a long conversation is spread over many tasks, never gathered whole."""
+    c = conversations.select(conv, turn, role, text)
+    u = c.filter(F.col(role) == "user").select(conv, turn, F.col(text).alias("__u"))
+    a = c.filter(F.col(role) == "assistant").select(conv, (F.col(turn) - 1).alias(turn), F.col(text).alias("__a"))
+    msgs = F.array(F.struct(F.lit("user").alias("role"), F.col("__u").alias("content")))
+    return u.join(a, [conv, turn]).select(conv, turn, render_chat(msgs).alias("prompt"),
+                                          F.col("__a").alias("completion"))
+
+
 def chatml_render(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations (turns ordered by ``turn``) rendered as one ChatML prompt.
-    One row per conversation is the result itself, so the whole conversation
-    is assembled in one task (partial lists are merged map-side first)."""
-    c = table(spark, sf_dir, "conversations")
-    g = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct(
-        "turn", F.col("role"), F.col("text").alias("content")))).alias("m"))
-    msgs = F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content")))
-    return g.select("conv_id", F.size("m").alias("n_turns"), render_chat(msgs).alias("prompt"))
+    return chat_exchanges(table(spark, sf_dir, "conversations"))
 
 
 _LAB = f"""
@@ -100,8 +109,9 @@ FROM c
 """)(sft_pairs)
 
 register("chatml_render", f"""
-SELECT conv_id, CAST(count(*) AS INTEGER) AS n_turns,
-       string_agg('{specs.CHAT_START}' || role || chr(10) || text || '{specs.CHAT_END}' || chr(10), '' ORDER BY turn)
-         || '{specs.CHAT_START}assistant' || chr(10) AS prompt
-FROM conversations GROUP BY conv_id
+SELECT u.conv_id, u.turn,
+       '{specs.CHAT_START}user' || chr(10) || u.text || '{specs.CHAT_END}' || chr(10) || '{specs.CHAT_START}assistant' || chr(10) AS prompt,
+       a.text AS completion
+FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+WHERE u.role = 'user' AND a.role = 'assistant'
 """)(chatml_render)
