@@ -12,11 +12,11 @@ def read_sitemap(spark: SparkSession, path: str, row_tag: str = "sitemap") -> Da
     """SRC-08: sitemap or sitemap index (``row_tag`` = 'sitemap' or 'url') with
     the built-in XML source; ``lastmod`` is null when the file has none. Each
     entry keeps its position (``ord``) for encounter-order rules."""
-    df = spark.read.format("xml").option("rowTag", row_tag).load(path)
-    if "lastmod" not in df.columns:
-        df = df.withColumn("lastmod", F.lit(None).cast("string"))
-    return df.select(F.col("loc").cast("string").alias("loc"), F.col("lastmod").cast("string").alias("lastmod"),
-                     F.monotonically_increasing_id().alias("ord"))
+    # explicit string schema: lastmod stays as written (unparseable values
+    # must pass the filter), and a file without lastmod still has the column
+    df = (spark.read.format("xml").option("rowTag", row_tag).schema("loc string, lastmod string")
+          .load(path))
+    return df.select("loc", "lastmod", F.monotonically_increasing_id().alias("ord"))
 
 
 def listing_urls(categories: DataFrame, first: int, last: int, template: str = "%s?page=%d",
