@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from presslens import specs
 from presslens.catalog import register
 from presslens.functions.bands import default_score_feed, lean_feed, pct
 from presslens.functions.dates import display_date

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presslens import specs
@@ -62,17 +63,22 @@ def cutoff_batch(batch: DataFrame, batch_id: int, state: KeyedStore, sink: Keyed
     floor = F.lit(now) - F.expr(f"INTERVAL {int(hours)} HOURS")
     st = (cur.select("source", F.greatest("cutoff", floor).alias("cutoff")) if cur is not None
           else spark.createDataFrame([], "source string, cutoff timestamp"))
-    j = batch.join(F.broadcast(st), "source", "left") if cur is not None and cur.count() <= 10_000 \
-        else batch.join(st, "source", "left")
-    acc = j.filter(F.col("date") > F.coalesce(F.col("cutoff"), floor)).drop("cutoff")
-    acc = acc.withColumn("_id", doc_key("url"))
-    if not acc.isEmpty():
+    # one row per source: AQE turns this into a broadcast join when the
+    # measured state is small, a shuffle join otherwise
+    acc = (batch.join(st, "source", "left")
+           .filter(F.col("date") > F.coalesce(F.col("cutoff"), floor)).drop("cutoff")
+           .withColumn("_id", doc_key("url"))
+           .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
         sink.upsert(acc.select("_id", "source", "url", "title", "date",
                                F.date_format("date", "yyyy-MM-dd").alias("day")))
-    newest = acc.groupBy("source").agg(F.max("date").alias("newest"))
-    merged = st.join(newest, "source", "full_outer").select(
-        "source", F.greatest("cutoff", "newest").alias("cutoff"), F.lit(batch_id).cast("bigint").alias("batch_id"))
-    state.upsert(merged)
+        newest = acc.groupBy("source").agg(F.max("date").alias("newest"))
+        merged = st.join(newest, "source", "full_outer").select(
+            "source", F.greatest("cutoff", "newest").alias("cutoff"),
+            F.lit(batch_id).cast("bigint").alias("batch_id"))
+        state.upsert(merged)
+    finally:
+        acc.unpersist()
 
 
 def run_cutoff_stream(stream: DataFrame, state: KeyedStore, sink: KeyedStore, checkpoint: str,
