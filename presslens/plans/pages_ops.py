@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from presslens import specs
 from presslens.catalog import register
 from presslens.functions.text import url_host
-from presslens.operators.filters import min_length, quality_flags
+from presslens.operators.filters import min_length, quality_flags, require_nonempty
 from presslens.plans import sql as S
 from presslens.sources.pages import ENTITIES, extract_articles, h1_title, harvest_links
 from presslens.sources.tables import table
@@ -24,8 +24,8 @@ def page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extraction with the per-host rules (+ the generic article rule), then
     the quality gate (FLT-16) and the length filter (FLT-02)."""
     pages = table(spark, sf_dir, "pages")
-    arts = extract_articles(pages)
-    q = quality_flags(arts.filter(F.col("rule").isNotNull()))
+    arts = require_nonempty(extract_articles(pages).filter(F.col("rule").isNotNull()), ("title", "text"))
+    q = quality_flags(arts)
     return min_length(q, "text", specs.MIN_TEXT_CHARS).select(
         "page_id", "source", "rule", "title", "date", F.length("text").alias("n_chars"),
         F.md5("text").alias("text_md5"), "title_check", "text_check")

@@ -42,3 +42,19 @@ register("url_year_filter", f"""
 SELECT page_id, url, {_HOST} AS host, {_YEAR} AS url_year FROM pages
 WHERE NOT ({_EXCL}) AND ({_YEAR} IS NULL OR {_YEAR} >= {NOW.year})
 """)(url_year_filter)
+
+
+# FLT-08 topic routing: rules are regex alternatives over the URL (data).
+TOPIC_PATTERNS = [r"\.example\.com/en/", r"blog\.[a-z]+\.example\.net/", r"/fr/[0-9]+\?page="]
+
+
+def url_topic_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from presslens.operators.filters import url_matches
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_matches(p, "url", TOPIC_PATTERNS)
+
+
+register("url_topic_filter", f"""
+SELECT page_id, url FROM pages
+WHERE regexp_matches(url, {S.q("|".join(f"(?:{p})" for p in TOPIC_PATTERNS))})
+""")(url_topic_filter)
