@@ -105,20 +105,6 @@ def purify_markdown(c: ColumnOrName, stop_phrases=specs.STOP_PHRASES,
     return F.array_join(F.regexp_extract_all(t, F.lit(line), 1), "\n\n")
 
 
-def _head(arr: Column, n: Column) -> Column:
-    """First ``n`` elements (n may be 0)."""
-    return F.filter(arr, lambda x, i: i < n)
-
-
-def _contains_any(x: Column, phrases) -> Column:
-    lx = F.lower(x)
-    cond = None
-    for p in phrases:
-        c = lx.contains(p)
-        cond = c if cond is None else cond | c
-    return cond
-
-
 def truncate(c: ColumnOrName, n: int) -> Column:
     """STR-06: first ``n`` characters."""
     return F.substring(_c(c), 1, n)
