@@ -4,7 +4,7 @@ which Spark plans as a bounded top-(offset+limit) per partition
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from presslens import specs
@@ -22,7 +22,29 @@ def page(df: DataFrame, page_no=1, limit=specs.FEED_PAGE_SIZE,
         return v or default
     p, n = as_int(page_no, 1), as_int(limit, specs.FEED_PAGE_SIZE)
     order = order or [F.col("date").desc_nulls_last(), F.col("_id").asc()]
-    return df.orderBy(*order).offset(max(p - 1, 0) * n).limit(n)
+    return top_k(df, n, order, offset=max(p - 1, 0) * n)
+
+
+def top_k(df: DataFrame, k: int, order: list[Column], offset: int = 0,
+          direct_max_partitions: int = 256) -> DataFrame:
+    """Rows ``offset .. offset+k-1`` in ``order`` (which must be a total order).
+
+    With few input partitions this is ORDER BY + OFFSET + LIMIT (Spark keeps
+    the top rows per partition and merges them in one task). With many, that
+    merge would receive offset+k rows from every partition, so a first level
+    keeps offset+k rows per group of ~sqrt(P) partitions (a window group limit
+    that runs before its shuffle) and only those groups' winners are merged.
+    """
+    m = offset + k
+    parts = df.rdd.getNumPartitions()
+    if parts <= direct_max_partitions:
+        return df.orderBy(*order).offset(offset).limit(k)
+    groups = max(2, int(parts ** 0.5))
+    w = Window.partitionBy("__tk").orderBy(*order)
+    first = (df.withColumn("__tk", F.spark_partition_id() % groups)
+             .withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= m)
+             .drop("__tk", "__rn"))
+    return first.orderBy(*order).offset(offset).limit(k)
 
 
 def recent(df: DataFrame, n: int = specs.RECENT_SIZE) -> DataFrame:

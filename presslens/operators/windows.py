@@ -66,9 +66,12 @@ def sample_exact(df: DataFrame, n: int, by: str | None, key: str, seed: int,
     joins against the short groups, which AQE turns into an empty relation when
     there are none.
     """
-    h = df.withColumn(_H, hash_key(key, seed))
     if by is None:
-        return h.orderBy(_H, key).limit(n).drop(_H)
+        # one global group: same thinning, so no task ever merges n rows from
+        # every input partition
+        one = sample_exact(df.withColumn("__all", F.lit(0)), n, "__all", key, seed, margin)
+        return one.drop("__all")
+    h = df.withColumn(_H, hash_key(key, seed))
     hex8 = F.conv(F.substring(F.col(_H), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
     counts = h.groupBy(by).agg(F.count(F.lit(1)).alias("__c"))
     margin = n + 6.0 * n ** 0.5 + 64.0 if margin is None else margin
@@ -90,10 +93,13 @@ def sample_exact(df: DataFrame, n: int, by: str | None, key: str, seed: int,
 def rank_slices(df: DataFrame, bounds: list[tuple[int, int]], key: str, seed: int,
                 label: str = "slice") -> DataFrame:
     """WIN-04: seeded shuffle, then disjoint positional slices [lo, hi] (0-based,
-    inclusive). Only the first max(hi)+1 rows are ever ranked (top-k, bounded)."""
+    inclusive). Only the first max(hi)+1 rows in hash order matter: they are
+    exactly the rows ``sample_exact`` picks for n = max(hi)+1 (thinned by a
+    hash threshold, exact), and only those few rows are ranked."""
     top = max(hi for _, hi in bounds) + 1
-    h = df.withColumn(_H, hash_key(key, seed)).orderBy(_H, key).limit(top)
-    ranked = h.withColumn("__pos", F.row_number().over(Window.orderBy(_H, key)) - 1)
+    head = sample_exact(df, top, None, key, seed).withColumn(_H, hash_key(key, seed))
+    # bounded: at most ``top`` rows reach this single ordered window
+    ranked = head.withColumn("__pos", F.row_number().over(Window.orderBy(_H, key)) - 1)
     expr = None
     for i, (lo, hi) in enumerate(bounds):
         cond = F.col("__pos").between(lo, hi)

@@ -103,3 +103,13 @@ def test_split_partition_invariant(spark):
     a = {r.id: r.split for r in train_val_split(_skewed(spark, n=1500, parts=1), 0.9, "id", 5).collect()}
     b = {r.id: r.split for r in train_val_split(_skewed(spark, n=1500, parts=11), 0.9, "id", 5).collect()}
     assert a == b and sum(v == "train" for v in a.values()) == int(0.9 * 1500)
+
+
+def test_top_k_two_level_equals_direct(spark):
+    from presslens.operators.sort import top_k
+    df = spark.createDataFrame([(i, (i * 37) % 101) for i in range(3000)], "id long, v long").repartition(40)
+    order = [F.col("v").desc(), F.col("id").asc()]
+    direct = [tuple(r) for r in top_k(df, 25, order, offset=50).collect()]
+    tree = [tuple(r) for r in top_k(df, 25, order, offset=50, direct_max_partitions=4).collect()]
+    exp = sorted([(i, (i * 37) % 101) for i in range(3000)], key=lambda r: (-r[1], r[0]))[50:75]
+    assert direct == exp and tree == exp
