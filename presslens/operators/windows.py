@@ -25,6 +25,8 @@ from presslens.functions.metrics import hash_key
 
 _H = "__h"
 _RN = "__rn"
+# largest merge (rows) a direct global top-n may hand to its single final task
+DIRECT_TOPN_MAX_ROWS = 2_000_000
 
 
 def _cols(df: DataFrame, exclude=()) -> list[str]:
@@ -67,8 +69,11 @@ def sample_exact(df: DataFrame, n: int, by: str | None, key: str, seed: int,
     there are none.
     """
     if by is None:
-        # one global group: same thinning, so no task ever merges n rows from
-        # every input partition
+        # A direct top-n merges n rows from every input partition in one task:
+        # fine while that is small; beyond, one global group is thinned like
+        # the per-group case, so no task sees more than ~n rows.
+        if margin is None and n * df.rdd.getNumPartitions() <= DIRECT_TOPN_MAX_ROWS:
+            return (df.withColumn(_H, hash_key(key, seed)).orderBy(_H, key).limit(n).drop(_H))
         one = sample_exact(df.withColumn("__all", F.lit(0)), n, "__all", key, seed, margin)
         return one.drop("__all")
     h = df.withColumn(_H, hash_key(key, seed))

@@ -46,10 +46,16 @@ def test_sample_exact_partition_invariant(spark):
     assert a == b
 
 
-def test_sample_exact_global(spark):
+def test_sample_exact_global(spark, monkeypatch):
+    from presslens.operators import windows
     df = _skewed(spark)
-    got = [r.id for r in sample_exact(df, 10, None, "id", 42).collect()]
-    assert sorted(got) == sorted(sorted(range(3000), key=lambda k: (_h(k, 42), k))[:10])
+    exp = sorted(sorted(range(3000), key=lambda k: (_h(k, 42), k))[:10])
+    assert sorted(r.id for r in sample_exact(df, 10, None, "id", 42).collect()) == exp
+    monkeypatch.setattr(windows, "DIRECT_TOPN_MAX_ROWS", 0)   # force the thinned path
+    assert sorted(r.id for r in sample_exact(df, 10, None, "id", 42).collect()) == exp
+    got = {r.id: r.slice for r in rank_slices(df, [(0, 4), (5, 9)], "id", 42).collect()}
+    order = sorted(range(3000), key=lambda k: (_h(k, 42), k))
+    assert got == {**{k: 0 for k in order[:5]}, **{k: 1 for k in order[5:10]}}
 
 
 def test_train_val_split_matches_rank(spark):
