@@ -217,3 +217,43 @@ SELECT k.source, coalesce(a.loc, s.loc) AS probe,
        CASE WHEN a.loc IS NOT NULL THEN 'article' WHEN s.loc IS NOT NULL THEN 'sitemap' END AS kind
 FROM k LEFT JOIN a ON k.source = a.source LEFT JOIN s ON k.source = s.source
 """)(sitemap_probe)
+
+
+# --- SRC-09 listing URLs, SRC-08 sitemap scan ---------------------------------
+LISTING_PAGES = (1, 799)
+
+
+def listing_urls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages for every host seen in the pages table, numbered like the
+    archive crawl (pages 1..799), generated per host row without a join."""
+    from presslens.sources.sitemap import listing_urls
+    hosts = table(spark, sf_dir, "pages").select(url_host("url").alias("category")).distinct()
+    return listing_urls(hosts, *LISTING_PAGES, template="https://%s/archive?page=%d")
+
+
+def sitemap_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages published as a sitemap XML (loc, lastmod from the page's event),
+    then read back through the XML source."""
+    from presslens.session import shared_dir
+    from presslens.sources.sitemap import read_sitemap
+    e = _sitemap_entries(spark, sf_dir)
+    path = shared_dir(spark, "sitemap")
+    (e.select("loc", F.when(F.col("lastmod") != "", F.col("lastmod")).alias("lastmod"))
+      .write.format("xml").option("rootTag", "urlset").option("rowTag", "url").save(path))
+    return read_sitemap(spark, path, "url").select("loc", "lastmod")
+
+
+register("listing_urls", f"""
+SELECT h.category, CAST(r.page AS INTEGER) AS page, 'https://' || h.category || '/archive?page=' || CAST(r.page AS VARCHAR) AS url
+FROM (SELECT DISTINCT {_HOST} AS category FROM pages) h, range({LISTING_PAGES[0]}, {LISTING_PAGES[1] + 1}) r(page)
+""")(listing_urls_q)
+
+register("sitemap_scan", f"""
+WITH p AS (SELECT p.page_id, p.url, CAST(e.ts AS TIMESTAMP) AS ts FROM pages p LEFT JOIN events e ON e.event_id = p.page_id)
+SELECT CASE WHEN page_id % 4 = 0 THEN {_ORIGIN} || '/sitemap-' || CAST(page_id AS VARCHAR) || '.xml'
+            WHEN page_id % 6 = 1 THEN {_ORIGIN} || '/2023/' || CAST(page_id AS VARCHAR) ELSE url END AS loc,
+       CASE WHEN page_id % 5 = 0 THEN NULL WHEN page_id % 7 = 0 THEN 'yesterday'
+            WHEN page_id % 2 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ')
+            WHEN page_id % 3 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS lastmod
+FROM p
+""")(sitemap_scan)
