@@ -143,17 +143,26 @@ class KeyedStore:
     def patch(self, changes: DataFrame) -> tuple[int, DataFrame]:
         """Partial update by key: a non-null column in ``changes`` replaces the
         stored value, null leaves it; keys not in the store come back as the
-        not-found frame (the 404 case) and are not written."""
-        cur = self.read()
-        if cur is None:
+        not-found frame (the 404 case) and are not written. With partitions,
+        only the partitions holding a changed key are rewritten (found from a
+        scan of the key and partition columns only)."""
+        full = self.read()
+        if full is None:
             return self.version(), changes.select(self.key)
         k = self.key
+        missing = changes.select(k).join(full.select(k), k, "left_anti")
+        cur = full
+        if self.partition_by:
+            hit = full.select(k, self.partition_by).join(changes.select(k), k, "left_semi")
+            parts = self._touched(hit)
+            if not parts:
+                return self.version(), missing
+            cur = self.spark.read.parquet(*self._current_paths(parts))
         ch = changes.select(k, *[F.col(c).alias(f"__new_{c}") for c in changes.columns if c != k])
         j = cur.join(ch, k, "left")
         cols = [F.coalesce(F.col(f"__new_{c}"), F.col(c)).alias(c) if f"__new_{c}" in j.columns else F.col(c)
                 for c in cur.columns]
         v = self._write(j.select(*cols))
-        missing = changes.select(k).join(cur.select(k), k, "left_anti")
         return v, missing
 
     def vacuum(self, keep: int = 2) -> int:

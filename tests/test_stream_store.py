@@ -96,3 +96,15 @@ def test_partitioned_store_rewrites_touched_partitions_only(spark, scratch):
                    ("e", "a/b:c", 5)]
     assert s.vacuum(keep=1) == 2
     assert sorted((r._id, r.v) for r in s.read().collect())[1] == ("b", 20)
+
+
+def test_partitioned_patch_touches_only_hit_partitions(spark, scratch):
+    s = KeyedStore(spark, f"{scratch}/pp", partition_by="day")
+    sch = "_id string, day string, v long"
+    s.upsert(spark.createDataFrame([("a", "d1", 1), ("b", "d2", 2)], sch))
+    before = {n: s._current_paths([n])[0] for n in s._part_dirs()}
+    _, missing = s.patch(spark.createDataFrame([("b", None, 20), ("zz", None, 9)], sch))
+    after = {n: s._current_paths([n])[0] for n in s._part_dirs()}
+    assert before["__part=d1"] == after["__part=d1"] and before["__part=d2"] != after["__part=d2"]
+    assert sorted((r._id, r.day, r.v) for r in s.read().collect()) == [("a", "d1", 1), ("b", "d2", 20)]
+    assert [r._id for r in missing.collect()] == ["zz"]
