@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from presslens.functions.text import _c, ColumnOrName, py_strip
 
-LABEL_WIDE = "reasoning string, primary_entities string, bias string, _corrupt_record string"
+LABEL_WIDE = "reasoning string, primary_entities string, bias string, error string, _corrupt_record string"
 LABEL_STRUCT = "struct<reasoning:string, primary_entities:array<string>, bias:double, error:string>"
 _OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
@@ -30,13 +30,16 @@ def _greedy_object(txt: Column) -> Column:
 
 
 def _narrow(j: Column, error: Column) -> Column:
+    """Typed label; an object carrying an ``error`` field is an error record
+    (its bias is not a score: null, Q3)."""
     ents = F.coalesce(F.from_json(j["primary_entities"], "array<string>"),
                       F.array().cast("array<string>"))
+    err = F.coalesce(j["error"], error)
     return F.struct(
         F.coalesce(j["reasoning"], F.lit("")).alias("reasoning"),
         ents.alias("primary_entities"),
-        j["bias"].try_cast("double").alias("bias"),
-        error.alias("error"),
+        F.when(j["error"].isNull(), j["bias"].try_cast("double")).alias("bias"),
+        err.alias("error"),
     )
 
 
@@ -59,7 +62,7 @@ def safe_parse(raw: ColumnOrName, compat: bool = False) -> Column:
     err = F.when(j.isNull(), F.lit("parse_failed"))
     out = _narrow(j, err)
     if compat:
-        out = out.withField("bias", F.coalesce(out["bias"], F.when(j.isNull(), F.lit(-1.0))))
+        out = out.withField("bias", F.coalesce(out["bias"], F.when(out["error"].isNotNull(), F.lit(-1.0))))
     return out
 
 
@@ -161,7 +164,8 @@ def with_parsed_output(df, raw: str, out: str, compat: bool = False, thoughts: b
     jj = F.col(p + "_j")
     out_struct = _narrow(jj, F.when(jj.isNull(), F.lit("parse_failed")))
     if compat:
-        out_struct = out_struct.withField("bias", F.coalesce(out_struct["bias"], F.when(jj.isNull(), F.lit(-1.0))))
+        out_struct = out_struct.withField("bias", F.coalesce(out_struct["bias"],
+                                                             F.when(out_struct["error"].isNotNull(), F.lit(-1.0))))
     d = d.withColumn(out, out_struct)
     if thoughts:
         o, th, rc = F.col(out), F.col(p + "_th"), F.col(raw)

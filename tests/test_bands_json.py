@@ -99,7 +99,7 @@ def test_safe_parse_v1(spark):
                 b = float(exp.get("bias"))
             except (TypeError, ValueError):
                 b = None
-            assert row.p.error is None and row.p.bias == b, raw
+            assert row.p.error == exp.get("error") and row.p.bias == (None if "error" in exp else b), raw
         expc = _py_v1(raw, compat=True)
         assert (row.c.bias == -1.0) == (expc is None), raw
 
@@ -122,3 +122,36 @@ def test_safe_parse_v2_thoughts(spark):
     assert got[7].bias is None and got[7].reasoning == "t"
     assert got[8] is None and got[9] is None and got[10] is None
     assert not math.isnan(got[0].bias)
+
+
+def test_scorer_concurrency_keeps_order(spark):
+    import time as _t
+
+    import pandas as pd
+
+    from presslens.operators.score import Scorer, raw_scores
+
+    class Echo(Scorer):
+        def raw(self, texts):
+            _t.sleep(0.01)
+            return texts.map(lambda t: '{"reasoning": "%s", "bias": 0.5}' % t)
+
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(200)], "i int, prompt string").coalesce(1)
+    out = raw_scores(df, {"m": Echo()}, "prompt", concurrency=8, backoff=0).orderBy("i").collect()
+    assert [r.m_raw for r in out] == ['{"reasoning": "t%d", "bias": 0.5}' % i for i in range(200)]
+    assert pd.notna(out[0].m_latency)
+
+
+def test_scorer_failures_become_error_records(spark):
+    from presslens.operators.score import Scorer, score_articles
+
+    class Flaky(Scorer):
+        def raw(self, texts):
+            if any("bad" in t for t in texts):
+                raise RuntimeError("endpoint down")
+            return texts.map(lambda t: '{"bias": 0.2}')
+
+    df = spark.createDataFrame([("ok1",), ("bad",), ("ok2",)], "prompt string").coalesce(1)
+    got = [r.ai_labels for r in score_articles(df, Flaky(), backoff=0).collect()]
+    assert [g.bias for g in got] == [0.2, None, 0.2] and got[1].error == "RuntimeError: endpoint down"
+    assert got[0].error is None
