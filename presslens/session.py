@@ -77,3 +77,23 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint (written to the shared folder), never a local one."""
     shared_dir(df.sparkSession, "rdd", fresh=False)
     return df.checkpoint(eager=eager)
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
+                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of parquet.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of
+    input (never fewer than 2 waves of tasks), and AQE coalesces the small ones
+    and splits skewed ones at run time; scans split files at 256 MiB.
+    """
+    slots = max(1, executors * cores_per_executor)
+    parts = max(2 * slots, int(input_bytes // target_partition_bytes) + 1)
+    return {
+        **SESSION_DEFAULTS,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
