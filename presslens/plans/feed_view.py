@@ -63,11 +63,13 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-16: 'All' first, then each non-empty source in feed order (first
     appearance in newest-first order)."""
     e = events_view(spark, sf_dir).filter(F.col("source").isNotNull() & (F.col("source") != ""))
-    first = e.groupBy("source").agg(F.max(F.struct("date", F.col("_id").alias("neg"))).alias("__f"))
+    # feed order is (date desc nulls last, _id asc); as one ascending key:
+    # (date is null, -date, _id) - its minimum per source is the first appearance
+    key = F.struct(F.col("date").isNull().alias("n"), (-F.unix_micros("date")).alias("d"), F.col("_id").alias("i"))
+    first = e.groupBy("source").agg(F.min(key).alias("__f"))
     # one row per distinct source: a small table, one ordered window is fine
-    w = Window.orderBy(F.col("__f.date").desc(), F.col("__f.neg").asc())
+    w = Window.orderBy(F.col("__f").asc())
     ranked = first.select("source", F.row_number().over(w).alias("pos"))
-    # ties on date: smaller _id appears first in (date desc, _id asc) order
     allrow = spark.range(1).select(F.lit("All").alias("source"), F.lit(0).alias("pos"))
     return allrow.unionByName(ranked.select("source", F.col("pos").cast("int").alias("pos")))
 
