@@ -57,6 +57,25 @@ def macro_f1(df: DataFrame, y_true: str, y_pred: str, classes: DataFrame,
     return full.groupBy(*by).agg(F.avg(f1).alias("macro_f1"))
 
 
+def macro_f1_from_cells(cells: DataFrame, labels: list[str], by: list[str], n: str = "n") -> DataFrame:
+    """AGG-02 from a confusion table (by..., y_true, y_pred, n): TP/FP/FN per
+    class, every class in ``labels`` counted (absent ones score 0, 0/0 -> 0),
+    averaged per group. Works on the small cell table, not on rows."""
+    hit = F.col("y_true") == F.col("y_pred")
+    rows = cells.select(*by, F.explode(F.array(
+        F.struct(F.col("y_true").alias("cls"), F.when(hit, F.col(n)).otherwise(0).alias("tp"),
+                 F.lit(0).cast("bigint").alias("fp"), F.when(~hit, F.col(n)).otherwise(0).alias("fn")),
+        F.struct(F.col("y_pred").alias("cls"), F.lit(0).cast("bigint").alias("tp"),
+                 F.when(~hit, F.col(n)).otherwise(0).alias("fp"), F.lit(0).cast("bigint").alias("fn")),
+    )).alias("e")).select(*by, "e.*").filter(F.col("cls").isNotNull())
+    per = rows.groupBy(*by, "cls").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"))
+    grid = cells.select(*by).distinct().select(*by, F.explode(F.array(*[F.lit(x) for x in labels])).alias("cls"))
+    full = grid.join(per, [*by, "cls"], "left").na.fill(0, ["tp", "fp", "fn"])
+    f1 = F.coalesce(F.try_divide(2 * F.col("tp"), F.nullif(2 * F.col("tp") + F.col("fp") + F.col("fn"), F.lit(0))),
+                    F.lit(0.0))
+    return full.groupBy(*by).agg(F.avg(f1.cast("double")).alias("macro_f1"))
+
+
 def _grid(df: DataFrame, by: list[str], classes: DataFrame) -> DataFrame:
     """(group, class) grid without a cross join: the class list is tiny config
     data, so it is expanded per group as a literal array."""

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from presslens import specs
 from presslens.catalog import register
-from presslens.functions.bands import class_dimension, ideology_class
+from presslens.functions.bands import ideology_class
 from presslens.functions.metrics import cosine, jaccard
 from presslens.functions.text import normalise_entities
-from presslens.operators.aggregates import confusion, macro_f1
+from presslens.operators.aggregates import confusion, macro_f1_from_cells
 from presslens.plans import sql as S
 from presslens.sources.tables import articles, table
 
@@ -46,21 +46,29 @@ def evaluation_long(records: DataFrame, models=MODELS, truth: str = "ai_labels")
     )
 
 
+def evaluation_cells(longf: DataFrame) -> DataFrame:
+    """One pass over the per-(article, model) rows: partial sums per
+    (model, y_true, y_pred) cell - at most models x 8 x 8 rows."""
+    ok = ~F.col("failed")
+    return longf.groupBy("model", "y_true", "y_pred").agg(
+        F.count_if(ok).alias("n"), F.count_if(F.col("failed")).alias("n_failed"),
+        F.sum(F.when(ok, F.abs(F.col("true_bias") - F.col("pred_bias")))).alias("sae"),
+        F.sum("jaccard").alias("sj"), F.count("jaccard").alias("nj"))
+
+
 def evaluate_models(records: DataFrame, models=MODELS) -> DataFrame:
-    """UDF-07 as one aggregate per model: scored count, failures, MAE, accuracy,
-    mean Jaccard, joined with macro F1 over the 7 fixed classes."""
-    longf = evaluation_long(records, models)
-    ok = longf.filter(~F.col("failed"))
-    spark = records.sparkSession
-    f1 = macro_f1(ok, "y_true", "y_pred", class_dimension(spark).withColumnRenamed("cls", "cls"), by=["model"])
-    agg = longf.groupBy("model").agg(
-        F.count_if(~F.col("failed")).alias("n_scored"),
-        F.count_if(F.col("failed")).alias("failed"),
-        F.avg(F.when(~F.col("failed"), F.abs(F.col("true_bias") - F.col("pred_bias")))).alias("mae"),
-        F.avg(F.when(~F.col("failed"), (F.col("y_true") == F.col("y_pred")).cast("double"))).alias("accuracy"),
-        F.avg("jaccard").alias("jaccard"),
-    )
-    return agg.join(f1, "model", "left")
+    """UDF-07: per model scored count, failures, MAE, accuracy, mean Jaccard and
+    macro F1 over the 7 fixed classes - all derived from one aggregation pass
+    (the cell table), so the articles are read once."""
+    cells = evaluation_cells(evaluation_long(records, models))
+    hit = F.col("y_true") == F.col("y_pred")
+    per = cells.groupBy("model").agg(
+        F.sum("n").alias("n_scored"), F.sum("n_failed").alias("failed"),
+        F.try_divide(F.sum("sae"), F.sum("n")).alias("mae"),
+        F.try_divide(F.sum(F.when(hit, F.col("n")).otherwise(0)).cast("double"), F.sum("n")).alias("accuracy"),
+        F.try_divide(F.sum("sj"), F.sum("nj")).alias("jaccard"))
+    f1 = macro_f1_from_cells(cells.filter(F.col("n") > 0), specs.IDEOLOGY_CLASSES, ["model"])
+    return per.join(f1, "model", "left")
 
 
 def eval_records(spark: SparkSession, sf_dir: str) -> DataFrame:
