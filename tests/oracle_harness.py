@@ -27,7 +27,8 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return round(v, 6) + 0.0
+        digits = int(os.environ.get("ORACLE_FLOAT_DIGITS", "-1"))  # -1: exact
+        return (round(v, digits) if digits >= 0 else v) + 0.0
     if isinstance(v, _dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, (list, tuple)):
