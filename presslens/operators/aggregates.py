@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from presslens import specs
 from presslens.functions.text import _c, ColumnOrName
 
+# class dimensions are configuration (a handful of labels); read at most this many
+MAX_CLASSES = 10_000
+
 
 def mae(df: DataFrame, a: str, b: str) -> DataFrame:
     """AGG-01: mean absolute error and matched count; (null, 0) when nothing matched."""
@@ -79,7 +82,10 @@ def macro_f1_from_cells(cells: DataFrame, labels: list[str], by: list[str], n: s
 def _grid(df: DataFrame, by: list[str], classes: DataFrame) -> DataFrame:
     """(group, class) grid without a cross join: the class list is tiny config
     data, so it is expanded per group as a literal array."""
-    labels = [r["cls"] for r in classes.select("cls").collect()]
+    rows = classes.select("cls").limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"class dimension larger than {MAX_CLASSES} rows")
+    labels = [r["cls"] for r in rows]
     return df.select(*by).distinct().select(*by, F.explode(F.array(*[F.lit(x) for x in labels])).alias("cls"))
 
 
