@@ -41,3 +41,12 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from presslens.llm.mixing import mix, taken_words
     docs = table(spark, sf_dir, "documents")
     return taken_words(*mix(docs)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@_query()
+def op5_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from presslens.llm.common import written
+    from presslens.llm.simhash_bk import fingerprint_column, near_duplicate_groups
+    docs = table(spark, sf_dir, "documents")
+    fps = written(docs.select("doc_id", fingerprint_column("text").alias("fp")), "fingerprints")
+    return near_duplicate_groups(fps).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
