@@ -50,3 +50,37 @@ def op5_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     fps = written(docs.select("doc_id", fingerprint_column("text").alias("fp")), "fingerprints")
     return near_duplicate_groups(fps).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@_query("""
+with v as (select vec_id, embedding::double[] e from embeddings
+           where embedding is not null and len(embedding) > 0
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+             and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+     s as (select q.vec_id query_id, c.vec_id, list_cosine_similarity(q.e, c.e) score
+           from v q join v c on len(q.e) = len(c.e) and q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
+     r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int rank from s)
+select query_id, rank, vec_id, score from r where rank <= 5
+""")
+def op8_blocked_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from presslens.llm.blocked_knn import nearest
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@_query("""
+with recursive v as (
+  select vec_id, embedding::double[] e from embeddings
+  where embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l as materialized (
+  select a.vec_id x, b.vec_id y from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.9),
+r as (select vec_id x, vec_id y from embeddings union select r.x, l.y from r join l on r.y = l.x),
+c as (select x, min(y) m from r group by x)
+select e.vec_id, coalesce(n, 0) n_links, m component_id, e.vec_id = m kept
+from embeddings e join c on c.x = e.vec_id left join (select x, count(*) n from l group by x) k on k.x = e.vec_id
+""")
+def op2_pca_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from presslens.llm.pca_neardup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
