@@ -84,3 +84,23 @@ from embeddings e join c on c.x = e.vec_id left join (select x, count(*) n from
 def op2_pca_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from presslens.llm.pca_neardup import near_duplicates
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@_query()
+def op7_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from presslens.llm.orc_tokens import token_digest, write_tokens
+    from presslens.session import shared_dir
+    path = shared_dir(spark, "llm-tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_digest(spark, path)
+
+
+@_query()
+def op6_best_fit_gga(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from presslens.llm.packing_gga import cut_pieces, pack
+    docs = table(spark, sf_dir, "documents")
+    return pack(cut_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
