@@ -104,3 +104,20 @@ def op6_best_fit_gga(spark: SparkSession, sf_dir: str) -> DataFrame:
     from presslens.llm.packing_gga import cut_pieces, pack
     docs = table(spark, sf_dir, "documents")
     return pack(cut_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
+@_query()
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from presslens.llm.kneser_ney import score, train
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.coalesce(_fold(5) == 1, F.lit(False))
+    return score(docs, train(docs.where(~held))).select(
+        "doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@_query()
+def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from presslens.llm.toxicity_chain import THRESHOLD, fit, predict
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    got = predict(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return got.select("doc_id", "p_quality", "p_toxic", (F.col("p_toxic") >= THRESHOLD).alias("toxic"))
