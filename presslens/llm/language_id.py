@@ -117,12 +117,12 @@ def learn_profiles(train: DataFrame, size: int = PROFILE) -> DataFrame:
 class Profiles:
     """Profiles as sorted arrays, for the workers: at most MAX_LANGUAGES of ``size`` entries."""
 
-    def __init__(self, rows: list, size: int):
+    def __init__(self, rows: list[tuple[str, int, int]], size: int):
         self.size = size
-        self.langs = sorted({r["lang"] for r in rows})
+        self.langs = sorted({r[0] for r in rows})
         self.tables = []
         for lang in self.langs:
-            own = sorted((r["gram"], r["rank"]) for r in rows if r["lang"] == lang)
+            own = sorted((gram, rank) for of, gram, rank in rows if of == lang)
             self.tables.append((np.array([g for g, _ in own], np.int64), np.array([k for _, k in own], np.int64)))
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -149,11 +149,12 @@ def identify(docs: DataFrame, train: DataFrame, size: int = PROFILE,
     langs = train.where("lang is not null").select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
     if langs > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages to learn; profiles of so many are not broadcast")
-    profiles = docs.sparkSession.sparkContext.broadcast(Profiles(learn_profiles(train, size).collect(), size))
+    rows = [tuple(r) for r in learn_profiles(train, size).select("lang", "gram", "rank").collect()]
+    profiles = docs.sparkSession.sparkContext.broadcast(rows)  # plain data: workers need not have the package
 
     @F.pandas_udf("lang string, score double")
     def guess(texts: pd.Series) -> pd.DataFrame:
-        p = profiles.value
+        p = Profiles(profiles.value, size)
         return pd.DataFrame([p.predict(x) for x in texts], columns=["lang", "score"])
 
     return (docs.withColumn("_guess", guess("text")).withColumn(lang_col, F.col("_guess.lang"))

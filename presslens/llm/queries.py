@@ -121,3 +121,37 @@ def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     got = predict(docs, fit(docs, table(spark, sf_dir, "labels")))
     return got.select("doc_id", "p_quality", "p_toxic", (F.col("p_toxic") >= THRESHOLD).alias("toxic"))
+
+
+@_query(r"""
+with l as (select conv_id, max((turn, text)) m from conversations where role = 'assistant' and turn is not null and text is not null group by 1),
+n as (select a.conv_id, a.m[1] turn, a.m[2] text, coalesce(b.m[2], '') other from l a left join l b on b.conv_id = a.conv_id + 1),
+t as (select c.conv_id pair_id, 'chosen' side, turn, role, text from conversations c
+      union all
+      select c.conv_id, 'rejected', c.turn, c.role,
+             case when c.role = 'assistant' and c.turn = n.turn and c.text = n.text then n.other else c.text end
+      from conversations c left join n using (conv_id)),
+s as (select pair_id, turn, role, text, bool_or(side = 'chosen') c, bool_or(side = 'rejected') r from t group by 1, 2, 3, 4),
+f as (select pair_id, min(turn) first from s where not (c and r) group by 1),
+p as (select t.*, coalesce(turn < first, true) shared from t left join f using (pair_id)),
+o as (select *, '<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) rendered,
+             not shared and role = 'assistant' learn from p)
+select pair_id, case when shared then 'prompt' else side end part, turn, role, rendered,
+       case when learn then 22 else 0 end::int learn_from, case when learn then length(rendered) - 1 else 0 end::int learn_to
+from o where not shared or side = 'chosen'
+""")
+def op3_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs from the given conversations: each as it is (chosen), and with its last assistant turn
+    answered by that of the next conversation instead (rejected; empty where there is none)."""
+    from presslens.llm.preference import format_preferences
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    last = (turns.where("role = 'assistant' and turn is not null and text is not null").groupBy("conv_id")
+            .agg(F.max(F.struct("turn", "text")).alias("last")))
+    other = last.select((F.col("conv_id") - 1).alias("conv_id"), F.col("last.text").alias("other"))
+    swap = last.join(other, "conv_id", "left")
+    here = (F.col("role") == "assistant") & (F.col("turn") == F.col("last.turn")) & (F.col("text") == F.col("last.text"))
+    both = F.array(F.struct(F.lit("chosen").alias("side"), "text"), F.struct(
+        F.lit("rejected").alias("side"), F.when(here, F.coalesce("other", F.lit(""))).otherwise(F.col("text")).alias("text")))
+    sides = turns.join(swap, "conv_id", "left").select(
+        F.col("conv_id").alias("pair_id"), "turn", "role", F.explode(both).alias("s")).select("pair_id", "turn", "role", "s.side", "s.text")
+    return format_preferences(sides)

@@ -31,7 +31,7 @@ from presslens.llm.common import written
 
 CATEGORIES = ("quality", "toxic")
 MAX_LABELLED = 8000
-THRESHOLD = 0.3  # of the last category's probability; clean documents stay well below it, out of fold too
+THRESHOLD = 0.4  # of the last category's probability; clean documents stay well below it, out of fold too
 _WORDS = re.compile(r"[^\W\d_]+")
 _SIGNS = re.compile(r"[^\w\s]{2,}")
 
@@ -205,11 +205,14 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple = CATEGORIES, max_
 
 def predict(docs: DataFrame, chain: Chain) -> DataFrame:
     """``docs`` with p_<category> for every category of the chain."""
-    held = docs.sparkSession.sparkContext.broadcast(chain)
-    names = [f"p_{c}" for c in chain.categories]
+    plain = [(m.ids, m.weights, m.earlier, m.constant) for m in chain.models]
+    held = docs.sparkSession.sparkContext.broadcast(plain)  # plain data: workers need not have the package
+    categories = chain.categories
+    names = [f"p_{c}" for c in categories]
 
     @F.pandas_udf(", ".join(f"{n} double" for n in names))
     def score(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(held.value.predict(texts), columns=names)
+        own = Chain(categories, [Linear(*m) for m in held.value])
+        return pd.DataFrame(own.predict(texts), columns=names)
 
     return docs.withColumn("_p", score("text")).withColumns({n: F.col(f"_p.{n}") for n in names}).drop("_p")
