@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from presslens.llm.common import prefix_sums, word_count, written
+from presslens.llm.common import partitions, prefix_sums, word_count, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 _MASK = (1 << 64) - 1
@@ -139,7 +139,7 @@ def mix(docs: DataFrame, block_words: int = 64, shard_slots: int = 8192, seed: i
     shards = max(1, int(total // (block_words * shard_slots)))
     dealt = targets.select("sid", "source_size", "target").mapInPandas(
         _deal(block_words, shards, seed), "sid long, blocks long, shard long, first long, n long")
-    slots = dealt.repartition("sid", "shard").mapInPandas(
+    slots = dealt.repartition(partitions(docs.sparkSession), "sid", "shard").mapInPandas(
         _slots(seed), "sid long, shard long, slot long, pass long, block long")
     b = F.lit(block_words)
     pieces = (sized.where("size > 0")
@@ -148,7 +148,8 @@ def mix(docs: DataFrame, block_words: int = 64, shard_slots: int = 8192, seed: i
               .select("sid", "block", "uid",
                       F.greatest(F.lit(0), F.col("block") * b - F.col("at")).alias("word_from"),
                       F.least("size", (F.col("block") + 1) * b - F.col("at")).alias("word_to")))
-    spans = slots.join(pieces, ["sid", "block"])
+    # slots come of few dealt rows, so their size is not known before: no broadcast
+    spans = slots.join(pieces.hint("merge"), ["sid", "block"])
     return sized, spans
 
 
