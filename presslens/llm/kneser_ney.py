@@ -20,7 +20,7 @@ different words before, and V + 1 outcomes: the words, the end and one for all u
 unknown word the probability is P(w).
 
 Defined cases: null texts are empty and hold the end alone; repeated rows count each time; with nothing to
-learn from every token has the probability 1 (of one outcome).
+learn from every token has the probability 1 (of one outcome). Columns of the added names are replaced.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslens.llm.common import worker_state
+from presslens.llm.common import unused, worker_state
 from presslens.session import shared_dir
 
 END = xxhash.xxh64_intdigest(b" ")  # of no word, as words hold no space
@@ -331,9 +331,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         return pd.DataFrame({"n_tokens": got[:, 0].astype(np.int64), "n_known": got[:, 1].astype(np.int64),
                              "base_score": got[:, 2], "score": got[:, 3]})
 
-    return (docs.withColumn("_s", look_up("text")).withColumns({
-        "n_tokens": F.col("_s.n_tokens"), "n_known": F.col("_s.n_known"), "train_tokens": F.lit(model.tokens).cast("long"),
-        "base_score": F.col("_s.base_score"), "score": F.col("_s.score")}).drop("_s"))
+    s = unused(docs, "scores")
+    return (docs.withColumn(s, look_up("text")).withColumns({
+        "n_tokens": F.col(f"{s}.n_tokens"), "n_known": F.col(f"{s}.n_known"), "train_tokens": F.lit(model.tokens).cast("long"),
+        "base_score": F.col(f"{s}.base_score"), "score": F.col(f"{s}.score")}).drop(s))
 
 
 def perplexity(log10: Column, tokens: Column) -> Column:

@@ -12,7 +12,8 @@ points, ties of distances to the smaller language name.
 
 Defined cases: a null text, and one without a letter, is ``und`` with score 0;
 so is every text when there is nothing to learn from. Null languages are not
-learned; repeated rows count each time; other columns of the input stay.
+learned; repeated rows count each time; other columns of the input stay, but one of
+the name of an added column is replaced.
 """
 
 from __future__ import annotations
@@ -24,12 +25,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from presslens.llm.common import worker_state
+from presslens.llm.common import unused, worker_state
 
 LONGEST = 3  # letters of an n-gram
 PROFILE = 400
 MAX_LANGUAGES = 1000  # bounds the broadcast profiles: 400 n-grams each
 _CHAR = 21  # bits of a code point
+_GAP = 1  # stands for a separator: no letter, and not 0, which would not count in a code
 
 def _letter_table() -> np.ndarray:
     import unicodedata
@@ -43,18 +45,18 @@ def _letters() -> np.ndarray:
 
 
 def grams(text: str) -> np.ndarray:
-    """Codes of all n-grams of 1 to LONGEST characters, repeats included (separators are 0)."""
+    """Codes of all n-grams of 1 to LONGEST characters, repeats included."""
     c = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-    c = np.where(_letters()[c], c, 0).astype(np.int64)
-    if not c.any():
+    c = np.where(_letters()[c], c, _GAP).astype(np.int64)
+    if (c == _GAP).all():
         return np.zeros(0, np.int64)
-    c = np.concatenate(([0], c, [0]))
-    c = c[(c != 0) | np.concatenate(([True], c[:-1] != 0))]  # one separator between words
-    out, code, ok = [c[c != 0]], c, np.ones(len(c), bool)
+    c = np.concatenate(([_GAP], c, [_GAP]))
+    c = c[(c != _GAP) | np.concatenate(([True], c[:-1] != _GAP))]  # one separator between words
+    out, code, ok = [c[c != _GAP]], c, np.ones(len(c), bool)
     for n in range(2, LONGEST + 1):
         code = (code[:-1] << _CHAR) | c[n - 1:]
         # a separator only at either end
-        ok = np.ones(len(code), bool) if n == 2 else ok[:-1] & (c[n - 2:-1] != 0)
+        ok = np.ones(len(code), bool) if n == 2 else ok[:-1] & (c[n - 2:-1] != _GAP)
         out.append(code[ok])
     return np.concatenate(out)
 
@@ -157,5 +159,6 @@ def identify(docs: DataFrame, train: DataFrame, size: int = PROFILE,
         p = Profiles(profiles.value, size)
         return pd.DataFrame([p.predict(x) for x in texts], columns=["lang", "score"])
 
-    return (docs.withColumn("_guess", guess("text")).withColumn(lang_col, F.col("_guess.lang"))
-            .withColumn(score_col, F.col("_guess.score")).drop("_guess"))
+    name = unused(docs, "guess")
+    return (docs.withColumn(name, guess("text")).withColumn(lang_col, F.col(f"{name}.lang"))
+            .withColumn(score_col, F.col(f"{name}.score")).drop(name))

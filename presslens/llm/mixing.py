@@ -163,23 +163,23 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """Documents as the mixture holds them, with the columns of ``docs``.
 
     A document comes out once for each pass that takes any of its blocks; its text is then the
-    whole text, or the taken stretches of it joined by line feeds when the pass takes a part.
+    whole text, or the taken stretches of it one after another when the pass takes a part.
     n_chars, where there is one, is the new text's length; other columns repeat.
     """
-    keyed = written(docs.withColumn("_uid", F.monotonically_increasing_id()), "mixin")
-    sized, spans = mix(keyed.select(F.col("_uid").alias("doc_uid"), "text", "source"), id_cols=("doc_uid",), **options)
+    keyed = written(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("doc_uid")), "mixin")
+    sized, spans = mix(keyed.select("doc_uid", "doc.text", "doc.source"), id_cols=("doc_uid",), **options)
     runs = (spans.groupBy("uid", "pass").agg(
-        F.array_sort(F.collect_list(F.struct("word_from", "word_to"))).alias("_runs"),
-        F.sum(F.col("word_to") - F.col("word_from")).alias("_words")))
-    runs = runs.join(sized.select("uid", F.col("doc_uid").alias("_uid"), F.col("size").alias("_size")), "uid")
-    both = keyed.join(runs.select("_uid", "pass", "_runs", "_words", "_size"), "_uid")
+        F.array_sort(F.collect_list(F.struct("word_from", "word_to"))).alias("runs"),
+        F.sum(F.col("word_to") - F.col("word_from")).alias("n_words")))
+    runs = runs.join(sized.select("uid", "doc_uid", "size"), "uid").select("doc_uid", "runs", "n_words", "size")
+    both = keyed.join(runs, "doc_uid")
     # a stretch = so many words after a start; words are taken with the white space between them
-    words = F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*', 0)")
-    cut = F.array_join(F.transform("_runs", lambda r: F.regexp_replace(F.array_join(
-        F.slice("_w", (r["word_from"] + 1).cast("int"), (r["word_to"] - r["word_from"]).cast("int")), ""),
-        r"[\x20\x09-\x0D]+$", "")), "\n")
-    whole = F.col("_words") == F.col("_size")
-    out = both.withColumn("_w", F.when(~whole, words)).withColumn("text", F.when(whole, F.col("text")).otherwise(cut))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*docs.columns)
+    words = F.expr(r"regexp_extract_all(doc.text, '[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*', 0)")
+    stretches = F.transform("runs", lambda r: F.slice(
+        "words", (r["word_from"] + 1).cast("int"), (r["word_to"] - r["word_from"]).cast("int")))
+    cut = F.regexp_replace(F.array_join(F.flatten(stretches), ""), r"[\x20\x09-\x0D]+$", "")
+    whole = F.col("n_words") == F.col("size")
+    out = both.withColumn("words", F.when(~whole, words)).withColumn(
+        "taken", F.when(whole, F.col("doc.text")).otherwise(cut)).select("doc", "taken")
+    new = {"text": F.col("taken"), "n_chars": F.length("taken").cast("long")}
+    return out.select(*[new.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])

@@ -222,8 +222,8 @@ def pack(pieces: DataFrame, capacity: int = 2048, cell_items: int = 4096, island
     Pieces of equal length are as good as one another, so repeated rows need no care; an empty table gives no rows. Every
     length is from 1 to ``capacity``.
     """
-    rows = written(pieces.withColumn("_uid", F.monotonically_increasing_id()), "pieces")
-    items = rows.select(F.col("_uid").alias("uid"), "length").where(F.col("length") < capacity)
+    rows = written(pieces.select(F.struct("*").alias("piece"), F.monotonically_increasing_id().alias("uid"), "length"), "pieces")
+    items = rows.select("uid", "length").where(F.col("length") < capacity)
     options = dict(capacity=capacity, islands=islands, members=members, epochs=epochs, generations=generations)
     first = solve_cells(items, cell_items=cell_items, seed=seed, **options)
     place = "uid", "offset", (F.shiftleft("cell", CELL_BITS) + F.col("bin")).alias("sequence_id")
@@ -233,7 +233,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, cell_items: int = 4096, island
     if again.select("cell", "bin").distinct().count() < left.select("cell", "bin").distinct().count():
         left = again.withColumn("cell", -1 - F.col("cell"))
     full = rows.where(F.col("length") >= capacity).select(
-        F.col("_uid").alias("uid"), F.lit(0).cast("long").alias("offset"),
-        (F.col("_uid") + F.lit(1 << 62)).alias("sequence_id"))
+        "uid", F.lit(0).cast("long").alias("offset"), (F.col("uid") + F.lit(1 << 62)).alias("sequence_id"))
     placed = tight.union(left.select(*place)).union(full)
-    return rows.join(placed, F.col("_uid") == F.col("uid")).drop("uid", "_uid")
+    own = [F.col("piece").getField(c).alias(c) for c in pieces.columns if c not in ("offset", "sequence_id")]
+    return rows.join(placed, "uid").select(*own, "offset", "sequence_id")

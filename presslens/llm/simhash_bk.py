@@ -189,10 +189,9 @@ def near_duplicate_groups(fps: DataFrame, id_col: str = "doc_id", **options) ->
 def keep_one(docs: DataFrame, shingle: int = 3, **options) -> DataFrame:
     """``docs`` with one document of each near-duplicate group: the one with the smallest doc_id (nulls
     last), the first of repeated rows."""
-    keyed = written(docs.withColumn("_uid", F.monotonically_increasing_id())
-                    .withColumn("_fp", fingerprint_column("text", shingle)), "keyed")
-    narrow = keyed.select(F.col("_fp").alias("fp"), F.col("doc_id").alias("_id"), "_uid")
-    groups = near_duplicate_groups(narrow, "_uid", **options)
+    keyed = written(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("uid"),
+                                fingerprint_column("text", shingle).alias("fp")), "keyed")
+    groups = near_duplicate_groups(keyed.select("fp", F.col("doc.doc_id").alias("doc_id"), "uid"), "uid", **options)
     kept = groups.groupBy("component_id").agg(
-        F.min(F.struct(F.col("_id").isNull(), "_id", "_uid")).getField("_uid").alias("_uid")).select("_uid")
-    return keyed.join(kept, "_uid", "left_semi").select(*docs.columns)
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid")).getField("uid").alias("uid"))
+    return keyed.join(kept.select("uid"), "uid", "left_semi").select("doc.*")

@@ -13,7 +13,7 @@ text is then scored whole.
 Defined cases: null and empty texts have no words and are scored by the models' constants;
 labels that are null, or of documents that are not there, are not learned; of repeated labels of a
 document the largest counts, of repeated documents one; a category with a single value, or none, is predicted as its share (0 if
-none).
+none). Columns of the added names are replaced.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from presslens.llm.common import written
+from presslens.llm.common import unused, written
 
 CATEGORIES = ("quality", "toxic")
 MAX_LABELLED = 8000
@@ -215,4 +215,5 @@ def predict(docs: DataFrame, chain: Chain) -> DataFrame:
         own = Chain(categories, [Linear(*m) for m in held.value])
         return pd.DataFrame(own.predict(texts), columns=names)
 
-    return docs.withColumn("_p", score("text")).withColumns({n: F.col(f"_p.{n}") for n in names}).drop("_p")
+    p = unused(docs, "chain")
+    return docs.withColumn(p, score("text")).withColumns({n: F.col(f"{p}.{n}") for n in names}).drop(p)
