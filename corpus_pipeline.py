@@ -28,14 +28,15 @@ LEAST_LANGUAGE_SCORE = 0.25
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is in one of the languages learned from the labelled documents."""
-    got = identify(docs, docs.select("text", "lang"), lang_col="_lang", score_col="_score")
-    return got.where((F.col("_lang") != "und") & (F.col("_score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    got = identify(docs.select(F.struct("*").alias("doc"), "text"), docs.select("text", "lang"))
+    return got.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select("doc.*")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain does not find toxic."""
     chain = fit(docs, table(spark, sf_dir, "labels"))
-    return predict(docs, chain).where(F.col("p_toxic") < THRESHOLD).select(*docs.columns)
+    got = predict(docs.select(F.struct("*").alias("doc"), "text"), chain)
+    return got.where(F.col("p_toxic") < THRESHOLD).select("doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
