@@ -9,14 +9,28 @@ from presslens import specs
 from presslens.functions.text import _c, ColumnOrName
 
 
+# a date, alone or with a time of minutes, seconds or fractions and an offset
+ISO_SHAPE = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
+             r"([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]{1,9})?)?(Z|[+-][0-9]{2}(:?[0-9]{2})?)?)?$")
+DAY_IN_TEXT = r"\b(20[0-9]{2}-[0-9]{2}-[0-9]{2})\b"
+
+
 def parse_iso(c: ColumnOrName) -> Column:
-    """DT-01/03: ISO-8601 with offset, 'Z' or naive (naive = UTC); bad -> null."""
-    return F.try_to_timestamp(_c(c))
+    """DT-01/03: ISO-8601 date or date and time, with offset, 'Z' or naive (naive = UTC).
+
+    The shape is checked first, so nothing depends on the clock; a time without seconds is
+    given them, as Spark's parser wants them before an offset.
+    """
+    s = _c(c)
+    full = F.regexp_replace(s, r"([T ][0-9]{2}:[0-9]{2})(Z|[+-][0-9]{2}.*)$", "$1:00$2")
+    full = F.regexp_replace(F.replace(full, F.lit(","), F.lit(".")), r"([+-][0-9]{2})([0-9]{2})$", "$1:$2")
+    full = F.regexp_replace(full, r"(:[0-9]{2}(?:[.][0-9]+)?[+-][0-9]{2})$", "$1:00")
+    return F.when(s.rlike(ISO_SHAPE), F.try_to_timestamp(full))
 
 
 def parse_iso_or_date(c: ColumnOrName) -> Column:
-    """DT-02: ISO parse, else the first 20YY-MM-DD in the text at midnight UTC."""
-    day = F.nullif(F.regexp_extract(_c(c), r"(20[0-9]{2}-[0-9]{2}-[0-9]{2})", 1), F.lit(""))
+    """DT-02: ISO parse, else the first whole word 20YY-MM-DD in the text at midnight UTC."""
+    day = F.nullif(F.regexp_extract(_c(c), DAY_IN_TEXT, 1), F.lit(""))
     return F.coalesce(parse_iso(c), F.try_to_timestamp(day, F.lit("yyyy-MM-dd")))
 
 

@@ -52,26 +52,6 @@ def test_leans_and_defaults(spark):
 
 
 # --- JSON recovery ------------------------------------------------------------
-def _strip_fence(s):
-    return s[:-3] if s.endswith("```") else s
-
-
-def _py_v1(raw, compat=False):
-    """Plain-Python rendition of the recovery rules (superset unless compat)."""
-    r = (raw or "").strip()
-    cleaned = _strip_fence(r if r.startswith("{") else "{" + r).strip()
-    for cand in [cleaned] + ([] if compat else [r]):
-        m = re.search(r"\{.*\}", cand, re.DOTALL)
-        if m:
-            try:
-                d = json.loads(m.group())
-                if isinstance(d, dict):
-                    return d
-            except json.JSONDecodeError:
-                pass
-    return None
-
-
 OUTPUTS = [
     '{"reasoning": "r", "primary_entities": ["A"], "bias": 0.3}',
     '"reasoning": "r", "bias": 0.4}',
@@ -90,18 +70,11 @@ OUTPUTS = [
 def test_safe_parse_v1(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(OUTPUTS)], "i int, raw string").orderBy("i")
     got = df.select(safe_parse("raw").alias("p"), safe_parse("raw", compat=True).alias("c")).collect()
-    for raw, row in zip(OUTPUTS, got):
-        exp = _py_v1(raw)
-        if exp is None:
-            assert row.p.error == "parse_failed" and row.p.bias is None
-        else:
-            try:
-                b = float(exp.get("bias"))
-            except (TypeError, ValueError):
-                b = None
-            assert row.p.error == exp.get("error") and row.p.bias == (None if "error" in exp else b), raw
-        expc = _py_v1(raw, compat=True)
-        assert (row.c.bias == -1.0) == (expc is None), raw
+    # the score, where the output holds one object; "abc" is no number but no failure
+    assert [r.p.bias for r in got] == [0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, None, None, None, None]
+    assert [r.p.error for r in got] == [None] * 8 + ["parse_failed"] * 3
+    # the older rule adds a brace to whatever does not start with one, so words before an object spoil it
+    assert [r.c.bias == -1.0 for r in got] == [False] * 3 + [True] * 8
 
 
 def test_staged_equals_column_form(spark):
