@@ -1,9 +1,6 @@
-"""Lookup and merge joins (JOIN-04/05/07/10/12).
+"""Lookup and merge joins (JOIN-04/05/07).
 
-Small lookup tables (per-source state, rule tables) are joined with a size
-check: at most ``MAX_BROADCAST_ROWS`` rows are broadcast (or, for substring
-rules, folded into a per-row expression); larger tables take the shuffle
-path (equi-join; for substring rules a join on the host's dot-suffixes).
+Every lookup is an equi-join; which side is broadcast, if any, is left to Spark's own size estimates.
 """
 
 from __future__ import annotations
@@ -11,19 +8,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 10_000
-
-
-def _small(df: DataFrame, bound: int = MAX_BROADCAST_ROWS) -> bool:
-    return df.limit(bound + 1).count() <= bound
-
 
 def lookup_equal(df: DataFrame, table: DataFrame, key: str, value: str, default: Column | None = None,
                  out: str | None = None) -> DataFrame:
     """JOIN-05: ``table.get(df[key], default)`` as a left join (table keys unique)."""
     out = out or value
     t = table.select(F.col(key).alias("__lk"), F.col(value).alias("__lv"))
-    t = F.broadcast(t) if _small(t) else t
     j = df.join(t, df[key] == t["__lk"], "left").drop("__lk")
     v = F.col("__lv") if default is None else F.coalesce(F.col("__lv"), default)
     return j.withColumn(out, v).drop("__lv") if out != "__lv" else j
@@ -34,28 +24,21 @@ def lookup_contains(df: DataFrame, table: DataFrame, col: str, key: str, value:
     """JOIN-04: value of the first ``table`` row (by ``order``) whose ``key`` is a
     substring of ``df[col]``, else ``default``.
 
-    Bounded tables are collected once (size-checked) and folded into a per-row
-    ``filter`` over a literal array - no join, no shuffle. Larger tables are
-    equi-joined on the dot-suffixes of ``df[col]`` (exact for domain keys).
+    The distinct values of ``df[col]`` are cut into their substrings of the lengths that keys
+    have, those are joined with the keys, and the best match of each value is joined
+    back: equi-joins at any number of keys and rows, and no row is repeated.
     """
-    t = table.select(key, value, order)
-    if _small(t):
-        rows = sorted(t.collect(), key=lambda r: r[order])
-        arr = F.array(*[F.struct(F.lit(r[key]).alias("k"), F.lit(r[value]).alias("v")) for r in rows]) \
-            if rows else F.array().cast(f"array<struct<k:string,v:{dict(t.dtypes)[value]}>>")
-        hit = F.filter(arr, lambda s: F.col(col).contains(s["k"]))
-        v = F.when(F.size(hit) > 0, hit[0]["v"])
-        return df.withColumn(out, v if default is None else F.coalesce(v, default))
-    parts = F.split(F.col(col), r"\.")
-    sufx = F.transform(F.sequence(F.lit(1), F.size(parts)),
-                       lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
-    with_id = df.withColumn("__row", F.monotonically_increasing_id())
-    cand = with_id.select("__row", F.explode(sufx).alias("__s"))
-    best = (cand.join(t, cand["__s"] == t[key]).groupBy("__row")
-            .agg(F.min(F.struct(F.col(order), F.col(value).alias("v"))).alias("__b")))
-    j = with_id.join(best, "__row", "left")
+    t = table.select(F.col(key).alias("__k"), F.struct(F.col(order).alias("o"), F.col(value).alias("v")).alias("__b"))
+    t = t.filter("__k is not null")
+    lengths = t.select(F.collect_set(F.length("__k"))).scalar()
+    values = df.select(F.col(col).alias("__s")).filter("__s is not null").distinct()
+    cut = (values.withColumn("__n", F.explode(lengths)).filter(F.col("__n") <= F.length("__s"))
+           .select("__s", F.explode(F.transform(F.sequence(F.lit(1), F.length("__s") - F.col("__n") + 1),
+                                                lambda i: F.substring(F.col("__s"), i, F.col("__n")))).alias("__k")))
+    best = cut.join(t, "__k").groupBy("__s").agg(F.min("__b").alias("__b"))
     v = F.col("__b.v")
-    return j.withColumn(out, v if default is None else F.coalesce(v, default)).drop("__row", "__b")
+    return (df.join(best, F.col(col) == F.col("__s"), "left")
+            .withColumn(out, v if default is None else F.coalesce(v, default)).drop("__s", "__b"))
 
 
 def merge_state(state: DataFrame, newest: DataFrame, key: str = "source", value: str = "cutoff",
@@ -64,15 +47,3 @@ def merge_state(state: DataFrame, newest: DataFrame, key: str = "source", value:
     s = state.select(F.col(key), F.col(value).alias("__old"))
     n = newest.select(F.col(key), F.col(newest_col).alias("__new"))
     return s.join(n, key, "full_outer").select(key, F.greatest("__old", "__new").alias(value))
-
-
-def map_scores(c: Column, mapping: dict, unknown: int | None = None) -> Column:
-    """JOIN-10: category -> score via a literal map (unknown -> ``unknown``)."""
-    m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
-    v = F.try_element_at(m, c)
-    return v if unknown is None else F.coalesce(v, F.lit(unknown))
-
-
-def complete_classes(counts: DataFrame, dim: DataFrame, key: str, fill: dict) -> DataFrame:
-    """JOIN-12: every dimension value present, missing counts filled."""
-    return F.broadcast(dim).join(counts, key, "left").fillna(fill)

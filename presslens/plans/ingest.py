@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from presslens import specs
 from presslens.catalog import register
-from presslens.functions.dates import clamp_cutoff, parse_iso_or_date
-from presslens.functions.text import url_host, url_year
+from presslens.functions.dates import clamp_cutoff, parse_iso, parse_iso_or_date
+from presslens.functions.text import url_host
 from presslens.operators.aggregates import newest_per_source
-from presslens.operators.filters import url_excludes
+from presslens.operators.filters import drop_stale_url_year, url_excludes
 from presslens.operators.projections import materialize
 from presslens.operators.joins import lookup_contains, lookup_equal, merge_state
 from presslens.operators.windows import cap_per_group
@@ -21,16 +21,13 @@ from presslens.plans import sql as S
 from presslens.sources.pages import origin
 from presslens.sources.tables import events_view, table
 
-XML_CAP = 3
-
-
 def clamp_state(state: DataFrame, now: Column, hours: int = specs.LOOKBACK_HOURS) -> DataFrame:
     """DT-06: saved cutoffs never older than now - lookback."""
     return state.withColumn("cutoff", clamp_cutoff("cutoff", now, hours))
 
 
 def sitemap_filter(entries: DataFrame, state: DataFrame, now: Column, order: str = "ord",
-                   hours: int = specs.LOOKBACK_HOURS, xml_cap: int = XML_CAP) -> DataFrame:
+                   hours: int = specs.LOOKBACK_HOURS, xml_cap: int = specs.XML_CAP) -> DataFrame:
     """FLT-09/10/11 + WIN-06 over sitemap entries (loc, lastmod, ord).
 
     Excluded keywords drop; the cutoff is the first state domain contained in
@@ -44,11 +41,9 @@ def sitemap_filter(entries: DataFrame, state: DataFrame, now: Column, order: str
     e = lookup_contains(e, clamp_state(state, now, hours), "domain", "source", "cutoff", "state_ord",
                         default, out="cutoff")
     has_lm = F.col("lastmod").isNotNull() & (F.col("lastmod") != "")
-    lm = F.try_to_timestamp(F.col("lastmod"))
+    lm = parse_iso("lastmod")
     with_lm = e.filter(has_lm & (lm.isNull() | (lm >= F.col("cutoff"))))
-    no_lm = e.filter(~has_lm)
-    y = url_year("loc")
-    no_lm = no_lm.filter(y.isNull() | (y >= F.year(now)))
+    no_lm = drop_stale_url_year(e.filter(~has_lm), "loc", now)
     is_xml = F.lower("loc").endswith(".xml")
     xml = cap_per_group(no_lm.filter(is_xml), "domain", order, xml_cap)
     return with_lm.unionByName(no_lm.filter(~is_xml)).unionByName(xml).drop("cutoff")
@@ -82,8 +77,11 @@ def _sitemap_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages").select("page_id", "url")
     e = table(spark, sf_dir, "events").select(F.col("event_id").alias("page_id"), F.col("ts").cast("timestamp").alias("ts"))
     j = p.join(e, "page_id", "left")
-    pid = F.col("page_id")
-    lastmod = (F.when(pid % 5 == 0, F.lit(""))
+    pid, ts = F.col("page_id"), F.col("ts")
+    lastmod = (F.when(pid % 11 == 1, F.concat(F.date_format(ts + F.expr("INTERVAL 3 HOURS"), "yyyy-MM-dd'T'HH:mm"), F.lit("+03:00")))
+               .when(pid % 11 == 2, F.date_format(ts, "yyyy-MM-dd'T'HH:mm'Z'"))
+               .when(pid % 13 == 3, F.date_format(ts, "HH:mm"))
+               .when(pid % 5 == 0, F.lit(""))
                .when(pid % 7 == 0, F.lit("yesterday"))
                .when(pid % 2 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
                .when(pid % 3 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
@@ -111,13 +109,15 @@ def sitemap_filter_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _event_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events_view(spark, sf_dir)
-    v = F.col("event_id") % 5
+    v = F.col("event_id") % 7
     ts = F.col("date")
     date = (F.when(v == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
             .when(v == 1, F.concat(F.date_format(ts + F.expr("INTERVAL 3 HOURS"), "yyyy-MM-dd'T'HH:mm:ss"),
                                    F.lit("+03:00")))
             .when(v == 2, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
             .when(v == 3, F.concat(F.lit("published "), F.date_format(ts, "yyyy-MM-dd"), F.lit(" by staff")))
+            .when(v == 4, F.concat(F.date_format(ts - F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm"), F.lit("-02:00")))
+            .when(v == 5, F.date_format(ts, "HH:mm"))
             .otherwise(F.lit("yesterday")))
     return e.select("event_id", "source", date.alias("date"), F.col("date").alias("event_ts"))
 
@@ -144,6 +144,8 @@ _HOST = "replace(replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]
 _EXCL = " OR ".join(f"contains(lower(loc), {S.q(k)})" for k in specs.URL_EXCLUDE_KEYWORDS)
 _ORIGIN = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)"
 _NOW = f"TIMESTAMP '{SITEMAP_NOW:%Y-%m-%d %H:%M:%S}'"
+_ODD_LM = ("WHEN page_id % 11 = 1 THEN strftime(ts + INTERVAL 3 HOURS, '%Y-%m-%dT%H:%M') || '+03:00' "
+           "WHEN page_id % 11 = 2 THEN strftime(ts, '%Y-%m-%dT%H:%MZ') WHEN page_id % 13 = 3 THEN strftime(ts, '%H:%M')")
 _DOM = "regexp_extract(h, '([^.]+\\.example\\.[a-z]+)$', 1)"
 
 register("sitemap_filter", f"""
@@ -153,21 +155,22 @@ p AS (SELECT p.page_id, p.url, CAST(e.ts AS TIMESTAMP) AS ts FROM pages p LEFT J
 en AS (SELECT page_id, page_id AS ord,
          CASE WHEN page_id % 4 = 0 THEN {_ORIGIN} || '/sitemap-' || CAST(page_id AS VARCHAR) || '.xml'
               WHEN page_id % 6 = 1 THEN {_ORIGIN} || '/2023/' || CAST(page_id AS VARCHAR) ELSE url END AS loc,
-         CASE WHEN page_id % 5 = 0 THEN '' WHEN page_id % 7 = 0 THEN 'yesterday'
+         CASE {_ODD_LM} WHEN page_id % 5 = 0 THEN '' WHEN page_id % 7 = 0 THEN 'yesterday'
               WHEN page_id % 2 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ')
               WHEN page_id % 3 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS lastmod,
-         ts AS lm_ts FROM p),
+         CASE WHEN page_id % 11 IN (1, 2) THEN date_trunc('minute', ts) WHEN page_id % 13 = 3 THEN NULL
+              WHEN page_id % 5 <> 0 AND page_id % 7 = 0 THEN NULL ELSE date_trunc('second', ts) END AS lm_ts FROM p),
 e2 AS (SELECT *, replace(regexp_extract(loc, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), 'www.', '') AS domain
        FROM en WHERE NOT ({_EXCL})),
 e3 AS (SELECT e2.*, coalesce((SELECT cutoff FROM st2 WHERE contains(e2.domain, st2.source) ORDER BY st2.source LIMIT 1),
                              {_NOW} - INTERVAL 2 HOURS) AS cutoff FROM e2),
 y AS (SELECT *, TRY_CAST(nullif(regexp_extract(loc, '/([0-9]{{4}})/', 1), '') AS INTEGER) AS yr FROM e3),
 k1 AS (SELECT page_id, loc, domain FROM y WHERE lastmod IS NOT NULL AND lastmod <> ''
-         AND (lastmod = 'yesterday' OR date_trunc('second', lm_ts) >= cutoff)),
+         AND (lm_ts IS NULL OR lm_ts >= cutoff)),
 nl AS (SELECT * FROM y WHERE (lastmod IS NULL OR lastmod = '') AND (yr IS NULL OR yr >= {SITEMAP_NOW.year})),
 k2 AS (SELECT page_id, loc, domain FROM nl WHERE NOT ends_with(lower(loc), '.xml')),
 k3 AS (SELECT page_id, loc, domain FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY ord) AS rn
-                                         FROM nl WHERE ends_with(lower(loc), '.xml')) WHERE rn <= {XML_CAP})
+                                         FROM nl WHERE ends_with(lower(loc), '.xml')) WHERE rn <= {specs.XML_CAP})
 SELECT * FROM k1 UNION ALL SELECT * FROM k2 UNION ALL SELECT * FROM k3
 """)(sitemap_filter_q)
 
@@ -177,7 +180,7 @@ _ACCEPT = f"""
 WITH ev AS ({S.EVENTS}),
 prev AS (SELECT source, greatest(max(date), {_ANOW} - INTERVAL 2 HOURS) AS cutoff FROM ev WHERE date < {_PREV} GROUP BY source),
 a AS (SELECT event_id, source,
-        CASE event_id % 5 WHEN 0 THEN date_trunc('second', date) WHEN 1 THEN date_trunc('second', date)
+        CASE event_id % 7 WHEN 4 THEN date_trunc('minute', date) WHEN 0 THEN date_trunc('second', date) WHEN 1 THEN date_trunc('second', date)
              WHEN 2 THEN date_trunc('second', date) WHEN 3 THEN date_trunc('day', date) END AS ts FROM ev),
 acc AS (SELECT a.event_id, a.source, a.ts FROM a LEFT JOIN prev ON a.source = prev.source
         WHERE a.ts IS NOT NULL AND a.ts > coalesce(prev.cutoff, {_ANOW} - INTERVAL 2 HOURS))
@@ -252,7 +255,7 @@ register("sitemap_scan", f"""
 WITH p AS (SELECT p.page_id, p.url, CAST(e.ts AS TIMESTAMP) AS ts FROM pages p LEFT JOIN events e ON e.event_id = p.page_id)
 SELECT CASE WHEN page_id % 4 = 0 THEN {_ORIGIN} || '/sitemap-' || CAST(page_id AS VARCHAR) || '.xml'
             WHEN page_id % 6 = 1 THEN {_ORIGIN} || '/2023/' || CAST(page_id AS VARCHAR) ELSE url END AS loc,
-       CASE WHEN page_id % 5 = 0 THEN NULL WHEN page_id % 7 = 0 THEN 'yesterday'
+       CASE {_ODD_LM} WHEN page_id % 5 = 0 THEN NULL WHEN page_id % 7 = 0 THEN 'yesterday'
             WHEN page_id % 2 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ')
             WHEN page_id % 3 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS lastmod
 FROM p

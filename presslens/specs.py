@@ -101,6 +101,7 @@ BODY_LABEL = "ΚΕΙΜΕΝΟ: "
 CHAT_START = "<|im_start|>"
 CHAT_END = "<|im_end|>"
 FEED_PAGE_SIZE = 25
+XML_CAP = 3  # sub-sitemaps followed per domain
 RECENT_SIZE = 5
 LOOKBACK_HOURS = 2
 SEED = 42

@@ -1,5 +1,4 @@
-"""Lookup joins: the broadcast / literal path and the shuffle fallback beyond
-the size bound give the same answers for domain-shaped keys."""
+"""Lookup joins: one rule for any key and any number of them."""
 
 import datetime as dt
 
@@ -25,21 +24,32 @@ def _run(entries, state):
     return sorted((r.id, r.c) for r in out.collect())
 
 
-def test_lookup_contains_paths_agree(spark, monkeypatch):
+def test_lookup_contains_is_substring_match(spark):
     entries, state = _data(spark)
-    small = _run(entries, state)
-    assert small[0] == (1, dt.datetime(2026, 4, 30, 7, 59)) and small[3] == (4, dt.datetime(2000, 1, 1))
-    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 1)
-    assert _run(entries, state) == small
+    got = dict(_run(entries, state))
+    first, other, none = dt.datetime(2026, 4, 30, 7, 59), dt.datetime(2026, 4, 30, 7, 30), dt.datetime(2000, 1, 1)
+    assert got == {1: first, 2: first, 3: other, 4: none, 5: none}
 
 
-def test_lookup_equal_paths_agree(spark, monkeypatch):
+def test_lookup_contains_of_any_key_beside_many(spark):
+    entries = spark.createDataFrame(
+        [(1, "myprotothema.gr"), (2, "tanea.gr.example.com"), (3, "x"), (3, "x"), (4, "")], "id int, domain string")
+    rules = [("protothema.gr", dt.datetime(2026, 1, 1), "b"), ("anea.g", dt.datetime(2026, 1, 2), "a"),
+             ("gr", dt.datetime(2026, 1, 3), "z"), (None, dt.datetime(2026, 1, 4), "0")]
+    many = [(f"k{i}.example", dt.datetime(2025, 1, 1), f"k{i}") for i in range(12_000)]
+    want = [(1, dt.datetime(2026, 1, 1)), (2, dt.datetime(2026, 1, 2)), *[(i, dt.datetime(2000, 1, 1)) for i in (3, 3, 4)]]
+    for extra in ([], many):
+        state = spark.createDataFrame(rules + extra, "source string, cutoff timestamp, ord string")
+        assert _run(entries, state) == want
+    everywhere = spark.createDataFrame([("", dt.datetime(2026, 2, 2), "a")], "source string, cutoff timestamp, ord string")
+    assert [c for _, c in _run(entries, everywhere)] == [dt.datetime(2026, 2, 2)] * 5
+
+
+def test_lookup_equal(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "source string, v int")
     t = spark.createDataFrame([("a", 10), ("b", 20)], "source string, w int")
-    small = sorted(map(tuple, joins.lookup_equal(df, t, "source", "w", F.lit(0)).collect()))
-    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 1)
-    big = sorted(map(tuple, joins.lookup_equal(df, t, "source", "w", F.lit(0)).collect()))
-    assert small == big == [("a", 1, 10), ("b", 2, 20), ("c", 3, 0)]
+    assert sorted(map(tuple, joins.lookup_equal(df, t, "source", "w", F.lit(0)).collect())) == [
+        ("a", 1, 10), ("b", 2, 20), ("c", 3, 0)]
 
 
 def test_merge_state(spark):
