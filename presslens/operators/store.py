@@ -1,26 +1,26 @@
 """Keyed, idempotent document store on parquet (SNK-08, SRC-14, STM-04).
 
-No table format is assumed. Every write goes to a new version directory
-``v<NNNNNNNN>`` and readers take the highest version that has Spark's
-``_SUCCESS`` marker, so a version is never rewritten in place: a job that dies
-mid-write leaves the previous version readable, and a retried batch writes a
-fresh version with the same content (keys are deterministic).
-
-With ``partition_by`` the store keeps one version chain per partition value
-(``<root>/__part=<value>/v<N>``) and an upsert reads and rewrites only the
-partitions present in the batch - for a stream of recent articles partitioned
-by day, a micro-batch touches a day or two, not the whole store. The partition
-value must be stable per key (e.g. the publication day of a URL).
+No table format is assumed. Rows live in buckets by a hash of their key, so a key has one place for
+good. Every write goes to a directory of its own (``data/<unique attempt>``) and becomes visible by one atomic
+rename of a manifest file that names the current directory of every bucket:
+
+* readers follow the newest manifest alone and never see half a write;
+* a job that dies leaves an unnamed directory, which a retry does not meet and ``vacuum`` removes;
+* a write reads and rewrites only the buckets its keys fall in, told by the directories its staged rows were written to.
+
+A manifest can carry a few values of the writer (the stream's batch) that are committed with the rows.
+One writer at a time: the second of two that commit the same version fails.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_PART = "__part"
-MAX_TOUCHED_PARTITIONS = 100_000
+_BUCKET = "__bucket"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -29,149 +29,127 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    p, fs = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v") and name[1:].isdigit() and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            out.append(int(name[1:]))
-    return sorted(out)
+def _names(spark: SparkSession, path: str) -> list[str]:
+    p, fs = _fs(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
 
 
 class KeyedStore:
-    def __init__(self, spark: SparkSession, root: str, key: str = "_id", partitions: int | None = None,
-                 partition_by: str | None = None):
-        self.spark, self.root, self.key = spark, root.rstrip("/"), key
-        self.partitions = partitions
-        self.partition_by = partition_by
-
-    # -- layout ----------------------------------------------------------------
-    def _part_dirs(self) -> list[str]:
-        p, fs = _fs(self.spark, self.root)
-        if not fs.exists(p):
-            return []
-        return [st.getPath().getName() for st in fs.listStatus(p)
-                if st.isDirectory() and st.getPath().getName().startswith(_PART + "=")]
-
-    def _current_paths(self, parts: list[str] | None = None) -> list[str]:
-        if not self.partition_by:
-            v = self.version()
-            return [f"{self.root}/v{v:08d}"] if v else []
-        names = self._part_dirs() if parts is None else parts
-        out = []
-        for name in names:
-            vs = _versions(self.spark, f"{self.root}/{name}")
-            if vs:
-                out.append(f"{self.root}/{name}/v{vs[-1]:08d}")
-        return out
+    def __init__(self, spark: SparkSession, root: str, key: str = "_id", buckets: int = 16):
+        self.spark, self.root, self.key, self.buckets = spark, root.rstrip("/"), key, buckets
+
+    # -- manifests -------------------------------------------------------------
+    def versions(self) -> list[int]:
+        return [int(n[1:]) for n in _names(self.spark, f"{self.root}/manifest") if n[:1] == "m" and n[1:].isdigit()]
 
     def version(self) -> int:
-        if not self.partition_by:
-            v = _versions(self.spark, self.root)
-            return v[-1] if v else 0
-        return max([_versions(self.spark, f"{self.root}/{n}")[-1:] or [0] for n in self._part_dirs()] or [[0]])[0]
+        return max(self.versions(), default=0)
+
+    def _manifest(self, version: int | None = None) -> dict:
+        version = self.version() if version is None else version
+        if not version:
+            return {"buckets": self.buckets, "paths": {}, "meta": {}}
+        p, fs = _fs(self.spark, f"{self.root}/manifest/m{version:08d}")
+        stream = fs.open(p)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        m = json.loads(text)
+        if m["buckets"] != self.buckets:
+            raise ValueError(f"the store has {m['buckets']} buckets, not {self.buckets}")
+        return m
+
+    def meta(self) -> dict:
+        """The values committed with the newest version."""
+        return self._manifest()["meta"]
+
+    def commit(self, paths: dict | None = None, meta: dict | None = None) -> int:
+        """A new version: the current one with other bucket directories or values."""
+        last, jvm = self.version(), self.spark.sparkContext._jvm
+        m = self._manifest(last)
+        m["paths"].update(paths or {})
+        m["meta"].update(meta or {})
+        tmp, fs = _fs(self.spark, f"{self.root}/manifest/.{uuid.uuid4().hex}")
+        out = fs.create(tmp, True)
+        out.write(bytearray(json.dumps(m).encode()))
+        out.close()
+        target = jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifest/m{last + 1:08d}")
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        rename = jvm.org.apache.hadoop.fs.Options.Rename
+        context.rename(fs.makeQualified(tmp), fs.makeQualified(target), self.spark.sparkContext._gateway.new_array(rename, 0))
+        return last + 1
+
+    # -- reads -------------------------------------------------------------------
+    def _read(self, paths: list[str]) -> DataFrame | None:
+        if not paths:
+            return None
+        return self.spark.read.option("mergeSchema", "true").parquet(*[f"{self.root}/{p}" for p in paths])
 
     def read(self) -> DataFrame | None:
         """SRC-14: the current content (None when the store is empty)."""
-        paths = self._current_paths()
-        return self.spark.read.parquet(*paths) if paths else None
+        return self._read(list(self._manifest()["paths"].values()))
 
     # -- writes ------------------------------------------------------------------
-    def _write(self, df: DataFrame) -> int:
-        v = self.version() + 1
-        if not self.partition_by:
-            out = df.repartition(self.partitions, self.key) if self.partitions else df
-            out.write.mode("errorifexists").parquet(f"{self.root}/v{v:08d}")
-            return v
-        staging = f"{self.root}/_staging/v{v:08d}"
-        (df.withColumn(_PART, F.col(self.partition_by).cast("string"))
-           .write.mode("errorifexists").partitionBy(_PART).parquet(staging))
-        # commit: move each staged partition into its own version chain, then
-        # mark it; a crash part-way leaves some partitions at the old version,
-        # which a retry of the same (deterministic) batch brings forward
-        sp, fs = _fs(self.spark, staging)
-        jvm = self.spark.sparkContext._jvm
-        for st in fs.listStatus(sp):
-            name = st.getPath().getName()
-            if not name.startswith(_PART + "="):
-                continue
-            dst = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}/v{v:08d}")
-            fs.mkdirs(dst.getParent())
-            fs.rename(st.getPath(), dst)
-            fs.create(dst.suffix("/_SUCCESS")).close()
-        return v
-
-    def _touched(self, updates: DataFrame) -> list[str] | None:
-        """Partition directory names present in ``updates`` (size-checked)."""
-        if not self.partition_by:
-            return None
-        vals = (updates.select(F.col(self.partition_by).cast("string").alias("p")).distinct()
-                .limit(MAX_TOUCHED_PARTITIONS + 1).collect())
-        if len(vals) > MAX_TOUCHED_PARTITIONS:
-            raise ValueError("batch touches too many partitions; choose a coarser partition_by")
-        existing = set(self._part_dirs())
-        # the writer escapes partition values in directory names; escape the
-        # same way to find the current directories (new partitions have none)
-        esc = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-        want = {f"{_PART}={esc.escapePathName(r['p'])}" if r["p"] is not None
-                else f"{_PART}=__HIVE_DEFAULT_PARTITION__" for r in vals}
-        return sorted(existing & want)
-
-    def upsert(self, updates: DataFrame) -> int:
-        """Create-or-replace by key: current rows whose key is not in ``updates``,
-        plus ``updates`` (one row per key: the caller dedups, e.g. WIN-02).
-        Only the partitions touched by ``updates`` are read and rewritten.
-
-        ``updates`` is read more than once (partition values, keys, rows), so it
-        is persisted for the duration of the call: an expensive upstream (the
-        scorer) runs once; lost blocks are recomputed from lineage."""
-        updates = updates.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            paths = self._current_paths(self._touched(updates))
-            if not paths:
-                return self._write(updates)
-            cur = self.spark.read.parquet(*paths)
-            keys = updates.select(self.key).distinct()
-            kept = cur.join(keys, self.key, "left_anti")
-            return self._write(kept.unionByName(updates, allowMissingColumns=True))
-        finally:
-            updates.unpersist()
+    def _put(self, df: DataFrame, what: str) -> tuple[str, dict[str, str]]:
+        """Rows written by bucket to a directory of their own: its path, and that of each bucket in it."""
+        path = f"data/{uuid.uuid4().hex}-{what}"
+        bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets))
+        df.withColumn(_BUCKET, bucket).repartition(self.buckets, _BUCKET).write.partitionBy(_BUCKET).parquet(f"{self.root}/{path}")
+        own = [n for n in _names(self.spark, f"{self.root}/{path}") if n.startswith(f"{_BUCKET}=")]
+        return path, {n.split("=", 1)[1]: f"{path}/{n}" for n in own}
+
+    def upsert(self, updates: DataFrame, newest_by: str | None = None, meta: dict | None = None) -> int:
+        """Create-or-replace by key (one row per key: the caller dedups, e.g. WIN-02).
+
+        With ``newest_by`` a stored row stays when its value there is greater, so an older record that
+        arrives later does not replace a newer one. ``updates`` is computed once.
+        """
+        _, staged = self._put(updates, "in")
+        if not staged:
+            return self.commit(meta=meta) if meta else self.version()
+        new = self._read(list(staged.values()))
+        now = self._manifest()["paths"]
+        old = self._read([now[b] for b in staged if b in now])
+        if old is None:
+            return self.commit(staged, meta)
+        k = self.key
+        if newest_by:
+            stored = old.select(k, F.col(newest_by).alias("__stored"))
+            new = (new.join(stored, k, "left").filter("__stored is null or " + f"`{newest_by}` >= __stored").drop("__stored"))
+        kept = old.join(new.select(k), k, "left_anti")
+        _, paths = self._put(kept.unionByName(new, allowMissingColumns=True), "rows")
+        return self.commit(paths, meta)
 
     def patch(self, changes: DataFrame) -> tuple[int, DataFrame]:
         """Partial update by key: a non-null column in ``changes`` replaces the
         stored value, null leaves it; keys not in the store come back as the
-        not-found frame (the 404 case) and are not written. With partitions,
-        only the partitions holding a changed key are rewritten (found from a
-        scan of the key and partition columns only)."""
-        full = self.read()
-        if full is None:
-            return self.version(), changes.select(self.key)
+        not-found frame (the 404 case) and are not written."""
         k = self.key
-        missing = changes.select(k).join(full.select(k), k, "left_anti")
-        cur = full
-        if self.partition_by:
-            hit = full.select(k, self.partition_by).join(changes.select(k), k, "left_semi")
-            parts = self._touched(hit)
-            if not parts:
-                return self.version(), missing
-            cur = self.spark.read.parquet(*self._current_paths(parts))
-        ch = changes.select(k, *[F.col(c).alias(f"__new_{c}") for c in changes.columns if c != k])
-        j = cur.join(ch, k, "left")
+        _, staged = self._put(changes, "in")
+        now = self._manifest()["paths"]
+        hit = [b for b in staged if b in now]
+        if not hit:
+            return self.version(), changes.select(k)
+        ch, cur = self._read(list(staged.values())), self._read([now[b] for b in hit])
+        missing = ch.select(k).join(cur.select(k), k, "left_anti")
+        new = ch.select(k, *[F.col(c).alias(f"__new_{c}") for c in ch.columns if c != k])
+        j = cur.join(new, k, "left")
         cols = [F.coalesce(F.col(f"__new_{c}"), F.col(c)).alias(c) if f"__new_{c}" in j.columns else F.col(c)
                 for c in cur.columns]
-        v = self._write(j.select(*cols))
-        return v, missing
+        _, paths = self._put(j.select(*cols), "rows")
+        return self.commit(paths), missing
 
     def vacuum(self, keep: int = 2) -> int:
-        """Delete all but the newest ``keep`` committed versions (per partition)."""
-        roots = [self.root] if not self.partition_by else [f"{self.root}/{n}" for n in self._part_dirs()]
-        removed = 0
-        for r in roots:
-            for v in _versions(self.spark, r)[:-keep]:
-                p, fs = _fs(self.spark, f"{r}/v{v:08d}")
-                fs.delete(p, True)
-                removed += 1
-        return removed
+        """Deletes all manifests but the newest ``keep`` and every directory none of those names
+        (no write may be under way); returns the number of directories."""
+        versions = sorted(self.versions())
+        used = {p.split("/")[1] for v in versions[-keep:] for p in self._manifest(v)["paths"].values()}
+        for v in versions[:-keep]:
+            p, fs = _fs(self.spark, f"{self.root}/manifest/m{v:08d}")
+            fs.delete(p, False)
+        gone = [n for n in _names(self.spark, f"{self.root}/data") if n not in used]
+        for n in gone:
+            p, fs = _fs(self.spark, f"{self.root}/data/{n}")
+            fs.delete(p, True)
+        return len(gone)

@@ -19,7 +19,7 @@ from presslens.streaming.source import decode, encode, file_stream
 
 LEFT_S = ["click", "view"]
 RIGHT_S = ["purchase", "signup"]
-STREAM_FILES = 4
+STREAM_PARTS = 4
 CUTOFF_NOW = dt.datetime(2024, 1, 1, 0, 0, 0)
 
 
@@ -34,34 +34,22 @@ def _raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(" ", "event_type", "props").alias("text"))
 
 
-def publish(df: DataFrame, path: str, files: int = 1, order_col: str | None = None) -> None:
-    """SNK-01 (file form): JSON-lines payloads; with ``files`` > 1, rows are
-    dealt into that many files by ``order_col`` modulo, written in sequence with
-    increasing modification times so a file stream reads them in order."""
-    spark = df.sparkSession
-    if files == 1:
-        encode(df.drop(order_col) if order_col else df).write.text(path)
-        return
-    jvm = spark.sparkContext._jvm
-    base = 1_700_000_000_000
-    for k in range(files):
-        part = df.filter(F.col(order_col) % files == k).drop(order_col)
-        sub = f"{path}/_tmp{k}"
-        encode(part).coalesce(1).write.text(sub)
-        src = jvm.org.apache.hadoop.fs.Path(sub)
-        fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for st in fs.listStatus(src):
-            name = st.getPath().getName()
-            if name.startswith("part-"):
-                dst = jvm.org.apache.hadoop.fs.Path(f"{path}/batch{k:04d}-{name}")
-                fs.rename(st.getPath(), dst)
-                fs.setTimes(dst, base + k * 60_000, -1)
+def publish(df: DataFrame, path: str, parts: int = 1, order_col: str | None = None) -> list[str]:
+    """SNK-01 (file form): JSON-lines payloads, in one partitioned write.
+
+    With ``parts`` > 1 rows are dealt by ``order_col`` modulo; returns the parts' directories."""
+    if parts == 1:
+        encode(df).write.text(path)
+        return [path]
+    dealt = df.withColumn("part", F.pmod(F.col(order_col), F.lit(parts))).drop(order_col)
+    encode(dealt, "part").write.partitionBy("part").text(path)
+    return [f"{path}/part={k}" for k in range(parts)]
 
 
 def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "stream-scored")
     publish(_raw_articles(spark, sf_dir).drop("event_id"), f"{root}/in")
-    store = KeyedStore(spark, f"{root}/store", partition_by="day")
+    store = KeyedStore(spark, f"{root}/store")
     q = run_scored_stream(decode(file_stream(spark, f"{root}/in")), LexiconScorer(LEFT_S, RIGHT_S), store,
                           f"{root}/checkpoint", trigger={"availableNow": True}, backoff=0)
     q.awaitTermination()
@@ -70,15 +58,20 @@ def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run of the stream per published part, all with one checkpoint: a scheduled job."""
     root = shared_dir(spark, "stream-cutoffs")
-    publish(_raw_articles(spark, sf_dir), f"{root}/in", STREAM_FILES, "event_id")
-    state = KeyedStore(spark, f"{root}/state", "source")
-    sink = KeyedStore(spark, f"{root}/sink", partition_by="day")
-    q = run_cutoff_stream(decode(file_stream(spark, f"{root}/in", 1)), state, sink, f"{root}/checkpoint",
-                          CUTOFF_NOW, trigger={"availableNow": True})
-    q.awaitTermination()
-    out = sink.read()
-    return out.select(F.regexp_extract("url", r"([0-9]+)$", 1).cast("bigint").alias("event_id"), "source")
+    parts = publish(_raw_articles(spark, sf_dir), f"{root}/staged", STREAM_PARTS, "event_id")
+    state, sink = KeyedStore(spark, f"{root}/state", "source"), KeyedStore(spark, f"{root}/sink")
+    jvm = spark.sparkContext._jvm
+    for k, part in enumerate(parts):
+        src, dst = (jvm.org.apache.hadoop.fs.Path(p) for p in (part, f"{root}/in/{k}"))
+        fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(dst.getParent())
+        fs.rename(src, dst)
+        q = run_cutoff_stream(decode(file_stream(spark, f"{root}/in/*")), state, sink, f"{root}/checkpoint",
+                              lambda: CUTOFF_NOW, trigger={"availableNow": True})
+        q.awaitTermination()
+    return sink.read().select(F.regexp_extract("url", r"([0-9]+)$", 1).cast("bigint").alias("event_id"), "source")
 
 
 _IN_L = ", ".join(S.q(x) for x in LEFT_S)
@@ -95,10 +88,10 @@ SELECT _id, source, round((1.0 + nr) / (2.0 + nl + nr), 6) AS bias, strftime(ts,
 
 _FLOOR = f"(TIMESTAMP '{CUTOFF_NOW:%Y-%m-%d %H:%M:%S}' - INTERVAL 2 HOURS)"
 _steps = [f"""f AS (SELECT event_id, event_type AS source, date_trunc('millisecond', CAST(ts AS TIMESTAMP)) AS d,
-                 event_id % {STREAM_FILES} AS k FROM events)""",
+                 event_id % {STREAM_PARTS} AS k FROM events)""",
           "a0 AS (SELECT event_id, source, d FROM f WHERE k = 0 AND d > " + _FLOOR + ")",
           "s0 AS (SELECT source, max(d) AS c FROM a0 GROUP BY source)"]
-for _k in range(1, STREAM_FILES):
+for _k in range(1, STREAM_PARTS):
     _steps.append(f"""a{_k} AS (SELECT f.event_id, f.source, f.d FROM f LEFT JOIN s{_k - 1} s ON f.source = s.source
                  WHERE f.k = {_k} AND f.d > coalesce(greatest(s.c, {_FLOOR}), {_FLOOR}))""")
     _steps.append(f"""s{_k} AS (SELECT coalesce(s.source, n.source) AS source,
@@ -107,7 +100,7 @@ for _k in range(1, STREAM_FILES):
                  ON s.source = n.source)""")
 
 register("stream_cutoffs", "WITH " + ",\n".join(_steps) + "\n" +
-         " UNION ALL ".join(f"SELECT event_id, source FROM a{k}" for k in range(STREAM_FILES)))(stream_cutoffs)
+         " UNION ALL ".join(f"SELECT event_id, source FROM a{k}" for k in range(STREAM_PARTS)))(stream_cutoffs)
 
 
 # --- STM-07 clean stream ------------------------------------------------------
@@ -131,7 +124,7 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = run_clean_stream(decode(file_stream(spark, f"{root}/in"), SCRAPED_ARTICLE), store, f"{root}/ckpt",
                          f"{root}/feed", trigger={"availableNow": True})
     q.awaitTermination()
-    feed = spark.read.schema("url string, date bigint, text string").json(f"{root}/feed")
+    feed = spark.read.schema("url string, date bigint, text string").json(f"{root}/feed/*/*")
     return feed.select("url", F.col("date").alias("date_ms"), F.md5("text").alias("text_md5"))
 
 

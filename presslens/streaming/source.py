@@ -34,9 +34,10 @@ def decode(stream: DataFrame, schema: T.StructType = RAW_ARTICLE) -> DataFrame:
     return parsed.filter(F.col("url").isNotNull() | F.col("title").isNotNull())
 
 
-def encode(df: DataFrame) -> DataFrame:
-    """SNK-01 shape: one JSON ``value`` per row (dates as epoch ms)."""
+def encode(df: DataFrame, *keep: str) -> DataFrame:
+    """SNK-01 shape: one JSON ``value`` per row (dates as epoch ms), beside the ``keep`` columns."""
     out = df
     if "date" in df.columns and dict(df.dtypes)["date"].startswith("timestamp"):
         out = out.withColumn("date", F.unix_millis(F.col("date").cast("timestamp")))
-    return out.select(F.to_json(F.struct(*[F.col(c) for c in out.columns])).alias("value"))
+    own = [F.col(c) for c in out.columns if c not in keep]
+    return out.select(*keep, F.to_json(F.struct(*own)).alias("value"))
