@@ -1,6 +1,5 @@
-"""Sorts, pages and limits (SRT-01..05). Paging is ORDER BY + OFFSET + LIMIT,
-which Spark plans as a bounded top-(offset+limit) per partition
-(TakeOrderedAndProject), never a full sort of the table."""
+"""Sorts, pages and limits (SRT-01..05). Paging keeps a bounded top-(offset+limit)
+of every task and of groups of tasks, never a full sort of the table."""
 
 from __future__ import annotations
 
@@ -25,23 +24,16 @@ def page(df: DataFrame, page_no=1, limit=specs.FEED_PAGE_SIZE,
     return top_k(df, n, order, offset=max(p - 1, 0) * n)
 
 
-def top_k(df: DataFrame, k: int, order: list[Column], offset: int = 0,
-          direct_max_partitions: int = 256) -> DataFrame:
+def top_k(df: DataFrame, k: int, order: list[Column], offset: int = 0, spread: int = 64) -> DataFrame:
     """Rows ``offset .. offset+k-1`` in ``order`` (which must be a total order).
 
-    With few input partitions this is ORDER BY + OFFSET + LIMIT (Spark keeps
-    the top rows per partition and merges them in one task). With many, that
-    merge would receive offset+k rows from every partition, so a first level
-    keeps offset+k rows per group of ~sqrt(P) partitions (a window group limit
-    that runs before its shuffle) and only those groups' winners are merged.
+    A merge of the best offset+k rows of every task would give one task that many rows
+    from each; so the tasks are first merged in ``spread`` parts (a window group limit, which also runs
+    before its shuffle), and the last task gets the best of those.
     """
     m = offset + k
-    parts = df.rdd.getNumPartitions()
-    if parts <= direct_max_partitions:
-        return df.orderBy(*order).offset(offset).limit(k)
-    groups = max(2, int(parts ** 0.5))
     w = Window.partitionBy("__tk").orderBy(*order)
-    first = (df.withColumn("__tk", F.spark_partition_id() % groups)
+    first = (df.withColumn("__tk", F.pmod(F.spark_partition_id(), F.lit(spread)))
              .withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= m)
              .drop("__tk", "__rn"))
     return first.orderBy(*order).offset(offset).limit(k)

@@ -4,16 +4,13 @@ Scale notes
 -----------
 * Keep-first / last-write-wins are aggregations (``min``/``max`` of a struct led
   by the order key), not full-group windows: the partial aggregate collapses a
-  hot key to one row per map task before the shuffle.
-* Exact-N samples order rows by an md5 hash of (key, seed). Because that hash is
-  uniform, each group is first thinned to a threshold a little above its n-th
-  smallest hash (computed from the group count), so the per-group window only
-  sees ~n rows even when one group holds a third of the table. Groups the
-  threshold thinned too far (a vanishing-probability event) are redone
-  unthinned, so the result is always exact.
-* The global split ranks rows only inside the one hash bucket that holds the
-  cut; every other row is classified by a join against a bucket table of
-  bounded size (16^4 rows), so there is no single-partition window.
+  hot key to one row per map task before the shuffle. They carry the columns they return, so project first.
+* Exact-N samples and splits follow the order of an md5 hash of (key, seed). Where a group's
+  sample ends - the hash and key of its last row - is found from a scan of the keys alone; the rows
+  themselves are then filtered where they are, without a shuffle.
+* That end is found in two levels of per-group limits (tasks, then ``SPREAD`` parts of a group, then the
+  group), so even a group that holds a third of all rows sends one task no more than SPREAD * n keys.
+* The split looks for its cut in counts by hash bucket, then in the one bucket that holds it.
 """
 
 from __future__ import annotations
@@ -25,8 +22,8 @@ from presslens.functions.metrics import hash_key
 
 _H = "__h"
 _RN = "__rn"
-# largest merge (rows) a direct global top-n may hand to its single final task
-DIRECT_TOPN_MAX_ROWS = 2_000_000
+SPREAD = 64  # parts of a group in the first level
+MAX_GROUPS = 1_000_000  # groups of a sample: one end each is broadcast
 
 
 def _cols(df: DataFrame, exclude=()) -> list[str]:
@@ -56,60 +53,54 @@ def last_write_wins(df: DataFrame, key: str | list[str], order: str,
             .select(*df.columns))
 
 
-def sample_exact(df: DataFrame, n: int, by: str | None, key: str, seed: int,
-                 margin: float | None = None) -> DataFrame:
-    """WIN-03: exactly min(n, group size) rows per group, chosen by the seeded
-    hash order (ties broken by ``key``); reproducible across partitionings.
+def _first_keys(df: DataFrame, n: int, by: str | None, key: str, seed: int) -> DataFrame:
+    """(by, __h, key) of the first ``n`` of each group, or of all, in hash order."""
+    group = [] if by is None else [F.col(by).alias("__g")]
+    keys = df.select(*group, hash_key(key, seed).alias(_H), F.col(key).alias("__k"),
+                     F.pmod(F.spark_partition_id(), F.lit(SPREAD)).alias("__part"))
+    levels = [["__g"] if group else [], ["__part"]]
+    part = Window.partitionBy(*levels[0], *levels[1]).orderBy(_H, "__k")
+    keys = keys.withColumn(_RN, F.row_number().over(part)).filter(F.col(_RN) <= n).drop(_RN, "__part")
+    if by is None:
+        return keys.orderBy(_H, "__k").limit(n)
+    whole = Window.partitionBy("__g").orderBy(_H, "__k")
+    return keys.withColumn(_RN, F.row_number().over(whole)).filter(F.col(_RN) <= n).drop(_RN)
+
+
+def sample_exact(df: DataFrame, n: int, by: str | None, key: str, seed: int) -> DataFrame:
+    """WIN-03: exactly min(n, group size) rows per group (null is a group), chosen by the seeded
+    hash order (ties broken by ``key``, which is unique); reproducible across partitionings.
 
-    Plan: group counts (hash aggregate) -> each row kept when its hash is below
-    the group's threshold (n plus a 6-sigma margin over the count) -> one window
-    over the survivors, which also counts them. A group left short of
-    min(n, size) (probability ~e^-18) is redone from all its rows; that branch
-    joins against the short groups, which AQE turns into an empty relation when
-    there are none.
+    ``df`` is scanned twice: its keys for the end of each group's sample, then its rows, each compared
+    with the end of its group. More than MAX_GROUPS groups are an error.
     """
+    first = _first_keys(df, n, by, key, seed)
+    end = F.max(F.struct(_H, "__k")).alias("__end")
+    place = F.struct(hash_key(key, seed).alias(_H), F.col(key).alias("__k"))
     if by is None:
-        # A direct top-n merges n rows from every input partition in one task:
-        # fine while that is small; beyond, one global group is thinned like
-        # the per-group case, so no task sees more than ~n rows.
-        if margin is None and n * df.rdd.getNumPartitions() <= DIRECT_TOPN_MAX_ROWS:
-            return (df.withColumn(_H, hash_key(key, seed)).orderBy(_H, key).limit(n).drop(_H))
-        one = sample_exact(df.withColumn("__all", F.lit(0)), n, "__all", key, seed, margin)
-        return one.drop("__all")
-    h = df.withColumn(_H, hash_key(key, seed))
-    hex8 = F.conv(F.substring(F.col(_H), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-    counts = h.groupBy(by).agg(F.count(F.lit(1)).alias("__c"))
-    margin = n + 6.0 * n ** 0.5 + 64.0 if margin is None else margin
-    thin = counts.select(by, "__c", F.least(F.lit(1.0), F.lit(margin) / F.col("__c")).alias("__p"))
-    cand = h.join(thin, by).filter(hex8 < F.col("__p"))
-    w = Window.partitionBy(by).orderBy(_H, key)
-    picked = (cand.withColumn(_RN, F.row_number().over(w))
-              .withColumn("__s", F.count(F.lit(1)).over(Window.partitionBy(by))))
-    need = F.least(F.col("__c"), F.lit(n))
-    ok = picked.filter((F.col("__s") >= need) & (F.col(_RN) <= n))
-    # groups with too few survivors, including groups thinned to none
-    full = picked.filter(F.col("__s") >= need).select(by).distinct()
-    short = counts.select(by).join(full, by, "left_anti")
-    redo = (h.join(short, by, "left_semi")
-            .withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) <= n))
-    return ok.select(*df.columns).unionByName(redo.select(*df.columns))
+        return df.filter(F.coalesce(place <= first.agg(end).scalar(), F.lit(False)))
+    ends = first.groupBy("__g").agg(end)
+    groups = ends.select(F.count(F.lit(1))).scalar()
+    ends = ends.filter(F.when(groups <= MAX_GROUPS, F.lit(True)).otherwise(
+        F.raise_error(F.lit("too many groups for one sample")).cast("boolean")))
+    return df.join(F.broadcast(ends), F.col(by).eqNullSafe(F.col("__g"))).filter(place <= F.col("__end")).drop("__g", "__end")
 
 
 def rank_slices(df: DataFrame, bounds: list[tuple[int, int]], key: str, seed: int,
                 label: str = "slice") -> DataFrame:
     """WIN-04: seeded shuffle, then disjoint positional slices [lo, hi] (0-based,
-    inclusive). Only the first max(hi)+1 rows in hash order matter: they are
-    exactly the rows ``sample_exact`` picks for n = max(hi)+1 (thinned by a
-    hash threshold, exact), and only those few rows are ranked."""
+    inclusive). Only the first max(hi)+1 keys in hash order matter; they alone are
+    ranked, and rows are labelled by the key, which is unique."""
     top = max(hi for _, hi in bounds) + 1
-    head = sample_exact(df, top, None, key, seed).withColumn(_H, hash_key(key, seed))
-    # bounded: at most ``top`` rows reach this single ordered window
-    ranked = head.withColumn("__pos", F.row_number().over(Window.orderBy(_H, key)) - 1)
+    first = _first_keys(df, top, None, key, seed)
+    # bounded: at most ``top`` keys reach this single ordered window
+    ranked = first.withColumn("__pos", F.row_number().over(Window.orderBy(_H, "__k")) - 1)
     expr = None
     for i, (lo, hi) in enumerate(bounds):
         cond = F.col("__pos").between(lo, hi)
         expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return ranked.withColumn(label, expr).filter(F.col(label).isNotNull()).drop(_H, "__pos")
+    ranked = ranked.select("__k", expr.alias(label)).filter(F.col(label).isNotNull())
+    return df.join(F.broadcast(ranked), F.col(key) == F.col("__k")).drop("__k")
 
 
 def shuffle(df: DataFrame, key: str, seed: int) -> DataFrame:
@@ -119,31 +110,26 @@ def shuffle(df: DataFrame, key: str, seed: int) -> DataFrame:
 
 def train_val_split(df: DataFrame, frac: float, key: str, seed: int,
                     label: str = "split", digits: int = 4) -> DataFrame:
-    """WIN-05: rows ranked by the seeded hash; rank < floor(frac * n) -> 'train',
+    """WIN-05: rows ranked by the seeded hash; rank <= floor(frac * n) -> 'train',
     else 'val'. ``key`` must be unique.
 
-    Buckets = first ``digits`` hex chars of the hash (at most 16**digits rows in
-    the bucket table). Buckets wholly before / after the cut are labelled through
-    the join; only the bucket holding the cut is ranked by a window.
+    Two scans of the keys find the last row of 'train': counts by the hash's first
+    ``digits`` hex characters (at most 16**digits rows) tell its bucket, the bucket's keys the row. Rows are
+    then labelled where they are.
     """
-    h = df.withColumn(_H, hash_key(key, seed)).withColumn("__b", F.substring(F.col(_H), 1, digits))
-    per_b = h.groupBy("__b").agg(F.count(F.lit(1)).alias("__cnt"))
-    # bounded (<= 16**digits rows): one ordered window over the bucket table is fine
-    wb = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    wall = Window.partitionBy(F.lit(1))
-    btab = (per_b.withColumn("__start", F.coalesce(F.sum("__cnt").over(wb), F.lit(0)))
-            .withColumn("__cut", F.floor(F.lit(float(frac)) * F.sum("__cnt").over(wall)))
-            .withColumn("__need", F.col("__cut") - F.col("__start"))
-            .select("__b", "__cnt", "__need"))
-    j = h.join(F.broadcast(btab), "__b")
-    whole = j.filter((F.col("__need") <= 0) | (F.col("__need") >= F.col("__cnt")))
-    whole = whole.withColumn(label, F.when(F.col("__need") <= 0, "val").otherwise("train"))
-    edge = j.filter((F.col("__need") > 0) & (F.col("__need") < F.col("__cnt")))
-    edge = edge.withColumn(
-        label, F.when(F.row_number().over(Window.partitionBy("__b").orderBy(_H, key)) <= F.col("__need"),
-                      "train").otherwise("val"))
-    out = whole.unionByName(edge)
-    return out.select(*df.columns, label)
+    keys = df.select(hash_key(key, seed).alias(_H), F.col(key).alias("__k"))
+    bucket = F.substring(F.col(_H), 1, digits)
+    # bounded (<= 16**digits rows): an ordered window over the bucket table is fine
+    table = keys.groupBy(bucket.alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
+    table = table.withColumn("__upto", F.sum("__n").over(Window.orderBy("__b")))
+    train = F.floor(F.lit(float(frac)) * F.sum("__n").over(Window.partitionBy(F.lit(1))))
+    edge = table.withColumn("__need", train - F.col("__upto") + F.col("__n")).filter(
+        (F.col("__need") > 0) & (F.col("__need") <= F.col("__n"))).select("__b", "__need")  # one row, or none of frac 0
+    rank = F.row_number().over(Window.partitionBy("__b").orderBy(_H, "__k"))
+    last = (keys.withColumn("__b", bucket).join(F.broadcast(edge), "__b").withColumn(_RN, rank)
+            .filter(F.col(_RN) == F.col("__need")).agg(F.max(F.struct(_H, "__k"))))
+    place = F.struct(hash_key(key, seed).alias(_H), F.col(key).alias("__k"))
+    return df.withColumn(label, F.when(place <= last.scalar(), F.lit("train")).otherwise(F.lit("val")))
 
 
 def cap_per_group(df: DataFrame, by: str, order: str, k: int) -> DataFrame:

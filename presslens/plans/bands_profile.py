@@ -13,7 +13,8 @@ from presslens.functions.bands import (band_dimension, class_dimension, cut, ide
 from presslens.functions.metrics import target_score
 from presslens.operators.aggregates import counts_by, describe, histogram, kde
 from presslens.operators.setops import union_all
-from presslens.operators.windows import rank_slices, sample_exact, shuffle
+from presslens.functions.metrics import hash_key
+from presslens.operators.windows import rank_slices, sample_exact, with_position
 from presslens.plans import sql as S
 from presslens.sources.tables import articles
 
@@ -80,9 +81,7 @@ def kde_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- JOB-05 class balancing -------------------------------------------------
-# Reference sizes are 500 Left, neutral slices 0-599 / 600-848 / 849-1047 and 93
-# far-right rewrites for a corpus of a few thousand; the binding scales them to
-# the driver tables (parameters, not logic).
+# The binding's sizes; the library's defaults (specs) are for a corpus of a few thousand.
 LEFT_CAP = 150
 NEUTRAL_SLICES = [(0, 119), (120, 159), (160, 199)]
 FAR_RIGHT_TRIM = 30
@@ -91,8 +90,8 @@ FAR_RIGHT_TARGET = (0.85, 1.0)
 
 
 def balance_classes(scored: DataFrame, rewrites: DataFrame | None = None, seed: int = specs.SEED,
-                    left_cap: int = LEFT_CAP, neutral_slices=NEUTRAL_SLICES,
-                    far_right_trim: int = FAR_RIGHT_TRIM) -> DataFrame:
+                    left_cap: int = specs.LEFT_CAP, neutral_slices=specs.NEUTRAL_SLICES,
+                    far_right_trim: int | None = specs.FAR_RIGHT_TRIM, final_spec=specs.RANGE5_TAIL) -> DataFrame:
     """JOB-05 on rows (doc_id, source, title, text, bias[, date]).
 
     Bands on range5_even; Far-Left, Right, Far-Right kept whole; Left sampled to
@@ -101,7 +100,7 @@ def balance_classes(scored: DataFrame, rewrites: DataFrame | None = None, seed:
     text comes from ``rewrites`` (doc_id, title, text) when given - the rewrite
     generator is an external hook - else is carried over; their target score is
     a seeded uniform draw (MTH-08). Far-right synthetic rows are trimmed to
-    ``far_right_trim``. The final set is banded with range5_tail.
+    ``far_right_trim`` (None: all stay). The final set is banded with ``final_spec``.
     """
     spec = specs.RANGE5_EVEN
     labs = spec["labels"]
@@ -123,20 +122,31 @@ def balance_classes(scored: DataFrame, rewrites: DataFrame | None = None, seed:
             F.lit(True).alias("is_synthetic"))
 
     synth_r = synth(1, RIGHT_TARGET)
-    synth_fr = sample_exact(synth(2, FAR_RIGHT_TARGET), far_right_trim, None, "doc_id", seed)
+    synth_fr = synth(2, FAR_RIGHT_TARGET)
+    if far_right_trim is not None:
+        synth_fr = sample_exact(synth_fr, far_right_trim, None, "doc_id", seed)
     final = union_all(authentic, synth_r, synth_fr)
-    return final.withColumn("bias_range", cut("bias", specs.RANGE5_TAIL))
+    return final.withColumn("bias_range", cut("bias", final_spec))
 
 
 def balance_classes_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = articles(spark, sf_dir).select("doc_id", "source", "url", "title", "text", F.col("score").alias("bias"))
-    out = balance_classes(a)
+    out = balance_classes(a, None, specs.SEED, LEFT_CAP, NEUTRAL_SLICES, FAR_RIGHT_TRIM)
     return out.select("doc_id", "source", "url", "is_synthetic", "bias", "bias_range")
 
 
+def balance_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plain variant: rewrites (here: the text after its first line) for all queued rows, no trim, even bands."""
+    a = articles(spark, sf_dir).select("doc_id", "source", "url", "title", "text", F.col("score").alias("bias"))
+    rewrites = a.select("doc_id", "title", F.regexp_replace("text", r"^[^\n]*\n?", "").alias("text"))
+    out = balance_classes(a, rewrites, specs.SEED, LEFT_CAP, NEUTRAL_SLICES, None, specs.RANGE5_EVEN)
+    return out.select("doc_id", "source", "is_synthetic", "bias", "bias_range", F.md5("text").alias("text_md5"))
+
+
 def balanced_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """WIN-07 on the balanced set (final ``sample(frac=1)``)."""
-    return shuffle(balance_classes_q(spark, sf_dir), "doc_id", specs.SEED)
+    """WIN-07 on the balanced set (final ``sample(frac=1)``): every row's place in the shuffled order."""
+    out = balance_classes_q(spark, sf_dir).select("doc_id", "is_synthetic", hash_key("doc_id", specs.SEED).alias("h"))
+    return with_position(out.withColumn("o", F.struct("h", "doc_id")), "o").select("doc_id", "is_synthetic", "pos")
 
 
 def _cut_sql(e: str, spec) -> str:
@@ -231,7 +241,7 @@ FROM g, a GROUP BY g.g, g.x, g.h, g.n
 """)(kde_q)
 
 _NS = NEUTRAL_SLICES
-register("balance_classes", f"""
+_BALANCED = f"""
 WITH a AS (SELECT doc_id, source, 'doc/' || CAST(doc_id AS VARCHAR) AS url, {S.score('doc_id', 37)} AS bias FROM documents),
 b AS (SELECT *, {_cut_sql('bias', specs.RANGE5_EVEN)} AS band, {_H} AS h, {_H01} AS h01 FROM a),
 keep AS (SELECT doc_id, source, url, false AS is_synthetic, bias FROM b
@@ -254,5 +264,22 @@ sfr AS (SELECT doc_id, source, url, is_synthetic, bias FROM (
           FROM neu WHERE pos BETWEEN {_NS[2][0]} AND {_NS[2][1]}) WHERE rn <= {FAR_RIGHT_TRIM}),
 u AS (SELECT * FROM keep UNION ALL SELECT * FROM lft UNION ALL SELECT * FROM core
       UNION ALL SELECT * FROM sr UNION ALL SELECT * FROM sfr)
+"""
+
+register("balance_classes", _BALANCED + f"""
 SELECT doc_id, source, url, is_synthetic, bias, {_cut_sql('bias', specs.RANGE5_TAIL)} AS bias_range FROM u
 """)(balance_classes_q)
+
+register("balanced_shuffled", _BALANCED + f"""
+SELECT doc_id, is_synthetic, row_number() OVER (ORDER BY {_H}, doc_id) - 1 AS pos FROM u
+""")(balanced_shuffled)
+
+register("balance_plain", _BALANCED + f""",
+p AS (SELECT * FROM keep UNION ALL SELECT * FROM lft UNION ALL SELECT * FROM core UNION ALL SELECT * FROM sr
+      UNION ALL SELECT doc_id, 'synthetic-' || source, 'synthetic', true,
+                       round({FAR_RIGHT_TARGET[0]} + {FAR_RIGHT_TARGET[1] - FAR_RIGHT_TARGET[0]!r} * h01, 2)
+                FROM neu WHERE pos BETWEEN {_NS[2][0]} AND {_NS[2][1]})
+SELECT p.doc_id, p.source, is_synthetic, bias, {_cut_sql('bias', specs.RANGE5_EVEN)} AS bias_range,
+       md5(CASE WHEN is_synthetic THEN regexp_replace(text, '^[^\n]*\n?', '') ELSE text END) AS text_md5
+FROM p JOIN documents d USING (doc_id)
+""")(balance_plain)

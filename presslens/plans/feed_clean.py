@@ -11,7 +11,6 @@ from presslens.functions.bands import default_score_feed, lean_feed, pct
 from presslens.functions.text import apply_marker_rules, general_clean
 from presslens.operators.filters import drop_bad_dates, drop_missing, min_length
 from presslens.operators.projections import materialize
-from presslens.session import cut_lineage
 from presslens.operators.windows import dedup_keep_first
 from presslens.plans import sql as S
 from presslens.sources.tables import articles
@@ -20,11 +19,13 @@ FEED_COLUMNS = ["source", "url", "title", "date", "text"]
 
 
 def clean_feed(raw: DataFrame, dedup_key: str = "url", order: str = "ord",
-               require=("title", "date", "url"), min_chars: int = specs.MIN_TEXT_CHARS) -> DataFrame:
+               require=("title", "date", "url"), min_chars: int = specs.MIN_TEXT_CHARS,
+               keep: tuple[str, ...] | None = None) -> DataFrame:
     """JOB-01: source cleaners -> general cleaner -> null/length/date filters ->
     keep-first dedup. Each cleaning step is its own projection (computed once
     per row); the dedup is the only shuffle, a partial aggregate, so repeated
-    keys shrink map-side. ``dedup_key="text_md5"`` dedups on the cleaned text."""
+    keys shrink map-side. ``dedup_key="text_md5"`` dedups on the cleaned text. Give ``keep`` where not all
+    columns are wanted: the others then stay out of the shuffle."""
     df = materialize(raw, "text", general_clean(apply_marker_rules("text", "source")))
     df = drop_missing(df, [c for c in require if c in df.columns])
     df = min_length(df, "text", min_chars)
@@ -34,6 +35,8 @@ def clean_feed(raw: DataFrame, dedup_key: str = "url", order: str = "ord",
         df = df.withColumn("text_md5", F.md5("text"))
     if dedup_key not in df.columns:
         raise ValueError(f"no dedup key {dedup_key}")
+    if keep is not None:
+        df = df.select(*dict.fromkeys((*keep, dedup_key, order)))
     return dedup_keep_first(df, dedup_key, order)
 
 
@@ -54,7 +57,7 @@ def feed_summary(feed: DataFrame) -> DataFrame:
 
 def clean_feed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = articles(spark, sf_dir).select("ord", "source", "url", "title", "text", "score")
-    feed = clean_feed(a, dedup_key="text_md5", require=("title", "url"))
+    feed = clean_feed(a, dedup_key="text_md5", require=("title", "url"), keep=("source", "score"))
     return feed_summary(feed)
 
 
@@ -77,10 +80,10 @@ FROM s GROUP BY source
 
 
 # --- JOB-02 historical dataset build ----------------------------------------
-PER_SOURCE = 30
+PER_SOURCE = 30  # of the binding: the driver tables are small
 
 
-def dataset_build(raw: DataFrame, per_source: int = PER_SOURCE, seed: int = specs.SEED,
+def dataset_build(raw: DataFrame, per_source: int = specs.PER_SOURCE, seed: int = specs.SEED,
                   years=None, require=("title", "date", "url")) -> DataFrame:
     """JOB-02: cleaned union of article files -> null / length (/ year) filters
     -> exact seeded sample per source -> seeded shuffle."""
@@ -91,9 +94,6 @@ def dataset_build(raw: DataFrame, per_source: int = PER_SOURCE, seed: int = spec
     df = min_length(df, "text")
     if years is not None and "date" in df.columns:
         df = year_in(drop_bad_dates(df, "date"), "date", years)
-    # the sampler reads its input in several branches; the cleaned set is
-    # written once to the shared checkpoint folder instead of recomputed
-    df = cut_lineage(df)
     return shuffle(sample_exact(df, per_source, "source", "url", seed), "url", seed)
 
 
@@ -105,7 +105,7 @@ def dataset_build_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = table(spark, sf_dir, "benchmark").select(
         F.lit("benchmark").alias("source"), F.concat(F.lit("bench/"), F.col("item_id").cast("string")).alias("url"),
         first_line("text").alias("title"), "text")
-    out = dataset_build(union_all(d, b), require=("title", "url"))
+    out = dataset_build(union_all(d, b), PER_SOURCE, require=("title", "url"))
     return out.select("source", "url", F.length("text").alias("n_chars"))
 
 

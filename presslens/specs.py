@@ -103,6 +103,10 @@ CHAT_END = "<|im_end|>"
 FEED_PAGE_SIZE = 25
 XML_CAP = 3  # sub-sitemaps followed per domain
 RECENT_SIZE = 5
+PER_SOURCE = 2000  # articles of a source in the historical dataset
+LEFT_CAP = 500
+NEUTRAL_SLICES = [(0, 599), (600, 848), (849, 1047)]
+FAR_RIGHT_TRIM = 93
 LOOKBACK_HOURS = 2
 SEED = 42
 

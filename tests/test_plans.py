@@ -39,4 +39,4 @@ def test_flagship_scan_is_pruned(spark):
 
 def test_feed_page_is_bounded_top_k(spark):
     plan = _plan(catalog.queries()["feed_page"](spark, SMALL))
-    assert "TakeOrderedAndProject" in plan and "Sort [" not in plan
+    assert "TakeOrderedAndProject" in plan and "WindowGroupLimit" in plan

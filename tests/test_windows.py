@@ -3,6 +3,7 @@ third of the rows, and invariance to the number of partitions."""
 
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from presslens.operators.windows import (cap_per_group, dedup_keep_first, last_write_wins, rank_slices,
@@ -32,12 +33,22 @@ def test_sample_exact_sizes_and_brute_force(spark):
     assert got == exp
 
 
-def test_sample_exact_redo_path_is_exact(spark):
-    # a zero margin thins every group to nothing, so every group is redone
-    df = _skewed(spark)
-    a = {r.id for r in sample_exact(df, 25, "grp", "id", 42, margin=0.0).collect()}
-    b = {r.id for r in sample_exact(df, 25, "grp", "id", 42).collect()}
-    assert a == b and len(a) == 25 * 18
+def test_sample_exact_of_a_null_group_and_small_groups(spark):
+    df = spark.createDataFrame([(i, None if i % 2 else f"g{i % 10}") for i in range(200)], "id long, grp string").repartition(6)
+    got = {}
+    for r in sample_exact(df, 30, "grp", "id", 1).collect():
+        got.setdefault(r.grp, []).append(r.id)
+    assert {g: len(v) for g, v in got.items()} == {None: 30, **{f"g{k}": 20 for k in (0, 2, 4, 6, 8)}}
+    assert sorted(got[None]) == sorted(sorted((i for i in range(200) if i % 2), key=lambda k: (_h(k, 1), k))[:30])
+    assert sample_exact(df.filter("false"), 5, "grp", "id", 1).count() == 0
+    assert sample_exact(df.filter("false"), 5, None, "id", 1).count() == 0
+
+
+def test_too_many_groups_are_an_error(spark, monkeypatch):
+    from presslens.operators import windows
+    monkeypatch.setattr(windows, "MAX_GROUPS", 3)
+    with pytest.raises(Exception, match="too many groups"):
+        sample_exact(_skewed(spark), 2, "grp", "id", 1).collect()
 
 
 def test_sample_exact_partition_invariant(spark):
@@ -46,18 +57,20 @@ def test_sample_exact_partition_invariant(spark):
     assert a == b
 
 
-def test_sample_exact_global(spark, monkeypatch):
-    from presslens.operators import windows
-    df = _skewed(spark)
-    exp = sorted(sorted(range(3000), key=lambda k: (_h(k, 42), k))[:10])
-    assert sorted(r.id for r in sample_exact(df, 10, None, "id", 42).collect()) == exp
-    monkeypatch.setattr(windows, "DIRECT_TOPN_MAX_ROWS", 0)   # force the thinned path
-    assert sorted(r.id for r in sample_exact(df, 10, None, "id", 42).collect()) == exp
-    got = {r.id: r.slice for r in rank_slices(df, [(0, 4), (5, 9)], "id", 42).collect()}
+def test_sample_exact_global(spark):
+    df = _skewed(spark, parts=80)  # more tasks than parts of the first level
     order = sorted(range(3000), key=lambda k: (_h(k, 42), k))
+    assert sorted(r.id for r in sample_exact(df, 10, None, "id", 42).collect()) == sorted(order[:10])
+    got = {r.id: r.slice for r in rank_slices(df, [(0, 4), (5, 9)], "id", 42).collect()}
     assert got == {**{k: 0 for k in order[:5]}, **{k: 1 for k in order[5:10]}}
 
 
+@pytest.mark.parametrize("frac", [0.0, 0.5, 1.0])
+def test_split_ends(spark, frac):
+    got = [r.split for r in train_val_split(_skewed(spark, n=101), frac, "id", 42).collect()]
+    assert got.count("train") == int(frac * 101) and len(got) == 101
+
+
 def test_train_val_split_matches_rank(spark):
     df = _skewed(spark, n=2345)
     got = {r.id: r.split for r in train_val_split(df, 0.9, "id", 42, digits=2).collect()}
@@ -111,11 +124,10 @@ def test_split_partition_invariant(spark):
     assert a == b and sum(v == "train" for v in a.values()) == int(0.9 * 1500)
 
 
-def test_top_k_two_level_equals_direct(spark):
+def test_top_k(spark):
     from presslens.operators.sort import top_k
     df = spark.createDataFrame([(i, (i * 37) % 101) for i in range(3000)], "id long, v long").repartition(40)
     order = [F.col("v").desc(), F.col("id").asc()]
-    direct = [tuple(r) for r in top_k(df, 25, order, offset=50).collect()]
-    tree = [tuple(r) for r in top_k(df, 25, order, offset=50, direct_max_partitions=4).collect()]
     exp = sorted([(i, (i * 37) % 101) for i in range(3000)], key=lambda r: (-r[1], r[0]))[50:75]
-    assert direct == exp and tree == exp
+    for spread in (1, 4, 64):
+        assert [tuple(r) for r in top_k(df, 25, order, offset=50, spread=spread).collect()] == exp
