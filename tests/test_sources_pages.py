@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from presslens.sources.files import guarded, read_json_auto, read_jsonl_tolerant, read_lookup, read_split_json
-from presslens.sources.pages import DEFAULT_RULES, extract_page, harvest_links, resolve_url
+from presslens.sources.pages import (DEFAULT_RULES, GENERIC_RULE, extract_articles, extract_page, harvest_links,
+                                     resolve_url)
 
 SCH = T.StructType([T.StructField("url", T.StringType()), T.StructField("bias", T.DoubleType())])
 
@@ -55,19 +56,46 @@ HTML = ('<html><head><meta property="article:published_time" content="2026-04-30
 def test_extract_rules():
     d = extract_page("https://www.tanea.gr/2026/04/30/x", HTML, DEFAULT_RULES)
     assert d == {"rule": "tanea.gr", "title": "Big & news", "date": "2026-04-30T07:54:20Z",
-                 "text": "First tail Second"}
+                 "text": "First tail Second", "error": None}  # texts of the paragraphs themselves
     d2 = extract_page("https://www.tovima.gr/x", HTML, DEFAULT_RULES)
     assert d2["date"] == "2026-04-30T10:00:00+03:00"
     assert extract_page("https://unknown.org/x", HTML, DEFAULT_RULES)["rule"] is None
 
 
-def test_links_resolved(spark):
-    df = spark.createDataFrame([(1, "https://www.tanea.gr/dir/page?q=1#f", HTML)], "page_id int, url string, html string")
+def test_extract_other_layouts():
+    page = "<article><h1>T</h1><p>One <b>bold <i>it</i></b> end<p>two<br>x</p>no<script>s</script></article><p>out</p>"
+    assert extract_page("http://a.b/", page, [GENERIC_RULE])["text"] == "One bold it end two x"
+    cnt = '<div class="x cnt">own<p>a <b>b</b></p><div>c</div></div><div>d</div>'
+    assert extract_page("http://protothema.gr", cnt, DEFAULT_RULES)["text"] == "a b c"  # below the element, not its own text
+    date = '<span class="created"> 30 April </span><time datetime="t"></time>'
+    assert extract_page("http://iefimerida.gr", date, DEFAULT_RULES)["date"] == "30 April"
+    inside = '<div class="article-date"><time> 1 May </time></div>'
+    assert extract_page("http://in.gr", inside, DEFAULT_RULES)["date"] == "1 May"
+    empty = {"rule": "", "title": None, "date": "", "text": None, "error": None}
+    assert extract_page(None, None, [GENERIC_RULE]) == extract_page("x", "", [GENERIC_RULE]) == empty
+
+
+def test_deep_pages_and_bad_rows(spark):
+    deep = "<article>" + "<div>" * 5000 + "<p>deep</p>" + "</div>" * 5000 + "</article>"
+    df = spark.createDataFrame([(1, "http://a.b/", deep), (2, "http://a.b/", "<article><p>ok"), (3, None, None),
+                                (4, "http://a.b/", "<![bad["), (5, "http://a.b/", "<p " * 2000)], "page_id int, url string, html string")
+    got = {r.page_id: r.text for r in extract_articles(df).collect()}
+    assert got[1] == "deep" and got[2] == "ok" and len(got) == 5
+
+
+def test_links_of_all_blocks_and_quotes(spark):
+    page = ("<nav><a href='/no'></a></nav><article><a class=x href=\"/a\">A</a><a href='b?x=1&amp;y'>B</a><a href=c>C</a>"
+            "<a name=n>N</a><a href=\"/a\">again</a></article><article><A HREF=\"../d\">D</A></article>")
+    df = spark.createDataFrame([(1, "http://h.com/p/q/r", page)], "page_id int, url string, html string")
     got = sorted(r.link for r in harvest_links(df).collect())
-    assert got == ["https://www.tanea.gr/dir/rel", "https://www.tanea.gr/politics", "https://x.gr/a"]
+    assert got == ["http://h.com/a", "http://h.com/p/d", "http://h.com/p/q/b?x=1&y", "http://h.com/p/q/c"]
+
+
+def test_links_resolved(spark):
     from urllib.parse import urljoin
-    base = "http://h.com/a/b.html?x=1#y"
-    hrefs = ["//cdn.com/z", "?q=2", "#top", "", "c/d", "/root", "mailto:a@b"]
-    df2 = spark.createDataFrame([(h,) for h in hrefs], "href string")
-    got2 = [r[0] for r in df2.select(resolve_url(F.lit(base), F.col("href"))).collect()]
-    assert got2 == [urljoin(base, h) for h in hrefs]
+    hrefs = ["//cdn.com/z", "?q=2", "#top", "", "c/d", "/root", "mailto:a@b", "../d", "./e", "../../../x", "a/../b/./c", "..", ".",
+             "/a/./b/../c", "c/..", "d?e=../f", "g#../h", "https://o.org/a/../b"]
+    for base in ("http://h.com/a/b.html?x=1#y", "https://h.com/a/b/c/", "http://h.com", "http://h.com/z?p=/q/r"):
+        df = spark.createDataFrame([(i, h) for i, h in enumerate(hrefs)], "i int, href string").orderBy("i")
+        got = [r[0] for r in df.select(resolve_url(F.lit(base), F.col("href"))).collect()]
+        assert got == [urljoin(base, h) for h in hrefs], base
