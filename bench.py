@@ -1,7 +1,7 @@
 """Benchmark: run every registered query on $BENCH_SF_DIR (default sf0.1) on
 local[$BENCH_CPUS] and print ONE JSON line with per-query wall seconds.
 
-Each query is fully executed with the ``noop`` sink (all rows produced, none
+Each query is executed $BENCH_REPEATS times (default 3; the median counts), fully, with the ``noop`` sink (all rows produced, none
 collected to the driver). The session (JVM and Python workers) is warmed up on
 the smallest table first; that warm-up is not timed.
 """
@@ -12,6 +12,7 @@ import json
 import os
 import sys
 import time
+from statistics import median
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -28,6 +29,7 @@ def main() -> None:
     spark = get_spark(f"local[{cpus}]", app="presslens-bench", shuffle_partitions=cpus,
                       extra={"spark.driver.memory": "16g",
                              "spark.sql.files.maxPartitionBytes": str(32 * 1024 * 1024)})
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     qs = catalog.queries()
     names = only or sorted(qs)
     # warm-up (not timed): JVM code paths and the Python workers used by mapInPandas
@@ -44,16 +46,19 @@ def main() -> None:
     times: dict[str, float] = {}
     errors: dict[str, str] = {}
     for name in names:
-        t0 = time.perf_counter()
+        runs = []
         try:
-            qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            times[name] = round(time.perf_counter() - t0, 3)
+            for _ in range(repeats):
+                t0 = time.perf_counter()
+                qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                runs.append(time.perf_counter() - t0)
+            times[name] = round(median(runs), 3)
         except Exception as e:  # keep going; report the failure
             errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     out = {"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
-           "cpus": cpus, "n_queries": len(times)}
+           "cpus": cpus, "runs_each": repeats, "n_queries": len(times)}
     if errors:
         out["errors"] = errors
     print(json.dumps(out))

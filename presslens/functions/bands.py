@@ -34,15 +34,6 @@ def cut(c: ColumnOrName, spec=specs.RANGE5_EVEN) -> Column:
     return expr
 
 
-def band_ordinal(c: ColumnOrName, spec=specs.RANGE5_EVEN) -> Column:
-    """1-based band number for ``cut`` (sort key)."""
-    x = _c(c)
-    edges = spec["edges"]
-    expr = F.when((x >= edges[0]) & (x <= edges[1]), 1)
-    for i, (lo, hi) in enumerate(zip(edges[1:-1], edges[2:]), start=2):
-        expr = expr.when((x > lo) & (x <= hi), i)
-    return expr
-
 
 def band_dimension(spark: SparkSession, spec=specs.RANGE5_EVEN, name: str = "band") -> DataFrame:
     """The band spec as a tiny (ord, band) dimension table for zero-filled counts."""

@@ -106,11 +106,6 @@ def label_bias(label_json: ColumnOrName) -> Column:
     return F.get_json_object(_c(label_json), "$.bias").try_cast("double")
 
 
-def error_label(error: ColumnOrName) -> Column:
-    """JSN-08: error record."""
-    return F.struct(F.lit("").alias("reasoning"), F.array().cast("array<string>").alias("primary_entities"),
-                    F.lit(None).cast("double").alias("bias"), _c(error).cast("string").alias("error"))
-
 
 def label_to_json(label: ColumnOrName) -> Column:
     """JSN-04: label object -> compact JSON text (UTF-8 kept)."""

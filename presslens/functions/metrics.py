@@ -25,10 +25,6 @@ def target_score(key: ColumnOrName, lo: float, hi: float, seed: int) -> Column:
     return F.round(F.lit(float(lo)) + F.lit(float(hi - lo)) * hash01(key, seed), 2)
 
 
-def abs_err(a: ColumnOrName, b: ColumnOrName) -> Column:
-    """MTH-09."""
-    return F.abs(_c(a) - _c(b))
-
 
 def cosine(a: ColumnOrName, b: ColumnOrName) -> Column:
     """MTH-10: cosine similarity of two equal-length numeric arrays (null if a norm is 0)."""

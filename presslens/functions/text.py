@@ -91,9 +91,9 @@ def purify_markdown(c: ColumnOrName, stop_phrases=specs.STOP_PHRASES,
     t = F.coalesce(_c(c), F.lit(""))
     pos = F.instr(t, "# ")
     t = F.when(pos > 0, t.substr(pos, F.length(t))).otherwise(t)
-    t = F.regexp_replace(t, r"(?d)!\[.*?\]\(.*?\)", "")
-    t = F.regexp_replace(t, r"(?d)\[(.*?)\]\(.*?\)", "$1")
-    t = F.regexp_replace(t, f"https?://{specs.NON_WS}+", "")
+    t = F.regexp_replace(t, f"(?d){specs.MD_IMAGE}", "")
+    t = F.regexp_replace(t, f"(?d){specs.MD_LINK}", "$1")
+    t = F.regexp_replace(t, specs.MD_URL, "")
     phrases = "|".join(_literal(p) for p in stop_phrases)
     t = F.regexp_replace(t, f"(?s)(?:^|\n)[^\n]*(?iu:{phrases}).*\\z", "")
     h, n = f"[{specs.WS_CLASS_NO_NL}]", specs.NON_WS

@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from presslens import specs
 from presslens.functions.text import _c, ColumnOrName
 
-# class dimensions are configuration (a handful of labels); read at most this many
-MAX_CLASSES = 10_000
 
 
 def mae(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -34,30 +32,6 @@ def verdict(value: ColumnOrName, bands=specs.MAE_VERDICTS, otherwise=specs.MAE_V
     return expr.otherwise(otherwise)
 
 
-def per_class_counts(df: DataFrame, y_true: str, y_pred: str, by: list[str] | None = None) -> DataFrame:
-    """TP / FP / FN per class, from one pass over the pairs (unpivot to long)."""
-    by = by or []
-    longf = df.select(*by, F.explode(F.array(
-        F.struct(F.col(y_true).alias("cls"), F.when(F.col(y_true) == F.col(y_pred), 1).otherwise(0).alias("tp"),
-                 F.lit(0).alias("fp"), F.when(F.col(y_true) != F.col(y_pred), 1).otherwise(0).alias("fn")),
-        F.struct(F.col(y_pred).alias("cls"), F.lit(0).alias("tp"),
-                 F.when(F.col(y_true) != F.col(y_pred), 1).otherwise(0).alias("fp"), F.lit(0).alias("fn")),
-    )).alias("e")).select(*by, "e.*").filter(F.col("cls").isNotNull())
-    return longf.groupBy(*by, "cls").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"),
-                                         F.sum("fn").alias("fn"))
-
-
-def macro_f1(df: DataFrame, y_true: str, y_pred: str, classes: DataFrame,
-             by: list[str] | None = None) -> DataFrame:
-    """AGG-02: macro F1 over every class in ``classes`` (column ``cls``), absent
-    classes and 0/0 scoring 0 (zero_division = 0)."""
-    by = by or []
-    counts = per_class_counts(df, y_true, y_pred, by)
-    grid = _grid(df, by, classes) if by else classes.select("cls")
-    full = grid.join(counts, [*by, "cls"], "left").na.fill(0, ["tp", "fp", "fn"])
-    f1 = F.coalesce(2 * F.col("tp") / F.nullif(2 * F.col("tp") + F.col("fp") + F.col("fn"), F.lit(0)),
-                    F.lit(0.0))
-    return full.groupBy(*by).agg(F.avg(f1).alias("macro_f1"))
 
 
 def macro_f1_from_cells(cells: DataFrame, labels: list[str], by: list[str], n: str = "n") -> DataFrame:
@@ -79,15 +53,6 @@ def macro_f1_from_cells(cells: DataFrame, labels: list[str], by: list[str], n: s
     return full.groupBy(*by).agg(F.avg(f1.cast("double")).alias("macro_f1"))
 
 
-def _grid(df: DataFrame, by: list[str], classes: DataFrame) -> DataFrame:
-    """(group, class) grid without a cross join: the class list is tiny config
-    data, so it is expanded per group as a literal array."""
-    rows = classes.select("cls").limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"class dimension larger than {MAX_CLASSES} rows")
-    labels = [r["cls"] for r in rows]
-    return df.select(*by).distinct().select(*by, F.explode(F.array(*[F.lit(x) for x in labels])).alias("cls"))
-
 
 def confusion(df: DataFrame, y_true: str, y_pred: str, labels: list[str], by: list[str] | None = None) -> DataFrame:
     """AGG-03: confusion matrix in long form (by..., y_true, y_pred, n) over the
@@ -103,10 +68,6 @@ def confusion(df: DataFrame, y_true: str, y_pred: str, labels: list[str], by: li
         *by, "y_true", "y_pred", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
-def accuracy(y_true: ColumnOrName, y_pred: ColumnOrName) -> Column:
-    """AGG-04 (aggregate expression)."""
-    return F.avg((_c(y_true) == _c(y_pred)).cast("double"))
-
 
 def describe(df: DataFrame, col: str, approx: bool = False) -> DataFrame:
     """AGG-09: count, mean, sample std, min, 25/50/75 % (linear), max.
@@ -131,7 +92,7 @@ def counts_by(df: DataFrame, by: str, dim: DataFrame | None = None, name: str =
     counts = df.groupBy(by).agg(F.count(F.lit(1)).alias(name))
     if dim is None:
         return counts
-    return F.broadcast(dim).join(counts, by, "left").select(
+    return counts.join(F.broadcast(dim), by, "right").select(
         "ord", by, F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias(name))
 
 
@@ -153,7 +114,7 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     x = F.col(col).cast("double")
     b = F.least(F.floor((x - F.lit(float(lo))) / F.lit(width) * F.lit(bins)) + 1, F.lit(bins)).cast("int")
     counts = df.filter(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    return F.broadcast(dim).join(counts, "bin", "left").select(
+    return counts.join(F.broadcast(dim), "bin", "right").select(
         "bin", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
@@ -195,7 +156,7 @@ def kde(df: DataFrame, col: str, points: int = 200) -> DataFrame:
     parts = df.select(F.col(col).cast("double").alias("x")).mapInPandas(partial, "g int, s double")
     sums = parts.groupBy("g").agg(F.sum("s").alias("s"))
     gx = spark.createDataFrame([(i, float(v)) for i, v in enumerate(grid)], "g int, x double")
-    return F.broadcast(gx).join(sums, "g", "left").select(
+    return sums.join(F.broadcast(gx), "g", "right").select(
         "g", "x", (F.coalesce(F.col("s"), F.lit(0.0)) * F.lit(norm)).alias("density"))
 
 

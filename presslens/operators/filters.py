@@ -115,10 +115,6 @@ def extracted_only(df: DataFrame, rule: str = "rule", date: str = "date") -> Dat
     return df.filter(F.col(rule).isNotNull() & F.col(date).isNotNull() & (F.col(date).cast("string") != ""))
 
 
-def url_host_matches(df: DataFrame, col: str, patterns) -> DataFrame:
-    """FLT-08 alias kept for rule tables keyed by host."""
-    return url_matches(df, col, patterns)
-
 
 def pending_predictions(df: DataFrame, models) -> DataFrame:
     """FLT-15: rows still missing a prediction from any of ``models``. Done-ness

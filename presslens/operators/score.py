@@ -1,12 +1,10 @@
-"""Pluggable scoring on the executors (UDF-01..06).
+"""Pluggable scoring on the executors (UDF-01..05).
 
 A scorer turns a pandas Series of prompt texts into raw model-output strings
-(what a model endpoint would answer). Scoring runs in ``mapInPandas`` so rows
-never leave the executors (no collect to the driver); the raw text is then
-parsed with the native JSON recovery (JSN-01/02), so Python only does what
-needs Python - the call itself. Failures are per row: a scorer exception is
-retried up to ``max_retries`` times and then becomes a null output, which
-parses to an error record.
+(what a model endpoint would answer). Scoring is a pandas UDF of the prompt alone,
+on the executors; the raw answer is then parsed with the native JSON recovery (JSN-01/02), so
+Python only does what needs Python - the call itself. Failures are per row: a text whose call raises is
+tried up to ``max_retries`` times and then answered by an error record.
 """
 
 from __future__ import annotations
@@ -14,12 +12,10 @@ from __future__ import annotations
 import json
 import re
 import time
-from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from presslens.functions.jsonparse import with_parsed_output
 
@@ -66,65 +62,73 @@ class WrappingScorer(Scorer):
         return "<think>" + self.think + "</think>\n```json\n" + self.inner.raw(texts) + "\n```"
 
 
-def _call_with_retry(scorer: Scorer, texts: pd.Series, max_retries: int, backoff: float):
-    last = None
+def _error(e: Exception) -> str:
+    """JSN-08: the error record a failing row answers with."""
+    return json.dumps({"error": f"{type(e).__name__}: {e}", "reasoning": "", "primary_entities": []}, ensure_ascii=False)
+
+
+def _call(scorer: Scorer, texts: pd.Series, max_retries: int, backoff: float) -> list[tuple[str | None, float]]:
+    """One call for ``texts``: (answer, seconds of the call) of each. Where it fails, the texts are called one by
+    one, so only those that fail by themselves are tried again (and become error records in the end)."""
     for attempt in range(max(1, max_retries)):
         t0 = time.perf_counter()
         try:
             out = scorer.raw(texts)
-            return out, (time.perf_counter() - t0) / max(len(texts), 1)
-        except Exception as e:  # per-batch failure: retry, then per-row fallback
-            last = e
-            if attempt + 1 < max_retries and backoff:
-                time.sleep(backoff)
-    # batch keeps failing: isolate the rows that fail; a failing row becomes an
-    # error record carrying the exception (JSN-08)
-    outs = []
-    for t in texts:
-        try:
-            outs.append(scorer.raw(pd.Series([t])).iloc[0])
+            took = time.perf_counter() - t0
+            return [(None if pd.isna(x) else x, took) for x in out]
         except Exception as e:
-            outs.append(json.dumps({"error": f"{type(e).__name__}: {e}", "reasoning": "",
-                                    "primary_entities": []}, ensure_ascii=False))
-    del last
-    return pd.Series(outs, index=texts.index), None
-
-
-def _call_concurrent(scorer: Scorer, texts: pd.Series, max_retries: int, backoff: float, concurrency: int):
-    """Split a batch into ``concurrency`` chunks scored in parallel threads
-    (for endpoint-bound scorers); results are re-assembled in input order."""
-    if concurrency <= 1 or len(texts) <= 1:
-        return _call_with_retry(scorer, texts, max_retries, backoff)
-    from concurrent.futures import ThreadPoolExecutor
-    size = -(-len(texts) // concurrency)
-    chunks = [texts.iloc[i:i + size] for i in range(0, len(texts), size)]
-    with ThreadPoolExecutor(max_workers=len(chunks)) as pool:
-        parts = list(pool.map(lambda c: _call_with_retry(scorer, c, max_retries, backoff), chunks))
-    lats = [lat for _, lat in parts if lat is not None]
-    return pd.concat([o for o, _ in parts]), (sum(lats) / len(lats) if lats else None)
+            if len(texts) > 1:
+                return [r for i in range(len(texts)) for r in _call(scorer, texts.iloc[i:i + 1], max_retries, backoff)]
+            if attempt + 1 < max_retries:
+                time.sleep(backoff)
+            failed = _error(e), time.perf_counter() - t0
+    return [failed]
+
+
+def _calls(texts: pd.Series, rows: int, chars: int) -> list[pd.Series]:
+    """Slices of at most ``rows`` texts and about ``chars`` characters (a longer text alone)."""
+    out, start, size = [], 0, 0
+    for i, t in enumerate(texts):
+        n = len(t) if isinstance(t, str) else 0
+        if i > start and (i - start >= rows or size + n > chars):
+            out.append(texts.iloc[start:i])
+            start, size = i, 0
+        size += n
+    return [*out, texts.iloc[start:]] if len(texts) else out
 
 
 def raw_scores(df: DataFrame, scorers: dict[str, Scorer], text_col: str,
                max_retries: int = 3, backoff: float = 1.0, partitions: int | None = None,
-               concurrency: int = 1) -> DataFrame:
-    """Adds ``<name>_raw`` (string) and ``<name>_latency`` (double, seconds per
-    row) for every scorer, in one pass over each Arrow batch. ``partitions``
-    sets the number of scoring tasks; ``concurrency`` the parallel calls inside
-    each task (order kept)."""
-    src = df.repartition(partitions) if partitions else df
-    fields = list(src.schema.fields)
-    for name in scorers:
-        fields += [T.StructField(f"{name}_raw", T.StringType()), T.StructField(f"{name}_latency", T.DoubleType())]
-    schema = T.StructType(fields)
+               concurrency: int = 1, call_rows: int = 1, call_chars: int = 1 << 20) -> DataFrame:
+    """Adds ``<name>_raw`` (string) and ``<name>_latency`` (double, seconds of the row's call) for every scorer.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for name, sc in scorers.items():
-                out, lat = _call_concurrent(sc, pdf[text_col], max_retries, backoff, concurrency)
-                pdf[f"{name}_raw"] = out.astype(object).where(out.notna(), None)
-                pdf[f"{name}_latency"] = lat
-            yield pdf
-    return src.mapInPandas(run, schema)
+    Only ``text_col`` goes to Python and only answers and latencies come back; the other columns
+    stay in the JVM. ``partitions`` sets the number of scoring tasks, ``concurrency`` the parallel calls
+    inside each (order kept), ``call_rows`` and ``call_chars`` the size of a call.
+    """
+    src = df.repartition(partitions) if partitions else df
+    names = list(scorers)
+    schema = ", ".join(f"`{n}_raw` string, `{n}_latency` double" for n in names)
+
+    @F.pandas_udf(schema)
+    def run(texts: pd.Series) -> pd.DataFrame:
+        out = {}
+        for name in names:
+            parts = _calls(texts, call_rows, call_chars)
+            call = lambda t, sc=scorers[name]: _call(sc, t, max_retries, backoff)
+            if concurrency > 1 and len(parts) > 1:
+                from concurrent.futures import ThreadPoolExecutor
+                with ThreadPoolExecutor(max_workers=concurrency) as pool:
+                    got = list(pool.map(call, parts))
+            else:
+                got = map(call, parts)
+            rows = [r for part in got for r in part]
+            out[f"{name}_raw"] = pd.Series([r[0] for r in rows], dtype=object)
+            out[f"{name}_latency"] = pd.Series([r[1] for r in rows], dtype=float)
+        return pd.DataFrame(out)
+
+    scored = src.withColumn("__scores", run.asNondeterministic()(F.col(text_col)))
+    return scored.select(*src.columns, "__scores.*")
 
 
 def score_articles(df: DataFrame, scorer: Scorer, text_col: str = "prompt", out: str = "ai_labels",
@@ -151,10 +155,3 @@ def label_incremental(df: DataFrame, done: DataFrame, scorer: Scorer, key: str =
     anti-join first, so finished work is never re-scored)."""
     from presslens.operators.setops import new_items
     return score_articles(new_items(df, done, key), scorer, text_col, out, **kw)
-
-
-def label_text(spark: SparkSession, text: str, scorer: Scorer) -> dict:
-    """UDF-06: label one text (a one-row frame through the same path)."""
-    one = spark.createDataFrame([(text,)], "prompt string")
-    return score_articles(one, scorer, max_retries=1, backoff=0).select("ai_labels").first()[0].asDict()
-

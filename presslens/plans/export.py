@@ -81,7 +81,21 @@ def chat_exchanges(conversations: DataFrame, conv: str = "conv_id", turn: str =
                                           F.col("__a").alias("completion"))
 
 
+def render_turns(conversations: DataFrame, turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """STR-14 over whole conversations: every turn, system and unanswered ones included, as its piece
+    of the ChatML text (``rendered``), which is the pieces of a conversation in the order of ``turn``; an
+    assistant turn is the completion of all pieces before it. Rows stay rows: no conversation is gathered."""
+    empty = F.lit("")
+    piece = F.concat(F.lit(specs.CHAT_START), F.coalesce(role, empty), F.lit("\n"), F.coalesce(text, empty), F.lit(specs.CHAT_END + "\n"))
+    return conversations.withColumn("rendered", piece).withColumn(
+        "is_completion", F.coalesce(F.col(role) == "assistant", F.lit(False)))
+
+
 def chatml_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return render_turns(table(spark, sf_dir, "conversations")).select("conv_id", "turn", "rendered", "is_completion")
+
+
+def chat_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_exchanges(table(spark, sf_dir, "conversations"))
 
 
@@ -109,9 +123,14 @@ FROM c
 """)(sft_pairs)
 
 register("chatml_render", f"""
+SELECT conv_id, turn, '{specs.CHAT_START}' || coalesce(role, '') || chr(10) || coalesce(text, '') || '{specs.CHAT_END}' || chr(10) AS rendered,
+       coalesce(role = 'assistant', false) AS is_completion FROM conversations
+""")(chatml_render)
+
+register("chat_pairs", f"""
 SELECT u.conv_id, u.turn,
        '{specs.CHAT_START}user' || chr(10) || u.text || '{specs.CHAT_END}' || chr(10) || '{specs.CHAT_START}assistant' || chr(10) AS prompt,
        a.text AS completion
 FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
 WHERE u.role = 'user' AND a.role = 'assistant'
-""")(chatml_render)
+""")(chat_pairs)

@@ -186,15 +186,15 @@ FROM events GROUP BY event_type
 
 # --- JOB-12 page analysis ----------------------------------------------------
 def page_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Markdown text -> purified (first 4000 chars) -> scored -> result card.
+    """Markdown text -> purified -> scored -> result card, over whole texts.
     Page title: first line with '#' removed (no page metadata here)."""
-    from presslens.functions.text import purify_markdown, py_strip, truncate
+    from presslens.functions.text import purify_markdown, py_strip
     from presslens.operators.projections import analysis_card
     a = articles(spark, sf_dir)
     pages = a.select("doc_id", "url",
                      py_strip(F.replace(F.substring_index(py_strip("text"), "\n", 1), F.lit("#"), F.lit("")))
                      .alias("page_title"),
-                     truncate(purify_markdown("text"), 4000).alias("text"))
+                     purify_markdown("text").alias("text"))
     scored = score_articles(pages, LexiconScorer(LEFT, RIGHT), text_col="text", out="label", backoff=0)
     card = analysis_card(scored, keep=("doc_id",))
     return card.select(
@@ -223,8 +223,8 @@ l AS (SELECT doc_id, url, text, list_transform(string_split({_purify_sql('text')
 b AS (SELECT *, coalesce(list_min(list_filter(list_transform(lines, lambda x, i: CASE WHEN {_STOP} THEN i END),
                                               lambda y: y IS NOT NULL)), len(lines) + 1) AS stop_at FROM l),
 p AS (SELECT doc_id, url, {S.strip(f"replace(split_part({S.strip('text')}, chr(10), 1), '#', '')")} AS page_title,
-             substring(coalesce(array_to_string(list_filter(list_slice(lines, 1, stop_at - 1),
-                                 lambda x: {_WC} >= {specs.MIN_WORDS_PER_LINE}), chr(10) || chr(10)), ''), 1, 4000) AS body
+             coalesce(array_to_string(list_filter(list_slice(lines, 1, stop_at - 1),
+                                 lambda x: {_WC} >= {specs.MIN_WORDS_PER_LINE}), chr(10) || chr(10)), '') AS body
       FROM b),
 t AS (SELECT *, regexp_extract_all(lower(body), '[a-z]+') AS toks FROM p),
 c AS (SELECT *, len(list_filter(toks, lambda x: x IN ({_IN_L}))) AS nl, len(list_filter(toks, lambda x: x IN ({_IN_R}))) AS nr,

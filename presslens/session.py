@@ -17,6 +17,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -39,7 +40,7 @@ def get_spark(master: str | None = None, app: str = "presslens",
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("WARN")
     return spark
 
 
@@ -79,21 +80,26 @@ def cut_lineage(df, eager: bool = True):
     return df.checkpoint(eager=eager)
 
 
-def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
-                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+MOST_SHUFFLE_PARTITIONS = 40_000  # the driver keeps a status of every map task for each of them
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int = 4, shuffled_share: float = 0.1,
+                 target_partition_bytes: int = 256 * 1024 * 1024, scan_split_bytes: int = 1024 * 1024 * 1024) -> dict:
     """Settings for a cluster run over ``input_bytes`` of parquet.
 
-    Shuffle partitions start at about one per ``target_partition_bytes`` of
-    input (never fewer than 2 waves of tasks), and AQE coalesces the small ones
-    and splits skewed ones at run time; scans split files at 256 MiB.
+    Shuffle partitions are sized for what is shuffled after projection, a ``shuffled_share`` of the input, at
+    about one per ``target_partition_bytes``; never fewer than 2 waves of tasks nor more than
+    MOST_SHUFFLE_PARTITIONS (AQE coalesces small ones and splits skewed ones at run time). Large scan splits keep the
+    number of map tasks, and with it of shuffle blocks, in bounds.
     """
     slots = max(1, executors * cores_per_executor)
-    parts = max(2 * slots, int(input_bytes // target_partition_bytes) + 1)
+    wanted = int(input_bytes * shuffled_share // target_partition_bytes) + 1
+    parts = min(MOST_SHUFFLE_PARTITIONS, max(2 * slots, wanted))
     return {
         **SESSION_DEFAULTS,
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     }

@@ -28,11 +28,9 @@ def read_jsonl_tolerant(spark: SparkSession, path: str, schema: T.StructType) ->
     prim = (T.StringType, T.NumericType, T.BooleanType, T.TimestampType, T.DateType)
     wide = [T.StructField(f.name, T.StringType()) if isinstance(f.dataType, prim) else f for f in schema.fields]
     sch = T.StructType(wide + [T.StructField(CORRUPT, T.StringType())])
-    df = (spark.read.schema(sch).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT).json(path))
-    # Spark forbids queries that only reference the corrupt column of a raw
-    # JSON scan; caching is the documented way around it.
-    ok = df.cache().filter(F.col(CORRUPT).isNull())
+    parsed = F.from_json("value", sch, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    ok = (spark.read.text(path).filter(F.trim("value") != "").select(parsed.alias("r")).select("r.*")
+          .filter(F.col(CORRUPT).isNull()))
     return ok.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) if isinstance(f.dataType, prim)
                        else F.col(f.name) for f in schema.fields])
 

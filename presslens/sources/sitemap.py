@@ -38,7 +38,3 @@ def probe_sitemap(entries: DataFrame, source: str = "source", order: str = "ord"
     g = entries.groupBy(source).agg(art.alias("a"), sub.alias("s"))
     return g.select(source, F.coalesce(F.col("a.loc"), F.col("s.loc")).alias("probe"),
                     F.when(F.col("a").isNotNull(), "article").when(F.col("s").isNotNull(), "sitemap").alias("kind"))
-
-
-def entry_domain(loc: str = "loc"):
-    return F.replace(url_host(loc), F.lit("www."), F.lit(""))

@@ -48,6 +48,10 @@ VIDEO_SENTENCE = (" To view this video please enable JavaScript, and consider up
 # FIXED VALUES: markdown stop phrases (matched lower-cased, substring).
 STOP_PHRASES = ["προσθηκη σχολιου", "διαβάστε ακόμα", "δημοφιλη", "read more"]
 MIN_WORDS_PER_LINE = 5
+# FIXED VALUES: markdown patterns (image, link with its words, bare address).
+MD_IMAGE = r"!\[.*?\]\(.*?\)"
+MD_LINK = r"\[(.*?)\]\(.*?\)"
+MD_URL = f"https?://{NON_WS}+"
 MIN_TEXT_CHARS = 150
 
 # FIXED VALUES: URL keywords excluded from sitemaps (lower-cased substring).
