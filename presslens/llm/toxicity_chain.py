@@ -24,10 +24,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presslens.llm.common import unused, written
+from presslens.operators.windows import sample_exact
 
 CATEGORIES = ("quality", "toxic")
 MAX_LABELLED = 8000
@@ -171,9 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple = CATEGORIES, max_
     labels = labels.where(known).groupBy("doc_id").agg(*[F.max(c).cast("int").alias(c) for c in categories])
     labels = written(labels, "labels")
     totals = {r[0]: r[1] for r in labels.groupBy(categories[-1]).count().collect()}
-    order = Window.partitionBy(categories[-1]).orderBy(F.xxhash64("doc_id", F.lit(10)), "doc_id")
-    each = max_labelled // 2
-    chosen = labels.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= each).select(
+    chosen = sample_exact(labels, max_labelled // 2, categories[-1], "doc_id", 10).select(
         "doc_id", F.array(*categories).alias("y"),
         (F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(folds))).cast("int").alias("fold"))
 
