@@ -264,7 +264,7 @@ def _spread(model: Model):
                     for s, (a, b) in enumerate(zip(border, border[1:])):
                         if b > a:
                             yield pd.DataFrame({"shard": [s], "kind": [kind], "who": [(u[a:b] - starts[s]).astype("<u4").tobytes()],
-                                                "total": [total[a:b].astype("<f4" if kind == "mass" else "<u4").tobytes()]})
+                                                "total": [total[a:b].astype("<f8" if kind == "mass" else "<u4").tobytes()]})
     return run
 
 
@@ -272,7 +272,7 @@ def _settle(model: Model):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         s = key[0]
         n = model.starts[s + 1] - model.starts[s]
-        for kind, held, stored in (("before", "<u4", "<u4"), ("mass", "<f4", "<f8")):
+        for kind, held, stored in (("before", "<u4", "<u4"), ("mass", "<f8", "<f8")):
             out = np.zeros(n)
             for who, total in pdf.loc[pdf["kind"] == kind, ["who", "total"]].itertuples(index=False):
                 np.add.at(out, np.frombuffer(who, "<u4"), np.frombuffer(total, held))

@@ -36,20 +36,21 @@ _GAP = 1  # stands for a separator: no letter, and not 0, which would not count
 def _letter_table() -> np.ndarray:
     import unicodedata
     cat = (unicodedata.category(chr(c))[0] for c in range(0x110000))
-    return np.fromiter((c in "LM" for c in cat), bool, 0x110000)
+    return np.fromiter(({"L": 2, "M": 1}.get(c, 0) for c in cat), np.uint8, 0x110000)
 
 
 def _letters() -> np.ndarray:
-    """Whether a code point is a letter (or a mark, which belongs to one)."""
+    """Of every code point: 2 for a letter, 1 for a mark, which belongs to one, 0 for any other."""
     return worker_state("letters", _letter_table)
 
 
 def grams(text: str) -> np.ndarray:
     """Codes of all n-grams of 1 to LONGEST characters, repeats included."""
     c = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-    c = np.where(_letters()[c], c, _GAP).astype(np.int64)
-    if (c == _GAP).all():
+    kind = _letters()[c]
+    if not (kind == 2).any():
         return np.zeros(0, np.int64)
+    c = np.where(kind > 0, c, _GAP).astype(np.int64)
     c = np.concatenate(([_GAP], c, [_GAP]))
     c = c[(c != _GAP) | np.concatenate(([True], c[:-1] != _GAP))]  # one separator between words
     out, code, ok = [c[c != _GAP]], c, np.ones(len(c), bool)

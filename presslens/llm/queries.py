@@ -27,7 +27,42 @@ def _fold(folds: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
 
 
-@_query()
+def _crc32_sql(text: str) -> str:
+    """DuckDB SQL for the crc32 of an ASCII string, bit by bit (reflected polynomial 0xEDB88320)."""
+    bit = "(c // 2)::bigint"
+    byte = ("list_reduce(list_concat([xor(r, b)], range(8)), "
+            f"lambda c, i: case when c % 2 = 1 then xor({bit}, 3988292384) else {bit} end)")
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::bigint)"
+    return f"xor(list_reduce(list_concat([4294967295::bigint], {codes}), lambda r, b: {byte}), 4294967295)"
+
+
+_CODE = "case len(g) when 1 then unicode(g) when 2 then unicode(g) * 2097152 + unicode(g[2]) else unicode(g) * 4398046511104 + unicode(g[2]) * 2097152 + unicode(g[3]) end"
+
+
+@_query(f"""
+with d as (
+  select doc_id, text, lang, coalesce({_crc32_sql("doc_id::varchar")} % 4 = 2, false) held from documents),
+w as (
+  select doc_id, w, count(*) n from (
+    select doc_id, unnest(string_split(regexp_replace(lower(text), '[^\\p{{L}}\\p{{M}}]+', ' ', 'g'), ' ')) w
+    from d where regexp_matches(text, '\\p{{L}}'))
+  where w <> '' group by all),
+g as (
+  select doc_id, n, unnest(list_concat(list_transform(range(1, len(w) + 1), lambda i: substr(w, i, 1)),
+    list_transform(range(1, len(w) + 2), lambda i: substr(chr(1) || w || chr(1), i, 2)),
+    list_transform(range(1, len(w) + 1), lambda i: substr(chr(1) || w || chr(1), i, 3)))) g
+  from w),
+c as (select doc_id, g, sum(n) c, {_CODE} code from g group by doc_id, g),
+own as (select *, row_number() over (partition by doc_id order by c desc, code) - 1 place from c qualify place < 400),
+known as (select lang, g, row_number() over (partition by lang order by sum(c) desc, code) - 1 rank
+          from c join d using (doc_id) where not held and lang is not null group by lang, g, code qualify rank < 400),
+far as (select doc_id, l.lang, count(*) n, sum(coalesce(abs(rank - place), 400)) far
+        from own cross join (select distinct lang from known) l left join known k on k.lang = l.lang and k.g = own.g
+        group by doc_id, l.lang),
+best as (select doc_id, lang, 1.0 - far::double / (n * 400) score from far
+         qualify row_number() over (partition by doc_id order by far, lang) = 1)
+select d.doc_id, held held_out, coalesce(best.lang, 'und') lang_pred, coalesce(score, 0.0)::double score from d left join best using (doc_id)
+""")
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from presslens.llm.language_id import identify
     docs = table(spark, sf_dir, "documents")
@@ -106,13 +141,43 @@ def op6_best_fit_gga(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(cut_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
-@_query()
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@_query(f"""
+with d as (
+  select doc_id, coalesce({_crc32_sql("doc_id::varchar")} % 5 = 1, false) held,
+         list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') w
+  from documents),
+t as (select doc_id, held, unnest(list_zip(list_concat([' '], w), list_concat(w, [' ']))) p from d),
+s as (select doc_id, held, p[1] v, p[2] w from t),
+uni as (select w, count(*) c from s where not held group by w),
+big as (select v, w, count(*) c from s where not held group by v, w),
+bef as (select w, count(*) a from big group by w),
+nb as (select count(*) filter (c = 1) n1, count(*) filter (c = 2) n2, count(*) filter (c = 3) n3, count(*) filter (c = 4) n4 from big),
+nu as (select count(*) filter (a = 1) n1, count(*) filter (a = 2) n2, count(*) filter (a = 3) n3, count(*) filter (a = 4) n4,
+              count(*) filter (a > 2) more, sum(a)::double pairs from bef),
+db as (select 1 - 2 * y * n2 / n1 d1, 2 - 3 * y * n3 / n2 d2, 3 - 4 * y * n4 / n3 d3 from (select *, n1 / (n1 + 2 * n2) y from nb)),
+du as (select *, 1 - 2 * y * n2 / n1 e1, 2 - 3 * y * n3 / n2 e2, 3 - 4 * y * n4 / n3 e3 from (select *, n1 / (n1 + 2 * n2) y from nu)),
+mass as (select v, sum(case c when 1 then d1 when 2 then d2 else d3 end) m from big, db group by v),
+g as (select sum(c)::bigint n, count(*) v from uni),
+low as (select s.doc_id, s.held, s.v, s.w, coalesce(uni.c, 0) c, g.n, g.v nv,
+               (coalesce(a - case a when 1 then e1 when 2 then e2 else e3 end, 0) + (e1 * n1 + e2 * n2 + e3 * more) / (nv + 1)) / pairs p
+        from s cross join (select n, v, v nv from g) g cross join du left join uni using (w) left join bef using (w)),
+pr as (select low.*, case when cv.c is null then p else
+         (coalesce(big.c - case big.c when 1 then d1 when 2 then d2 else d3 end, 0) + m * p) / cv.c end q
+       from low cross join db left join uni cv on cv.w = low.v left join big on big.v = low.v and big.w = low.w left join mass on mass.v = low.v)
+select doc_id, held held_out, count(*) n_tokens, count(*) filter (c > 0) n_known, n train_tokens,
+       round(sum(log10((c + 0.5) / (n + 0.5 * (nv + 1)))), 6) base_score, round(sum(log10(q)), 6) score
+from pr group by doc_id, held, n
+""")
 def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     from presslens.llm.kneser_ney import score, train
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held = F.coalesce(_fold(5) == 1, F.lit(False))
     return score(docs, train(docs.where(~held))).select(
-        "doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+        "doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        *[F.round(c, 6).alias(c) for c in ("base_score", "score")])
 
 
 @_query()
