@@ -69,21 +69,34 @@ def confusion(df: DataFrame, y_true: str, y_pred: str, labels: list[str], by: li
 
 
 
-def describe(df: DataFrame, col: str, approx: bool = False) -> DataFrame:
-    """AGG-09: count, mean, sample std, min, 25/50/75 % (linear), max.
+def describe(df: DataFrame, cols: list[str], approx: bool = False) -> DataFrame:
+    """AGG-09: per column of ``cols`` (``metric``) count, mean, sample std, min, 25/50/75 % (linear), max.
 
-    Exact percentiles keep a value->count map, so memory follows the number of
-    distinct values (small for lengths and 2-decimal scores); pass
-    ``approx=True`` for high-cardinality columns.
+    One scan for the moments of all columns and one for their counts by value. Exact percentiles are
+    looked up in the running sums of those counts, spread over the tasks by value, so nothing holds all
+    distinct values; ``approx=True`` uses sketches instead.
     """
-    x = F.col(col)
-    q = (F.percentile_approx(x, [0.25, 0.5, 0.75], 10000) if approx
-         else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
-    return df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                  F.min(x).cast("double").alias("min"), q.alias("__q"), F.max(x).cast("double").alias("max")) \
-        .select("count", "mean", "std", "min",
-                F.col("__q")[0].cast("double").alias("p25"), F.col("__q")[1].cast("double").alias("p50"),
-                F.col("__q")[2].cast("double").alias("p75"), "max")
+    from presslens.operators.windows import with_offset
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v")) for c in cols]))
+                     .alias("e")).select("e.*")
+    moments = long.groupBy("metric").agg(F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+                                         F.min("v").alias("min"), F.max("v").alias("max"),
+                                         *([F.percentile_approx("v", [0.25, 0.5, 0.75], 10000).alias("q")] if approx else []))
+    names = ("p25", "p50", "p75")
+    shown = ["metric", "count", "mean", "std", "min", *names, "max"]
+    if approx:
+        return moments.select("*", *[F.col("q")[i].alias(n) for i, n in enumerate(names)]).select(*shown)
+    counts = long.filter("v is not null").groupBy("metric", "v").agg(F.count(F.lit(1)).alias("n"))
+    run = with_offset(counts.withColumn("o", F.struct("metric", "v")), "o", F.col("n"), "before")
+    base = run.groupBy("metric").agg(F.min("before").alias("first"), F.sum("n").alias("all"))  # a row a metric
+    run = run.join(F.broadcast(base), "metric").withColumn("before", F.col("before") - F.col("first"))
+    picks = []
+    for name, q in zip(names, (0.25, 0.5, 0.75)):
+        at = (F.col("all") - 1) * F.lit(q)
+        value = lambda i: F.max(F.when((F.col("before") <= i) & (i < F.col("before") + F.col("n")), F.col("v")))
+        low, high = value(F.floor(at)), value(F.ceil(at))
+        picks.append((low + (high - low) * F.max(at - F.floor(at))).alias(name))
+    return moments.join(run.groupBy("metric").agg(*picks), "metric", "left").select(*shown)
 
 
 def counts_by(df: DataFrame, by: str, dim: DataFrame | None = None, name: str = "n") -> DataFrame:
@@ -92,7 +105,7 @@ def counts_by(df: DataFrame, by: str, dim: DataFrame | None = None, name: str =
     counts = df.groupBy(by).agg(F.count(F.lit(1)).alias(name))
     if dim is None:
         return counts
-    return counts.join(F.broadcast(dim), by, "right").select(
+    return dim.join(counts, by, "left").select(
         "ord", by, F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias(name))
 
 
@@ -104,17 +117,14 @@ def _scalars(df: DataFrame, col: str) -> dict:
 
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     """AGG-12: equal-width bins over [min, max], last bin closed; empty bins kept."""
-    s = _scalars(df, col)
-    lo, hi = s["lo"], s["hi"]
-    spark = df.sparkSession
-    dim = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
-    if lo is None:
-        return dim.select("bin", F.lit(0).cast("bigint").alias("n"))
-    width = (float(hi) - float(lo)) or 1.0
     x = F.col(col).cast("double")
-    b = F.least(F.floor((x - F.lit(float(lo))) / F.lit(width) * F.lit(bins)) + 1, F.lit(bins)).cast("int")
+    dim = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    ends = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()  # within the plan: no job here
+    lo, hi = ends.getField("lo"), ends.getField("hi")
+    width = F.when(hi == lo, F.lit(1.0)).otherwise(hi - lo)
+    b = F.least(F.floor((x - lo) / width * F.lit(bins)) + 1, F.lit(bins)).cast("int")
     counts = df.filter(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.join(F.broadcast(dim), "bin", "right").select(
+    return dim.join(F.broadcast(counts), "bin", "left").select(  # a row a bin at most
         "bin", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
@@ -156,7 +166,7 @@ def kde(df: DataFrame, col: str, points: int = 200) -> DataFrame:
     parts = df.select(F.col(col).cast("double").alias("x")).mapInPandas(partial, "g int, s double")
     sums = parts.groupBy("g").agg(F.sum("s").alias("s"))
     gx = spark.createDataFrame([(i, float(v)) for i, v in enumerate(grid)], "g int, x double")
-    return sums.join(F.broadcast(gx), "g", "right").select(
+    return gx.join(F.broadcast(sums), "g", "left").select(
         "g", "x", (F.coalesce(F.col("s"), F.lit(0.0)) * F.lit(norm)).alias("density"))
 
 

@@ -139,24 +139,25 @@ def cap_per_group(df: DataFrame, by: str, order: str, k: int) -> DataFrame:
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) <= k).drop(_RN)
 
 
-def with_position(df: DataFrame, order: str, name: str = "pos") -> DataFrame:
-    """0-based global position in ``order`` (must be unique), without a
-    single-partition window: range-sort, count rows per sorted partition (a
-    table with one row per partition), prefix-sum those counts, and add each
-    row's offset inside its partition. The sorted, tagged rows are checkpointed
-    to the shared folder so both passes see the same layout."""
+def with_offset(df: DataFrame, order: str, weight: Column | None = None, name: str = "pos") -> DataFrame:
+    """Adds the sum of ``weight`` (default: the number) of all rows before this one in ``order``
+    (which must be unique), without a single-partition window: range-sort, sum per sorted
+    partition (a table with one row per partition), and add each row's offset inside its partition. The
+    sorted, tagged rows are checkpointed to the shared folder so both passes see the same layout."""
     from presslens.session import cut_lineage
-    tagged = (df.orderBy(order)
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__mid", F.monotonically_increasing_id()))
-    tagged = cut_lineage(tagged)
-    local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
-    per = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    weight = F.lit(1).cast("bigint") if weight is None else weight
+    tagged = cut_lineage(df.withColumn("__w", weight).orderBy(order).withColumn("__pid", F.spark_partition_id()))
+    per = tagged.groupBy("__pid").agg(F.sum("__w").alias("__n"))
     offs = per.withColumn("__off", F.coalesce(F.sum("__n").over(
         Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (tagged.join(F.broadcast(offs.select("__pid", "__off")), "__pid")
-            .withColumn(name, F.col("__off") + local)
-            .drop("__pid", "__mid", "__off"))
+    inside = F.sum("__w").over(Window.partitionBy("__pid").orderBy(order)) - F.col("__w")
+    return (tagged.withColumn("__in", inside).join(F.broadcast(offs.select("__pid", "__off")), "__pid")
+            .withColumn(name, F.col("__off") + F.col("__in")).drop("__pid", "__in", "__w", "__off"))
+
+
+def with_position(df: DataFrame, order: str, name: str = "pos") -> DataFrame:
+    """0-based global position in ``order`` (must be unique)."""
+    return with_offset(df, order, None, name)
 
 
 def align_by_position(a: DataFrame, b: DataFrame, order_a: str, order_b: str) -> DataFrame:

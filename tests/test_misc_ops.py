@@ -73,3 +73,25 @@ def test_read_sitemap(spark, scratch):
                 '<lastmod>2026-04-30T10:00:00+03:00</lastmod></sitemap></sitemapindex>')
     rows = sorted((r.loc, r.lastmod) for r in read_sitemap(spark, p).collect())
     assert rows == [("https://a.gr/1.xml", None), ("https://a.gr/2.xml", "2026-04-30T10:00:00+03:00")]
+
+
+def test_describe_percentiles_against_numpy(spark):
+    import numpy as np
+
+    from presslens.operators.aggregates import describe, histogram
+    rng = np.random.default_rng(3)
+    a, b = [float(x) for x in rng.integers(0, 40, 501)], [float(x) for x in rng.normal(size=501)]
+    df = spark.createDataFrame([(x, y if i % 7 else None) for i, (x, y) in enumerate(zip(a, b))], "a double, b double").repartition(6)
+    kept = {"a": np.array(a), "b": np.array([y for i, y in enumerate(b) if i % 7])}
+    for r in describe(df, ["a", "b"]).collect():
+        v = kept[r.metric]
+        assert r["count"] == len(v)
+        for got, want in ((r.mean, v.mean()), (r.std, v.std(ddof=1)), (r.min, v.min()), (r.max, v.max()),
+                          *zip((r.p25, r.p50, r.p75), np.percentile(v, [25, 50, 75]))):
+            assert abs(got - want) < 1e-9
+    one = describe(df.limit(1).select("a"), ["a"]).first()
+    assert one.p25 == one.p75 == one.min and one.std is None
+    none = describe(df.filter("false"), ["a"]).collect()
+    assert none == [] and {r.n for r in histogram(df.filter("false"), "a", 4).collect()} == {0}
+    same = histogram(spark.createDataFrame([(2.0,)] * 5, "a double"), "a", 3).orderBy("bin").collect()
+    assert [r.n for r in same] == [5, 0, 0]
