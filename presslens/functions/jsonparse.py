@@ -16,14 +16,6 @@ LABEL_STRUCT = "struct<reasoning:string, primary_entities:array<string>, bias:do
 _OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
 
-def _parse_object(txt: Column) -> Column:
-    """Wide parse of a JSON object; null unless the text is one well-formed object
-    (Spark tolerates trailing text, so the caller hands over text ending in '}')."""
-    j = F.from_json(txt, LABEL_WIDE, _OPTS)
-    ok = txt.isNotNull() & (txt != "") & j.isNotNull() & j["_corrupt_record"].isNull()
-    return F.when(ok, j)
-
-
 def _greedy_object(txt: Column) -> Column:
     """Outermost '{...}' span (first '{' to last '}'), '' when none."""
     return F.regexp_extract(txt, r"(?s)\{.*\}", 0)
@@ -43,29 +35,6 @@ def _narrow(j: Column, error: Column) -> Column:
     )
 
 
-def safe_parse(raw: ColumnOrName, compat: bool = False) -> Column:
-    """JSN-01: recover a label object from raw model output.
-
-    Steps: strip; prefix '{' when missing; drop one trailing code fence; parse
-    the outermost {...}. With ``compat`` only that; otherwise the unprefixed
-    text is searched as well, which also recovers prose- or fence-wrapped JSON.
-    Failure gives an error record (empty reasoning/entities, bias null; or the
-    -1.0 sentinel with ``compat``).
-    """
-    r = py_strip(_c(raw))
-    pref = F.when(r.startswith("{"), r).otherwise(F.concat(F.lit("{"), r))
-    cleaned = py_strip(F.when(pref.endswith("```"), pref.substr(F.lit(1), F.length(pref) - 3))
-                       .otherwise(pref))
-    j = _parse_object(_greedy_object(cleaned))
-    if not compat:
-        j = F.coalesce(j, _parse_object(_greedy_object(r)))
-    err = F.when(j.isNull(), F.lit("parse_failed"))
-    out = _narrow(j, err)
-    if compat:
-        out = out.withField("bias", F.coalesce(out["bias"], F.when(out["error"].isNotNull(), F.lit(-1.0))))
-    return out
-
-
 def strip_thoughts(raw: ColumnOrName) -> Column:
     """Remove closed <think>/<reasoning> blocks and anything up to an orphan closing tag."""
     t = F.regexp_replace(_c(raw), r"(?is)<(reasoning|think)>.*?</\1>", "")
@@ -77,20 +46,6 @@ def first_thought(raw: ColumnOrName) -> Column:
     return py_strip(F.regexp_extract(_c(raw), r"(?is)<(?:reasoning|think)>(.*?)</(?:reasoning|think)>", 1))
 
 
-def safe_parse_v2(raw: ColumnOrName, compat: bool = False) -> Column:
-    """JSN-02: as ``safe_parse`` after removing think blocks; null on failure or
-    empty input; an empty ``reasoning`` is filled from the first think block."""
-    rc = _c(raw)
-    body = strip_thoughts(rc)
-    parsed = safe_parse(body, compat=compat)
-    thoughts = first_thought(rc)
-    filled = parsed.withField(
-        "reasoning",
-        F.when((py_strip(parsed["reasoning"]) == "") & (thoughts != ""), thoughts)
-         .otherwise(parsed["reasoning"]))
-    return F.when(rc.isNull() | (rc == "") | parsed["error"].isNotNull(), F.lit(None)).otherwise(filled)
-
-
 def unwrap_label(c: ColumnOrName) -> Column:
     """JSN-03: a label given as an object or as stringified JSON -> JSON object text.
 
@@ -120,7 +75,7 @@ def chat_messages(system: ColumnOrName, user: ColumnOrName, assistant: ColumnOrN
 
 
 # ---------------------------------------------------------------------------
-# Staged (DataFrame-level) forms. Each heavy step (regex over the whole output,
+# Staged: each heavy step (regex over the whole output,
 # JSON parse) becomes its own column, so it is evaluated once per row; Catalyst
 # does not inline a non-trivial projection that is referenced more than once.
 # ---------------------------------------------------------------------------
@@ -134,8 +89,15 @@ def _staged_object(df, txt_col: str, out_col: str):
 
 
 def with_parsed_output(df, raw: str, out: str, compat: bool = False, thoughts: bool = False):
-    """DataFrame form of ``safe_parse`` (``thoughts=False``) and
-    ``safe_parse_v2`` (``thoughts=True``): adds struct column ``out``."""
+    """JSN-01/02: recovers a label object from raw model output; adds struct column ``out``.
+
+    Steps: strip; prefix '{' when missing; drop one trailing code fence; parse
+    the outermost {...}. With ``compat`` only that; otherwise the unprefixed
+    text is searched as well, which also recovers prose- or fence-wrapped JSON.
+    Failure gives an error record (empty reasoning/entities, bias null; or the
+    -1.0 sentinel with ``compat``). With ``thoughts`` think blocks are removed first, failure and empty
+    input give null, and an empty ``reasoning`` is filled from the first think block.
+    """
     p = f"__{out}"
     d = df
     src = raw

@@ -61,7 +61,7 @@ def stream_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run of the stream per published part, all with one checkpoint: a scheduled job."""
     root = shared_dir(spark, "stream-cutoffs")
     parts = publish(_raw_articles(spark, sf_dir), f"{root}/staged", STREAM_PARTS, "event_id")
-    state, sink = KeyedStore(spark, f"{root}/state", "source"), KeyedStore(spark, f"{root}/sink")
+    state, sink = KeyedStore(spark, f"{root}/state", "source", buckets=2), KeyedStore(spark, f"{root}/sink", buckets=8)
     jvm = spark.sparkContext._jvm
     for k, part in enumerate(parts):
         src, dst = (jvm.org.apache.hadoop.fs.Path(p) for p in (part, f"{root}/in/{k}"))

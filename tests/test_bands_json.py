@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from presslens import specs
 from presslens.functions import bands as B
-from presslens.functions.jsonparse import safe_parse, safe_parse_v2, with_parsed_output
+from presslens.functions.jsonparse import with_parsed_output
 
 
 def _py_ideology(v):
@@ -69,7 +69,7 @@ OUTPUTS = [
 
 def test_safe_parse_v1(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(OUTPUTS)], "i int, raw string").orderBy("i")
-    got = df.select(safe_parse("raw").alias("p"), safe_parse("raw", compat=True).alias("c")).collect()
+    got = with_parsed_output(with_parsed_output(df, "raw", "p"), "raw", "c", compat=True).orderBy("i").collect()
     # the score, where the output holds one object; "abc" is no number but no failure
     assert [r.p.bias for r in got] == [0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, None, None, None, None]
     assert [r.p.error for r in got] == [None] * 8 + ["parse_failed"] * 3
@@ -77,19 +77,9 @@ def test_safe_parse_v1(spark):
     assert [r.c.bias == -1.0 for r in got] == [False] * 3 + [True] * 8
 
 
-def test_staged_equals_column_form(spark):
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(OUTPUTS)], "i int, raw string")
-    a = df.select("i", safe_parse_v2("raw").alias("p")).orderBy("i").collect()
-    b = with_parsed_output(df, "raw", "p", thoughts=True).select("i", "p").orderBy("i").collect()
-    assert [x.p for x in a] == [x.p for x in b]
-    c = df.select("i", safe_parse("raw", compat=True).alias("p")).orderBy("i").collect()
-    d = with_parsed_output(df, "raw", "p", compat=True).select("i", "p").orderBy("i").collect()
-    assert [x.p for x in c] == [x.p for x in d]
-
-
 def test_safe_parse_v2_thoughts(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(OUTPUTS)], "i int, raw string").orderBy("i")
-    got = [r[0] for r in df.select(safe_parse_v2("raw")).collect()]
+    got = [r.p for r in with_parsed_output(df, "raw", "p", thoughts=True).orderBy("i").collect()]
     assert got[5].reasoning == "deep thought" and got[5].bias == 0.8
     assert got[6].reasoning == "x" and got[6].bias == 0.9
     assert got[7].bias is None and got[7].reasoning == "t"
