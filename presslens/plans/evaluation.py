@@ -15,7 +15,7 @@ from presslens.operators.aggregates import confusion, macro_f1_from_cells
 from presslens.plans import sql as S
 from presslens.sources.tables import articles, table
 
-MODELS = ["base_qwen", "lora_nothink", "lora_think"]
+MODELS = ["base", "tuned", "tuned_thinking"]  # of the bindings; ``models`` is a parameter
 
 
 def evaluation_long(records: DataFrame, models=MODELS, truth: str = "ai_labels") -> DataFrame:
@@ -85,12 +85,12 @@ def eval_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.struct(F.col("title").alias("reasoning"), F.slice(words, 1, 3).alias("primary_entities"),
                  F.col("score").alias("bias")).alias("ai_labels"),
-        pred(F.col("score_b").cast("string"), F.slice(words, 2, 3)).alias("base_qwen_prediction"),
+        pred(F.col("score_b").cast("string"), F.slice(words, 2, 3)).alias("base_prediction"),
         pred(F.format_number((F.col("score") + F.col("score_b")) / 2, 3), F.slice(words, 1, 2))
-            .alias("lora_nothink_prediction"),
+            .alias("tuned_prediction"),
         F.when(F.col("doc_id") % 7 == 0, F.lit(None))
          .otherwise(pred(F.when(F.col("doc_id") % 11 == 0, F.lit("abc")).otherwise(F.col("score").cast("string")),
-                         F.slice(words, 1, 3))).alias("lora_think_prediction"),
+                         F.slice(words, 1, 3))).alias("tuned_thinking_prediction"),
     )
 
 
@@ -133,6 +133,26 @@ def cosine_sim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select("vec_id", "label_a", "label_b", F.round(cosine("ea", "eb"), 5).alias("cosine"))
 
 
+def reasoning_similarity(pairs: DataFrame, by: str = "model", truth: str = "truth", predicted: str = "predicted") -> DataFrame:
+    """AGG-05: mean cosine between the embeddings of the true and the predicted reasoning, per model, over
+    the articles that have both; the others are counted apart."""
+    both = cosine(truth, predicted)
+    return pairs.groupBy(by).agg(F.avg(both).alias("similarity"), F.count(both).alias("n_scored"),
+                                 F.count_if(both.isNull()).alias("n_missing"))
+
+
+def reasoning_similarity_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-in predictions: model k answers with the embedding k rows on; every seventh answer is missing."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    ks = F.array(*[F.lit(k) for k in range(len(MODELS))])
+    asked = e.select("vec_id", F.col("embedding").alias("truth"), F.posexplode(ks).alias("k", "on"))
+    asked = asked.withColumn("vec_id", F.col("vec_id") + F.col("on"))
+    answers = e.filter("vec_id % 7 <> 0").withColumnRenamed("embedding", "predicted")
+    models = F.array(*[F.lit(m) for m in MODELS])
+    got = asked.join(answers, "vec_id", "left").withColumn("model", models[F.col("k")])
+    return reasoning_similarity(got).select("model", F.round("similarity", 6).alias("similarity"), "n_scored", "n_missing")
+
+
 # ----------------------------------------------------------------------------
 def _ideo(e: str) -> str:
     parts = [f"WHEN {e} <= {x} THEN {S.q(l)}" for x, l in zip(specs.IDEOLOGY_EDGES, specs.IDEOLOGY_CLASSES)]
@@ -157,9 +177,9 @@ r AS (SELECT doc_id, score AS true_bias, {_norm(f'{_WORDS}[1:3]')} AS te,
              score_b AS b_base, round((score + score_b) / 2, 3) AS b_nothink,
              CASE WHEN doc_id % 11 = 0 THEN NULL ELSE score END AS b_think,
              doc_id % 7 = 0 AS think_missing FROM art),
-l AS (SELECT doc_id, 'base_qwen' AS model, true_bias, false AS missing, b_base AS pred_bias, {_jac('te', 'e_base')} AS jaccard FROM r
-      UNION ALL SELECT doc_id, 'lora_nothink', true_bias, false, b_nothink, {_jac('te', 'e_nothink')} FROM r
-      UNION ALL SELECT doc_id, 'lora_think', true_bias, think_missing,
+l AS (SELECT doc_id, 'base' AS model, true_bias, false AS missing, b_base AS pred_bias, {_jac('te', 'e_base')} AS jaccard FROM r
+      UNION ALL SELECT doc_id, 'tuned', true_bias, false, b_nothink, {_jac('te', 'e_nothink')} FROM r
+      UNION ALL SELECT doc_id, 'tuned_thinking', true_bias, think_missing,
                        CASE WHEN think_missing THEN NULL ELSE b_think END,
                        CASE WHEN think_missing THEN NULL ELSE {_jac('te', 'e_think')} END FROM r),
 ll AS (SELECT *, missing OR pred_bias IS NULL AS failed, {_ideo('true_bias')} AS y_true, {_ideo('pred_bias')} AS y_pred FROM l)
@@ -222,3 +242,10 @@ SELECT a.vec_id, a.label AS label_a, b.label AS label_b,
                           * sqrt(list_sum(list_transform(b.embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))))) END, 5) AS cosine
 FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1
 """)(cosine_sim)
+
+register("reasoning_similarity", f"""
+WITH m AS ({' UNION ALL '.join(f"SELECT {k} AS k, {S.q(m)} AS model" for k, m in enumerate(MODELS))}),
+p AS (SELECT m.model, CASE WHEN b.vec_id IS NOT NULL THEN list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) END AS c
+      FROM embeddings a CROSS JOIN m LEFT JOIN embeddings b ON b.vec_id = a.vec_id + m.k AND b.vec_id % 7 <> 0)
+SELECT model, round(avg(c), 6) AS similarity, count(c) AS n_scored, count(*) FILTER (WHERE c IS NULL) AS n_missing FROM p GROUP BY model
+""")(reasoning_similarity_q)
