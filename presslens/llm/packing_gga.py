@@ -7,16 +7,15 @@ a partition of the cell's pieces into bins). A generation crosses two packings:
 well-filled bins of one are injected into the other, bins there that hold an injected
 piece are dissolved, and the displaced pieces go back by best fit, longest first. Between epochs every
 island's elite migrates to the next island. Cells and islands are rows of a table, so they evolve
-in parallel and a lost task is run again from the written epoch. At the end the worst-filled bins of all
-cells are dissolved and their pieces dealt anew and solved once more, and the
-better of the two solutions of the piece's new cell stays.
+in parallel and a lost task is run again from the written epoch. At the end the bins of all
+cells that are not full are dissolved, and their pieces, now far fewer, are dealt anew and solved as another level, as
+long as that takes fewer bins.
 
 All choices come from seeds made of cell, island and epoch: reruns over the same table of pieces agree.
 """
 
 from __future__ import annotations
 
-import math
 import zlib
 
 import numpy as np
@@ -30,6 +29,8 @@ from presslens.llm.orc_tokens import END
 from presslens.llm.tokens import definition, encoder
 
 CELL_BITS = 24  # bins of a cell stay under 2^24
+LEVEL_BITS = 57  # cells of a level under 2^33
+LEVELS = 6  # each deals anew what the one before could not fill, as long as that saves sequences
 
 
 def _cut(tokenizer, spaces: bool, capacity: int):
@@ -216,24 +217,29 @@ def solve_cells(items: DataFrame, capacity: int, cell_items: int, islands: int,
 
 
 def pack(pieces: DataFrame, capacity: int = 2048, cell_items: int = 4096, islands: int = 2, members: int = 4,
-         epochs: int = 2, generations: int = 8, loose: float = 0.97, seed: int = 42) -> DataFrame:
+         epochs: int = 2, generations: int = 8, seed: int = 42) -> DataFrame:
     """``pieces`` (length, any more) with sequence_id and offset.
 
     Pieces of equal length are as good as one another, so repeated rows need no care; an empty table gives no rows. Every
     length is from 1 to ``capacity``.
     """
     rows = written(pieces.select(F.struct("*").alias("piece"), F.monotonically_increasing_id().alias("uid"), "length"), "pieces")
-    items = rows.select("uid", "length").where(F.col("length") < capacity)
-    options = dict(capacity=capacity, islands=islands, members=members, epochs=epochs, generations=generations)
-    first = solve_cells(items, cell_items=cell_items, seed=seed, **options)
-    place = "uid", "offset", (F.shiftleft("cell", CELL_BITS) + F.col("bin")).alias("sequence_id")
-    tight = first.where(F.col("fill") >= math.floor(loose * capacity)).select(*place)
-    left = first.where(F.col("fill") < math.floor(loose * capacity))
-    again = solve_cells(left.select("uid", "length"), cell_items=cell_items, seed=seed + 1, **options)
-    if again.select("cell", "bin").distinct().count() < left.select("cell", "bin").distinct().count():
-        left = again.withColumn("cell", -1 - F.col("cell"))
-    full = rows.where(F.col("length") >= capacity).select(
+    options = dict(capacity=capacity, cell_items=cell_items, islands=islands, members=members, epochs=epochs, generations=generations)
+    placed = rows.where(F.col("length") >= capacity).select(
         "uid", F.lit(0).cast("long").alias("offset"), (F.col("uid") + F.lit(1 << 62)).alias("sequence_id"))
-    placed = tight.union(left.select(*place)).union(full)
+    left, bins = rows.where(F.col("length") < capacity).select("uid", "length"), None
+    for level in range(LEVELS):
+        solved = solve_cells(left, seed=seed + level, **options).withColumn(
+            "sequence_id", F.shiftleft(F.lit(level).cast("long"), LEVEL_BITS) + F.shiftleft("cell", CELL_BITS) + F.col("bin"))
+        spread = solved.select(F.countDistinct("cell").alias("cells"), F.countDistinct("sequence_id").alias("bins"),
+                               F.countDistinct(F.when(F.col("fill") < capacity, F.col("sequence_id"))).alias("open")).first()
+        if bins is not None and spread["bins"] >= bins:
+            break  # the bins were better as they were
+        full = solved.where(F.col("fill") >= capacity)
+        last, left, bins = solved.where(F.col("fill") < capacity), solved.where(F.col("fill") < capacity).select("uid", "length"), spread["open"]
+        placed = placed.union(full.select("uid", "offset", "sequence_id"))
+        if spread["cells"] <= 1 or not bins:
+            break
+    placed = placed.union(last.select("uid", "offset", "sequence_id"))
     own = [F.col("piece").getField(c).alias(c) for c in pieces.columns if c not in ("offset", "sequence_id")]
     return rows.join(placed, "uid").select(*own, "offset", "sequence_id")
