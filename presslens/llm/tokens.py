@@ -17,7 +17,7 @@ import numpy as np
 
 from presslens.llm.common import worker_state
 
-CACHED_WORDS = 300_000  # per generation; two are kept
+CACHED_WORDS = 450_000  # per generation; two are kept
 LONGEST_WORD = 64  # characters of a word that is kept
 _STOPS = frozenset(".,;:!?")
 
