@@ -7,7 +7,8 @@ Scale notes
   hot key to one row per map task before the shuffle. They carry the columns they return, so project first.
 * Exact-N samples and splits follow the order of an md5 hash of (key, seed). Where a group's
   sample ends - the hash and key of its last row - is found from a scan of the keys alone; the rows
-  themselves are then filtered where they are, without a shuffle.
+  themselves are then filtered where they are. A sample by group shuffles what may be in it unless Spark
+  broadcasts the ends by itself.
 * That end is found in two levels of per-group limits (tasks, then ``SPREAD`` parts of a group, then the
   group), so even a group that holds a third of all rows sends one task no more than SPREAD * n keys.
 * The split looks for its cut in counts by hash bucket, then in the one bucket that holds it.
@@ -23,7 +24,8 @@ from presslens.functions.metrics import hash_key
 _H = "__h"
 _RN = "__rn"
 SPREAD = 64  # parts of a group in the first level
-MAX_GROUPS = 1_000_000  # groups of a sample: one end each is broadcast
+BOUNDS = 1024  # buckets of groups whose last end thins the rows before they are joined
+MAX_GROUPS = None  # groups a sample may have before it is an error; None: any number
 
 
 def _cols(df: DataFrame, exclude=()) -> list[str]:
@@ -72,7 +74,10 @@ def sample_exact(df: DataFrame, n: int, by: str | None, key: str, seed: int) ->
     hash order (ties broken by ``key``, which is unique); reproducible across partitionings.
 
     ``df`` is scanned twice: its keys for the end of each group's sample, then its rows, each compared
-    with the end of its group. More than MAX_GROUPS groups are an error.
+    with the end of its group. Any number of groups works the same way: the ends are joined by an equi-join,
+    which Spark broadcasts where they are small and whose hot groups AQE splits otherwise. Rows beyond the last
+    end of all groups in their group's bucket (of BOUNDS) go before the join, so few groups shuffle little more than
+    the sample. An error comes only where MAX_GROUPS is set.
     """
     first = _first_keys(df, n, by, key, seed)
     end = F.max(F.struct(_H, "__k")).alias("__end")
@@ -80,10 +85,16 @@ def sample_exact(df: DataFrame, n: int, by: str | None, key: str, seed: int) ->
     if by is None:
         return df.filter(F.coalesce(place <= first.agg(end).scalar(), F.lit(False)))
     ends = first.groupBy("__g").agg(end)
-    groups = ends.select(F.count(F.lit(1))).scalar()
-    ends = ends.filter(F.when(groups <= MAX_GROUPS, F.lit(True)).otherwise(
-        F.raise_error(F.lit("too many groups for one sample")).cast("boolean")))
-    return df.join(F.broadcast(ends), F.col(by).eqNullSafe(F.col("__g"))).filter(place <= F.col("__end")).drop("__g", "__end")
+    if MAX_GROUPS is not None:
+        groups = ends.select(F.count(F.lit(1))).scalar()
+        ends = ends.filter(F.when(groups <= MAX_GROUPS, F.lit(True)).otherwise(
+            F.raise_error(F.lit("too many groups for one sample")).cast("boolean")))
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BOUNDS)).cast("int")
+    last = ends.groupBy(bucket("__g").alias("__b")).agg(F.max("__end").alias("__last"))  # BOUNDS rows at most
+    last = last.agg(F.map_from_entries(F.collect_list(F.struct("__b", "__last"))).alias("__m")).select(
+        F.transform(F.sequence(F.lit(0), F.lit(BOUNDS - 1)), lambda b: F.col("__m")[b]))
+    rows = df.filter(place <= F.get(last.scalar(), bucket(F.col(by))))
+    return rows.join(ends, F.col(by).eqNullSafe(F.col("__g"))).filter(place <= F.col("__end")).drop("__g", "__end")
 
 
 def rank_slices(df: DataFrame, bounds: list[tuple[int, int]], key: str, seed: int,

@@ -51,6 +51,24 @@ def test_too_many_groups_are_an_error(spark, monkeypatch):
         sample_exact(_skewed(spark), 2, "grp", "id", 1).collect()
 
 
+def test_any_number_of_groups_without_a_broadcast(spark):
+    """No bound on groups by default, and ends that are too large to broadcast are joined all the same."""
+    from presslens.operators import windows
+    assert windows.MAX_GROUPS is None
+    df = _skewed(spark).withColumn("grp", F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("g"), F.col("id"))))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = sample_exact(df, 25, "grp", "id", 42)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = [r.id for r in out.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Broadcast" not in plan and "CartesianProduct" not in plan, plan
+    hot = sorted(range(0, 3000, 3), key=lambda k: (_h(k, 42), k))[:25]
+    assert sorted(got) == sorted([*hot, *(i for i in range(3000) if i % 3)])
+
+
 def test_sample_exact_partition_invariant(spark):
     a = {r.id for r in sample_exact(_skewed(spark, parts=1), 40, "grp", "id", 7).collect()}
     b = {r.id for r in sample_exact(_skewed(spark, parts=13), 40, "grp", "id", 7).collect()}
