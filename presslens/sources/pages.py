@@ -124,6 +124,34 @@ class _Reader(HTMLParser):
             self.body.append(data)
 
 
+class _Links(_Reader):
+    """Collects the anchor tags inside the elements of a tag, as they are written."""
+
+    def __init__(self, scope_tag: str):
+        super().__init__(ExtractRule("", (f"<{scope_tag.lower()}>",)))
+        self.anchors = []
+
+    def handle_starttag(self, tag, attrs):
+        super().handle_starttag(tag, attrs)
+        if tag == "a" and self.open[-1][2] > 0:
+            self.anchors.append(self.get_starttag_text())
+
+    def handle_data(self, data):
+        pass
+
+    def parse_marked_section(self, i, report=1):  # of an unknown kind: passed over up to its >
+        return self.parse_bogus_comment(i)
+
+
+def scoped_anchors(html: str | None, scope_tag: str) -> list[str]:
+    """The <a> tags inside any ``<scope_tag>``: nested ones count whole, one without an end tag up to the end
+    of the element around it."""
+    reader = _Links(scope_tag)
+    reader.feed(html or "")
+    reader.close()
+    return reader.anchors
+
+
 def _clean(s: str | None) -> str | None:
     return " ".join(s.split()) if s else None
 
@@ -223,10 +251,13 @@ def resolve_url(base: Column, href: Column) -> Column:
 
 def harvest_links(pages: DataFrame, scope_tag: str = "article", url: str = "url", html: str = "html") -> DataFrame:
     """SRC-12: distinct hrefs of all anchors inside any ``<scope_tag>`` of each page,
-    resolved against the page URL; one row per (page, link). Per-row only: no
-    shuffle."""
-    blocks = F.array_join(F.regexp_extract_all(F.col(html), F.lit(rf"(?is)<{scope_tag}\b[^>]*>(.*?)</{scope_tag}\s*>"), 1), " ")
-    tags = F.regexp_extract_all(blocks, F.lit(r"""(?is)<a\s(?:[^>"']|"[^"]*"|'[^']*')*>"""), 0)
+    resolved against the page URL; one row per (page, link). Tags are read as in
+    ``extract_articles`` (nested and unclosed elements included). Per-row only: no shuffle."""
+    @F.pandas_udf("array<string>")
+    def anchors(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda x: scoped_anchors(x, scope_tag))
+
+    tags = anchors(F.col(html))
     value = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
     hrefs = F.transform(F.filter(tags, lambda t: t.rlike(value)), lambda t: py_strip(unescape_basic(F.concat(
         *[F.regexp_extract(t, value, k) for k in (1, 2, 3)]))))

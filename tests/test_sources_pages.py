@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,6 +92,19 @@ def test_links_of_all_blocks_and_quotes(spark):
     assert got == ["http://h.com/a", "http://h.com/p/d", "http://h.com/p/q/b?x=1&y", "http://h.com/p/q/c"]
 
 
+@pytest.mark.parametrize("page, links", [
+    ("<article><a href=1>x</a><article><a href=2>x</a></article><a href=3>x</a></article><a href=no>x</a>", "123"),
+    ("<article><article><article><a href=1></a></article></article><a href=2></a></article><a href=no></a>", "12"),
+    ("<a href=no>x</a><article class=c><a href=1>x</a><p><a href=2>x</a>", "12"),  # no end tag
+    ("<div><article><a href=1>x</a></div><a href=no>x</a>", "1"),  # ends with the element around it
+    ("</article><a href=no>x</a><article><a href=1>x</a><!-- </article> --><a href=2>x</a></article>", "12"),
+    ("<article><![bad[ x]><a href=1>x</a></article><article-card><a href=no>x</a></article-card>", "1"),
+    (None, ""), ("<article>" * 3000 + "<a href=1>x</a>", "1")])
+def test_links_of_nested_and_unclosed_blocks(spark, page, links):
+    df = spark.createDataFrame([(1, "http://h.com/", page)], "page_id int, url string, html string")
+    assert [r.link for r in harvest_links(df).collect()] == [f"http://h.com/{k}" for k in links]
+
+
 def test_links_resolved(spark):
     from urllib.parse import urljoin
     hrefs = ["//cdn.com/z", "?q=2", "#top", "", "c/d", "/root", "mailto:a@b", "../d", "./e", "../../../x", "a/../b/./c", "..", ".",
