@@ -5,13 +5,13 @@ the words (and word beginnings) a document holds, and of the probabilities of th
 categories before it. Those come out of fold in training: a labelled document's earlier
 probabilities are from a model that has not seen it, as a new document's will be.
 
-Fitting uses a bounded sample, ``max_labelled`` documents, the same number of each value of
-the last category as far as there are, weighted back to their shares of all labels. Per
+Fitting uses a bounded sample, ``max_labelled`` of the labelled documents at hand, the same number of each value of
+the last category as far as there are, weighted back to their shares of all those. Per
 category the fold models and the final one are fitted in parallel, a group of a Spark job each. Every
 text is then scored whole.
 
 Defined cases: null and empty texts have no words and are scored by the models' constants;
-labels that are null, or of documents that are not there, are not learned; of repeated labels of a
+labels that are null, or of documents that are not there, are not learned and take no places in the sample; of repeated labels of a
 document the largest counts, of repeated documents one; a category with a single value, or none, is predicted as its share (0 if
 none). Columns of the added names are replaced.
 """
@@ -170,7 +170,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple = CATEGORIES, max_
     for c in categories:
         known &= F.col(c).isin(0, 1)
     labels = labels.where(known).groupBy("doc_id").agg(*[F.max(c).cast("int").alias(c) for c in categories])
-    labels = written(labels, "labels")
+    here = docs.select("doc_id").distinct()
+    labels = written(labels.join(here, "doc_id", "left_semi"), "labels")
     totals = {r[0]: r[1] for r in labels.groupBy(categories[-1]).count().collect()}
     chosen = sample_exact(labels, max_labelled // 2, categories[-1], "doc_id", 10).select(
         "doc_id", F.array(*categories).alias("y"),

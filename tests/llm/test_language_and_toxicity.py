@@ -105,6 +105,14 @@ def test_chain_finds_planted_words_out_of_sample(spark):
     assert all((r["p_toxic"] >= 0.4) == (r["doc_id"] % 5 == 0) for r in got)
 
 
+def test_labels_of_absent_documents_take_no_places(spark):
+    docs = docs_frame(spark, [(i, f"w{i % 50} w{i % 37} " + ("scumword" if i % 5 == 0 else f"w{i % 29}"), "en", "a") for i in range(200)])
+    label = lambda ids: spark.createDataFrame([(i, int(i % 3 > 0), int(i % 5 == 0)) for i in ids], "doc_id long, quality int, toxic int")
+    alone, among = fit(docs, label(range(200)), max_labelled=60), fit(docs, label(range(4000)), max_labelled=60)
+    for a, b in zip(alone.models, among.models):
+        assert a.ids.tolist() == b.ids.tolist() and np.allclose(a.weights, b.weights) and np.isclose(a.constant, b.constant)
+
+
 def test_chain_awkward_rows(spark):
     docs = awkward(spark)
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 1), (2, 1, 0), (3, None, 1), (4, 0, 0), (None, 1, 1), (99, 1, 1), (7, 1, 1), (5, 0, 2)],
