@@ -3,8 +3,8 @@
 Pre-tokenizers never join characters across white space, nor letters with the
 punctuation after them, so a text cut there and encoded piece by piece gives the ids of
 the whole text. A word of letters not met lately goes straight to the library's model;
-any other piece, and every text whose white space is not of the plain kind this holds for, goes
-through the whole tokenizer.
+any other piece, and every text whose white space is not of the plain kind this holds for, or that holds the
+string of a special token, goes through the whole tokenizer.
 """
 
 from __future__ import annotations
@@ -31,13 +31,16 @@ def _byte_characters() -> dict[int, str]:
 
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids. ``spaces``: whether the tokenizer keeps white
-    space (a space belongs to the word after it) or drops it."""
+    space (a space belongs to the word after it) or drops it. ``special_as_text``: whether the strings of
+    special tokens are ordinary text, or, as in the library's plain call, give their one id."""
 
-    def __init__(self, definition: str, spaces: bool):
+    def __init__(self, definition: str, spaces: bool, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = () if special_as_text else tuple(t.content for t in added if t.special)
         self.model = self.tokenizer.model
         self.spaces = spaces
         self.bytes = _byte_characters()
@@ -93,6 +96,8 @@ class Encoder:
         """The ids of the whole text; none for null and empty ones."""
         if not text:
             return b""
+        if any(s in text for s in self.special):
+            return self._whole(text)
         if any(c in text for c in "\x1c\x1d\x1e\x1f\x85"):  # white space to Python, not to all tokenizers
             return self._whole(text)
         words = text.split()
@@ -110,5 +115,5 @@ def definition(path: str) -> str:
 
 
 def encoder(text: str, spaces: bool) -> Encoder:
-    """This worker's encoder, kept from task to task."""
-    return worker_state(f"encoder_{zlib.crc32(text.encode())}_{spaces}", lambda: Encoder(text, spaces))
+    """This worker's encoder, kept from task to task; special tokens as in the library's plain call."""
+    return worker_state(f"encoder_{zlib.crc32(text.encode())}_{spaces}", lambda: Encoder(text, spaces, special_as_text=False))

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from presslens.llm.kneser_ney import discounts, local_path, perplexity, score, scramble, train, unscramble
 from presslens.llm.orc_tokens import read_tokens, token_digest, write_tokens
-from presslens.llm.tokens import Encoder, definition
+from presslens.llm.tokens import Encoder, definition, encoder
 from presslens.session import shared_dir
 from presslens.sources.tables import table
 from tests.llm.helpers import awkward, docs_frame
@@ -33,6 +33,23 @@ def test_words_give_the_ids_of_the_whole_text(spark, name, spaces):
         assert np.frombuffer(enc.encode(text), "<u4").tolist() == whole.encode(text or "", add_special_tokens=False).ids, repr(text)[:80]
 
 
+SPECIAL = ["<|endoftext|>", "a<|endoftext|> ok", "x <|startoftext|>y <|ENDOFTEXT|>", "one\ntwo <|endoftext|><|endoftext|>\n", "<|endoftext|", "no | such"]
+
+
+@pytest.mark.parametrize("name, spaces", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_special_strings_as_in_the_plain_call(name, spaces):
+    path = public_tokenizers.path(name)
+    whole, enc = Tokenizer.from_file(path), encoder(definition(path), spaces)
+    for text in SPECIAL + ODD:
+        assert np.frombuffer(enc.encode(text), "<u4").tolist() == whole.encode(text or "", add_special_tokens=False).ids, repr(text)[:80]
+
+
+def test_files_of_texts_with_special_strings(spark):
+    path, docs = shared_dir(spark, "t-special"), list(enumerate(SPECIAL))
+    write_tokens(docs_frame(spark, [(i, x, "en", "a") for i, x in docs]), path, public_tokenizers.path("byte_bpe_50k.json"), shards=2)
+    assert sorted(tuple(r) for r in token_digest(spark, path).collect()) == plain_digest(docs)
+
+
 def plain_digest(docs):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     out, start = [], 0
