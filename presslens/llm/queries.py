@@ -220,3 +220,13 @@ def op3_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     sides = turns.join(swap, "conv_id", "left").select(
         F.col("conv_id").alias("pair_id"), "turn", "role", F.explode(both).alias("s")).select("pair_id", "turn", "role", "s.side", "s.text")
     return format_preferences(sides)
+
+
+@_query()
+def op13_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from presslens.llm.hypershard import shard_rows
+    text = F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    return shard_rows(docs, 16).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"),
+                                       "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
