@@ -27,12 +27,17 @@ def _fold(folds: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
 
 
-def _crc32_sql(text: str) -> str:
-    """DuckDB SQL for the crc32 of an ASCII string, bit by bit (reflected polynomial 0xEDB88320)."""
+def _crc32_sql(text: str, latin: bool = False) -> str:
+    """DuckDB SQL for the crc32 of an ASCII string, bit by bit (reflected polynomial 0xEDB88320).
+
+    ``latin``: the string may also hold U+00C0 to U+00FF, which UTF-8 writes as C3 and the code less 40."""
     bit = "(c // 2)::bigint"
     byte = ("list_reduce(list_concat([xor(r, b)], range(8)), "
             f"lambda c, i: case when c % 2 = 1 then xor({bit}, 3988292384) else {bit} end)")
     codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::bigint)"
+    if latin:
+        codes = (f"flatten(list_transform(string_split({text}, ''), lambda x: case when unicode(x) < 128 then [unicode(x)::bigint] "
+                 "else [195::bigint, (unicode(x) - 64)::bigint] end))")
     return f"xor(list_reduce(list_concat([4294967295::bigint], {codes}), lambda r, b: {byte}), 4294967295)"
 
 
@@ -230,3 +235,52 @@ def op13_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
     return shard_rows(docs, 16).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"),
                                        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_query(f"""
+with runs as (select doc_id, r, count(*) n from (
+  select doc_id, unnest(list_filter(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[a-z\\x{{C0}}-\\x{{FF}}]+'),
+                        lambda x: len(x) >= 7)) r from documents) group by all),
+h as (select r, n, {_crc32_sql("coalesce(doc_id::varchar, '') || ':' || r", latin=True)} h from runs),
+w as (select word, sum(n)::bigint n from (
+  select case when h % 31 = 0 then substr(r, 1, (h % len(r))::int) || substr(r, (h % len(r))::int + 2) else r end word, n from h)
+  where len(word) >= 7 group by word having sum(n) >= 2),
+cut as (select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) rest from (select *, unnest(range(1, len(word) + 1)) i from w)),
+near as (select distinct a.word, b.word other, b.n m from cut a join cut b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+         union select a.word, b.word, b.n from w a join cut b on a.word = b.rest
+         union select b.word, a.word, a.n from w a join cut b on a.word = b.rest),
+best as (select word, count(*) n_near, arg_min(other, (-m, other)) other, max(m) m from near group by word),
+f as (select w.word, w.n, coalesce(n_near, 0) n_near, case when m >= 10 * w.n then other end form, case when m >= 10 * w.n then m end form_n
+      from w left join best using (word)),
+roots as (with recursive c as (select word, word cur, 0 step from f union all
+            select c.word, f.form, step + 1 from c join f on c.cur = f.word where f.form is not null)
+          select word, arg_max(cur, step) root from c group by word)
+select f.word, form, root, n, n_near, form_n from f join roots using (word)
+""")
+def op12_spelling_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from presslens.llm.spelling_partenum import spelling_groups
+    return spelling_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query(f"""
+with t as (select conv_id c, coalesce(role, '') r, coalesce(text, '') x, row_number() over (
+             partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 p
+           from conversations where conv_id is not null),
+c as (select c, count(*) n, {_crc32_sql("c::varchar")} % 4 h, c - c % 20 b from t group by c),
+s as (select c.c, 0 own, t.p, t.r, t.x from c join t on t.c = c.b and t.p < c.h
+      union all select c.c, 1, t.p, t.r, t.x from c join t on t.c = c.c and t.p >= c.h),
+d as (select c, list(sha256(len(r)::varchar || ':' || r || x) order by own, p) path,
+             list(len(list_filter(string_split_regex(x, '[\\x20\\x09-\\x0D]+'), lambda v: v <> '')) order by own, p) words from s group by c),
+m as (select c.c, coalesce(path, []) path, coalesce(words, []) words from c left join d using (c)),
+u as (select c, k, list_slice(path, 1, k) pre, coalesce(words[k], 0) w, k = len(path) ends from (select *, unnest(range(0, len(path) + 1)) k from m)),
+v as (select pre, k, min(c) conv_id, count(*) n, any_value(w) w, string_agg(c::varchar, ',' order by c) filter (ends) ids from u group by pre, k),
+kids as (select list_slice(pre, 1, k - 1) pre, count(*) n from v where k > 0 group by 1),
+f as (select v.*, coalesce(kids.n, 0) n_children from v left join kids using (pre)),
+a as (select *, list_slice(pre, 1, j) top from (select *, unnest(range(0, k + 1)) j from f)),
+b as (select top, count(*) filter (n_children = 0) n_leaves, sum((n - 1) * w)::bigint saved from a group by top)
+select f.conv_id, f.k depth, p.conv_id parent_conv_id, f.n n_convs, f.n_children, n_leaves, saved saved_tokens, sha256(coalesce(f.ids, '')) ends_sha256
+from f join b on b.top = f.pre left join f p on f.k > 0 and p.pre = list_slice(f.pre, 1, f.k - 1)
+""")
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from presslens.llm.prefix_trie import encode_turns, prefix_trie, splice_heads
+    return prefix_trie(*splice_heads(encode_turns(table(spark, sf_dir, "conversations"))))
