@@ -1,8 +1,9 @@
 """Raw pages -> article rows (SRC-10/11), link harvest (SRC-12), title regex.
 
-Per-host extraction rules are data. A page is read once, tag by tag, by the
+Per-host extraction rules are data. For articles a page is read once, tag by tag, by the
 standard library's HTML tokenizer inside ``mapInPandas``; the open elements are a flat stack, so
-neither depth nor size of a page matters, and a page that cannot be read costs its own row only.
+neither depth nor size of a page matters, and a page that cannot be read costs its own row only. Links
+are found by built-in functions: one pattern cuts the page into tags, a fold keeps the open elements.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -17,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presslens.functions.text import collapse_ws, py_strip
+from presslens.operators.projections import materialize
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 CLOSES_P = {"p", "div", "article", "section", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "table",
@@ -124,34 +127,6 @@ class _Reader(HTMLParser):
             self.body.append(data)
 
 
-class _Links(_Reader):
-    """Collects the anchor tags inside the elements of a tag, as they are written."""
-
-    def __init__(self, scope_tag: str):
-        super().__init__(ExtractRule("", (f"<{scope_tag.lower()}>",)))
-        self.anchors = []
-
-    def handle_starttag(self, tag, attrs):
-        super().handle_starttag(tag, attrs)
-        if tag == "a" and self.open[-1][2] > 0:
-            self.anchors.append(self.get_starttag_text())
-
-    def handle_data(self, data):
-        pass
-
-    def parse_marked_section(self, i, report=1):  # of an unknown kind: passed over up to its >
-        return self.parse_bogus_comment(i)
-
-
-def scoped_anchors(html: str | None, scope_tag: str) -> list[str]:
-    """The <a> tags inside any ``<scope_tag>``: nested ones count whole, one without an end tag up to the end
-    of the element around it."""
-    reader = _Links(scope_tag)
-    reader.feed(html or "")
-    reader.close()
-    return reader.anchors
-
-
 def _clean(s: str | None) -> str | None:
     return " ".join(s.split()) if s else None
 
@@ -249,17 +224,78 @@ def resolve_url(base: Column, href: Column) -> Column:
             .otherwise(F.concat(origin(base), without_dots(full), rest)))
 
 
+# a start tag's rest: quotes count after a = only, and every repetition is possessive, so long tags cost no stack
+_REST = r"""(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+|["'])*+>"""
+# comments; raw text elements whole; declarations; tags
+_TOKEN = rf"(?is)<!--.*?(?:-->|\z)|<(script|style)\b{_REST}.*?(?:</\1\s*>|\z)|<[!?][^>]*+>?|</?[a-z]{_REST}"
+_ATTRIBUTE = r"""(?s)[^\s"'<>/=][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+))?+"""
+_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*+)(?:;|(?![=A-Za-z0-9]))"
+
+
+def decode_references(c: Column) -> Column:
+    """Character references of attribute values decoded: numbers, and the names of HTML 5 (without the ``;`` where
+    HTML allows that and no letter, digit or = follows). Unknown ones stay as they are."""
+    names = F.str_to_map(F.lit("\1".join(f"{name}\2{text}" for name, text in sorted(html5.items()))), F.lit("\1"), F.lit("\2"))
+
+    def text(ref: Column) -> Column:
+        body = F.regexp_replace(ref, "^&|;$", "")
+        code = F.when(body.rlike("^#[xX]"), F.conv(F.substring(body, 3, 8), 16, 10)).when(
+            body.startswith("#"), F.substring(body, 2, 8)).cast("long")
+        valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.coalesce(F.when(valid, char), F.try_element_at(names, F.substring(ref, 2, 40)), ref)
+
+    parts = F.regexp_extract_all(c, F.lit(f"(?s){_REFERENCE}|[^&]+|&"), F.lit(0))
+    decoded = F.array_join(F.transform(parts, lambda x: F.when(x.startswith("&") & (F.length(x) > 1), text(x)).otherwise(x)), "")
+    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """The value of a start tag's first attribute of that name, references decoded; null if it has none."""
+    attributes = F.regexp_extract_all(F.regexp_replace(tag, r"^<[^\s/>]+", ""), F.lit(_ATTRIBUTE), F.lit(0))
+    own = F.get(F.filter(attributes, lambda a: a.rlike(rf"(?is)^{name}\s*=")), F.lit(0))
+    value = F.regexp_replace(own, r"(?is)^[^=]*=\s*", "")
+    quoted = value.startswith('"') | value.startswith("'")
+    return decode_references(F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value))
+
+
+def scoped_anchors(html: Column, scope_tag: str) -> Column:
+    """The <a> tags inside any ``<scope_tag>``: nested ones count whole, one without an end tag up to the end
+    of the element around it. One pass over the page's tags with the open elements as a path like ``/div/p/``."""
+    scope = f"/{scope_tag.lower()}/"
+    block = "|".join(sorted(CLOSES_P - {"p"}))
+    names = F.transform(F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0)), lambda t: F.struct(
+        t.alias("tag"), F.lower(F.regexp_extract(t, r"^</?([a-zA-Z][^\s/>]*)", 1)).alias("name")))
+    tags = F.filter(names, lambda t: ~t["name"].isin("", "script", "style", *sorted(VOID)))
+
+    def after(path: Column, t: Column) -> Column:
+        step = F.concat(t["name"], F.lit("/"))
+        mark = F.concat(F.lit("/"), step)
+        beyond = F.length(F.call_function("substring_index", path, mark, F.lit(-1)))
+        closed = F.when(F.contains(path, mark), F.substring(path, F.lit(1), F.length(path) - beyond - F.length(step))).otherwise(path)
+        # a block element ends an open paragraph of the same block
+        ends_p = t["name"].isin(*sorted(CLOSES_P)) & F.contains(path, F.lit("/p/"))
+        outer = F.when(ends_p, F.regexp_replace(path, rf"/p/(?:(?!(?:{block}|p)/)[^/]++/)*+$", "/")).otherwise(path)
+        opened = F.when(t["tag"].endswith("/>"), outer).otherwise(F.concat(outer, step))
+        return F.when(t["tag"].startswith("</"), closed).otherwise(opened)
+
+    def step(state: Column, t: Column) -> Column:
+        def use(path: Column) -> Column:
+            hit = (t["name"] == "a") & ~t["tag"].startswith("</") & F.contains(path, F.lit(scope))
+            return F.struct(path.alias("path"), F.when(hit, F.concat(state["found"], F.array(t["tag"]))).otherwise(state["found"]).alias("found"))
+        return F.transform(F.array(after(state["path"], t)), use)[0]
+
+    start = F.struct(F.lit("/").alias("path"), F.array().cast("array<string>").alias("found"))
+    return F.aggregate(tags, start, step, lambda state: state["found"])
+
+
 def harvest_links(pages: DataFrame, scope_tag: str = "article", url: str = "url", html: str = "html") -> DataFrame:
     """SRC-12: distinct hrefs of all anchors inside any ``<scope_tag>`` of each page,
-    resolved against the page URL; one row per (page, link). Tags are read as in
-    ``extract_articles`` (nested and unclosed elements included). Per-row only: no shuffle."""
-    @F.pandas_udf("array<string>")
-    def anchors(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda x: scoped_anchors(x, scope_tag))
-
-    tags = anchors(F.col(html))
-    value = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
-    hrefs = F.transform(F.filter(tags, lambda t: t.rlike(value)), lambda t: py_strip(unescape_basic(F.concat(
-        *[F.regexp_extract(t, value, k) for k in (1, 2, 3)]))))
-    out = pages.select(*[c for c in pages.columns if c != html], F.explode(F.array_distinct(hrefs)).alias("href"))
-    return out.withColumn("link", resolve_url(F.col(url), F.col("href")))
+    resolved against the page URL; one row per (page, link). Nested and unclosed elements are included; built-in
+    functions only, per row: no shuffle, and no page can end the job."""
+    rest = [c for c in pages.columns if c != html]
+    found = pages.where(F.contains(F.lower(html), F.lit(f"<{scope_tag.lower()}")))
+    found = materialize(found, html, scoped_anchors(F.col(html), scope_tag))
+    hrefs = F.transform(html, lambda tag: py_strip(attribute(tag, "href")))
+    found = found.select(*rest, F.explode(F.array_distinct(F.filter(hrefs, lambda h: h.isNotNull()))).alias("href"))
+    return found.withColumn("link", resolve_url(F.col(url), F.col("href")))

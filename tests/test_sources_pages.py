@@ -105,6 +105,26 @@ def test_links_of_nested_and_unclosed_blocks(spark, page, links):
     assert [r.link for r in harvest_links(df).collect()] == [f"http://h.com/{k}" for k in links]
 
 
+@pytest.mark.parametrize("tag, href", [
+    ('<a title="see href=x" href="y">', "y"), ("<a href='a&amp;b'>", "a&b"), ('<a href="/caf&eacute;?a=1&#38;b=2&#x1F600;">', "/café?a=1&b=2😀"),
+    ('<A\n HREF = "u v" >', "u v"), ("<a href=u/v/>", "u/v/"), ('<a href="?x=1&copy=2&lt;&nope;&copy">', "?x=1&copy=2<&nope;©"),
+    ('<a data-href="no" xhref=no>', None), ('<a href="first" href="second">', "first"), ("<a href>", None), ('<a href="">', ""),
+    ('<a title="a > b" href="c>d">', "c>d"), ("<a title=it's href=e>", "e"), ('<a href="&#0;&#xD800;&#1114112;">', "&#0;&#xD800;&#1114112;"),
+    ('<a title="' + "x" * 30000 + '" href="far">', "far")])
+def test_href_of_a_tag(spark, tag, href):
+    page = f"<article>{tag}</a></article>"
+    got = harvest_links(spark.createDataFrame([(1, "http://h.com/", page)], "page_id int, url string, html string")).collect()
+    assert [r.href for r in got] == ([] if href is None else [href])
+
+
+def test_no_page_ends_the_job(spark):
+    pages = ["<article><a href=1>", '<article><a title="open href=2>x</a>', "<article>" + "<p class='" * 4000, "<article><!-- <a href=no>",
+             "<article><script>'<a href=no>'</script><style><a href=no></style><a href=3>", "<article><p><div></p><a href=4>", "<a <article href=no>"]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id int, html string").withColumn("url", F.lit("http://h.com/"))
+    got = {r.page_id: r.href for r in harvest_links(df).collect()}
+    assert got[0] == "1" and got[4] == "3" and got[5] == "4" and not {3, 6} & set(got)
+
+
 def test_links_resolved(spark):
     from urllib.parse import urljoin
     hrefs = ["//cdn.com/z", "?q=2", "#top", "", "c/d", "/root", "mailto:a@b", "../d", "./e", "../../../x", "a/../b/./c", "..", ".",
