@@ -5,13 +5,13 @@ Scale notes
 * Keep-first / last-write-wins are aggregations (``min``/``max`` of a struct led
   by the order key), not full-group windows: the partial aggregate collapses a
   hot key to one row per map task before the shuffle. They carry the columns they return, so project first.
-* Exact-N samples and splits follow the order of an md5 hash of (key, seed). Where a group's
-  sample ends - the hash and key of its last row - is found from a scan of the keys alone; the rows
+* Exact-N samples, slices and splits follow the order of an md5 hash of (key, seed). Where a group's
+  sample ends - the hash and key of its last row - is found by radix selection: counts per (group, hash
+  prefix) tell the one bucket that holds the n-th key, and only that bucket's keys are ranked. The rows
   themselves are then filtered where they are. A sample by group shuffles what may be in it unless Spark
   broadcasts the ends by itself.
-* That end is found in two levels of per-group limits (tasks, then ``SPREAD`` parts of a group, then the
-  group), so even a group that holds a third of all rows sends one task no more than SPREAD * n keys.
-* The split looks for its cut in counts by hash bucket, then in the one bucket that holds it.
+* So a group that holds a third of all rows sends no task more than one bucket of its keys, and slices of
+  any length need neither a ranking nor a broadcast of their keys.
 """
 
 from __future__ import annotations
@@ -23,9 +23,8 @@ from presslens.functions.metrics import hash_key
 
 _H = "__h"
 _RN = "__rn"
-SPREAD = 64  # parts of a group in the first level
+DIGITS, ALL_DIGITS = 3, 4  # hex digits of a bucket: of each group, of a table without groups
 BOUNDS = 1024  # buckets of groups whose last end thins the rows before they are joined
-MAX_GROUPS = None  # groups a sample may have before it is an error; None: any number
 
 
 def _cols(df: DataFrame, exclude=()) -> list[str]:
@@ -55,40 +54,47 @@ def last_write_wins(df: DataFrame, key: str | list[str], order: str,
             .select(*df.columns))
 
 
-def _first_keys(df: DataFrame, n: int, by: str | None, key: str, seed: int) -> DataFrame:
-    """(by, __h, key) of the first ``n`` of each group, or of all, in hash order."""
-    group = [] if by is None else [F.col(by).alias("__g")]
-    keys = df.select(*group, hash_key(key, seed).alias(_H), F.col(key).alias("__k"),
-                     F.pmod(F.spark_partition_id(), F.lit(SPREAD)).alias("__part"))
-    levels = [["__g"] if group else [], ["__part"]]
-    part = Window.partitionBy(*levels[0], *levels[1]).orderBy(_H, "__k")
-    keys = keys.withColumn(_RN, F.row_number().over(part)).filter(F.col(_RN) <= n).drop(_RN, "__part")
-    if by is None:
-        return keys.orderBy(_H, "__k").limit(n)
-    whole = Window.partitionBy("__g").orderBy(_H, "__k")
-    return keys.withColumn(_RN, F.row_number().over(whole)).filter(F.col(_RN) <= n).drop(_RN)
+def _keys_at(df: DataFrame, wanted, by: str | None, key: str, seed: int) -> DataFrame:
+    """(__g, __p, __h, __k): the keys at 0-based positions of each group's (or the whole table's) hash order.
+
+    ``wanted(total)`` gives the array of positions for a group's number of rows. Radix selection: counts by the hash's
+    first hex digits, then the rank inside the buckets that hold a wanted position.
+    """
+    group = [F.lit(0) if by is None else F.col(by)]
+    keys = df.select(group[0].alias("__g"), hash_key(key, seed).alias(_H), F.col(key).alias("__k"))
+    keys = keys.withColumn("__b", F.substring(_H, 1, ALL_DIGITS if by is None else DIGITS))
+    # at most 16**digits rows a group
+    inner = Window.partitionBy("__g")
+    table = keys.groupBy("__g", "__b").agg(F.count(F.lit(1)).alias("__n"))
+    table = (table.withColumn("__from", F.sum("__n").over(inner.orderBy("__b")) - F.col("__n"))
+             .withColumn("__all", F.sum("__n").over(inner)))
+    held = F.filter(wanted(F.col("__all")), lambda p: (p >= F.col("__from")) & (p < F.col("__from") + F.col("__n")))
+    edges = (table.withColumn("__ps", held).filter(F.size("__ps") > 0)
+             .select(F.col("__g").alias("__eg"), F.col("__b").alias("__eb"), "__from", "__ps"))
+    rank = F.row_number().over(Window.partitionBy("__g", "__b").orderBy(_H, "__k")) - 1
+    inside = keys.join(edges, F.col("__g").eqNullSafe(F.col("__eg")) & (F.col("__b") == F.col("__eb")))
+    return (inside.withColumn("__p", rank + F.col("__from")).filter(F.array_contains("__ps", F.col("__p")))
+            .select("__g", "__p", _H, "__k"))
 
 
 def sample_exact(df: DataFrame, n: int, by: str | None, key: str, seed: int) -> DataFrame:
     """WIN-03: exactly min(n, group size) rows per group (null is a group), chosen by the seeded
     hash order (ties broken by ``key``, which is unique); reproducible across partitionings.
 
-    ``df`` is scanned twice: its keys for the end of each group's sample, then its rows, each compared
-    with the end of its group. Any number of groups works the same way: the ends are joined by an equi-join,
+    ``df`` is scanned for its keys (their counts by bucket, then the bucket where each group's sample ends), then for its
+    rows, each compared with the end of its group. Any number of groups works the same way: the ends are joined by an equi-join,
     which Spark broadcasts where they are small and whose hot groups AQE splits otherwise. Rows beyond the last
     end of all groups in their group's bucket (of BOUNDS) go before the join, so few groups shuffle little more than
-    the sample. An error comes only where MAX_GROUPS is set.
+    the sample.
     """
-    first = _first_keys(df, n, by, key, seed)
-    end = F.max(F.struct(_H, "__k")).alias("__end")
+    if n <= 0:
+        return df.limit(0)
+    last = _keys_at(df, lambda total: F.array(F.least(F.lit(n), total) - 1), by, key, seed)
+    end = F.max(F.struct(_H, "__k")).alias("__end")  # one row a group
     place = F.struct(hash_key(key, seed).alias(_H), F.col(key).alias("__k"))
     if by is None:
-        return df.filter(F.coalesce(place <= first.agg(end).scalar(), F.lit(False)))
-    ends = first.groupBy("__g").agg(end)
-    if MAX_GROUPS is not None:
-        groups = ends.select(F.count(F.lit(1))).scalar()
-        ends = ends.filter(F.when(groups <= MAX_GROUPS, F.lit(True)).otherwise(
-            F.raise_error(F.lit("too many groups for one sample")).cast("boolean")))
+        return df.filter(F.coalesce(place <= last.agg(end).scalar(), F.lit(False)))
+    ends = last.groupBy("__g").agg(end)
     bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BOUNDS)).cast("int")
     last = ends.groupBy(bucket("__g").alias("__b")).agg(F.max("__end").alias("__last"))  # BOUNDS rows at most
     last = last.agg(F.map_from_entries(F.collect_list(F.struct("__b", "__last"))).alias("__m")).select(
@@ -100,18 +106,18 @@ def sample_exact(df: DataFrame, n: int, by: str | None, key: str, seed: int) ->
 def rank_slices(df: DataFrame, bounds: list[tuple[int, int]], key: str, seed: int,
                 label: str = "slice") -> DataFrame:
     """WIN-04: seeded shuffle, then disjoint positional slices [lo, hi] (0-based,
-    inclusive). Only the first max(hi)+1 keys in hash order matter; they alone are
-    ranked, and rows are labelled by the key, which is unique."""
-    top = max(hi for _, hi in bounds) + 1
-    first = _first_keys(df, top, None, key, seed)
-    # bounded: at most ``top`` keys reach this single ordered window
-    ranked = first.withColumn("__pos", F.row_number().over(Window.orderBy(_H, "__k")) - 1)
+    inclusive). Only the keys at the slices' ends are looked up; every row, whose key is unique, is then
+    compared with them where it is."""
+    at = sorted({p for pair in bounds for p in pair})
+    ends = _keys_at(df, lambda _: F.array(*[F.lit(p).cast("bigint") for p in at]), None, key, seed)
+    ends = ends.agg(F.map_from_entries(F.collect_list(F.struct("__p", F.struct(_H, "__k")))))  # two entries a slice
+    rows = df.withColumn("__place", F.struct(hash_key(key, seed).alias(_H), F.col(key).alias("__k"))).withColumn("__ends", ends.scalar())
+    place, end = F.col("__place"), lambda p: F.try_element_at("__ends", F.lit(p).cast("bigint"))
     expr = None
-    for i, (lo, hi) in enumerate(bounds):
-        cond = F.col("__pos").between(lo, hi)
+    for i, (lo, hi) in enumerate(bounds):  # an end beyond the last row: none before it, all up to it
+        cond = F.coalesce(place >= end(lo), F.lit(False)) & F.coalesce(place <= end(hi), F.lit(True))
         expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    ranked = ranked.select("__k", expr.alias(label)).filter(F.col(label).isNotNull())
-    return df.join(F.broadcast(ranked), F.col(key) == F.col("__k")).drop("__k")
+    return rows.withColumn(label, expr).filter(F.col(label).isNotNull()).drop("__place", "__ends")
 
 
 def shuffle(df: DataFrame, key: str, seed: int) -> DataFrame:

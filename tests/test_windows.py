@@ -44,17 +44,18 @@ def test_sample_exact_of_a_null_group_and_small_groups(spark):
     assert sample_exact(df.filter("false"), 5, None, "id", 1).count() == 0
 
 
-def test_too_many_groups_are_an_error(spark, monkeypatch):
+def test_ends_come_from_one_bucket_of_keys(spark):
+    """Only the bucket that holds a wanted position is ranked; sizes of one, all and more than all rows."""
     from presslens.operators import windows
-    monkeypatch.setattr(windows, "MAX_GROUPS", 3)
-    with pytest.raises(Exception, match="too many groups"):
-        sample_exact(_skewed(spark), 2, "grp", "id", 1).collect()
+    ids = sorted(range(3000), key=lambda k: (_h(k, 5), k))
+    for n in (0, 1, 7, 2999, 3000, 3001):
+        assert sorted(r.id for r in sample_exact(_skewed(spark), n, None, "id", 5).collect()) == sorted(ids[:n]), n
+    at = windows._keys_at(_skewed(spark), lambda total: F.array(F.lit(10).cast("long"), total - 1), None, "id", 5)
+    assert {(r["__p"], r["__k"]) for r in at.collect()} == {(10, ids[10]), (2999, ids[2999])}
 
 
 def test_any_number_of_groups_without_a_broadcast(spark):
-    """No bound on groups by default, and ends that are too large to broadcast are joined all the same."""
-    from presslens.operators import windows
-    assert windows.MAX_GROUPS is None
+    """No bound on groups, and ends that are too large to broadcast are joined all the same."""
     df = _skewed(spark).withColumn("grp", F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("g"), F.col("id"))))
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
