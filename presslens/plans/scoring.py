@@ -10,8 +10,9 @@ from presslens import specs
 from presslens.catalog import register
 from presslens.functions.jsonparse import with_parsed_output
 from presslens.functions.text import prompt_text
-from presslens.operators.score import LexiconScorer, WrappingScorer, label_incremental, score_articles, score_models
+from presslens.operators.score import LexiconScorer, WrappingScorer, label_incremental, score_articles, score_models, score_once
 from presslens.plans import sql as S
+from presslens.session import shared_dir
 from presslens.sources.tables import articles, table
 
 # Lexicons for the stand-in scorer, chosen among frequent tokens of the driver
@@ -51,6 +52,20 @@ def label_incremental_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("doc_id", *_label_cols())
 
 
+def label_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over one ledger: half of the articles, then all; prompts are first lines without their last word, so
+    near copies share one. The second run calls for what the first has not answered."""
+    from presslens.functions.text import prompt_text
+    ledger = shared_dir(spark, "answers")
+    a = articles(spark, sf_dir)
+    short = F.regexp_replace("title", r"\S+$", "")
+    p = a.select("doc_id", "title", prompt_text(short, F.col("source")).alias("prompt"))
+    scorer = LexiconScorer(LEFT, RIGHT)
+    score_once(p.filter(F.col("doc_id") % 2 == 0), scorer, ledger, backoff=0)
+    s = with_parsed_output(score_once(p, scorer, ledger, backoff=0), "model_raw", "ai_labels")
+    return s.select("doc_id", *_label_cols())
+
+
 def _wrap_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model-output strings in the shapes seen in practice, built from the
     article view: clean object, missing '{', trailing fence, leading fence,
@@ -124,6 +139,11 @@ todo AS (SELECT * FROM a WHERE NOT EXISTS (SELECT 1 FROM done WHERE done.title I
 {_lex_sql('todo')} {_LEX_OUT}""")(label_incremental_q)
 
 
+_SHORT = (f"{S.q(specs.TITLE_LABEL)} || regexp_replace(coalesce(title, ''), '\\S+$', '') || chr(10) || "
+          f"{S.q(specs.BODY_LABEL)} || coalesce(source, '')")
+register("label_once", f"WITH a AS ({S.ARTICLES}), {_lex_sql('a').replace(_PROMPT, _SHORT)} {_LEX_OUT}")(label_once)
+
+
 def _strip(e):
     return S.strip(e)
 
