@@ -1,11 +1,13 @@
 """Sinks (SNK-01, 03, 04, 06, 09, 11). Writers are partitioned Spark writes;
-nothing is funnelled through the driver or a single task. The single-file
-JSON-array and 'split' exports of the reference (SNK-05/07) are served by the
-JSON-lines writers: an array needs one writer, which does not scale."""
+nothing is funnelled through the driver or a single task. JSON arrays and 'split'
+documents (SNK-05/07) are written as so many files as asked, each one a whole document: one
+document needs one writer, a table of any size needs several."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from presslens.functions.dates import from_epoch_ms, to_epoch_ms
@@ -31,6 +33,31 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
      .csv(path))
 
 
+def _documents(df: DataFrame, value: Column, key: str, files: int, head: str, tail: str, path: str) -> None:
+    """One text line a row, dealt to ``files`` documents by the hash of ``key`` and in its order; the first line of a
+    document opens it, the last one closes it."""
+    rows = df.select(F.pmod(F.xxhash64(key), F.lit(files)).alias("part"), F.col(key).alias("__k"), value.alias("__v"))
+    own = Window.partitionBy("part")
+    at = F.row_number().over(own.orderBy("__k"))
+    line = F.concat(F.when(at == 1, F.lit(head)).otherwise(F.lit("")), "__v", F.when(
+        at == F.count(F.lit(1)).over(own), F.lit(tail)).otherwise(F.lit(",")))
+    rows.select("part", "__k", line.alias("value")).repartition(files, "part").sortWithinPartitions("part", "__k").drop(
+        "__k").write.partitionBy("part").text(path)
+
+
+def write_json_arrays(df: DataFrame, path: str, key: str, files: int = 1) -> None:
+    """SNK-05: arrays of records, ``files`` of them (rows of one ``key``, which is unique, order each)."""
+    _documents(df, F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), key, files, "[", "]", path)
+
+
+def write_split_json(df: DataFrame, path: str, key: str, files: int = 1) -> None:
+    """SNK-07: documents in split orient, ``files`` of them: column names, then the rows as arrays."""
+    names = json.dumps(list(df.columns), ensure_ascii=False)
+    value = lambda c: F.regexp_replace(F.to_json(F.struct(F.col(c).alias("v")), {"ignoreNullFields": "false"}), r'^\{"v":|\}$', "")
+    row = F.concat(F.lit("["), F.concat_ws(",", *[value(c) for c in df.columns]), F.lit("]"))
+    _documents(df, row, key, files, f'{{"columns":{names},"data":[', "]}", path)
+
+
 def publish_kafka(df: DataFrame, servers: str, topic: str) -> None:
     """SNK-01: rows as JSON values on a Kafka topic (needs the connector)."""
     encode(df).write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
@@ -48,5 +75,5 @@ def load_feed(spark: SparkSession, jsonl_path: str, store: KeyedStore, schema) -
 def array_to_jsonl(spark: SparkSession, src: str, dst: str, schema, require: str = "source") -> None:
     """SNK-11: JSON-array file -> JSON lines, keeping rows that have ``require``
     (arrays stay arrays, so sets need no conversion)."""
-    df = spark.read.schema(schema).option("multiLine", True).json(src)
-    df.filter(F.col(require).isNotNull()).write.mode("overwrite").json(dst)
+    from presslens.sources.json_arrays import read_json_array
+    read_json_array(spark, src, schema).filter(F.col(require).isNotNull()).write.mode("overwrite").json(dst)

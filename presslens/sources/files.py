@@ -1,5 +1,6 @@
 """File sources: tolerant JSONL, strict array-or-lines, split JSON, guarded scans,
-nested lookup files (SRC-03..07, SRC-14/15)."""
+nested lookup files (SRC-03..07, SRC-14/15). Arrays and split documents are read in splits
+(``sources/json_arrays.py``)."""
 
 from __future__ import annotations
 
@@ -7,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from presslens.sources.json_arrays import read_json_array, read_split_rows
+
 CORRUPT = "_corrupt_record"
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's FileSystem (works for any scheme)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -40,28 +43,21 @@ def read_json_auto(spark: SparkSession, path: str, schema: T.StructType) -> Data
     non-blank character; strict (malformed input fails the job)."""
     first = (spark.read.text(path).select(F.ltrim(F.col("value")).alias("v"))
              .filter(F.col("v") != "").limit(1).collect())
-    multiline = bool(first) and first[0]["v"].startswith("[")
-    return (spark.read.schema(schema).option("multiLine", multiline)
-            .option("mode", "FAILFAST").json(path))
-
-
-def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """SRC-06: JSON array of records."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    if first and first[0]["v"].startswith("["):
+        return read_json_array(spark, path, schema)
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def read_split_json(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """SRC-05: pandas 'split' orient ``{columns: [...], data: [[...], ...]}``;
     every value is read as a string (cast downstream)."""
-    raw = spark.read.option("multiLine", True).schema(
-        "columns array<string>, data array<array<string>>").json(path)
-    rows = raw.select(F.explode("data").alias("r"))
-    return rows.select(*[F.element_at("r", i + 1).alias(c) for i, c in enumerate(columns)])
+    rows = read_split_rows(spark, path)
+    return rows.select(*[F.get("row", F.lit(i)).alias(c) for i, c in enumerate(columns)])
 
 
 def guarded(spark: SparkSession, path: str, schema: T.StructType, reader) -> DataFrame:
     """SRC-07: missing or empty input -> empty frame with the schema (downstream no-op)."""
-    if not _path_exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     return reader(spark, path, schema)
 
