@@ -29,7 +29,7 @@ def load_all() -> None:
     from presslens.plans import (  # noqa: F401
         feed_clean, text_ops, url_rules, selection, bands_profile, agreement,
         evaluation, legacy, feed_view, store_ops, export, scoring, pages_ops,
-        ingest, streaming_jobs, formats,
+        ingest, streaming_jobs, formats, json_docs, live_state, frontier_ops,
     )
 
 

@@ -19,23 +19,37 @@ def lookup_equal(df: DataFrame, table: DataFrame, key: str, value: str, default:
     return j.withColumn(out, v).drop("__lv") if out != "__lv" else j
 
 
+GRAM = 3  # characters of the substrings that lead from values to keys
+
+
+def _grams(c: Column, n: Column) -> Column:
+    """The different substrings of ``n`` characters."""
+    cut = F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substring(c, i, n))
+    return F.when(F.length(c) >= n, F.array_distinct(cut)).otherwise(F.array().cast("array<string>"))
+
+
 def lookup_contains(df: DataFrame, table: DataFrame, col: str, key: str, value: str, order: str,
                     default: Column | None = None, out: str = "matched") -> DataFrame:
     """JOIN-04: value of the first ``table`` row (by ``order``) whose ``key`` is a
     substring of ``df[col]``, else ``default``.
 
-    The distinct values of ``df[col]`` are cut into their substrings of the lengths that keys
-    have, those are joined with the keys, and the best match of each value is joined
-    back: equi-joins at any number of keys and rows, and no row is repeated.
+    Every key is looked up by its rarest substring of GRAM characters (a shorter key by itself): the distinct values of
+    ``df[col]`` are cut into such substrings and counted, each key takes the one the fewest values hold, and an equi-join
+    on it brings value and key together, to be verified by ``contains``. The best match of each value is joined
+    back: equi-joins at any number of keys and rows, no row is repeated, and long values meet few keys but their own.
     """
     t = table.select(F.col(key).alias("__k"), F.struct(F.col(order).alias("o"), F.col(value).alias("v")).alias("__b"))
-    t = t.filter("__k is not null")
-    lengths = t.select(F.collect_set(F.length("__k"))).scalar()
+    t = t.filter("__k is not null").groupBy("__k").agg(F.min("__b").alias("__b"))
+    size = F.least(F.length("__k"), F.lit(GRAM))
+    sizes = t.select(F.collect_set(size)).scalar()  # GRAM + 1 at most
     values = df.select(F.col(col).alias("__s")).filter("__s is not null").distinct()
-    cut = (values.withColumn("__n", F.explode(lengths)).filter(F.col("__n") <= F.length("__s"))
-           .select("__s", F.explode(F.transform(F.sequence(F.lit(1), F.length("__s") - F.col("__n") + 1),
-                                                lambda i: F.substring(F.col("__s"), i, F.col("__n")))).alias("__k")))
-    best = cut.join(t, "__k").groupBy("__s").agg(F.min("__b").alias("__b"))
+    held = values.withColumn("__n", F.explode(sizes)).select("__s", F.explode(_grams(F.col("__s"), F.col("__n"))).alias("__g"))
+    often = held.groupBy("__g").agg(F.count(F.lit(1)).alias("__m"))
+    rarest = (t.select("__k", "__b", F.explode(_grams(F.col("__k"), size)).alias("__g")).join(often, "__g")
+              .groupBy("__k").agg(F.min(F.struct("__m", "__g")).alias("__r"), F.first("__b").alias("__b"))
+              .select("__k", "__b", F.col("__r.__g").alias("__g")))
+    best = (held.join(rarest, "__g").filter(F.contains(F.col("__s"), F.col("__k")))
+            .groupBy("__s").agg(F.min("__b").alias("__b")))
     v = F.col("__b.v")
     return (df.join(best, F.col(col) == F.col("__s"), "left")
             .withColumn(out, v if default is None else F.coalesce(v, default)).drop("__s", "__b"))

@@ -39,6 +39,38 @@ def top_k(df: DataFrame, k: int, order: list[Column], offset: int = 0, spread: i
     return first.orderBy(*order).offset(offset).limit(k)
 
 
+def page_after(df: DataFrame, after: tuple | None = None, limit: int = specs.FEED_PAGE_SIZE, date: str = "date",
+               key: str = "_id") -> DataFrame:
+    """SRT-01 by cursor: the ``limit`` rows that follow the row (date, key) ``after`` (None: the first ones), newest first,
+    rows without a date last, ``key`` as tie-break.
+
+    The cursor is the last row of the page before, so a page costs the same however deep it lies: its date is a filter
+    on the scan, and over files sorted by date (``lay_out_by_date``) only those that can hold the page are read.
+    """
+    if after is not None:
+        d, k = after
+        tie = F.col(key) > F.lit(k)
+        if d is None:
+            df = df.filter(F.col(date).isNull() & tie)
+        else:
+            # said once more without the key, as a plain range that reaches the scan
+            older = (F.col(date) <= F.lit(d)) | F.col(date).isNull()
+            df = df.filter(older & ((F.col(date) < F.lit(d)) | F.col(date).isNull() | tie))
+    return top_k(df, limit, [F.col(date).desc_nulls_last(), F.col(key).asc()])
+
+
+def cursor_of(page: DataFrame, date: str = "date", key: str = "_id") -> tuple | None:
+    """(date, key) of the last row of a page; None of an empty one."""
+    last = page.orderBy(F.col(date).asc_nulls_first(), F.col(key).desc()).select(date, key).first()
+    return tuple(last) if last else None
+
+
+def lay_out_by_date(df: DataFrame, path: str, date: str = "date", files: int | None = None) -> None:
+    """Parquet sorted by date over files: each file (and row group) covers a range of dates of its own."""
+    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(n, F.col(date).desc()).sortWithinPartitions(F.col(date).desc()).write.parquet(path)
+
+
 def recent(df: DataFrame, n: int = specs.RECENT_SIZE) -> DataFrame:
     """SRT-02."""
     return page(df, 1, n)
