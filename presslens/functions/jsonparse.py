@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from presslens import specs
 from presslens.functions.text import _c, ColumnOrName, py_strip
 
 LABEL_WIDE = "reasoning string, primary_entities string, bias string, error string, _corrupt_record string"
@@ -37,13 +38,13 @@ def _narrow(j: Column, error: Column) -> Column:
 
 def strip_thoughts(raw: ColumnOrName) -> Column:
     """Remove closed <think>/<reasoning> blocks and anything up to an orphan closing tag."""
-    t = F.regexp_replace(_c(raw), r"(?is)<(reasoning|think)>.*?</\1>", "")
-    return F.regexp_replace(t, r"(?is)^.*?</(?:reasoning|think)>", "")
+    t = F.regexp_replace(_c(raw), specs.THOUGHT_BLOCK, "")
+    return F.regexp_replace(t, specs.THOUGHT_TAIL, "")
 
 
 def first_thought(raw: ColumnOrName) -> Column:
     """Contents of the first closed think/reasoning block, stripped ('' if none)."""
-    return py_strip(F.regexp_extract(_c(raw), r"(?is)<(?:reasoning|think)>(.*?)</(?:reasoning|think)>", 1))
+    return py_strip(F.regexp_extract(_c(raw), specs.THOUGHT_TEXT, 1))
 
 
 def unwrap_label(c: ColumnOrName) -> Column:

@@ -119,3 +119,8 @@ FEED_DEFAULTS = {"title": "No Title", "source": "Unknown Source", "url": "#", "d
                  "reasoning": "Analysis pending..."}
 FEED_DEFAULT_SCORE = 0.5
 DASH_DEFAULT_SCORE = 50
+
+# FIXED VALUES: marks of a model's thoughts in its output: a closed block, an orphan closing tag, a block's contents.
+THOUGHT_BLOCK = r"(?is)<(reasoning|think)>.*?</\1>"
+THOUGHT_TAIL = r"(?is)^.*?</(?:reasoning|think)>"
+THOUGHT_TEXT = r"(?is)<(?:reasoning|think)>(.*?)</(?:reasoning|think)>"

@@ -11,9 +11,10 @@ from presslens import catalog
 
 SMALL = "/root/testdata/sf0.001"
 PYTHON_OK = {"score_articles", "multi_model", "label_incremental", "page_analysis", "page_articles",
-             "quality_rollup", "kde", "stream_scored"}
-STATEFUL = {"stream_scored", "stream_cutoffs", "stream_clean", "upsert", "patch", "sitemap_scan", "balanced_shuffled", "positional_mae", "profile_describe",
-            "jsonl_roundtrip", "json_auto_roundtrip", "csv_roundtrip"}
+             "quality_rollup", "stream_scored"}
+STATEFUL = {"stream_scored", "stream_cutoffs", "stream_clean", "upsert", "patch", "sitemap_scan", "balanced_shuffled", "positional_mae",
+            "jsonl_roundtrip", "json_auto_roundtrip", "csv_roundtrip", "json_array_roundtrip", "split_json_roundtrip", "array_lines",
+            "sample_load", "stream_cutoffs_state", "live_source_means", "sitemap_frontier", "feed_by_cursor", "label_once"}
 
 
 def _plan(df) -> str:
