@@ -3,7 +3,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from presslens.llm.blocked_knn import bounds, nearest, quantise
-from presslens.llm.pca_neardup import linked_pairs, near_duplicates
+from presslens.llm import pca_neardup
+from presslens.llm.pca_neardup import first_cut, laid_out, linked_pairs, near_duplicates, principal_axes, rotate
 from presslens.llm.vectors import cosines, matrix, pack_matrix, unit
 
 SCHEMA = "vec_id long, embedding array<float>, label string, cid string, tile string"
@@ -64,17 +65,39 @@ def test_near_duplicates_edge_tables(spark):
 
 
 @pytest.mark.parametrize("same", [False, True])
-def test_pairs_stop_only_below_the_threshold(same):
+@pytest.mark.parametrize("cuts", [[2, 4, 8, 16, 24], [8, 16, 24], [24]])
+def test_pairs_stop_only_below_the_threshold(same, cuts):
     m = clustered().astype(np.float64)
     a, b = (m, m) if same else (m[:100], m[100:])
-    axes = np.linalg.eigh(unit(m).T @ unit(m))[1][:, ::-1]
-    i, j = linked_pairs(a, b, axes, 0.9, same)
+    basis = [(0, np.linalg.eigh(unit(m).T @ unit(m))[1])], np.arange(24)[::-1], cuts
+    i, j = linked_pairs(a, b, laid_out(a, basis), laid_out(b, basis), cuts, 0.9, same)
     x, y = np.meshgrid(range(len(a)), range(len(b)), indexing="ij")
     ok = cosines(a[x.ravel()], b[y.ravel()]) >= 0.9
     want = {(p, q) for p, q in zip(x.ravel()[ok], y.ravel()[ok]) if not same or p < q}
     assert set(zip(i, j)) == want and len(i) == len(want)
 
 
+def test_first_cut_follows_the_spectrum():
+    assert first_cut(np.array([1.0] + [0.0] * 63), 0.9) == 1
+    assert 12 <= first_cut(np.ones(64), 0.9) <= 32
+    assert first_cut(np.ones(64), 0.99) < first_cut(np.ones(64), 0.5) <= 64
+    assert first_cut(np.zeros(3), 0.9) in (1, 2, 3)
+
+
+def test_axes_by_blocks_of_components(spark, monkeypatch):
+    """Vectors too long for one basis: the same links from axes of 5 components each."""
+    m = clustered()
+    ids = list(range(len(m)))
+    t = table_of(spark, [*zip(ids, m.tolist()), (990, [1.0, 2.0])])
+    monkeypatch.setattr(pca_neardup, "AXIS_NUMBERS", 2 * 5 * 24)
+    basis = principal_axes(t)[24]
+    assert [len(x) for _, x in basis[0]] == [5, 5, 5, 5, 4]
+    r = rotate(unit(m.astype(np.float64)), basis)
+    assert np.allclose((r ** 2).sum(axis=1), 1) and (np.diff((r ** 2).sum(axis=0)) <= 1e-6).all()
+    got = {x["vec_id"]: (x["n_links"], x["component_id"]) for x in near_duplicates(t, tile_rows=32).collect()}
+    assert got == {**brute_links(ids, m, 0.9), 990: (0, 990)}
+
+
 def brute_nearest(ids, m, k, queries):
     m = m.astype(np.float64)
     out = []
