@@ -38,7 +38,9 @@ from presslens.llm.common import prefix_sums, written
 
 LEAST_LETTERS = 7
 LEAST_COUNT = 2
-_HELD = 1 << 18  # words counted in a task before they are passed on
+_HELD = 1 << 17  # words counted in a task before they are passed on
+_ROWS = 1 << 15  # in one frame on its way out
+_SIGNED = 1 << 11  # words signed at once
 _OFTEN = 8  # occurrences of one letter in a word that get a part by their entropy; later ones by number
 
 
@@ -55,9 +57,9 @@ def _count(least: int):
         held: dict[str, int] = {}
 
         def flush():
-            out = pd.DataFrame({"word": list(held), "n": np.fromiter(held.values(), np.int64, len(held))})
-            held.clear()
-            return out
+            while held:
+                some = [held.popitem() for _ in range(min(_ROWS, len(held)))]
+                yield pd.DataFrame(some, columns=["word", "n"])
 
         for pdf in batches:
             for doc, text in zip(pdf["doc"], pdf["text"]):
@@ -70,8 +72,8 @@ def _count(least: int):
                     if len(w) >= least:
                         held[w] = held.get(w, 0) + n
                 if len(held) > _HELD:
-                    yield flush()
-        yield flush()
+                    yield from flush()
+        yield from flush()
     return run
 
 
@@ -150,11 +152,11 @@ def signatures(words: list[str], part_of: dict[int, int], parts: int, left_out:
 def _sign(part_of: dict[int, int], parts: int, left_out: int, lengthen: int):
     def run(batches):
         for pdf in batches:
-            words = pdf["word"].tolist()
-            if words:
+            for a in range(0, len(pdf), _SIGNED):
+                words, ids = pdf["word"].iloc[a:a + _SIGNED].tolist(), pdf["id"].to_numpy()[a:a + _SIGNED]
                 keys, bits = signatures(words, part_of, parts, left_out, lengthen)
                 ways = len(keys)
-                yield pd.DataFrame({"key": keys.view(np.int64).ravel(), "id": np.tile(pdf["id"].to_numpy(), ways),
+                yield pd.DataFrame({"key": keys.view(np.int64).ravel(), "id": np.tile(ids, ways),
                                     "bits": np.tile(bits.view(np.int64), ways), "word": words * ways})
     return run
 
