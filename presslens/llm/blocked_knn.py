@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from presslens.llm.common import written
+from presslens.llm.common import partitions, written
 from presslens.llm.vectors import cosines, matrix, pack, pack_matrix, unit, usable
 
 
@@ -98,20 +98,22 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
             query_rows: int = 512, candidate_rows: int = 2048, group_rows: int = 1 << 16) -> DataFrame:
     """(query_id, rank from 1, vec_id, score): the ``k`` rows of largest cosine for each query row.
 
-    Candidates stay in groups of about ``group_rows``; each group gets a copy of the query blocks, and
-    group and block number are the key of an equi-join.
+    Candidates stay in groups of ``group_rows`` or, of few, so many groups that all tasks have some; each group gets a
+    copy of the query blocks, and the group is the key of an equi-join.
     """
     rows = written(vectors.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"),
                                   F.coalesce(is_query, F.lit(False)).alias("q"))
                    .where(usable(F.col("vec")) & F.col("id").isNotNull()), "vectors")
-    n = rows.count()
-    groups = -(-n // group_rows) or 1
+    n, tasks = rows.count(), partitions(vectors.sparkSession)
+    groups = max(-(-n // group_rows), min(2 * tasks, -(-n // candidate_rows)), 1)
     schema = "dim int, n int, ids binary, vecs binary"
     queries = (rows.where("q").dropDuplicates(["id", "vec"]).select("id", "vec").mapInPandas(_blocks(query_rows), schema)
                .select("dim", F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"),
                        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp")))
     cands = (rows.select("id", "vec").mapInPandas(_blocks(candidate_rows), schema)
              .withColumn("grp", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int")))
+    # dealt by number: small groups are not put together again
+    cands, queries = (x.repartition(tasks, "dim", "grp") for x in (cands, queries))
     found = cands.join(queries, ["dim", "grp"]).select("dim", "q_ids", "q_vecs", "ids", "vecs").mapInPandas(
         _search(k), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
