@@ -41,22 +41,26 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def prefix_sums(df: DataFrame, order: list[Column | str], value: str, out: str, name: str) -> DataFrame:
-    """Adds ``out``: the sum of ``value`` over all rows before this one in ``order``.
+def prefix_sums(df: DataFrame, order: list[Column | str], value: str | list[str], out: str | list[str], name: str) -> DataFrame:
+    """Adds ``out``: the sum of ``value`` (or of each one of a list) over all rows before this one in ``order``.
 
     Range partitions hold consecutive rows; each sums on its own and adds the
     total of the partitions before it (a table of one row a partition). Ties in
     ``order`` take some order, the same in every later read of the result.
     """
+    values, outs = ([value], [out]) if isinstance(value, str) else (value, out)
     n = partitions(df.sparkSession)
     t = written(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
                 .withColumn("_part", F.spark_partition_id())
                 .withColumn("_row", F.monotonically_increasing_id()), name)
-    totals = t.groupBy("_part").agg(F.sum(value).alias("_total"))
-    before = totals.select("_part", (F.sum("_total").over(Window.orderBy("_part")) - F.col("_total")).alias("_before"))
-    run = F.sum(value).over(Window.partitionBy("_part").orderBy("_row")) - F.col(value)
-    return (t.withColumn("_run", run).join(F.broadcast(before), "_part")  # a row per range partition
-            .withColumn(out, F.col("_run") + F.col("_before")).drop("_run", "_before", "_part", "_row"))
+    totals = t.groupBy("_part").agg(*[F.sum(v).alias(f"_total{i}") for i, v in enumerate(values)])
+    before = totals.select("_part", *[(F.sum(f"_total{i}").over(Window.orderBy("_part")) - F.col(f"_total{i}")).alias(f"_before{i}")
+                                      for i in range(len(values))])
+    here = Window.partitionBy("_part").orderBy("_row")
+    t = t.withColumns({f"_run{i}": F.sum(v).over(here) - F.col(v) for i, v in enumerate(values)})
+    return (t.join(F.broadcast(before), "_part")  # a row per range partition
+            .withColumns({o: F.col(f"_run{i}") + F.col(f"_before{i}") for i, o in enumerate(outs)})
+            .drop("_part", "_row", *[f"_{k}{i}" for k in ("run", "before") for i in range(len(values))]))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -9,15 +9,16 @@ meet in an equi-join on (source, block), so no source is gathered or scanned in
 order, and a hot source is spread over all tasks by its block numbers.
 
 Defined cases: null or empty texts hold no words, take no slot and come out
-with nothing taken; a null source is a source of its own, the last one; repeated
-rows are separate documents; an empty table gives an empty mixture.
+with nothing taken; a very long text covers many blocks, each taken by itself; a null source is a source of its own, the last
+one; repeated rows are separate documents, equal keys of the stream's order going by id and size; other columns, of whatever
+name, are left alone; an empty table gives an empty mixture.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presslens.llm.common import partitions, prefix_sums, word_count, written
@@ -66,23 +67,32 @@ def source_targets(sized: DataFrame, ratio: float = 1.5, most: float = 2.0, weig
     per = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     per = prefix_sums(per.withColumn("_one", F.lit(1)), [F.col("source").asc_nulls_last()], "_one", "sid", "sources")
     which = F.array(*map(F.lit, weights))
-    per = written(per.withColumn("_w", F.get(which, (F.col("sid") % len(weights)).cast("int")))
-                  .withColumn("_cap", F.lit(float(most)) * F.col("source_size")), "weights")
-    total = ratio * (per.agg(F.sum("source_size")).first()[0] or 0)
-    level, capped = 0.0, -1
-    while True:  # one aggregate a round over one row a source; the level only rises
-        full = F.col("_cap") <= F.lit(level) * F.col("_w")
-        n, spent, rest = per.agg(F.count(F.when(full, 1)), F.sum(F.when(full, F.col("_cap"))),
-                                 F.sum(F.when(~full, F.col("_w")))).first()
-        if n == capped or not rest:
-            break
-        capped, level = n, (total - (spent or 0.0)) / rest
-    return per.select("source", "sid", "source_size",
-                      F.least("_cap", F.lit(level) * F.col("_w")).alias("target"))
+    per = per.withColumn("_w", F.get(which, (F.col("sid") % len(weights)).cast("int"))).withColumn("_cap", F.lit(float(most)) * F.col("source_size"))
+    # sources fill up in the order of cap by weight: before each, what the full ones take and what the others weigh
+    per = written(prefix_sums(per, [F.col("_cap") / F.col("_w"), "sid"], ["_cap", "_w"], ["_spent", "_gone"], "caps"), "weights")
+    size, weight = per.agg(F.sum("source_size"), F.sum("_w")).first()
+    level = (F.lit(ratio * (size or 0)) - F.col("_spent")) / (F.lit(weight) - F.col("_gone"))
+    # the first one that does not fill up sets the level for all that follow
+    level = per.where(level * F.col("_w") < F.col("_cap")).agg(F.min_by(level, F.struct(F.col("_cap") / F.col("_w"), "sid"))).first()[0]
+    share = F.lit(level) * F.col("_w") if level is not None else F.col("_cap")
+    return per.select("source", "sid", "source_size", F.least("_cap", share).alias("target"))
+
+
+_SHARDS_AT_ONCE = 1 << 12
+
+
+def _draw(slots: int, shards: int, rng: np.random.Generator):
+    """A multinomial draw of slots over equal shards, the shards that get any in turn: (shards, their slots) by runs of shards."""
+    while shards > 0 and slots:
+        own = min(shards, _SHARDS_AT_ONCE)
+        here = int(rng.binomial(slots, own / shards)) if own < shards else slots
+        got = rng.multinomial(here, np.full(own, 1.0 / own))
+        yield np.flatnonzero(got), got[got > 0]
+        slots, shards = slots - here, shards - own
 
 
 def _deal(block: int, shards: int, seed: int):
-    def run(batches):
+    def deal(batches):
         for pdf in batches:
             for sid, size, target in zip(pdf["sid"], pdf["source_size"], pdf["target"]):
                 if size <= 0:
@@ -96,10 +106,12 @@ def _deal(block: int, shards: int, seed: int):
                         key=lambda q: abs(words(q) - rest), default=0)
                 slots = passes * n + q
                 rng = np.random.Generator(np.random.PCG64([seed & _MASK, sid, 1]))
-                got = rng.multinomial(slots, np.full(shards, 1.0 / shards))
-                yield pd.DataFrame({"sid": sid, "blocks": n, "shard": np.arange(shards),
-                                    "first": np.cumsum(got) - got, "n": got})[lambda x: x["n"] > 0]
-    return run
+                done = 0
+                for run, (which, got) in enumerate(_draw(slots, shards, rng)):
+                    ends = done + np.cumsum(got)
+                    yield pd.DataFrame({"sid": sid, "blocks": n, "shard": run * _SHARDS_AT_ONCE + which, "first": ends - got, "n": got})
+                    done = int(ends[-1]) if len(ends) else done
+    return deal
 
 
 def _slots(seed: int):
@@ -132,7 +144,7 @@ def mix(docs: DataFrame, block_words: int = 64, shard_slots: int = 8192, seed: i
     rows = rows.join(t, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     key = F.xxhash64(*ids, F.lit(seed))
     rows = prefix_sums(rows.withColumn("_key", key), ["sid", "_key", *ids, "size"], "size", "_at", "stream")
-    starts = targets.select("sid", (F.sum("source_size").over(Window.orderBy("sid")) - F.col("source_size")).alias("_s0"))
+    starts = prefix_sums(targets.select("sid", "source_size"), ["sid"], "source_size", "_s0", "starts").select("sid", "_s0")
     sized = written(rows.join(starts, "sid").withColumn("at", F.col("_at") - F.col("_s0")).drop("_at", "_s0", "_key"), "rows")
 
     total = targets.agg(F.sum("target")).first()[0] or 0.0
@@ -175,11 +187,13 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     both = keyed.join(runs, "doc_uid")
     # a stretch = so many words after a start; words are taken with the white space between them
     words = F.expr(r"regexp_extract_all(doc.text, '[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*', 0)")
-    stretches = F.transform("runs", lambda r: F.slice(
-        "words", (r["word_from"] + 1).cast("int"), (r["word_to"] - r["word_from"]).cast("int")))
-    cut = F.regexp_replace(F.array_join(F.flatten(stretches), ""), r"[\x20\x09-\x0D]+$", "")
+
+    def stretches(w: Column) -> Column:
+        return F.transform("runs", lambda r: F.slice(w, (r["word_from"] + 1).cast("int"), (r["word_to"] - r["word_from"]).cast("int")))
+
+    # the words are bound once, outside the function of the stretches: inside, each stretch would match the whole text again
+    cut = F.transform(F.array(words), lambda w: F.regexp_replace(F.array_join(F.flatten(stretches(w)), ""), r"[\x20\x09-\x0D]+$", ""))[0]
     whole = F.col("n_words") == F.col("size")
-    out = both.withColumn("words", F.when(~whole, words)).withColumn(
-        "taken", F.when(whole, F.col("doc.text")).otherwise(cut)).select("doc", "taken")
+    out = both.select("doc", F.when(whole, F.col("doc.text")).otherwise(cut).alias("taken"))
     new = {"text": F.col("taken"), "n_chars": F.length("taken").cast("long")}
     return out.select(*[new.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])

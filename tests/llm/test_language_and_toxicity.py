@@ -1,6 +1,8 @@
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from presslens.llm.language_id import grams, identify, top_grams
 from presslens.llm.toxicity_chain import Linear, features, fit, fit_linear, predict
 from presslens.sources.tables import table
@@ -23,6 +25,17 @@ def brute_profile(text, size):
 
 
 @pytest.mark.parametrize("text", [EN, DE, "a", "É é, ßx!!x 12 x", "q q q"])
+def test_languages_in_blocks_give_the_same(spark, monkeypatch):
+    """More languages than one broadcast holds: blocks of them, ties still to the smaller name."""
+    from presslens.llm import language_id
+    docs = awkward(spark)
+    train = docs.select("text", "lang").union(docs.select("text", F.concat(F.lit("x-"), "lang"))).union(docs.select("text", F.concat(F.lit("a-"), "lang")))
+    want = sorted(map(tuple, identify(docs, train).select("doc_id", "lang_pred", "score").collect()), key=repr)
+    monkeypatch.setattr(language_id, "LANGUAGES_AT_ONCE", 2)
+    got = sorted(map(tuple, identify(docs, train).select("doc_id", "lang_pred", "score").collect()), key=repr)
+    assert got == want and any(r[1].startswith("a-") for r in got)
+
+
 def test_grams_against_slicing(text):
     got = top_grams(grams(text), 50).tolist()
     assert got == brute_profile(text, 50)
@@ -105,6 +118,30 @@ def test_chain_finds_planted_words_out_of_sample(spark):
     assert all((r["p_toxic"] >= 0.4) == (r["doc_id"] % 5 == 0) for r in got)
 
 
+def test_chain_against_a_plain_one(spark):
+    """Folds, out-of-fold probabilities and final models, category by category, on the same sample."""
+    docs = docs_frame(spark, [(i, f"w{i % 50} v{i % 7} " + ("scumword" if i % 4 == 0 else f"w{i % 29}"), "en", "a") for i in range(160)])
+    rows = [(i, int(i % 3 > 0), int(i % 4 == 0)) for i in range(120)]
+    chain = fit(docs, spark.createDataFrame(rows, "doc_id long, quality int, toxic int"))
+    fold = {r[0]: r[1] for r in spark.range(120).selectExpr("id", "pmod(xxhash64(id, 11), 3)").collect()}
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
+    ids = [i for i, _, _ in rows]
+    feats, folds, ones = [features(text[i]) for i in ids], np.array([fold[i] for i in ids]), np.ones(len(ids))
+    earlier = np.zeros((len(ids), 0))
+    pick = lambda xs, keep: [x for x, k in zip(xs, keep) if k]
+    for k, model in enumerate(chain.models):
+        y = np.array([r[1 + k] for r in rows], float)
+        whole = fit_linear(feats, earlier, y, ones)
+        assert model.ids.tolist() == whole.ids.tolist() and np.allclose(model.weights, whole.weights, atol=1e-6)
+        assert np.allclose(model.earlier, whole.earlier, atol=1e-6) and np.isclose(model.constant, whole.constant, atol=1e-6)
+        p = np.zeros(len(ids))
+        for f in range(3):
+            out = folds == f
+            part = fit_linear(pick(feats, ~out), earlier[~out], y[~out], ones[~out])
+            p[out] = part.probability(pick(feats, out), earlier[out])
+        earlier = np.concatenate([earlier, p[:, None]], axis=1)
+
+
 def test_labels_of_absent_documents_take_no_places(spark):
     docs = docs_frame(spark, [(i, f"w{i % 50} w{i % 37} " + ("scumword" if i % 5 == 0 else f"w{i % 29}"), "en", "a") for i in range(200)])
     label = lambda ids: spark.createDataFrame([(i, int(i % 3 > 0), int(i % 5 == 0)) for i in ids], "doc_id long, quality int, toxic int")

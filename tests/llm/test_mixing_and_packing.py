@@ -103,6 +103,52 @@ def test_mixed_documents_hold_the_taken_words(spark):
         assert any(not Counter(WORD.findall(r["text"])) - Counter(w) for w in by_id[r["doc_id"]])
 
 
+def test_taken_words_against_a_plain_mixture(spark):
+    """Permutation, slots and what they take of each document, rendered word by word."""
+    block, shards_of = 4, 8
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{k}" for k in range(rng.integers(0, 30))), None, rng.choice(["a", "b", "c", "d"])) for i in range(60)]
+    rows += [(100 + i, " ".join("hot" for _ in range(9)), None, "a") for i in range(40)] + [(200, None, None, "b"), (201, "one", None, None)]
+    docs = docs_frame(spark, rows)
+    sized, spans = mix(docs, block_words=block, shard_slots=shards_of, seed=3)
+    by_uid = {r["uid"]: r for r in sized.collect()}
+    words = defaultdict(list)  # the stream of each source: (document, place of the word in it)
+    for r in sorted((r for r in by_uid.values() if r["size"]), key=lambda r: (r["sid"], r["at"])):
+        assert r["at"] == len(words[r["sid"]])
+        words[r["sid"]] += [(r["uid"], k) for k in range(r["size"])]
+    assert {s: len(w) for s, w in words.items()} == {r["sid"]: r["source_size"] for r in by_uid.values() if r["size"]}
+    got, slots = defaultdict(Counter), defaultdict(set)
+    for r in spans.collect():
+        for k in range(r["word_from"], r["word_to"]):
+            got[r["sid"]][r["uid"], k] += 1
+        slots[r["sid"]].add((r["slot"], r["pass"], r["block"], r["shard"]))
+    for sid, w in words.items():
+        n = -(-len(w) // block)
+        taken = Counter()
+        order = permute(np.arange(n), n, _keys(3, sid))
+        own = sorted(slots[sid])
+        assert [s for s, _, _, _ in own] == list(range(len(own)))  # slots of a source: 0, 1, 2, ...
+        for slot, turn, b, _ in own:
+            assert (turn, b) == (slot // n, order[slot % n])
+            taken.update(w[b * block:(b + 1) * block])
+        assert got[sid] == taken
+        target = next(r["target"] for r in by_uid.values() if r["sid"] == sid)
+        assert abs(sum(taken.values()) - target) <= block
+        assert [s for _, _, _, s in own] == sorted(s for _, _, _, s in own) and len({s for _, _, _, s in own}) > (1 if len(own) > 20 else 0)
+    totals = {r["uid"]: r["taken"] for r in taken_words(sized, spans).collect()}
+    for uid, r in by_uid.items():
+        assert totals[uid] == sum(c for (u, _), c in got[r["sid"]].items() if u == uid) <= 2 * r["size"]
+
+
+def test_words_are_matched_once_a_document(spark):
+    """The pattern stands outside the function that is applied to every stretch."""
+    plan = mixed_documents(awkward(spark))._jdf.queryExecution().optimizedPlan().toString()
+    line = next(x for x in plan.splitlines() if "regexp_extract_all" in x)
+    assert line.count("regexp_extract_all") == 1
+    inner = line[line.index("slice("):]
+    assert "regexp_extract_all" not in inner[:inner.index("word_to")]
+
+
 def test_best_fit_takes_the_tightest_bin():
     sizes = np.array([6, 5, 4, 3, 2])
     bins, room = np.full(5, -1), []
@@ -125,20 +171,37 @@ def test_crossover_keeps_all_items_and_injected_bins():
         assert len(groups(child) & groups(b)) >= len(np.unique(b)) // 8
 
 
-def test_evolution_improves_hard_triplets():
-    # bins of exactly three items: best fit alone wastes some
+def fewest(sizes, capacity):
+    """The least number of bins, by trying all sets of items (few items)."""
+    n = len(sizes)
+    best = [(0, 0)] + [(n + 1, 0)] * ((1 << n) - 1)  # bins, fill of the last one
+    for s in range(1, 1 << n):
+        for i in range(n):
+            if s >> i & 1:
+                bins, fill = best[s ^ (1 << i)]
+                now = (bins, fill + sizes[i]) if bins and fill + sizes[i] <= capacity else (bins + 1, sizes[i])
+                best[s] = min(best[s], now)
+    return best[-1][0]
+
+
+def test_evolution_beats_best_fit():
+    # best fit puts the fours in pairs and wastes a place in every bin: 24 bins, where 20 hold all
+    sizes = np.array([4] * 20 + [3] * 40)
     rng = np.random.default_rng(0)
-    triplets = []
-    for _ in range(40):
-        x = int(rng.integers(380, 490))
-        y = int(rng.integers(200, 1000 - x - 250))
-        triplets += [x, y, 1000 - x - y]
-    sizes = np.array(triplets)
-    pop = [start_packing(sizes, 1000, rng, greedy=i == 0) for i in range(6)]
-    before = min(len(fill_of(sizes, p)) for p in pop)
-    after = evolve(sizes, pop, 1000, 400, rng)
-    assert all(whole(sizes, p, 1000) for p in after)
-    assert len(fill_of(sizes, after[0])) <= before
+    pop = [start_packing(sizes, 10, rng, greedy=i == 0) for i in range(6)]
+    best_fit_bins = len(fill_of(sizes, pop[0]))
+    assert best_fit_bins == 24
+    after = evolve(sizes, pop, 10, 400, rng)
+    assert all(whole(sizes, p, 10) for p in after)
+    assert 20 <= len(fill_of(sizes, after[0])) < best_fit_bins
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_small_instances_are_solved_exactly(seed):
+    rng = np.random.default_rng(seed)
+    sizes = rng.integers(2, 9, 11)
+    pop = [start_packing(sizes, 12, rng, greedy=i == 0) for i in range(6)]
+    assert len(fill_of(sizes, evolve(sizes, pop, 12, 200, rng)[0])) == fewest(sizes.tolist(), 12)
 
 
 def check_packed(rows, capacity=2048):
