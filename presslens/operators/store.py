@@ -6,7 +6,8 @@ rename of a manifest file that names the current directory of every bucket:
 
 * readers follow the newest manifest alone and never see half a write;
 * a job that dies leaves an unnamed directory, which a retry does not meet and ``vacuum`` removes;
-* a write reads and rewrites only the buckets its keys fall in, told by the directories its staged rows were written to.
+* a write reads and rewrites only the buckets its keys fall in. Their number is what the first write's rows ask for; a
+  bucket is written as several files, and by as many tasks, where it holds many rows.
 
 A manifest can carry a few values of the writer (the stream's batch) that are committed with the rows.
 One writer at a time: the second of two that commit the same version fails.
@@ -34,8 +35,14 @@ def _names(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
 
 
+BUCKET_ROWS = 1 << 20  # of the first write, in a bucket
+FILE_ROWS = 1 << 18  # of a write, in a file
+
+
 class KeyedStore:
-    def __init__(self, spark: SparkSession, root: str, key: str = "_id", buckets: int = 16):
+    """``buckets``: how many; by default what the first write asks for, BUCKET_ROWS rows each (kept in the manifest)."""
+
+    def __init__(self, spark: SparkSession, root: str, key: str = "_id", buckets: int | None = None):
         self.spark, self.root, self.key, self.buckets = spark, root.rstrip("/"), key, buckets
 
     # -- manifests -------------------------------------------------------------
@@ -56,7 +63,7 @@ class KeyedStore:
         finally:
             stream.close()
         m = json.loads(text)
-        if m["buckets"] != self.buckets:
+        if self.buckets not in (None, m["buckets"]) and m["buckets"] is not None:
             raise ValueError(f"the store has {m['buckets']} buckets, not {self.buckets}")
         return m
 
@@ -70,6 +77,7 @@ class KeyedStore:
         m = self._manifest(last)
         m["paths"].update(paths or {})
         m["meta"].update(meta or {})
+        m["buckets"] = m["buckets"] or self.buckets  # told by the first write of rows
         tmp, fs = _fs(self.spark, f"{self.root}/manifest/.{uuid.uuid4().hex}")
         out = fs.create(tmp, True)
         out.write(bytearray(json.dumps(m).encode()))
@@ -91,13 +99,33 @@ class KeyedStore:
         return self._read(list(self._manifest()["paths"].values()))
 
     # -- writes ------------------------------------------------------------------
-    def _put(self, df: DataFrame, what: str) -> tuple[str, dict[str, str]]:
-        """Rows written by bucket to a directory of their own: its path, and that of each bucket in it."""
-        path = f"data/{uuid.uuid4().hex}-{what}"
-        bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets))
-        df.withColumn(_BUCKET, bucket).repartition(self.buckets, _BUCKET).write.partitionBy(_BUCKET).parquet(f"{self.root}/{path}")
+    def _bucket(self, buckets: int):
+        return F.pmod(F.xxhash64(self.key), F.lit(buckets)).cast("int")
+
+    def _stage(self, df: DataFrame) -> tuple[DataFrame, int, list[str]]:
+        """Incoming rows, written once as they come; the store's number of buckets (fixed by its first rows), and
+        the buckets these rows fall in."""
+        path = f"{self.root}/data/{uuid.uuid4().hex}-in"
+        df.write.parquet(path)
+        staged = self.spark.read.schema(df.schema).parquet(path)
+        buckets = self._manifest()["buckets"]
+        if buckets is None:
+            rows = staged.count()
+            if not rows:
+                return staged, 0, []
+            buckets = self.buckets = -(-rows // BUCKET_ROWS)
+        own = staged.select(self._bucket(buckets).alias("b")).distinct().collect()  # a row a bucket
+        return staged, buckets, sorted(str(r["b"]) for r in own)
+
+    def _put(self, df: DataFrame, buckets: int, rows: int) -> dict[str, str]:
+        """Rows written by bucket to a directory of their own, about FILE_ROWS of them a file: the path of each bucket in it."""
+        path = f"data/{uuid.uuid4().hex}-rows"
+        files = max(1, -(-rows // (FILE_ROWS * buckets)))  # of a bucket: dealt by another hash of the key
+        part = F.pmod(F.xxhash64(F.lit("file"), self.key), F.lit(files))
+        (df.withColumn(_BUCKET, self._bucket(buckets)).repartition(buckets * files, _BUCKET, part)
+         .write.partitionBy(_BUCKET).parquet(f"{self.root}/{path}"))
         own = [n for n in _names(self.spark, f"{self.root}/{path}") if n.startswith(f"{_BUCKET}=")]
-        return path, {n.split("=", 1)[1]: f"{path}/{n}" for n in own}
+        return {n.split("=", 1)[1]: f"{path}/{n}" for n in own}
 
     def upsert(self, updates: DataFrame, newest_by: str | None = None, meta: dict | None = None) -> int:
         """Create-or-replace by key (one row per key: the caller dedups, e.g. WIN-02).
@@ -105,40 +133,38 @@ class KeyedStore:
         With ``newest_by`` a stored row stays when its value there is greater, so an older record that
         arrives later does not replace a newer one. ``updates`` is computed once.
         """
-        _, staged = self._put(updates, "in")
-        if not staged:
+        new, buckets, touched = self._stage(updates)
+        if not touched:
             return self.commit(meta=meta) if meta else self.version()
-        new = self._read(list(staged.values()))
         now = self._manifest()["paths"]
-        old = self._read([now[b] for b in staged if b in now])
+        old = self._read([now[b] for b in touched if b in now])
         if old is None:
-            return self.commit(staged, meta)
+            return self.commit(self._put(new, buckets, new.count()), meta)
         k = self.key
         if newest_by:
             stored = old.select(k, F.col(newest_by).alias("__stored"))
             new = (new.join(stored, k, "left").filter("__stored is null or " + f"`{newest_by}` >= __stored").drop("__stored"))
         kept = old.join(new.select(k), k, "left_anti")
-        _, paths = self._put(kept.unionByName(new, allowMissingColumns=True), "rows")
-        return self.commit(paths, meta)
+        return self.commit(self._put(kept.unionByName(new, allowMissingColumns=True), buckets, old.count()), meta)
 
     def patch(self, changes: DataFrame) -> tuple[int, DataFrame]:
         """Partial update by key: a non-null column in ``changes`` replaces the
         stored value, null leaves it; keys not in the store come back as the
         not-found frame (the 404 case) and are not written."""
         k = self.key
-        _, staged = self._put(changes, "in")
         now = self._manifest()["paths"]
-        hit = [b for b in staged if b in now]
-        if not hit:
+        if not now:
             return self.version(), changes.select(k)
-        ch, cur = self._read(list(staged.values())), self._read([now[b] for b in hit])
+        ch, buckets, touched = self._stage(changes)
+        cur = self._read([now[b] for b in touched if b in now])
+        if cur is None:
+            return self.version(), ch.select(k)
         missing = ch.select(k).join(cur.select(k), k, "left_anti")
         new = ch.select(k, *[F.col(c).alias(f"__new_{c}") for c in ch.columns if c != k])
         j = cur.join(new, k, "left")
         cols = [F.coalesce(F.col(f"__new_{c}"), F.col(c)).alias(c) if f"__new_{c}" in j.columns else F.col(c)
                 for c in cur.columns]
-        _, paths = self._put(j.select(*cols), "rows")
-        return self.commit(paths), missing
+        return self.commit(self._put(j.select(*cols), buckets, cur.count())), missing
 
     def vacuum(self, keep: int = 2) -> int:
         """Deletes all manifests but the newest ``keep`` and every directory none of those names

@@ -146,26 +146,39 @@ def test_upsert_rewrites_touched_buckets_only(spark, scratch):
         KeyedStore(spark, f"{scratch}/kv", buckets=4).read()
 
 
+def test_buckets_and_files_follow_the_rows(spark, scratch, monkeypatch):
+    from presslens.operators import store
+    monkeypatch.setattr(store, "BUCKET_ROWS", 50)
+    monkeypatch.setattr(store, "FILE_ROWS", 10)
+    s = KeyedStore(spark, f"{scratch}/kv")
+    empty = spark.createDataFrame([], SCHEMA)
+    assert s.upsert(empty) == 0 and s.read() is None and s.patch(empty)[0] == 0
+    s.upsert(spark.createDataFrame([(f"k{i}", "t", float(i)) for i in range(190)], SCHEMA))
+    paths = s._manifest()["paths"]
+    assert len(paths) == 4 and s._manifest()["buckets"] == 4  # 190 rows, 50 a bucket
+    files = [n for p in paths.values() for n in os.listdir(f"{scratch}/kv/{p}") if n.endswith(".parquet")]
+    assert len(files) > 8  # several a bucket
+    again = KeyedStore(spark, f"{scratch}/kv")  # the number is the store's own
+    again.upsert(spark.createDataFrame([(f"k{i}", "u", 0.0) for i in range(0, 1000, 10)], SCHEMA))
+    assert len(again._manifest()["paths"]) == 4 and again.read().count() == 190 + 81
+    assert {r["title"] for r in again.read().where("score = 0").collect()} == {"u"}
+
+
 @pytest.mark.parametrize("dies_at", ["in", "rows", "commit"])
 def test_retry_after_a_crash(spark, scratch, monkeypatch, dies_at):
     s = KeyedStore(spark, f"{scratch}/kv")
     s.upsert(spark.createDataFrame([("a", "x", 1.0)], SCHEMA))
     update = spark.createDataFrame([("a", "y", 2.0), ("b", "z", 3.0)], SCHEMA)
-    put, commit = KeyedStore._put, KeyedStore.commit
-
-    def dying_put(self, df, what):
-        out = put(self, df, what)
-        if what == dies_at:
-            raise RuntimeError("lost")
-        return out
+    step = {"in": "_stage", "rows": "_put", "commit": "commit"}[dies_at]
+    done, commit = getattr(KeyedStore, step), KeyedStore.commit
 
-    def dying_commit(self, *args, **kw):
+    def dying(self, *args, **kw):
+        if step != "commit":
+            done(self, *args, **kw)
         raise RuntimeError("lost")
 
     with monkeypatch.context() as m:
-        m.setattr(KeyedStore, "_put", dying_put)
-        if dies_at == "commit":
-            m.setattr(KeyedStore, "commit", dying_commit)
+        m.setattr(KeyedStore, step, dying)
         with pytest.raises(RuntimeError):
             s.upsert(update)
     assert _rows(s, "_id", "title") == [("a", "x")]  # nothing half done is seen
