@@ -251,10 +251,13 @@ def _merge(nodes: DataFrame) -> DataFrame:
 
 def _join_ids(batches):
     for pdf in batches:
-        for ending, own in pdf.groupby("ending", sort=False):
-            ids = own["conv_id"].tolist()
-            for i in range(0, len(ids), _IDS_CHUNK):
-                yield pd.DataFrame({"ending": [ending], "first": [ids[i]], "ids": [",".join(map(str, ids[i:i + _IDS_CHUNK]))]})
+        endings, ids = pdf["ending"].tolist(), pdf["conv_id"].tolist()
+        out, start = [], 0
+        for i in range(1, len(ids) + 1):
+            if i == len(ids) or endings[i] != endings[start] or i - start == _IDS_CHUNK:
+                out.append((endings[start], ids[start], ",".join(map(str, ids[start:i]))))
+                start = i
+        yield pd.DataFrame(out, columns=["ending", "first", "ids"])
 
 
 def _hash_ids(batches):
