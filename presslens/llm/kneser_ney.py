@@ -20,7 +20,8 @@ different words before, and V + 1 outcomes: the words, the end and one for all u
 unknown word the probability is P(w).
 
 Defined cases: null texts are empty and hold the end alone; repeated rows count each time; with nothing to
-learn from every token has the probability 1 (of one outcome). Columns of the added names are replaced.
+learn from every token has the probability 1 (of one outcome); texts are read whole, a very long one looked up by itself.
+Columns of the added names are replaced.
 """
 
 from __future__ import annotations
@@ -202,7 +203,7 @@ class Model:
         u, back = np.unique(scramble(before[known], word[known]), return_inverse=True)
         n = np.zeros(len(u), np.int64)
         for s, part, at, ok in self._find("pair", u):
-            n[part] = np.where(ok, self.array("times", s, "<u4")[at], 0)
+            n[part] = np.where(ok, self.array("times", s, "<i8")[at], 0)
         out[known] = n[back]
         return out
 
@@ -256,7 +257,7 @@ def _spread(model: Model):
         for pdf in batches:
             for shard in pdf["shard"]:
                 before, word = unscramble(np.asarray(model.array("pair", shard, "<u8")))
-                mass = _discount(np.asarray(model.array("times", shard, "<u4")).astype(np.int64), model.pair_d)
+                mass = _discount(np.asarray(model.array("times", shard, "<i8")), model.pair_d)
                 for kind, who, weight in (("before", word, None), ("mass", before, mass)):
                     u, at = np.unique(who, return_inverse=True)
                     total = np.bincount(at, weight, len(u))
@@ -296,7 +297,7 @@ def train(docs: DataFrame) -> Model:
     spark = docs.sparkSession
     docs = docs.select("text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(16, max(4, (size // SHARD_BYTES).bit_length()))
+    bits = max(4, (size // SHARD_BYTES).bit_length())
     folder = local_path(shared_dir(spark, "llm-ngrams"))
     os.makedirs(folder)
     counted, told = "shard long, keys binary, counts binary", "shard long, n long, tokens long, few array<long>"
@@ -310,7 +311,7 @@ def train(docs: DataFrame) -> Model:
     model = Model(folder, bits, starts, sum(r["tokens"] for r in words))
 
     pairs = (docs.mapInPandas(_count(_pairs_of(model), bits), counted).groupBy("shard")
-             .applyInPandas(_merge(folder, bits, "pair", "times", "<u4"), told).collect())  # a row a shard
+             .applyInPandas(_merge(folder, bits, "pair", "times", "<i8"), told).collect())  # a row a shard
     model.pair_d = discounts([sum(r["few"][k] for r in pairs) for k in range(4)])
     model.pairs = sum(r["n"] for r in pairs)
     shards = spark.range(0, 1 << bits, numPartitions=1 << bits).withColumnRenamed("id", "shard")

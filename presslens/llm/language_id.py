@@ -12,8 +12,11 @@ points, ties of distances to the smaller language name.
 
 Defined cases: a null text, and one without a letter, is ``und`` with score 0;
 so is every text when there is nothing to learn from. Null languages are not
-learned; repeated rows count each time; other columns of the input stay, but one of
+learned; repeated rows count each time; texts are read whole, however long; other columns of the input stay, but one of
 the name of an added column is replaced.
+
+Profiles are broadcast in blocks of languages, so any number of languages can be learned: each block gives a
+document its least distance, and the least of all blocks decides.
 """
 
 from __future__ import annotations
@@ -22,14 +25,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from presslens.llm.common import unused, worker_state
+from presslens.llm.common import prefix_sums, unused, worker_state, written
 
 LONGEST = 3  # letters of an n-gram
 PROFILE = 400
-MAX_LANGUAGES = 1000  # bounds the broadcast profiles: 400 n-grams each
+LANGUAGES_AT_ONCE = 1000  # bounds a broadcast: so many profiles of 400 n-grams
 _CHAR = 21  # bits of a code point
 _GAP = 1  # stands for a separator: no letter, and not 0, which would not count in a code
 
@@ -118,7 +121,7 @@ def learn_profiles(train: DataFrame, size: int = PROFILE) -> DataFrame:
 
 
 class Profiles:
-    """Profiles as sorted arrays, for the workers: at most MAX_LANGUAGES of ``size`` entries."""
+    """Profiles as sorted arrays, for the workers: at most LANGUAGES_AT_ONCE of ``size`` entries."""
 
     def __init__(self, rows: list[tuple[str, int, int]], size: int):
         self.size = size
@@ -128,10 +131,11 @@ class Profiles:
             own = sorted((gram, rank) for of, gram, rank in rows if of == lang)
             self.tables.append((np.array([g for g, _ in own], np.int64), np.array([k for _, k in own], np.int64)))
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None) -> tuple[int | None, str | None, int]:
+        """The least distance, its language, and the number of n-grams compared (none: 0)."""
         top = top_grams(grams(text), self.size) if text else np.zeros(0, np.int64)
         if not len(top) or not self.langs:
-            return "und", 0.0
+            return None, None, 0
         place = np.arange(len(top))
         best = None
         for lang, (codes, ranks) in zip(self.langs, self.tables):
@@ -139,7 +143,7 @@ class Profiles:
             d = np.where(codes[at] == top, np.abs(ranks[at] - place), self.size).sum()
             if best is None or d < best[0]:
                 best = (int(d), lang)
-        return best[1], 1.0 - best[0] / (len(top) * self.size)
+        return *best, len(top)
 
 
 def identify(docs: DataFrame, train: DataFrame, size: int = PROFILE,
@@ -149,17 +153,27 @@ def identify(docs: DataFrame, train: DataFrame, size: int = PROFILE,
 
     ``train`` (text, lang) is read in full; of ``docs`` only text is looked at.
     """
-    langs = train.where("lang is not null").select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
-    if langs > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn; profiles of so many are not broadcast")
-    rows = [tuple(r) for r in learn_profiles(train, size).select("lang", "gram", "rank").collect()]
-    profiles = docs.sparkSession.sparkContext.broadcast(rows)  # plain data: workers need not have the package
-
-    @F.pandas_udf("lang string, score double")
-    def guess(texts: pd.Series) -> pd.DataFrame:
-        p = Profiles(profiles.value, size)
-        return pd.DataFrame([p.predict(x) for x in texts], columns=["lang", "score"])
-
-    name = unused(docs, "guess")
-    return (docs.withColumn(name, guess("text")).withColumn(lang_col, F.col(f"{name}.lang"))
-            .withColumn(score_col, F.col(f"{name}.score")).drop(name))
+    profiles = learn_profiles(train, size).select("lang", "gram", "rank")
+    langs = train.where("lang is not null").select("lang").distinct()
+    blocks = -(-langs.count() // LANGUAGES_AT_ONCE) or 1
+    if blocks > 1:
+        named = prefix_sums(langs.withColumn("_one", F.lit(1)), ["lang"], "_one", "at", "languages")
+        profiles = written(profiles.join(named.select("lang", F.floor(F.col("at") / LANGUAGES_AT_ONCE).alias("block")), "lang"), "profiles")
+    spark, name = docs.sparkSession, unused(docs, "guess")
+
+    def nearest(block: int) -> Column:
+        own = profiles if blocks == 1 else profiles.where(F.col("block") == block).select("lang", "gram", "rank")
+        held = spark.sparkContext.broadcast([tuple(r) for r in own.collect()])  # plain data: workers need not have the package
+
+        @F.pandas_udf("far long, lang string, n long")
+        def guess(texts: pd.Series) -> pd.DataFrame:
+            p = Profiles(held.value, size)
+            got = pd.DataFrame([p.predict(x) for x in texts], columns=["far", "lang", "n"])
+            return got.astype({"far": "Int64", "lang": object})
+        return guess("text")
+
+    least = nearest(0) if blocks == 1 else F.array_min(F.filter(F.array(*[nearest(b) for b in range(blocks)]), lambda g: g["lang"].isNotNull()))
+    got = docs.withColumn(name, least)
+    far, n = F.col(f"{name}.far"), F.col(f"{name}.n")
+    return (got.withColumn(lang_col, F.coalesce(F.col(f"{name}.lang"), F.lit("und")))
+            .withColumn(score_col, F.when(n > 0, F.lit(1.0) - far.cast("double") / (n * size)).otherwise(F.lit(0.0))).drop(name))
