@@ -6,8 +6,9 @@ ORC run-length encodes the integers, keeps a row index in every stripe and, as a
 Bloom filter on doc_id in it: tasks read stripes in parallel, and a search by id reads
 only the stripes and row groups that can hold it.
 
-Defined cases: null and empty texts have the end id alone; rows without a doc_id come first;
-repeated ids keep all their rows, in the order of a hash of the text; an empty table gives no rows.
+Defined cases: null and empty texts have the end id alone; a very long text is one row of its file, encoded whole;
+rows without a doc_id come first; repeated ids keep all their rows, in the order of a hash of the text; an
+empty table gives no rows; columns other than doc_id and text are left out.
 """
 
 from __future__ import annotations

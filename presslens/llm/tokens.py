@@ -4,7 +4,8 @@ Pre-tokenizers never join characters across white space, nor letters with the
 punctuation after them, so a text cut there and encoded piece by piece gives the ids of
 the whole text. A word of letters not met lately goes straight to the library's model;
 any other piece, and every text whose white space is not of the plain kind this holds for, or that holds the
-string of a special token, goes through the whole tokenizer.
+string of a special token, goes through the whole tokenizer. Null and empty texts give no ids; a very long text is cut in
+the same way, word by word.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from presslens.llm.common import worker_state
 
 CACHED_WORDS = 450_000  # per generation; two are kept
 LONGEST_WORD = 64  # characters of a word that is kept
-_STOPS = frozenset(".,;:!?")
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # no apostrophe: it may begin a piece of letters
 
 
 def _byte_characters() -> dict[int, str]:
@@ -46,11 +47,11 @@ class Encoder:
         self.bytes = _byte_characters()
         self.new: dict[str, bytes] = {}  # a word in use stays, one not met for a generation goes
         self.old: dict[str, bytes] = {}
-        self.stops = {c: self._whole(c) for c in _STOPS}
+        self.tails: dict[str, bytes] = {}  # marks after a word, a piece of their own
         self.line = self._whole("\n")
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _letters(self, word: str, lead: str) -> bytes:
         """A run of letters, one piece to the model, after ``lead``."""
@@ -58,8 +59,10 @@ class Encoder:
             word = word.lower() if word.isascii() else self.tokenizer.normalizer.normalize_str(word)
             if not word.isalpha():
                 return self._whole(lead + word)
-        s = lead + word
-        s = s.encode().decode("latin-1").translate(self.bytes)
+        if word.isascii():  # letters of ASCII stand for their own bytes
+            s = self.bytes[0x20] + word if lead else word
+        else:
+            s = (lead + word).encode().decode("latin-1").translate(self.bytes)
         return array("I", [t.id for t in self.model.tokenize(s)]).tobytes()
 
     def _piece(self, key: str) -> bytes:
@@ -68,12 +71,20 @@ class Encoder:
         word, lead = (key[1:], "") if head else (key, " " if self.spaces else "")
         if word.isalpha():
             out = self._letters(word, lead)
-        elif word[-1:] in _STOPS and word[:-1].isalpha():
-            return self._get(key[:-1]) + self.stops[word[-1]]
+        elif (base := word.rstrip(_MARKS)).isalpha():
+            return self._get(key[:len(base) - len(word)]) + self._tail(word[len(base):])
         else:
             out = self._whole(lead + word)
         return self.line + out if head else out
 
+    def _tail(self, marks: str) -> bytes:
+        got = self.tails.get(marks)
+        if got is None:
+            got = self._whole(marks)
+            if len(marks) < 4:
+                self.tails[marks] = got
+        return got
+
     def _get(self, key: str) -> bytes:
         got = self.new.get(key)
         if got is None:
