@@ -14,7 +14,7 @@ from presslens.session import shared_dir
 from presslens.sources.files import read_json_auto, read_split_json
 from presslens.sources.tables import articles
 
-FILES = 2
+FILES = 2  # at least; the writers add documents with the size of the table
 
 
 def json_array_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

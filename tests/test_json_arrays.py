@@ -61,6 +61,30 @@ def test_roundtrips_of_written_documents(spark, scratch, small_splits):
     assert got == [r[:2] for r in rows]
 
 
+def test_documents_grow_in_number_not_in_size(spark, scratch):
+    """Every document has one writer: without a bound on its size that task would read its share of any table."""
+    df = spark.createDataFrame([(i, "x" * 100) for i in range(2000)], "i long, s string")
+    for name, write, read in [("a", write_json_arrays, lambda p: read_json_auto(spark, p, SCHEMA)),
+                              ("s", write_split_json, lambda p: read_split_json(spark, p, ["i", "s"]))]:
+        path = f"{scratch}/{name}"
+        write(df, path, "i", 2, most=20_000)
+        files = [os.path.join(d, n) for d, _, ns in os.walk(path) for n in ns if n.startswith("part-")]
+        assert len(files) >= 10 and max(map(os.path.getsize, files)) < 40_000
+        docs = [json.load(open(f)) for f in files]
+        records = [r["i"] if name == "a" else r[0] for d in docs for r in (d if name == "a" else d["data"])]
+        assert sorted(records) == list(range(2000))
+        assert sorted((int(r["i"]), r["s"]) for r in read(path).collect()) == [(i, "x" * 100) for i in range(2000)]
+
+
+def test_documents_of_no_rows_and_of_repeated_keys(spark, scratch):
+    write_json_arrays(spark.createDataFrame([], SCHEMA), f"{scratch}/none", "i", 2)
+    assert not [n for _, _, ns in os.walk(f"{scratch}/none") for n in ns if n.endswith(".txt")]
+    rows = [(i % 3 if i % 4 else None, str(i)) for i in range(40)]
+    write_json_arrays(spark.createDataFrame(rows, "i long, s string"), f"{scratch}/again", "i", 2, most=100)
+    got = [(r["i"], r["s"]) for r in read_json_auto(spark, f"{scratch}/again", SCHEMA).collect()]
+    assert sorted(got, key=str) == sorted(rows, key=str)
+
+
 def test_split_documents_with_an_index_and_spaces(spark, scratch, small_splits):
     rows = _rows(200)
     with open(os.path.join(scratch, "d.json"), "w") as f:
