@@ -5,29 +5,69 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from presslens.session import shared_dir
+
 WORDS = r"\p{L}+"
 
 
+def _counted(pairs: DataFrame, a: str, b: str, pattern: str, out: str) -> DataFrame:
+    """Adds ``out``: (t, a, b) for every term of a row's two texts, with its counts in them.
+
+    The row's terms are sorted, so equal ones stand together and a run's length is a count: memory is bounded by a
+    row, where an aggregation over (row, term) holds all terms of a task.
+    """
+    def terms(side: str, first: bool) -> Column:
+        return F.transform(F.regexp_extract_all(F.lower(F.coalesce(F.col(side), F.lit(""))), F.lit(pattern), F.lit(0)),
+                           lambda t: F.struct(t.alias("t"), F.lit(first).alias("first")))
+
+    s, at, runs = F.col("__s"), F.col("__at"), F.col("__runs")
+    # staged: a column that is used more than once is evaluated once
+    d = pairs.withColumn("__s", F.sort_array(F.concat(terms(a, True), terms(b, False))))
+    begins = F.transform(s, lambda x, i: F.when(~F.get(s, i - 1).eqNullSafe(x), i))
+    d = d.withColumn("__at", F.filter(begins, lambda i: i.isNotNull()))
+    d = d.withColumn("__runs", F.transform(at, lambda i, k: F.struct(
+        F.get(s, i)["t"].alias("t"), F.get(s, i)["first"].alias("first"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).alias("n"))))
+
+    def both(x: Column, k: Column) -> Column:  # a term's run in b stands before its run in a
+        after = F.get(runs, k + 1)
+        in_a = F.when(x["first"], x["n"]).when(after["t"] == x["t"], after["n"]).otherwise(0)
+        whole = F.struct(x["t"].alias("t"), in_a.alias("a"), F.when(x["first"], 0).otherwise(x["n"]).alias("b"))
+        return F.when(~F.get(runs, k - 1)["t"].eqNullSafe(x["t"]), whole)
+
+    return d.withColumn(out, F.filter(F.transform(runs, both), lambda x: x.isNotNull())).drop("__s", "__at", "__runs")
+
+
 def text_cosine(pairs: DataFrame, key: str, a: str, b: str, pattern: str = WORDS, out: str = "similarity") -> DataFrame:
-    """(``key``, ``out``): the cosine of the TF-IDF vectors of the texts ``a`` and ``b`` of each row (``key`` is unique).
+    """(``key``, ``out``): the cosine of the TF-IDF vectors of the texts ``a`` and ``b`` of each row (rows of one ``key``
+    count as one).
 
     Terms are the matches of ``pattern`` in lower case; a term's weight is its count times ln((1 + n) / (1 + d)) + 1, with n
     texts, d of which hold it (the texts of both columns; null ones are not counted). A vector is sparse rows
-    (key, term, count in a, count in b); weights come by one equi-join on the term, whose hot ones AQE splits, and all sums
+    (key, term, count in a, count in b), counted row by row; only rows whose key repeats are summed up. Weights come by one
+    equi-join on the term, whose hot ones AQE splits; its tasks hold the weights of their terms and sort nothing. All sums
     are partial before they are shuffled. 0 where a text is null or holds no term.
     """
-    def terms(side: str) -> Column:
-        return F.transform(F.regexp_extract_all(F.lower(F.coalesce(F.col(side), F.lit(""))), F.lit(pattern), F.lit(0)),
-                           lambda t: F.struct(t.alias("t"), F.lit(side == a).alias("first")))
+    again = pairs.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    named = pairs.select(F.col(key).alias("__own"), F.col(a).alias("__ta"), F.col(b).alias("__tb")).join(
+        again, F.col("__own") == F.col("__key"), "left")
+    known = F.col("__n").isNotNull() | F.col("__own").isNull()
+    counted = _counted(named.select(F.col("__own").alias("__key"), "__ta", "__tb", known.alias("__again")), "__ta", "__tb", pattern, "__e")
+    counted = counted.select("__key", "__again", "__e")
+    path = shared_dir(pairs.sparkSession, "term-counts")  # once, for the weights and the sums
+    counted.write.parquet(path)
+    counted = pairs.sparkSession.read.schema(counted.schema).parquet(path)
+
+    def exploded(part: DataFrame) -> DataFrame:
+        e = part.select("__key", F.explode("__e").alias("e"))
+        return e.select("__key", F.col("e.t").alias("__t"), F.col("e.a").cast("long").alias("__a"), F.col("e.b").cast("long").alias("__b"))
 
-    left = F.col("e.first")
-    rows = pairs.select(F.col(key).alias("__key"), F.explode(F.concat(terms(a), terms(b))).alias("e"))
-    rows = rows.groupBy("__key", F.col("e.t").alias("__t")).agg(F.count(F.when(left, 1)).alias("__a"), F.count(F.when(~left, 1)).alias("__b"))
+    summed = exploded(counted.filter("__again")).groupBy("__key", "__t").agg(F.sum("__a").alias("__a"), F.sum("__b").alias("__b"))
+    rows = exploded(counted.filter("NOT __again")).unionByName(summed)
     held = rows.groupBy("__t").agg(F.sum(F.when(F.col("__a") > 0, 1).otherwise(0) + F.when(F.col("__b") > 0, 1).otherwise(0)).alias("__d"))
     n = pairs.select((F.count(a) + F.count(b)).alias("n")).scalar()
     idf = held.select("__t", (F.log((n + 1) / (F.col("__d") + 1)) + 1).alias("__w"))
     w2 = F.col("__w") * F.col("__w")
-    sums = rows.join(idf, "__t").groupBy("__key").agg(
+    sums = rows.join(idf.hint("shuffle_hash"), "__t").groupBy("__key").agg(
         F.sum(F.col("__a") * F.col("__b") * w2).alias("__ab"), F.sum(F.col("__a") * F.col("__a") * w2).alias("__aa"),
         F.sum(F.col("__b") * F.col("__b") * w2).alias("__bb"))
     norm = F.sqrt(F.col("__aa") * F.col("__bb"))
