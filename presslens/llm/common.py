@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 
@@ -13,6 +14,9 @@ from presslens.session import shared_dir
 # words of the contracts: runs of anything but ASCII white space
 WORD = r"[^\x20\x09-\x0D]+"
 
+BATCH_BYTES = 4 << 20  # of rows sent to a Python worker at once
+_BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the cluster's shared folder and read back.
@@ -25,6 +29,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python workers in Arrow batches of about BATCH_BYTES, from now on in this session.
+
+    By Spark's defaults a batch has up to 10,000 rows and 64 MB; of whole texts, each task then holds it several times, in
+    Arrow buffers, as rows that wait for their results, and as Python strings. A lower limit of the session's own stays.
+    """
+    n, unit = re.match(r"(\d+)\s*([kmgtp]?)", spark.conf.get(_BATCH_LIMIT).lower()).groups()
+    if int(n) << 10 * " kmgtp".index(unit or " ") > BATCH_BYTES:
+        spark.conf.set(_BATCH_LIMIT, str(BATCH_BYTES))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

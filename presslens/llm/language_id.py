@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from presslens.llm.common import prefix_sums, unused, worker_state, written
+from presslens.llm.common import prefix_sums, small_batches, unused, worker_state, written
 
 LONGEST = 3  # letters of an n-gram
 PROFILE = 400
@@ -125,10 +125,13 @@ class Profiles:
 
     def __init__(self, rows: list[tuple[str, int, int]], size: int):
         self.size = size
-        self.langs = sorted({r[0] for r in rows})
+        of_lang: dict[str, list[tuple[int, int]]] = {}
+        for lang, gram, rank in rows:
+            of_lang.setdefault(lang, []).append((gram, rank))
+        self.langs = sorted(of_lang)
         self.tables = []
         for lang in self.langs:
-            own = sorted((gram, rank) for of, gram, rank in rows if of == lang)
+            own = sorted(of_lang[lang])
             self.tables.append((np.array([g for g, _ in own], np.int64), np.array([k for _, k in own], np.int64)))
 
     def predict(self, text: str | None) -> tuple[int | None, str | None, int]:
@@ -153,6 +156,7 @@ def identify(docs: DataFrame, train: DataFrame, size: int = PROFILE,
 
     ``train`` (text, lang) is read in full; of ``docs`` only text is looked at.
     """
+    small_batches(docs.sparkSession)
     profiles = learn_profiles(train, size).select("lang", "gram", "rank")
     langs = train.where("lang is not null").select("lang").distinct()
     blocks = -(-langs.count() // LANGUAGES_AT_ONCE) or 1
@@ -164,11 +168,13 @@ def identify(docs: DataFrame, train: DataFrame, size: int = PROFILE,
     def nearest(block: int) -> Column:
         own = profiles if blocks == 1 else profiles.where(F.col("block") == block).select("lang", "gram", "rank")
         held = spark.sparkContext.broadcast([tuple(r) for r in own.collect()])  # plain data: workers need not have the package
+        made: list[Profiles] = []  # by a task's first batch, for all of them
 
         @F.pandas_udf("far long, lang string, n long")
         def guess(texts: pd.Series) -> pd.DataFrame:
-            p = Profiles(held.value, size)
-            got = pd.DataFrame([p.predict(x) for x in texts], columns=["far", "lang", "n"])
+            if not made:
+                made.append(Profiles(held.value, size))
+            got = pd.DataFrame([made[0].predict(x) for x in texts], columns=["far", "lang", "n"])
             return got.astype({"far": "Int64", "lang": object})
         return guess("text")
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslens.llm.common import written
+from presslens.llm.common import small_batches, written
 from presslens.llm.orc_tokens import END
 from presslens.llm.tokens import definition, encoder
 
@@ -52,6 +52,7 @@ def _cut(tokenizer, spaces: bool, capacity: int):
 
 def cut_pieces(docs: DataFrame, tokenizer: str, spaces: bool = False, capacity: int = 2048) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every text's ids and the end id 0, in runs of ``capacity``."""
+    small_batches(docs.sparkSession)
     text = docs.sparkSession.sparkContext.broadcast(definition(tokenizer))
     return docs.select("doc_id", "text").mapInArrow(
         _cut(text, spaces, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslens.llm.common import components, written
+from presslens.llm.common import components, small_batches, written
 
 SEED = 42
 
@@ -189,6 +189,7 @@ def near_duplicate_groups(fps: DataFrame, id_col: str = "doc_id", **options) ->
 def keep_one(docs: DataFrame, shingle: int = 3, **options) -> DataFrame:
     """``docs`` with one document of each near-duplicate group: the one with the smallest doc_id (nulls
     last), the first of repeated rows."""
+    small_batches(docs.sparkSession)
     keyed = written(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("uid"),
                                 fingerprint_column("text", shingle).alias("fp")), "keyed")
     groups = near_duplicate_groups(keyed.select("fp", F.col("doc.doc_id").alias("doc_id"), "uid"), "uid", **options)

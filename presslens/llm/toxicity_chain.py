@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslens.llm.common import unused, written
+from presslens.llm.common import small_batches, unused, written
 from presslens.operators.windows import sample_exact
 
 CATEGORIES = ("quality", "toxic")
@@ -166,6 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple = CATEGORIES, max_
         folds: int = 3) -> Chain:
     """The chain over ``categories`` (0/1 columns of ``labels``, by doc_id) of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
+    small_batches(spark)
     known = F.col("doc_id").isNotNull()
     for c in categories:
         known &= F.col(c).isin(0, 1)
@@ -205,6 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple = CATEGORIES, max_
 
 def predict(docs: DataFrame, chain: Chain) -> DataFrame:
     """``docs`` with p_<category> for every category of the chain."""
+    small_batches(docs.sparkSession)
     plain = [(m.ids, m.weights, m.earlier, m.constant) for m in chain.models]
     held = docs.sparkSession.sparkContext.broadcast(plain)  # plain data: workers need not have the package
     categories = chain.categories

@@ -1,7 +1,10 @@
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from presslens.llm.common import BATCH_BYTES, small_batches
 from presslens.llm.language_id import grams, identify, top_grams
 from presslens.llm.toxicity_chain import Linear, features, fit, fit_linear, predict
 from presslens.sources.tables import table
@@ -158,3 +161,31 @@ def test_chain_awkward_rows(spark):
     none = predict(docs, fit(docs, labels.where("false")))
     assert none.where("p_toxic > 0.01").count() == 0
     assert predict(docs.where("false"), fit(docs.where("false"), labels)).count() == 0
+
+
+def test_texts_reach_workers_in_batches_of_few_bytes(spark):
+    names = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    before = {k: spark.conf.get(k) for k in names}
+    docs = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("lorem "), 1000).alias("text"), F.lit("la").alias("lang"))
+
+    @F.pandas_udf("long")
+    def held(texts: pd.Series) -> pd.Series:  # bytes of the batch that the row came in
+        return pd.Series(int(texts.str.len().sum()), index=texts.index)
+
+    def largest():
+        other = docs.mapInArrow(lambda batches: iter([b.select(["doc_id"]).slice(0, 1).set_column(0, "doc_id", pa.array([b.nbytes])) for b in batches]), "doc_id long")
+        return docs.select(held("text").alias("n")).agg(F.max("n")).first()[0], other.agg(F.max("doc_id")).first()[0]
+
+    try:
+        for k, v in zip(names, ("64MB", "10000")):  # Spark's own
+            spark.conf.set(k, v)
+        assert min(largest()) == pytest.approx(24e6, rel=0.1)
+        got = identify(docs, docs.limit(5))
+        assert max(largest()) < 2 * BATCH_BYTES
+        assert got.groupBy("lang_pred").count().collect() == [("la", 4000)]
+        spark.conf.set(names[0], "1m")  # a lower limit stays
+        small_batches(spark)
+        assert spark.conf.get(names[0]) in ("1m", "1048576", "1048576b")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
