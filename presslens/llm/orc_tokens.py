@@ -24,29 +24,26 @@ from pyspark.sql import functions as F
 from presslens.llm.common import partitions
 from presslens.llm.tokens import definition, encoder
 
-END = b"\0\0\0\0"
+END_ID = 0
+END = END_ID.to_bytes(4, "little")
 FILE_SCHEMA = "shard int, doc_id long, at long, n_tokens long, ids array<int>"
-_BATCH_BYTES = 8 << 20  # of ids in one Arrow batch
 
 
 def _encode(tokenizer, spaces: bool):
     def run(batches):
         enc, shard, at = encoder(tokenizer.value, spaces), TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids, rows, size = batch.column(0).to_pylist(), [], 0
-            for i, text in enumerate(batch.column(1)):
-                rows.append(enc.encode(text.as_py()) + END)
-                size += len(rows[-1])
-                if size > _BATCH_BYTES or i == len(ids) - 1:
-                    n = np.array([len(r) // 4 for r in rows], np.int64)
-                    ends = np.cumsum(n)
-                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)),
-                                                     pa.array(np.frombuffer(b"".join(rows), "<i4")))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(rows), shard, np.int32)), pa.array(ids[i + 1 - len(rows):i + 1], pa.int64()),
-                         pa.array(at + ends - n), pa.array(n), lists], ["shard", "doc_id", "at", "n_tokens", "ids"])
-                    at += int(ends[-1])
-                    rows, size = [], 0
+            for first, ids in enc.encode_rows(batch.column(1)):
+                _, ends, data = ids.buffers()
+                ends = np.frombuffer(ends, np.int64, len(ids) + 1) // 4
+                values = np.insert(np.frombuffer(data or b"", "<i4")[:ends[-1]], ends[1:], END_ID)
+                ends = ends + np.arange(len(ends))  # with the end ids
+                n = np.diff(ends)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(n), shard, np.int32)), batch.column(0).slice(first, len(n)).cast(pa.int64()),
+                     pa.array(at + ends[:-1]), pa.array(n), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))],
+                    ["shard", "doc_id", "at", "n_tokens", "ids"])
+                at += int(ends[-1])
     return run
 
 

@@ -38,8 +38,9 @@ def _cut(tokenizer, spaces: bool, capacity: int):
         enc = encoder(tokenizer.value, spaces)
         for batch in batches:
             ids, out = batch.column(0).to_pylist(), []
-            for i, text in zip(ids, batch.column(1)):
-                data = enc.encode(text.as_py()) + END
+            texts = (text for _, part in enc.encode_rows(batch.column(1)) for text in part)
+            for i, text in zip(ids, texts):
+                data = text.as_py() + END
                 for piece, a in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[a:a + 4 * capacity]
                     out.append((i, piece, a // 4, len(part) // 4, zlib.crc32(part)))

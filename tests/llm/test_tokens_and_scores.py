@@ -6,10 +6,12 @@ from urllib.parse import urlparse
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.orc as orc
 import pytest
 from tokenizers import Tokenizer
 
+from presslens.llm import tokens
 from presslens.llm.kneser_ney import discounts, local_path, perplexity, score, scramble, train, unscramble
 from presslens.llm.orc_tokens import read_tokens, token_digest, write_tokens
 from presslens.llm.tokens import Encoder, definition, encoder
@@ -44,6 +46,36 @@ def test_special_strings_as_in_the_plain_call(name, spaces):
         assert np.frombuffer(enc.encode(text), "<u4").tolist() == whole.encode(text or "", add_special_tokens=False).ids, repr(text)[:80]
 
 
+STOPS = ["one, two. one, two.", "one,\ntwo.\n", "a), b.", "a.., b", "12, 3.5.", "a ,b, , c", "a,  b", "a\t, b", "a,\u00a0b", "it's, 's.", "_, é, é.", "क़, क़.",
+         "Aİ, İ-", "İ.", ",", ". , .", "one,", "中, Ⅷ. ²,"]
+
+
+@pytest.mark.parametrize("name, spaces", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_texts_together_give_the_ids_of_each(monkeypatch, name, spaces):
+    path = public_tokenizers.path(name)
+    whole, enc = Tokenizer.from_file(path), encoder(definition(path), spaces)
+    texts = STOPS + ODD + SPECIAL
+    want = [whole.encode(text or "", add_special_tokens=False).ids for text in texts]
+    ids = lambda column: [np.frombuffer(b, "<u4").tolist() for b in column.to_pylist()]
+    assert ids(enc.encode_all(texts)) == want
+    assert ids(enc.encode_all([None, "", None])) == [[], [], []]
+    monkeypatch.setattr(tokens, "PART_BYTES", 100)
+    parts = list(enc.encode_rows(pa.array(texts)))
+    assert len(parts) > 5 and [a for a, _ in parts] == np.cumsum([0] + [len(p) for _, p in parts])[:-1].tolist()
+    assert [i for _, p in parts for i in ids(p)] == want
+    assert list(enc.encode_rows(pa.array([], pa.string()))) == []
+
+
+@pytest.mark.parametrize("name, spaces", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_a_word_is_encoded_once_with_and_without_a_stop(name, spaces):
+    enc, made = Encoder(definition(public_tokenizers.path(name)), spaces), []
+    piece = enc.words.piece
+    enc.words.piece = lambda key: made.append(key.strip()) or piece(key)
+    for _ in range(2):
+        enc.encode_all(["x ring the, ring. the ring,", None, "x the. ring, the"] * 50)
+    assert sorted(made) == [",", ".", "ring", "the", "x"]
+
+
 def test_files_of_texts_with_special_strings(spark):
     path, docs = shared_dir(spark, "t-special"), list(enumerate(SPECIAL))
     write_tokens(docs_frame(spark, [(i, x, "en", "a") for i, x in docs]), path, public_tokenizers.path("byte_bpe_50k.json"), shards=2)
