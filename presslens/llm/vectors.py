@@ -33,10 +33,10 @@ def pack(m: np.ndarray) -> bytes:
     return np.ascontiguousarray(m).tobytes()
 
 
-def matrix(data: bytes, dim: int) -> np.ndarray:
-    """The float64 matrix of rows packed as 4-byte or 8-byte floats, told by a leading byte."""
+def matrix(data: bytes, dim: int, as_kind: str = "<f8") -> np.ndarray:
+    """The matrix, float64 or ``as_kind``, of rows packed as 4-byte or 8-byte floats, told by a leading byte."""
     kind = "<f4" if data[:1] == b"4" else "<f8"
-    return np.frombuffer(data, kind, offset=1).reshape(-1, dim).astype(np.float64)
+    return np.frombuffer(data, kind, offset=1).reshape(-1, dim).astype(as_kind)
 
 
 def pack_matrix(m: np.ndarray) -> bytes:

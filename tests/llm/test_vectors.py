@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from presslens.llm.blocked_knn import bounds, nearest, quantise
 from presslens.llm import pca_neardup
-from presslens.llm.pca_neardup import first_cut, laid_out, linked_pairs, near_duplicates, principal_axes, rotate
+from presslens.llm.pca_neardup import chunk_ranges, first_cut, laid_out, linked_pairs, near_duplicates, principal_axes, rotate
 from presslens.llm.vectors import cosines, matrix, pack_matrix, unit
 
 SCHEMA = "vec_id long, embedding array<float>, label string, cid string, tile string"
@@ -55,6 +55,43 @@ def test_near_duplicates_against_all_pairs(spark):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
 
 
+def test_near_duplicates_in_many_chunks(spark):
+    """Vectors of two lengths compared with chunks of about 20 of them."""
+    m, short = clustered(), clustered(240, 5, seed=4)
+    ids, others = list(range(10, 10 + len(m))), list(range(1000, 1000 + len(short)))
+    got = near_duplicates(table_of(spark, [*zip(ids, m.tolist()), *zip(others, short.tolist()), *BAD]), tile_rows=8, broadcast_bytes=4000).collect()
+    want = {**brute_links(ids, m, 0.9), **brute_links(others, short, 0.9), **{i: (0, i) for i, _ in BAD}}
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == want
+
+
+def test_near_duplicates_join_no_vectors(spark, monkeypatch):
+    """A join may shuffle either side: vectors, once for each pair of tiles, must not be in one."""
+    m, joined, frame = clustered(), [], type(spark.range(0))
+    join = frame.join
+
+    def watched(self, other, *args, **named):
+        joined.extend([*self.dtypes, *other.dtypes])
+        return join(self, other, *args, **named)
+
+    monkeypatch.setattr(frame, "join", watched)
+    near_duplicates(table_of(spark, [*zip(range(len(m)), m.tolist())]), tile_rows=16, broadcast_bytes=4000).collect()
+    assert joined and not [c for c, kind in joined if kind.startswith("array") or kind == "binary" and c != "key"]
+
+
+def test_chunk_ranges_cover_all_ids_once():
+    files = [(3, 7, 700), (0, 5, 100), (1, 1, 900), (2, 4, 4)]
+    got = chunk_ranges(files, 250)
+    ids = [(f << 33) + k for f, n, _ in sorted(files) for k in range(n)]
+    assert [i for lo, hi in got for i in ids if lo <= i < hi] == ids
+    assert all(a[1] <= b[0] for a, b in zip(got, got[1:])) and chunk_ranges([], 250) == []
+    assert len(chunk_ranges(files, 10_000)) == 1
+
+
+def test_near_duplicates_of_negative_zero(spark):
+    got = near_duplicates(table_of(spark, [(4, [0.0, 1.0]), (5, [-0.0, 1.0]), (6, [1.0, -0.0])])).collect()
+    assert {tuple(r) for r in got} == {(4, 1, 4, True), (5, 1, 4, False), (6, 0, 6, True)}
+
+
 def test_near_duplicates_edge_tables(spark):
     assert near_duplicates(table_of(spark, [])).count() == 0
     same = table_of(spark, [(7, [1.0, 2.0]), (7, [1.0, 2.0]), (None, [1.0, 2.0]), (3, None), (None, None)])
