@@ -61,3 +61,22 @@ def merge_state(state: DataFrame, newest: DataFrame, key: str = "source", value:
     s = state.select(F.col(key), F.col(value).alias("__old"))
     n = newest.select(F.col(key), F.col(newest_col).alias("__new"))
     return s.join(n, key, "full_outer").select(key, F.greatest("__old", "__new").alias(value))
+
+
+BLOCK_BITS = 5
+
+
+def with_next(df: DataFrame, key: str, col: str, out: str) -> DataFrame:
+    """(``key``, ``col``, ``out``): each row with ``col`` of every row whose integer ``key`` is one more, as an inner join.
+
+    Rows meet in blocks of 2 ** BLOCK_BITS keys, and those of a block's first key go to the block before, too. So both sides of
+    the join are the same rows dealt alike and Spark shuffles them once, where a join on the key and on the key less one
+    shuffles ``col`` twice.
+    """
+    block = lambda k: F.shiftright(k, BLOCK_BITS)
+    d = df.select(F.col(key).alias("__k"), F.col(col).alias("__v")).filter("__k IS NOT NULL")
+    d = d.withColumn("__block", F.explode(F.array_distinct(F.array(block(F.col("__k")), block(F.col("__k") - 1)))))
+    # one product over both sides: no part of it can be moved below one of them, which would make them differ
+    home = (block(F.col("l.__k")) == F.col("l.__block")).cast("int")
+    return d.alias("l").join(d.alias("r"), (F.col("l.__block") == F.col("r.__block")) & ((F.col("r.__k") - F.col("l.__k")) * home == 1)).select(
+        F.col("l.__k").alias(key), F.col("l.__v").alias(col), F.col("r.__v").alias(out))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from presslens.operators.aggregates import kde, order_bits, values_at
 from presslens.operators.frontier import expand_frontier
-from presslens.operators.joins import lookup_contains
+from presslens.operators import similarity
+from presslens.operators.joins import lookup_contains, with_next
 from presslens.operators.similarity import text_cosine
 from presslens.operators.sort import cursor_of, lay_out_by_date, page_after, top_k
 
@@ -127,6 +128,60 @@ def test_text_cosine_holds_no_terms_of_many_rows(spark):
     assert "strategy=shuffle_hash" in plan  # and the join on terms sorts no rows
 
 
+@pytest.mark.parametrize("common, keys", [(0, 100), (3, 0), (5, 100)])
+def test_text_cosine_of_common_and_rare_terms(spark, monkeypatch, common, keys):
+    monkeypatch.setattr(similarity, "COMMON_TERMS", common)
+    monkeypatch.setattr(similarity, "COMMON_KEYS", keys)
+    rng = random.Random(4)
+    text = lambda: " ".join(rng.choice("abcdefgh"[:rng.randrange(1, 9)]) for _ in range(rng.randrange(20)))
+    rows = [(i if i != 9 else None, text(), text() if i % 6 else None) for i in [*range(50), 7, 7, 20]]
+    want = _plain_cosine(rows)
+    got = text_cosine(spark.createDataFrame(rows, "i int, a string, b string"), "i", "a", "b").collect()
+    assert Counter(r["i"] for r in got) == Counter(r[0] for r in rows)
+    for r in got:
+        assert r["similarity"] == pytest.approx(want[r["i"]], abs=1e-12)
+
+
+def test_common_terms_are_those_of_the_highest_steps():
+    assert similarity._least_step([(0, 100), (4, 5), (9, 2)], 7) == 4
+    assert similarity._least_step([(0, 100), (4, 5), (9, 2)], 6) == 9
+    assert similarity._least_step([(3, 8)], 7) == 4 and similarity._least_step([], 7) == 1
+
+
+def test_text_cosine_evaluates_its_pairs_once(spark):
+    """Every evaluation shuffles the texts again where pairs come from a join."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def one(t):
+        seen.add(1)
+        return t
+
+    texts = spark.range(40).select("id", F.udf(one, "string").asNondeterministic()(F.lit("a b")).alias("a"), F.lit("b c").alias("b"))
+    assert text_cosine(texts, "id", "a", "b").filter("similarity > 0").count() == 40
+    assert seen.value == 40
+
+
+def test_text_cosine_does_not_shuffle_common_terms(spark):
+    pairs = spark.range(50).select("id", F.lit("a b a").alias("a"), F.lit("b c").alias("b"))
+    plan = text_cosine(pairs, "id", "a", "b")._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
+
+
+def test_with_next_is_the_join_on_the_next_key(spark):
+    keys = [*range(-70, 70), 3, 3, 4, 31, 32, 32, 95, 96, 1 << 40, (1 << 40) - 1, None, None]
+    rows = [(k, None if i % 9 == 0 else f"v{i}") for i, k in enumerate(keys) if k not in (10, -5)]
+    df = spark.createDataFrame(rows, "id long, v string")
+    want = Counter((a, x, y) for a, x in rows for b, y in rows if a is not None and b is not None and b == a + 1)
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = with_next(df, "id", "v", "after")
+        assert Counter(tuple(r) for r in got.collect()) == want and got.columns == ["id", "v", "after"]
+        assert "ReusedExchange" in got._jdf.queryExecution().executedPlan().toString()  # shuffled once
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+
+
 def test_bits_follow_the_order_of_doubles(spark):
     rng = random.Random(5)
     vals = sorted([0.0, 5e-324, 2.2e-308, 1.0, math.nextafter(1, 0), math.nextafter(1, 2), 2.0, 4.0, 8.0, math.nextafter(8, 0), 1.7e308, float("inf"),
