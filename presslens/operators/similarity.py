@@ -15,20 +15,19 @@ COMMON_KEYS = 1 << 18  # repeated ones that are broadcast
 def _counted(pairs: DataFrame, a: str, b: str, pattern: str, out: str) -> DataFrame:
     """Adds ``out``: (t, a, b) for every term of a row's two texts, with its counts in them.
 
-    The row's terms are sorted, so equal ones stand together and a run's length is a count: memory is bounded by a
-    row, where an aggregation over (row, term) holds all terms of a task.
+    Each text's terms are sorted, so equal ones stand together and a run's length is a count, and then the runs of both texts: memory
+    is bounded by a row, where an aggregation over (row, term) holds all terms of a task.
     """
-    def terms(side: str, first: bool) -> Column:
-        return F.transform(F.regexp_extract_all(F.lower(F.coalesce(F.col(side), F.lit(""))), F.lit(pattern), F.lit(0)),
-                           lambda t: F.struct(t.alias("t"), F.lit(first).alias("first")))
-
-    s, at, runs = F.col("__s"), F.col("__at"), F.col("__runs")
-    # staged: a column that is used more than once is evaluated once
-    d = pairs.withColumn("__s", F.sort_array(F.concat(terms(a, True), terms(b, False))))
-    begins = F.transform(s, lambda x, i: F.when(~F.get(s, i - 1).eqNullSafe(x), i))
-    d = d.withColumn("__at", F.filter(begins, lambda i: i.isNotNull()))
-    d = d.withColumn("__runs", F.transform(at, lambda i, k: F.struct(
-        F.get(s, i)["t"].alias("t"), F.get(s, i)["first"].alias("first"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).alias("n"))))
+    def sorted_runs(d: DataFrame, side: str, first: bool, name: str) -> DataFrame:
+        s, at = F.col(f"__s{name}"), F.col(f"__at{name}")  # staged: a column that is used more than once is evaluated once
+        d = d.withColumn(f"__s{name}", F.sort_array(F.regexp_extract_all(F.lower(F.coalesce(F.col(side), F.lit(""))), F.lit(pattern), F.lit(0))))
+        begins = F.transform(s, lambda t, i: F.when(~F.get(s, i - 1).eqNullSafe(t), i))
+        d = d.withColumn(f"__at{name}", F.filter(begins, lambda i: i.isNotNull()))
+        return d.withColumn(f"__runs{name}", F.transform(at, lambda i, k: F.struct(
+            F.get(s, i).alias("t"), F.lit(first).alias("first"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).alias("n"))))
+
+    d = sorted_runs(sorted_runs(pairs, a, True, "a"), b, False, "b")
+    d, runs = d.withColumn("__runs", F.sort_array(F.concat("__runsa", "__runsb"))), F.col("__runs")
 
     def both(x: Column, k: Column) -> Column:  # a term's run in b stands before its run in a
         after = F.get(runs, k + 1)
@@ -36,7 +35,8 @@ def _counted(pairs: DataFrame, a: str, b: str, pattern: str, out: str) -> DataFr
         whole = F.struct(x["t"].alias("t"), in_a.alias("a"), F.when(x["first"], 0).otherwise(x["n"]).alias("b"))
         return F.when(~F.get(runs, k - 1)["t"].eqNullSafe(x["t"]), whole)
 
-    return d.withColumn(out, F.filter(F.transform(runs, both), lambda x: x.isNotNull())).drop("__s", "__at", "__runs")
+    return d.withColumn(out, F.filter(F.transform(runs, both), lambda x: x.isNotNull())).drop(
+        "__runs", *[f"__{k}{x}" for k in ("s", "at", "runs") for x in "ab"])
 
 
 def _least_step(steps: list[tuple[int, int]], most: int) -> int:
